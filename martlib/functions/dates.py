@@ -60,4 +60,4 @@ def diff_days(later: Column, earlier: Column) -> Column:
 def floor_bucket(col: Column, seconds: int) -> Column:
     """Datetime rounded down to a multiple of ``seconds``."""
     millis = F.floor(F.unix_millis(col.cast("timestamp")) / F.lit(seconds * 1000)) * F.lit(seconds * 1000)
-    return F.timestamp_millis(millis)
+    return F.timestamp_millis(millis).cast("timestamp_ntz")

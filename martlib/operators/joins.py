@@ -84,7 +84,7 @@ def time_tolerant_full_join(
     right = r.withColumnsRenamed({k: f"r_{k}" for k in keys}).withColumns(
         {"__rb": floor_bucket(F.col(rt), bucket_s), "__rf": floor_bucket(F.col(rt), fine_s)}
     )
-    gap = F.unix_seconds("__lf") - F.unix_seconds("__rf")
+    gap = F.unix_seconds(F.col("__lf").cast("timestamp")) - F.unix_seconds(F.col("__rf").cast("timestamp"))
     close = (F.abs(gap) if two_sided else gap) <= tol_s
     cond = [F.col(f"l_{k}") == F.col(f"r_{k}") for k in keys] + [F.col("__lb") == F.col("__rb"), close]
     return left.join(right, cond, "full").drop("__lb", "__lf", "__rb", "__rf")

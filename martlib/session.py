@@ -28,6 +28,7 @@ def build_session(app: str = "martlib", cores: str | int = "*", shuffle_partitio
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
     )
     if shuffle_partitions:
