@@ -61,10 +61,10 @@ def fill_nulls(df: DataFrame, col: str, scopes: Sequence[Sequence[str]], order:
     rows at the same time count as current.
     """
     order_by = f"-{order}" if direction == "backward" else order
-    fills = []
-    for i, keys in enumerate(scopes):
-        fills.append(f"__fill{i}")
-        df = ordered(df, keys, [order_by], {fills[-1]: LastValue(F.col(col))}, **kw)
+    fills = [f"__fill{i}" for i in range(len(scopes))]
+    # widest scope first: its partitioning also serves the narrower ones
+    for fill, keys in reversed(list(zip(fills, scopes))):
+        df = ordered(df, keys, [order_by], {fill: LastValue(F.col(col))}, **kw)
     return df.withColumn(col, F.coalesce(F.col(col), *fills)).drop(*fills)
 
 
@@ -126,3 +126,13 @@ def with_derived_key(df: DataFrame, keys: Mapping[str, Column]) -> DataFrame:
 def keep_rank_where(df: DataFrame, keys: Sequence[str], order: Sequence[str], predicate: Column) -> DataFrame:
     """Rows at rank 1 (ties included) that also meet a condition; the rank sees all rows."""
     return top_k(df, keys, order, 1, ties=True).filter(predicate)
+
+
+def spread_null_key(df: DataFrame, key: str, unique: str, name: str, empty: str | None = None) -> DataFrame:
+    """A window key in which rows without a key (NULL or the ``empty`` sentinel) each stand alone.
+
+    Rows that belong to no group would otherwise all meet in one task.
+    """
+    own = F.concat(F.lit("~"), F.col(unique).cast("string"))
+    missing = F.col(key).isNull() if empty is None else F.col(key).isNull() | (F.col(key) == empty)
+    return df.withColumn(name, F.when(missing, own).otherwise(F.col(key)))
