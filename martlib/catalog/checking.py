@@ -37,13 +37,13 @@ def _(spark, d):
 
 
 @query("l6_reconcile", """
-WITH a AS (SELECT CAST(ts AS DATE) AS day, SUM(value) AS va FROM events WHERE event_id % 50 <> 0 GROUP BY 1),
+WITH a AS (SELECT CAST(ts AS DATE) AS day, SUM(value) AS va FROM events WHERE event_type <> 'error' OR value < 60 GROUP BY 1),
 b AS (SELECT CAST(ts AS DATE) AS day, SUM(value) AS vb FROM events GROUP BY 1)
 SELECT day, ROUND(va, 2) AS value_a, ROUND(vb, 2) AS value_b FROM a FULL JOIN b USING (day) WHERE abs(va - vb) / abs(vb) * 100 > 2
 """)
 def _(spark, d):
     ev = table(spark, d, "events").withColumn("day", F.col("ts").cast("date"))
-    out = Q.reconcile(ev, ev, ["day"], F.sum("value"), F.sum("value"), 2.0, cond_a=F.col("event_id") % 50 != 0)
+    out = Q.reconcile(ev, ev, ["day"], F.sum("value"), F.sum("value"), 2.0, cond_a=(F.col("event_type") != "error") | (F.col("value") < 60))
     return out.select("day", F.round("value_a", 2).alias("value_a"), F.round("value_b", 2).alias("value_b"))
 
 
@@ -54,14 +54,14 @@ def _(spark, d):
 
 @query("i3_carry_session_date", """
 WITH s AS (SELECT *, user_id AS session_id, CAST(ts AS DATE) AS event_date FROM events),
-prior AS (SELECT session_id, MIN(event_date) AS session_date FROM s WHERE ts < TIMESTAMP '2024-01-10' AND user_id % 3 = 0 GROUP BY 1),
+prior AS (SELECT session_id, MIN(event_date) AS session_date FROM s WHERE ts < TIMESTAMP '2024-01-10' AND event_type = 'view' GROUP BY 1),
 batch AS (SELECT * FROM s WHERE ts >= TIMESTAMP '2024-01-10')
 SELECT event_id, COALESCE(p.session_date, MIN(event_date) OVER (PARTITION BY b.session_id)) AS session_date FROM batch b LEFT JOIN prior p ON b.session_id = p.session_id
 """)
 def _(spark, d):
     s = table(spark, d, "events").withColumns({"session_id": F.col("user_id"), "event_date": F.col("ts").cast("date")})
     cut = F.lit("2024-01-10").cast("timestamp_ntz")
-    prior = s.filter((F.col("ts") < cut) & (F.col("user_id") % 3 == 0)).withColumn("session_date", F.col("event_date"))
+    prior = s.filter((F.col("ts") < cut) & (F.col("event_type") == "view")).withColumn("session_date", F.col("event_date"))
     return streams.carry_session_date(s.filter(F.col("ts") >= cut), prior).select("event_id", "session_date")
 
 
@@ -82,14 +82,14 @@ def _(spark, d):
 
 @query("i2_stream_upsert", """
 SELECT event_id, arg_max(value, v) AS value FROM (SELECT event_id, value, 0 AS v FROM events
-  UNION ALL SELECT event_id, value + 1000, 1 FROM events WHERE user_id % 2 = 0) GROUP BY event_id
+  UNION ALL SELECT event_id, value + 1000, 1 FROM events WHERE event_type = 'purchase') GROUP BY event_id
 """)
 def _(spark, d):
     """Two deliveries of the same keys; the second one corrects half of them."""
     src, out = scratch(spark, "upsert-in"), scratch(spark, "upsert-out")
-    ev = table(spark, d, "events").select("event_id", "value", F.col("ts").cast("date").alias("event_date"), "user_id", F.lit(0).alias("v"))
+    ev = table(spark, d, "events").select("event_id", "value", F.col("ts").cast("date").alias("event_date"), "user_id", "event_type", F.lit(0).alias("v"))
     state = scratch(spark, "upsert-state")
-    for part in (ev, ev.filter("user_id % 2 = 0").withColumns({"value": F.col("value") + 1000, "v": F.lit(1)})):
+    for part in (ev, ev.filter("event_type = 'purchase'").withColumns({"value": F.col("value") + 1000, "v": F.lit(1)})):
         part.write.mode("append").parquet(src)
         sdf = spark.readStream.schema(ev.schema).parquet(src)
         streams.stream_upsert(sdf, out, state, ["event_id"], "event_date", ["-v"], ["user_id"]).awaitTermination()

@@ -319,8 +319,10 @@ LEFT JOIN (SELECT * FROM ex WHERE exit_order = 1) x USING (entity_id) WHERE e.en
 """)
 def _(spark, d):
     ev = events(spark, d)
+    en = entities(spark, d)
     out = X.profile(
-        entities(spark, d), "company", sectors=sector_rows(spark, d), rounds=rounds(spark, d, False), funding=public(spark, d), acq=acquired(spark, d), exits=X.exit_events(ev, False))
+        en, "company", sectors=sector_rows(spark, d), rounds=X.private_rounds(ev, companies(spark, d), split=False), funding=X.public_funding(ev, en, split=False),
+        acq=X.acquisitions(ev, split=False), exits=X.exit_events(ev, False))
     out = out.withColumns({a: F.round(a, 1) for a in ("private_funding_amount", "total_funding_amount")})
     return out.select(
         "company_id", "company_name", "sectors", "sub_sectors", "sub_sub_sectors", "private_funding_amount", "total_private_rounds", "last_private_funding_date", "total_funding_amount",
@@ -335,7 +337,7 @@ st AS (SELECT investor_id, round_type AS v, COUNT(DISTINCT round_id) AS m FROM i
 ts AS (SELECT investor_id, string_agg(v, ', ' ORDER BY v) AS actual_sector FROM (SELECT *, rank() OVER (PARTITION BY investor_id ORDER BY m DESC) rk FROM sc) WHERE rk = 1 GROUP BY 1),
 tg AS (SELECT investor_id, string_agg(v, ', ' ORDER BY v) AS actual_stage FROM (SELECT *, rank() OVER (PARTITION BY investor_id ORDER BY m DESC) rk FROM st) WHERE rk = 1 GROUP BY 1)
 SELECT entity_id AS investor_id, num_investments, last_investment_date, num_startups_invested, exited_startups, actual_sector, actual_stage,
-  CASE WHEN entity_id % 4 = 0 THEN 'Early Growth, Early Stage' WHEN entity_id % 4 = 2 THEN 'Late Growth' END AS target_investment_stages, CASE WHEN entity_id % 3 = 2 THEN 'ai, bio' END AS industry_preferences
+  CASE WHEN entity_id % 4 = 0 THEN 'Early Growth, Early Stage' WHEN entity_id % 4 = 2 THEN 'Late Growth' END AS target_investment_stages, CASE WHEN primary_sector_name = 'BUILDING' THEN 'ai, bio' END AS industry_preferences
 FROM ent LEFT JOIN a ON a.investor_id = entity_id LEFT JOIN g ON g.investor_id = entity_id LEFT JOIN ts ON ts.investor_id = entity_id LEFT JOIN tg ON tg.investor_id = entity_id WHERE entity_type = 'Investor'
 """)
 def _(spark, d):
@@ -343,7 +345,7 @@ def _(spark, d):
     en = entities(spark, d)
     pick = F.when(c("entity_id") % 4 == 0, F.array(F.lit("Seed"), F.lit("B Round"), F.lit("A Round"))).when(c("entity_id") % 4 == 2, F.array(F.lit("E Round")))
     stages = en.select("entity_id", F.explode(pick).alias("investment_stage"))
-    tags = en.filter("entity_id % 3 = 2").select("entity_id", F.explode(F.array(F.lit("bio"), F.lit("ai"))).alias("tag_name"))
+    tags = en.filter("primary_sector_name = 'BUILDING'").select("entity_id", F.explode(F.array(F.lit("bio"), F.lit("ai"))).alias("tag_name"))
     out = X.profile(en, "investor", rows=investor_rows(spark, d), exits=X.exit_events(events(spark, d), False), tags=tags, stages=stages)
     return out.select("investor_id", "num_investments", "last_investment_date", "num_startups_invested", "exited_startups", "actual_sector", "actual_stage", "target_investment_stages", "industry_preferences")
 
@@ -353,7 +355,7 @@ SELECT e.entity_id AS mnc_id, e.entity_name AS mnc_name, MAX(a.event_date) AS la
 FROM ent e LEFT JOIN ac a ON a.other_party = e.entity_id WHERE e.entity_type = 'Multinational' GROUP BY 1, 2
 """)
 def _(spark, d):
-    out = X.profile(entities(spark, d), "multinational", acq=acquired(spark, d))
+    out = X.profile(entities(spark, d), "multinational", acq=X.acquisitions(events(spark, d), split=False))
     return out.select("mnc_id", "mnc_name", "last_acquisition_date", "total_acquisitions", F.round("total_acquisition_amount", 1).alias("total_acquisition_amount"))
 
 
@@ -418,8 +420,10 @@ FROM raw r JOIN ent e USING (entity_id) LEFT JOIN ent t ON t.entity_id = other_p
 def _(spark, d):
     ev, c = events(spark, d), F.col
     funds = ev.filter(c("event_type") == X.FUND_EVENT).select(c("id").alias("event_id"))
-    claimed = [rounds(spark, d, False).select(c("round_id").alias("event_id")), acquired(spark, d), public(spark, d), funds]
-    out = X.residual_events(ev, claimed, entities(spark, d))
+    en = entities(spark, d)
+    private = X.private_rounds(ev, companies(spark, d), split=False).select(c("round_id").alias("event_id"))
+    claimed = [private, X.acquisitions(ev, split=False), X.public_funding(ev, en, split=False), funds]
+    out = X.residual_events(ev, claimed, en)
     return out.select("event_id", "event_category", "event_year", "target_name", "institution_type")
 
 

@@ -55,7 +55,7 @@ def _(spark, d):
 
 
 _FULL = """
-WITH crm AS (SELECT c_custkey AS user_id, c_name AS name, c_mktsegment AS segment FROM customer WHERE c_custkey % 3 <> 0),
+WITH crm AS (SELECT c_custkey AS user_id, c_name AS name, c_mktsegment AS segment FROM customer WHERE c_acctbal > 2000),
 seen AS (SELECT user_id, COUNT(*) AS n_events, 'tracked' AS segment FROM events GROUP BY user_id)
 SELECT COALESCE(crm.user_id, seen.user_id) AS user_id, name, n_events, COALESCE(crm.segment, seen.segment) AS segment
 FROM crm FULL OUTER JOIN seen ON crm.user_id = seen.user_id
@@ -63,7 +63,7 @@ FROM crm FULL OUTER JOIN seen ON crm.user_id = seen.user_id
 
 
 def _full(spark, d, split):
-    crm = table(spark, d, "customer").filter("c_custkey % 3 <> 0").select(
+    crm = table(spark, d, "customer").filter("c_acctbal > 2000").select(
         F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
     seen = table(spark, d, "events").groupBy("user_id").agg(F.count("*").alias("n_events")).withColumn("segment", F.lit("tracked"))
     return J.full_merge(crm, seen, ["user_id"], ["segment"], split=split)
@@ -220,20 +220,20 @@ def _(spark, d):
 
 @query("c17_lookup_flag", """
 WITH bots AS (SELECT DISTINCT CAST(ts AS DATE) AS day, CASE WHEN user_id % 9 = 0 THEN 'unknown' ELSE lower(event_type) END AS kind
-  FROM events WHERE event_id % 97 = 0)
+  FROM events WHERE event_type = 'error' AND value > 150)
 SELECT event_id, EXISTS (SELECT 1 FROM bots b WHERE b.day = CAST(e.ts AS DATE)
   AND b.kind = COALESCE(lower(CASE WHEN e.user_id % 9 <> 0 THEN e.event_type END), 'unknown')) AS suspected FROM events e
 """)
 def _(spark, d):
     ev = table(spark, d, "events").withColumns({"day": F.col("ts").cast("date"), "kind": F.when(F.col("user_id") % 9 != 0, F.col("event_type"))})
-    bots = ev.filter("event_id % 97 = 0").select("day", F.coalesce(F.lower("kind"), F.lit("unknown")).alias("kind"))
+    bots = ev.filter("event_type = 'error' and value > 150").select("day", F.coalesce(F.lower("kind"), F.lit("unknown")).alias("kind"))
     on = [(F.col("day"), "day"), (F.coalesce(F.lower("kind"), F.lit("unknown")), "kind")]
     return J.lookup_flag(ev, bots, on, "suspected").select("event_id", "suspected")
 
 
 @query("c18_link_by_name", """
 WITH src AS (SELECT p_partkey AS id, p_name AS name, CASE WHEN p_size > 25 THEN ' ' || upper(p_brand) || '-HQ ' END AS arm_of FROM part
-  UNION ALL SELECT 100000 + p_partkey, p_brand || '-hq', NULL FROM part WHERE p_partkey % 20 = 0),
+  UNION ALL SELECT 100000 + p_partkey, p_brand || '-hq', NULL FROM part WHERE p_size = 50),
 par AS (SELECT upper(trim(name)) AS k, MIN(id) AS parent_id, MIN(trim(name)) AS parent_name FROM src WHERE name <> '' GROUP BY 1),
 arm AS (SELECT upper(trim(arm_of)) AS k, trim(name) AS arm_name, id AS arm_id FROM src WHERE arm_of <> '')
 SELECT parent_name, parent_id, string_agg(DISTINCT arm_name, ' , ' ORDER BY arm_name) AS arms_list, COUNT(DISTINCT arm_id) AS arms_count
@@ -243,6 +243,6 @@ def _(spark, d):
     p = table(spark, d, "part")
     arm_of = F.when(F.col("p_size") > 25, F.concat(F.lit(" "), F.upper("p_brand"), F.lit("-HQ ")))
     a = p.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), arm_of.alias("arm_of"))
-    b = p.filter("p_partkey % 20 = 0").select(
+    b = p.filter("p_size = 50").select(
         (F.col("p_partkey") + 100000).alias("id"), F.concat("p_brand", F.lit("-hq")).alias("name"), F.lit(None).cast("string").alias("arm_of"))
     return J.link_by_name(a.union(b), "arm_of", "name", "id")

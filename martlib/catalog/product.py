@@ -138,7 +138,7 @@ m AS (SELECT user_pseudo_id, session_id, event_date AS session_date, arg_min(use
 fu AS (SELECT session_id, string_agg(event_name, ',' ORDER BY ts, eid) AS session_events FROM (SELECT DISTINCT eid, session_id, ts, event_name FROM le) GROUP BY 1),
 di AS (SELECT session_id, geo__country, category AS device__category, marketing_source, marketing_medium, {_CHANNEL} AS channel_grouping FROM le
   QUALIFY row_number() OVER (PARTITION BY session_id ORDER BY CASE WHEN lower({_CHANNEL}) LIKE '%paid%' THEN 1 ELSE 2 END, ts DESC, eid) = 1),
-bots AS (SELECT DISTINCT event_date AS date_day, lower(COALESCE(NULLIF(country, ''), 'unknown')) AS country FROM flat WHERE seq % 211 = 0),
+bots AS (SELECT DISTINCT event_date AS date_day, lower(COALESCE(NULLIF(country, ''), 'unknown')) AS country FROM flat WHERE event_name = 'scroll' AND value > 200),
 ses AS (SELECT md5(concat_ws('-', session_id, CAST(session_date AS VARCHAR))) AS record_id, m.*, FALSE AS is_new_user, session_events, geo__country, device__category, channel_grouping,
   CASE WHEN geo__country IS NULL THEN NULL WHEN geo__country = 'Israel' THEN 'Home' WHEN geo__country = 'France' THEN 'Europe' END AS market_region, 0 AS target_market,
   geo__country = 'Israel' AS is_home_country, EXISTS (SELECT 1 FROM bots b WHERE b.date_day = session_date AND b.country = COALESCE(lower(geo__country), 'unknown')) AS suspected_fraud
@@ -153,7 +153,7 @@ _SES_COLS = [
 
 def sessions(spark, d):
     flat = flat_events(spark, d)
-    bots = flat.filter("seq % 211 = 0").select(
+    bots = flat.filter("event_name = 'scroll' and value > 200").select(
         F.col("event_date").alias("date_day"), F.lower(F.coalesce(F.nullif("country", F.lit("")), F.lit("unknown"))).alias("country")).distinct()
     out = E.build_sessions(
         long_events(spark, d), bots, dimensions=_DIMS, marketing=["marketing_source", "marketing_medium"], regions=[("Home", ["Israel"]), ("Europe", ["France"])])

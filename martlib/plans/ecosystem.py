@@ -70,8 +70,10 @@ def investment_stages(stages: DataFrame) -> DataFrame:
     })
 
 
-def add_people(df: DataFrame, users: DataFrame) -> DataFrame:
-    """Mail and names of creator and updater."""
+def add_people(df: DataFrame, users: DataFrame | None) -> DataFrame:
+    """Mail and names of creator and updater; without ``users`` the rows stay as they are."""
+    if users is None:
+        return df
     who = users.select("user_id", "email", "first_name", "last_name", F.concat("first_name", F.lit(" "), "last_name").alias("name"))
     return role_join(df, who, {"event_creator": "creator_key", "event_updater": "updater_key"}, "user_id", ["email", "first_name", "last_name", "name"])
 
@@ -101,7 +103,7 @@ def ipo_events(events: DataFrame, entities: DataFrame) -> DataFrame:
     })
 
 
-def acquisitions(events: DataFrame, users: DataFrame, split: bool | None = None) -> DataFrame:
+def acquisitions(events: DataFrame, users: DataFrame | None = None, split: bool | None = None) -> DataFrame:
     """Acquisition events with exit and first-acquisition flags and people."""
     df = exit_events(events, split).filter((F.col("event_type") == MERGER_EVENT) & (F.col("was_acquired") == 1)).drop("exit_order")
     df = first_rank_flag(df, ["acquired_id"], "event_date", "is_first_mna")
@@ -138,7 +140,7 @@ def acquisition_facts(acq: DataFrame, entities: DataFrame, split: bool | None =
     return order_final(df, ["-event_date", "-event_updated_date", "event_id"])
 
 
-def private_rounds(events: DataFrame, companies: DataFrame, users: DataFrame, split: bool | None = None) -> DataFrame:
+def private_rounds(events: DataFrame, companies: DataFrame, users: DataFrame | None = None, split: bool | None = None) -> DataFrame:
     """Private funding rounds of Israeli companies with size class, rank and the round before.
 
     Convertible debt raised after a company went public is no private round.
@@ -204,8 +206,7 @@ def investor_rounds(events: DataFrame, participation: DataFrame, entities: DataF
     c = F.col
     rounds = _rounds(events, (c("event_type") == ROUND_EVENT) & (c("is_silent_round") == 0))
     rounds = rounds.select("round_id", "company_id", "round_date", "round_type", "amount", "is_silent_round", "source", "event_created_date", "event_updated_date", "creator_key", "updater_key")
-    if users is not None:
-        rounds = add_people(rounds, users)
+    rounds = add_people(rounds, users)
     who = entities.select(
         c("company_id").alias("investor_id"), c("country").alias("investor_country"), c("company_type").alias("investor_type"), c("company_subtype").alias("investor_sub_type"))
     df = participation.join(rounds, "round_id")
@@ -244,7 +245,7 @@ def investor_funds(events: DataFrame, entities: DataFrame, split: bool | None =
     return order_final(df.withColumn("fund_year", F.year("fund_date")), ["-fund_date", "fund_id"])
 
 
-def public_funding(events: DataFrame, entities: DataFrame, users: DataFrame, split: bool | None = None) -> DataFrame:
+def public_funding(events: DataFrame, entities: DataFrame, users: DataFrame | None = None, split: bool | None = None) -> DataFrame:
     """Listings, private placements and bonds of public companies with exit and listing flags.
 
     Silent rounds are left out among placements and bonds only.

@@ -71,17 +71,17 @@ def stitch_identity(df: DataFrame, dimensions: Sequence[str], split: bool) -> Da
         "merge_key": F.nullif(known, F.lit("---")),
         "user_id": F.when(F.col("user_pseudo_id").isNotNull(), F.col("user_id")),
     })
+    # Only rows of a device can get a user id, so a visitor's earliest row is
+    # chosen among them before anything is filled.
+    seen = df.filter(F.col("user_pseudo_id").isNotNull())
+    first = keep_first(seen.select("merge_key", "derived_id", *dimensions, "event_timestamp", "event_id"), ["merge_key"], ["event_timestamp", "event_id"])
+    first = first.select("merge_key", F.col("derived_id").alias("__id"), *[F.col(c).alias(f"__{c}") for c in dimensions])
     # rows of no device cannot be filled and are kept out of each other's group
     df = spread_null_key(df, "user_pseudo_id", "event_id", "__device")
     scopes = [["__device", "ga_session_id", "event_date"], ["__device", "event_date"]]
     for direction in ("backward", "forward"):
         df = fill_nulls(df, "user_id", scopes, "event_datetime_utc", direction, split=split)
-    df = df.drop("__device")
-
-    seen = df.filter(F.col("user_id").isNotNull() | F.col("user_pseudo_id").isNotNull())
-    first = keep_first(seen.select("merge_key", "derived_id", *dimensions, "event_timestamp", "event_id"), ["merge_key"], ["event_timestamp", "event_id"])
-    first = first.select("merge_key", F.col("derived_id").alias("__id"), *[F.col(c).alias(f"__{c}") for c in dimensions])
-    out = df.join(first, "merge_key", "left")
+    out = df.drop("__device").join(first, "merge_key", "left")
     own = F.coalesce("__id", "derived_id")
     out = out.withColumns({
         "is_user_id_generated": F.col("user_id").isNull() & own.isNotNull(),

@@ -14,7 +14,7 @@ from martlib.operators.joins import role_join, time_tolerant_full_join
 from martlib.operators.ordered import DenseRank, FirstValue, LastValue, Total, ordered
 from martlib.operators.windows import keep_first
 from martlib.plans.common import EMPTY_USER_ID, EMPTY_USER_PSEUDO_ID
-from martlib.session import has_hot_key
+from martlib.session import exceeds_task
 
 # Signup step -> column name part.
 SIGNUP_STEPS = {
@@ -48,7 +48,7 @@ def signup_events(
     ).groupBy("user_pseudo_id").agg(min_by_nn("__user", "signup_start_datetime").alias("__user"))
     df = steps.join(known, "user_pseudo_id", "left").withColumn("user_id", F.coalesce("user_id", "__user")).drop("__user")
     if split is None:
-        split = has_hot_key(df, ["user_id"])
+        split = exceeds_task(src)
 
     df = df.withColumn("__hour", trunc_to(c(t), "hour"))
     df = ordered(df, ["user_id", "signup_platform", "__hour"], [f"-{t}"], {"__type": FirstValue(c("signup_type"))}, split=split, grain_seconds=60)
@@ -91,7 +91,9 @@ def signup_attempts(events: DataFrame, steps: dict[str, str] | None = None, spli
 
 def signup_funnel(long: DataFrame, users: DataFrame, **kw) -> DataFrame:
     """Signup steps pivoted per attempt, straight from the long events."""
-    return signup_attempts(signup_events(long, users, **kw), split=kw.get("split"))
+    if kw.get("split") is None:
+        kw["split"] = exceeds_task(long.filter(F.col("event_name").isin("sign_up", "profile_data")))
+    return signup_attempts(signup_events(long, users, **kw), split=kw["split"])
 
 
 def signups(attempts: DataFrame, sessions: DataFrame, users: DataFrame, dimensions: Sequence[str], session_only: Sequence[str] = ()) -> DataFrame:

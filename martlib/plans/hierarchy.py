@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from martlib.functions.text import surrogate_key
 from martlib.operators.sets import order_final, union_distinct
-from martlib.session import small_side
+from martlib.session import cut_lineage, small_side
 
 # Classification types of the two trees.
 TREES = {
@@ -65,7 +65,8 @@ def resolve_hierarchy(assign: DataFrame, nodes: DataFrame, edges: DataFrame, kin
     chosen = assign.filter(c("classification_category").isin(*types)).select("company_id", "classification_id")
     tree = small_side(tree)
     assigned = chosen.join(tree, "classification_id")
-    links = infer_parents(assigned, known)
+    # edges are read by two branches and are bounded by the tree, so they are written once
+    links = cut_lineage(infer_parents(assigned, known))
     leaves = assigned_leaves(assigned, links)
 
     roots = small_side(tree.filter(c("depth") == 0).select("root_key", c("sector_name").alias("sector")))

@@ -15,7 +15,7 @@ from martlib.operators.aggregates import max_by_nn, min_by_nn, summarize
 from martlib.operators.joins import full_merge
 from martlib.operators.windows import keep_first
 from martlib.plans.common import EMPTY_USER_ID, EMPTY_USER_PSEUDO_ID, EVENT_DIMENSIONS, MARKETING_DIMENSIONS
-from martlib.session import has_hot_key
+from martlib.session import exceeds_task
 
 # Spelling of a declared category -> user type.
 CATEGORY_TYPES = {
@@ -150,8 +150,8 @@ def build_users(
     crm = crm.join(member.select("user_id", "company_id", F.lit(True).alias("is_member")), "user_id", "left")
     crm = crm.join(companies.select("company_id", *company_columns), "company_id", "left")
     if split is None:
-        # one side is unique per user, so only tracked devices per user can be many
-        split = has_hot_key(tracked, ["user_id"])
+        # registered users are unique, so only the devices of one user can be many
+        split = exceeds_task(long)
     df = full_merge(crm, tracked, ["user_id"], split=split)
     signup = F.coalesce(c("__signup").cast("timestamp_ntz"), "signup_complete_datetime")
     df = df.withColumns({

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A group of more rows than this is not given to a single task.
 ROWS_PER_TASK = 5_000_000
-# A side is broadcast only when a bounded count proves it has at most this many rows.
-BROADCAST_ROWS = 200_000
+# A side is broadcast only when its measured size is at most this.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def build_session(app: str = "martlib", cores: str | int = "*", shuffle_partitions: int | None = None) -> SparkSession:
@@ -27,6 +28,9 @@ def build_session(app: str = "martlib", cores: str | int = "*", shuffle_partitio
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # call sites of column expressions are recorded for error messages; plans here build thousands
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
@@ -70,20 +74,43 @@ def largest_group(df: DataFrame, keys: list[str]) -> int:
     return int(row[0] or 0)
 
 
+def exceeds_task(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> bool:
+    """True when the input as a whole has more rows than one task should hold.
+
+    Cheaper than looking for a hot key, and safe: without it no group can be
+    too large.
+    """
+    return df.count() > rows_per_task
+
+
 def has_hot_key(df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> bool:
     """True when some key group is too large for one task."""
     return largest_group(df, keys) > rows_per_task
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Proves the size bound of a side before it is broadcast.
+def _row_bytes(df: DataFrame) -> Column:
+    """Size of a row in memory, from the text lengths of its columns."""
+    size = F.lit(0).cast("long")
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(f.name), F.lit(0)) + 16
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size = size + 2 * F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f.name)))), F.lit(0)) + 16
+        else:
+            size = size + 16
+    return size
+
+
+def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Proves the size of a side before it is broadcast.
 
-    ``limit`` stops the count after ``max_rows + 1`` rows, so the check itself
-    stays bounded however large ``df`` is.
+    The size is added up in the tasks, so the check moves one row per task
+    however large ``df`` is.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    total = df.agg(F.sum(_row_bytes(df))).first()[0]
+    return (total or 0) <= max_bytes
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def small_side(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Broadcast hint behind a size check; beyond the bound Spark shuffles the join."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
