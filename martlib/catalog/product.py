@@ -37,7 +37,7 @@ s1 AS (SELECT *, user_pseudo_id || COALESCE(CAST(ga_session AS VARCHAR), ymd) AS
 s2 AS (SELECT *, CASE WHEN is_user_pseudo_id_generated THEN user_pseudo_id || '_' || event_date || '_' ||
   COUNT(*) FILTER (WHERE event_name = 'session_start') OVER (PARTITION BY sid0 ORDER BY ts, CASE WHEN event_name = 'session_start' THEN 0 ELSE 1 END ROWS UNBOUNDED PRECEDING)
   ELSE sid0 END AS session_id FROM s1),
-prior AS (SELECT DISTINCT session_id, DATE '2023-12-31' AS pd FROM s2 WHERE pseudo = 'p5'),
+prior AS (SELECT DISTINCT session_id, DATE '2023-12-31' AS pd FROM s2 WHERE pseudo = 'p5.'),
 s3 AS (SELECT s2.*, COALESCE(pd, MIN(event_date) OVER (PARTITION BY s2.session_id)) AS session_date, CAST(MAX(engaged) OVER (PARTITION BY s2.session_id) AS BIGINT) AS session_engaged
   FROM s2 LEFT JOIN prior ON s2.session_id = prior.session_id),
 u AS (SELECT *, unnest(['ga_session_id', 'session_engaged', 'engagement_time_msec', 'page_location', 'source', 'medium']) AS event_key FROM s3)
@@ -58,7 +58,7 @@ def _unnested(spark, d, split=None):
     camp = F.col("k") % 3
     objectives = flat.filter(camp < 2).select(
         F.concat(F.lit("c"), camp.cast("string")).alias("campaign"), F.when(camp == 0, "Awareness").otherwise("Leads").alias("objective")).distinct()
-    prior = flat.filter("pseudo = 'p5'").select(
+    prior = flat.filter("pseudo = 'p5.'").select(
         F.concat("pseudo", F.col("ga_session").cast("string")).alias("session_id"), F.lit(dt.date(2023, 12, 31)).alias("session_date")).distinct()
     return E.unnest_events(nested_events(spark, d), prior, objectives, dimensions=_DIMS, split=split)
 

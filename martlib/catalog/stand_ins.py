@@ -56,7 +56,7 @@ flat0 AS (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM
 flat AS (SELECT event_id AS seq, 'e' || event_id AS eid, ts, epoch_us(ts) AS event_timestamp, strftime(ts, '%Y%m%d') AS ymd, CAST(ts AS DATE) AS event_date, k, value,
   CASE event_type WHEN 'signup' THEN 'session_start' WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'profile_interactions' WHEN 'purchase' THEN 'add_to_collection' ELSE 'scroll' END AS event_name,
   CASE WHEN event_id % 5 < 2 THEN 'u' || user_id END AS known_user,
-  CASE WHEN event_id % 11 <> 0 THEN 'p' || (user_id % 100) END AS pseudo,
+  CASE WHEN event_id % 11 <> 0 THEN 'p' || (user_id % 100) || '.' END AS pseudo,
   CASE WHEN event_id % 11 <> 0 THEN dayofyear(ts) * 10 + hour(ts) // 8 END AS ga_session,
   {_sql_list(COUNTRIES)}[user_id % 4 + 1] AS country, {_sql_list(DEVICES)}[user_id % 3 + 1] AS category,
   {_sql_list(SOURCES)}[event_id % 4 + 1] AS src, {_sql_list(MEDIA)}[(event_id // 4) % 4 + 1] AS med,
@@ -75,7 +75,7 @@ def flat_events(spark, d):
         e.alias("seq"), F.concat(F.lit("e"), e.cast("string")).alias("eid"), "ts", F.unix_micros(ts.cast("timestamp")).alias("event_timestamp"),
         F.date_format(ts, "yyyyMMdd").alias("ymd"), ts.cast("date").alias("event_date"), "k", "value", name.alias("event_name"),
         F.when(e % 5 < 2, F.concat(F.lit("u"), u.cast("string"))).alias("known_user"),
-        F.when(tracked, F.concat(F.lit("p"), (u % 100).cast("string"))).alias("pseudo"),
+        F.when(tracked, F.concat(F.lit("p"), (u % 100).cast("string"), F.lit("."))).alias("pseudo"),
         F.when(tracked, F.dayofyear(ts) * 10 + F.floor(F.hour(ts) / 8)).cast("long").alias("ga_session"),
         _pick(COUNTRIES, u % 4).alias("country"), _pick(DEVICES, u % 3).alias("category"), _pick(SOURCES, e % 4).alias("src"),
         _pick(MEDIA, F.floor(e / 4) % 4).alias("med"), _pick(KINDS, F.col("k") % 3).alias("entity_type"), _pick(SECTIONS, F.col("k") % 5).alias("section"),

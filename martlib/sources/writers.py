@@ -12,7 +12,7 @@ import datetime as dt
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlib.operators.sets import union_by_name
@@ -36,20 +36,16 @@ def with_partition(df: DataFrame, by: str, grain: str = "day") -> tuple[DataFram
 
 def write_partitioned(
     df: DataFrame, path: str, by: str, cluster: Sequence[str] = (), grain: str = "day", mode: str = "overwrite",
-    files_per_partition: int = 1, max_records_per_file: int = 5_000_000,
+    max_records_per_file: int = 5_000_000,
 ) -> None:
     """Write partition folders, rows sorted by ``cluster`` so that row-group statistics prune.
 
-    Each partition value is spread over ``files_per_partition`` tasks; raise it
-    when a single day is too large for one writer.
+    Rows are rebalanced by partition value: adaptive execution splits a value
+    that holds too many rows over several writers and puts small ones together.
     """
     out, part = with_partition(df, by, grain)
-    spread: list[Column] = [F.col(part)]
-    if files_per_partition > 1:
-        keys = [F.col(c) for c in cluster] or [F.col(c) for c in df.columns]
-        spread.append(F.pmod(F.xxhash64(*keys), F.lit(files_per_partition)))
     (
-        out.repartition(*spread)
+        out.hint("rebalance", part)
         .sortWithinPartitions(part, *cluster)
         .write.mode(mode)
         .option("maxRecordsPerFile", max_records_per_file)
@@ -133,7 +129,7 @@ def overwrite_partitions(df: DataFrame, path: str, by: str, cluster: Sequence[st
     write_partitioned(df, staging, by, cluster)
     staged = spark.read.schema(df.schema).parquet(staging)
     (
-        staged.repartition(by)
+        staged.hint("rebalance", by)
         .sortWithinPartitions(by, *cluster)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
