@@ -90,11 +90,13 @@ def merge_by_key(target: DataFrame, updates: DataFrame, key: Sequence[str], orde
     return union_by_name(kept, newest)
 
 
-def upsert_partitions(updates: DataFrame, path: str, key: Sequence[str], by: str, order: Sequence[str] = (), cluster: Sequence[str] = ()) -> None:
+def upsert_partitions(updates: DataFrame, path: str, key: Sequence[str], by: str, order: Sequence[str] = (), cluster: Sequence[str] = (), since: dt.date | None = None) -> None:
     """Upsert into a day-partitioned folder, rewriting only partitions that change.
 
     A key may move to another partition, so the partitions that hold any of the
-    updated keys are rewritten along with those the updates fall into.
+    updated keys are rewritten along with those the updates fall into. Finding
+    them reads the key column of the target; ``since`` limits the search to
+    partitions from that day on, for keys known to be no older.
     """
     spark = updates.sparkSession
     if not _path_exists(updates, path):
@@ -102,10 +104,11 @@ def upsert_partitions(updates: DataFrame, path: str, key: Sequence[str], by: str
         write_partitioned(newest, path, by, cluster)
         return
     target = spark.read.parquet(path)
+    searched = target if since is None else target.filter(F.col(by) >= F.lit(since))
     keys = updates.select(*key).distinct()
     # partition values are days: the list is bounded by the calendar, not by the data
     touched = (
-        target.join(keys, list(key), "left_semi").select(by).union(updates.select(by)).distinct()
+        searched.join(keys, list(key), "left_semi").select(by).union(updates.select(by)).distinct()
     )
     days = [r[0] for r in touched.collect()]
     if not days:
