@@ -39,11 +39,11 @@ def _(spark, d):
 @query("l6_reconcile", """
 WITH a AS (SELECT CAST(ts AS DATE) AS day, SUM(value) AS va FROM events WHERE event_type <> 'error' OR value < 60 GROUP BY 1),
 b AS (SELECT CAST(ts AS DATE) AS day, SUM(value) AS vb FROM events GROUP BY 1)
-SELECT day, ROUND(va, 2) AS value_a, ROUND(vb, 2) AS value_b FROM a FULL JOIN b USING (day) WHERE abs(va - vb) / abs(vb) * 100 > 2
+SELECT day, ROUND(va, 2) AS value_a, ROUND(vb, 2) AS value_b FROM a FULL JOIN b USING (day) WHERE abs(va - vb) / abs(vb) * 100 > 13
 """)
 def _(spark, d):
     ev = table(spark, d, "events").withColumn("day", F.col("ts").cast("date"))
-    out = Q.reconcile(ev, ev, ["day"], F.sum("value"), F.sum("value"), 2.0, cond_a=(F.col("event_type") != "error") | (F.col("value") < 60))
+    out = Q.reconcile(ev, ev, ["day"], F.sum("value"), F.sum("value"), 13.0, cond_a=(F.col("event_type") != "error") | (F.col("value") < 60))
     return out.select("day", F.round("value_a", 2).alias("value_a"), F.round("value_b", 2).alias("value_b"))
 
 

@@ -126,7 +126,7 @@ m AS (SELECT COALESCE(crm.user_id, tr.user_id) AS user_id, COALESCE(user_pseudo_
   COALESCE(signup, CAST(signup_complete_datetime AS DATE)) AS user_signup_date, signup_start_datetime, signup_platform, is_signup_complete, geo__country, marketing_source, COALESCE(member, FALSE) AS is_member,
   CASE WHEN company_type IS NOT NULL THEN CASE company_type WHEN 'Multinational' THEN 'Corporate' ELSE company_type END WHEN analysis = 'Media' THEN 'Media' WHEN analysis = 'VC' THEN 'Investor' WHEN analysis = 'Accelerator' THEN 'Innovation Hub'
     WHEN cat IN ('Hub') THEN 'Innovation Hub' WHEN cat = 'investment firm' THEN 'Investor' WHEN cat = 'Startup' THEN 'Startup' WHEN usage LIKE '%search-investors%' THEN 'Startup' WHEN usage LIKE '%job%' THEN 'Job Seeker'
-    WHEN usage LIKE '%collaborate%' THEN 'drawn' ELSE 'Other' END AS derived_user_type FROM crm FULL JOIN tr ON crm.user_id = tr.user_id)
+    WHEN usage LIKE '%collaborate%' THEN CASE WHEN CAST('0x' || left(md5(md5(COALESCE(crm.user_id, tr.user_id) || '-' || COALESCE(user_pseudo_id, 'empty_user_pseudo_id')) || '-0'), 8) AS BIGINT) / 4294967296.0 < 0.4 THEN 'Service Provider' WHEN CAST('0x' || left(md5(md5(COALESCE(crm.user_id, tr.user_id) || '-' || COALESCE(user_pseudo_id, 'empty_user_pseudo_id')) || '-0'), 8) AS BIGINT) / 4294967296.0 < 0.7 THEN 'Corporate' ELSE 'Startup' END ELSE 'Other' END AS derived_user_type FROM crm FULL JOIN tr ON crm.user_id = tr.user_id)
 SELECT * FROM m
 """
 
@@ -147,8 +147,7 @@ def _users(spark, d, split):
     analysis = cust.select(k.alias("id"), c("c_name").alias("name"), _pick(_TYPES, k % 4).alias("type"), c("c_mktsegment").alias("sector"), F.lit("2023-01-01").cast("date").alias("created_date"))
     out = U.build_users(
         long, U.clean_users(raw), member, companies, U.latest_analysis(analysis, found), dimensions=["geo__country"], marketing=["marketing_source", "marketing_medium"], split=split)
-    drawn = c("company_type").isNull() & ~F.coalesce(c("entity_analysis_type").isin("Media", "VC", "Accelerator"), F.lit(False)) & ~F.coalesce(c("user_type").isin("Hub", "Investor", "Startup"), F.lit(False)) & (c("user_primary_usage") == "Collaborate")
-    return out.withColumn("derived_user_type", F.when(drawn, "drawn").otherwise(c("derived_user_type"))).select(
+    return out.select(
         "user_id", "user_pseudo_id", "is_user_registered", "is_user_confirmed", "user_signup_date", "signup_start_datetime", "signup_platform", "is_signup_complete", "geo__country", "marketing_source", "is_member", "derived_user_type")
 
 

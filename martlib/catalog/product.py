@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from martlib.catalog.registry import query, table
 from martlib.catalog.stand_ins import FLAT, LONG, flat_events, long_events, nested_events
+from martlib.operators.quality import reconcile
 from martlib.plans import events as E
 from martlib.plans import monitoring as M
 from martlib.plans import pages as PG
@@ -339,14 +340,22 @@ def _(spark, d):
     return PG.engagement(long_events(spark, d)).drop("user_pseudo_id").withColumn("engagement_time_seconds", F.round("engagement_time_seconds", 4))
 
 
-@query("l6_reconcile_engagement")
-def _(spark, d):
-    """Engagement seconds per day of profile events against the pivoted events they come from; no rows when they agree."""
-    from martlib.operators.quality import reconcile
-
+def engagement_gap(spark, d, only_profiles: bool):
+    """Days on which engagement seconds of profile events differ from those of the events they are taken from."""
+    c = F.col
     pv = pivoted(spark, d, False)
     companies = table(spark, d, "customer").select(
-        F.col("c_custkey").alias("company_id"), F.concat(F.lit("acme-"), (F.col("c_custkey") % 7).cast("string")).alias("company_url_name"), F.col("c_nationkey").alias("updated_date"))
+        c("c_custkey").alias("company_id"), F.concat(F.lit("acme-"), (c("c_custkey") % 7).cast("string")).alias("company_url_name"), c("c_nationkey").alias("updated_date"))
     prof = PG.profile_interactions(pv, companies, split=False)
     total = F.sum("engagement_time_seconds")
-    return reconcile(prof.withColumn("day", F.col("date_day")), pv.withColumn("day", F.col("event_date")), ["day"], total, total, 0.1, cond_b=F.col("company_url_name").isNotNull())
+    cond = c("company_url_name").isNotNull() if only_profiles else None
+    return reconcile(prof.withColumn("day", c("date_day")), pv.withColumn("day", c("event_date")), ["day"], total, total, 0.1, cond_b=cond)
+
+
+@query("l6_reconcile_engagement", PIVOTED + """,
+a AS (SELECT event_date AS day, SUM(secs) AS va FROM q5 WHERE company_url_name IS NOT NULL GROUP BY 1), b AS (SELECT event_date AS day, SUM(secs) AS vb FROM q5 GROUP BY 1)
+SELECT day, round(va, 3) AS value_a, round(vb, 3) AS value_b FROM a FULL JOIN b USING (day) WHERE abs(va - vb) / vb * 100 > 0.1
+""")
+def _(spark, d):
+    out = engagement_gap(spark, d, only_profiles=False)
+    return out.select("day", F.round("value_a", 3).alias("value_a"), F.round("value_b", 3).alias("value_b"))

@@ -274,7 +274,10 @@ def _(spark, d):
     return table(spark, d, "events").select("event_id", JT.to_json_text(s).alias("js"))
 
 
-@query("h18_weighted_label")
+@query("h18_weighted_label", """
+WITH d AS (SELECT c_custkey, CAST('0x' || left(md5(c_custkey || '-0'), 8) AS BIGINT) / 4294967296.0 AS r FROM customer)
+SELECT c_custkey, CASE WHEN r < 0.4 THEN 'Consultant or service provider' WHEN r < 0.7 THEN 'Corporation' ELSE 'Startup' END AS label FROM d
+""")
 def _(spark, d):
     label = R.weighted_label(F.col("c_custkey"), [(0.4, "Consultant or service provider"), (0.3, "Corporation"), (0.3, "Startup")])
     return table(spark, d, "customer").select("c_custkey", label.alias("label"))

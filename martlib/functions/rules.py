@@ -50,7 +50,8 @@ def weighted_label(key: Column, weights: Sequence[tuple[float, str]], seed: int
 
     The last label takes what is left, so its weight only documents the share.
     """
-    draw = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1_000_000)) / F.lit(1_000_000.0)
+    digits = F.left(F.md5(F.concat(key.cast("string"), F.lit(f"-{seed}"))), F.lit(8))
+    draw = F.conv(digits, 16, 10).cast("long") / F.lit(4294967296.0)
     rules, upto = [], 0.0
     for share, label in weights[:-1]:
         upto += share
