@@ -33,5 +33,10 @@ def to_json_text(col: Column) -> Column:
 
 
 def param(params: Column, key: str, field: str) -> Column:
-    """Value of ``key`` in an array of (key, value{string, int, float, double}); no shuffle, no explode."""
-    return F.get(F.filter(params, lambda p: p["key"] == key), F.lit(0))["value"][field]
+    """Value of ``key`` in an array of (key, value{string, int, float, double}); the first one if the key repeats.
+
+    Looks the position of the key up instead of filtering with a lambda, so the
+    expression stays in generated code; no shuffle, no explode.
+    """
+    at = F.array_position(params["key"], key).cast("int") - 1
+    return F.get(params["value"][field], at)

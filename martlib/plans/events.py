@@ -155,24 +155,28 @@ def explode_params(df: DataFrame) -> DataFrame:
     merged in place.
     """
     merged = group_by_all(df, {"__copies": F.count(F.lit(1))})
-    params = F.col("event_params")
-    keys = F.array_distinct(F.transform(params, lambda p: p["key"]))
+    params, keys = F.col("event_params"), F.col("event_params.key")
+    fields = df.schema["event_params"].dataType.elementType["value"].dataType.fieldNames()
 
-    def typed(k: Column) -> Column:
+    def combined(k: Column) -> Column:
         same = F.filter(params, lambda p: p["key"].eqNullSafe(k))
-        pick = lambda f: F.array_max(F.transform(same, f))
-        msec = F.col("engagement_time_msec") * F.col("__copies") * F.size(same)
-        return F.struct(
-            k.alias("event_key"),
-            pick(lambda p: p["value"]["string_value"]).alias("event__string_value"),
-            F.when(k == "engagement_time_msec", msec).otherwise(pick(lambda p: p["value"]["int_value"]).cast("double")).alias("event__int_value"),
-            pick(lambda p: F.coalesce(p["value"]["double_value"], p["value"]["float_value"])).alias("event__double_value"),
-        )
-
-    rows = merged.select("*", F.inline(F.transform(keys, typed)))
+        largest = lambda f: F.array_max(F.transform(same, lambda p: p["value"][f])).alias(f)
+        return F.struct(k.alias("key"), F.struct(*[largest(f) for f in fields]).alias("value"))
+
+    # lambdas are evaluated only for the rare event in which a key repeats
+    distinct = F.array_distinct(keys)
+    opened = F.when(F.size(distinct) < F.size(keys), F.transform(distinct, combined)).otherwise(params)
+    rows = merged.select("*", F.inline(opened).alias("event_key", "__value"))
+    repeats = F.size("event_params.key") - F.size(F.array_remove(F.col("event_params.key"), F.col("event_key")))
+    value, msec = F.col("__value"), F.col("engagement_time_msec") * F.col("__copies") * repeats
+    rows = rows.withColumns({
+        "event__string_value": value["string_value"],
+        "event__int_value": F.when(F.col("event_key") == "engagement_time_msec", msec).otherwise(value["int_value"].cast("double")),
+        "event__double_value": F.coalesce(value["double_value"], value["float_value"]),
+    })
     key_fields = ["user_id", *EVENT_ID_FIELDS, "event_params_json", "event_key"]
     return rows.withColumn("event_params_key_id", surrogate_key(*key_fields)).drop(
-        "__copies", "event_params", "event_params_json", "engagement_time_msec", "event_date_key"
+        "__copies", "__value", "event_params", "event_params_json", "engagement_time_msec", "event_date_key"
     )
 
 

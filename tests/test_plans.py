@@ -119,3 +119,18 @@ def test_query_equals_its_sql(spark, name):
     assert got == sorted(tuple(norm(r[p]) for p in pos) for r in cur.fetchall())
 
 
+
+
+def test_keys_repeated_inside_an_event_are_merged(spark):
+    ne = nested_events(spark, FOLDER).withColumn("event_params", F.concat("event_params", F.slice("event_params", 3, 2)))
+    out = E.unnest_events(ne, dimensions=["geo__country"], split=False)
+    assert out.count() == ne.count() * 6
+    one = E.unnest_events(nested_events(spark, FOLDER), dimensions=["geo__country"], split=False)
+    total = lambda df: df.filter("event_key = 'engagement_time_msec'").agg(F.sum("event__int_value")).first()[0]
+    assert total(out) == 2 * total(one)
+
+
+def test_param_takes_the_first_value(spark, rows):
+    from martlib.functions.json_text import param
+    df = rows("p array<struct<key:string,value:struct<s:string>>>", [([("a", ("1",)), ("b", ("2",)), ("a", ("3",))],), ([],), (None,)])
+    assert [tuple(r) for r in df.select(param(F.col("p"), "a", "s"), param(F.col("p"), "z", "s")).collect()] == [("1", None), (None, None), (None, None)]
