@@ -1,6 +1,6 @@
 """Operators for preparing training data, each registered as a query over its whole table."""
 
-from martlib.llm import language  # noqa: F401 - importing registers the queries
+from martlib.llm import language, mixing, ngram_join, secrets  # noqa: F401 - importing registers the queries
 from martlib.llm.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

@@ -30,9 +30,10 @@ from martlib.llm.texts import column_bytes, slices
 SAMPLE_ROWS = 48  # labelled documents a language's reference is drawn from, at most
 SAMPLE_SYMBOLS = 12_000  # length of a reference, at most: bounds the tables of all languages together
 ROW_SYMBOLS = 1_000  # symbols one document gives to a reference, so that it has many authors
+SHORT_REFERENCE = 4_096  # shorter references count as this long, or a few words would make every phrase cheap
 BLOCK = 1_024  # texts are parsed in blocks of so many symbols
 GAP, OTHER = 0, 1  # symbols of everything between words, and of letters no reference has
-MAX_RATE = 0.75  # phrases a symbol from which on a text counts as no text of a learned language
+MAX_RATE = 0.6  # phrases a symbol from which on a text counts as no text of a learned language
 
 
 @cache
@@ -119,7 +120,7 @@ class Parser:
         self.next = np.concatenate(parts).ravel() if parts else np.zeros(0, np.int64)
         if len(self.next) * 2 < 2**31:
             self.next = self.next.astype(np.int32)
-        self.bits = np.array([np.log2(max(2, len(references[k]))) for k in self.languages])
+        self.bits = np.array([np.log2(max(SHORT_REFERENCE, len(references[k]))) for k in self.languages])
 
     def phrases(self, symbols: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Phrases of each block in each language."""

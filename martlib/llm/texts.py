@@ -21,6 +21,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
+MASK = (1 << 64) - 1
 MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -118,7 +119,12 @@ def shingles(hashes: np.ndarray, width: int) -> np.ndarray:
     if n == 0:
         return hashes
     k = min(n, width)
-    out = np.full(n - k + 1, np.uint64(k) * MIX_A, np.uint64)
+    return mix(window_sums(hashes, k))
+
+
+def window_sums(hashes: np.ndarray, k: int) -> np.ndarray:
+    """A weighted sum of every ``k`` words in a row, to be mixed."""
+    out = np.full(len(hashes) - k + 1, k * int(MIX_A) & MASK, np.uint64)
     for i in range(k):
-        out += hashes[i:n - k + 1 + i] * WEIGHTS[i]
-    return mix(out)
+        out += hashes[i:len(hashes) - k + 1 + i] * WEIGHTS[i]
+    return out
