@@ -1,22 +1,26 @@
 """N-gram Jaccard join: which documents share at least 85 % of their word shingles.
 
-1. **Sets.** A pass over the texts makes the shingle set of every document and a
-   digest of it. Documents with equal sets become one node, so copies never
-   meet again. The same pass notes shingles that are frequent in a batch.
+1. **Sets.** A pass over the texts makes of every document's shingle set a digest
+   and a hashed bitmap of two to four bits a shingle. Documents with equal sets
+   become one node, so copies never meet again. The same pass notes shingles
+   that are frequent in a batch.
 2. **Keys.** With shingles in one global order, two sets that link must share
    one of their first ``n - ceil(0.85 n) + 1`` shingles. A second pass sends
    these to buckets by hash. The order puts frequent shingles last, so that a
    passage in many documents makes no keys; any order gives the same links.
-3. **Clusters.** Nodes that meet under a key, have sizes within the bound and
-   positions that still allow the overlap, are joined into clusters of possible
-   partners. A cluster holds every link of its nodes.
-4. **Size-banded tiles.** A cluster is laid out in bands of set size; a tile
-   holds a band and the next one, since a link cannot reach further. A large
-   tile is cut into blocks that share a few hubs; what the hubs leave apart is
-   compared with every block in a second round.
-5. **Bitmaps.** In a tile each set has a hashed bitmap. Its bit counts bound the
-   overlap of a pair from above; pairs that pass are decided by exact
-   intersection of the sorted arrays. Pairs already connected are skipped.
+   Nodes that meet under a key, have sizes within the bound and positions that
+   still allow the overlap, are joined into clusters of possible partners.
+3. **Size-banded tiles of bitmaps.** A cluster is laid out in bands of set size; a
+   tile holds a band and the next one, since a link cannot reach further. Bit
+   counts of two bitmaps bound the overlap from above, which splits the clusters
+   into those of pairs that pass.
+4. **Exact tiles.** The sets of these are made again from the texts and laid out
+   the same way. Pairs that pass the bit counts are decided by intersection of
+   the sorted arrays.
+
+Only what is connected matters, so pairs already connected are skipped. A large
+tile is cut into blocks that share a few hubs; what the hubs leave apart is
+compared with every block in a second round.
 
 Shingles are 64-bit hashes of words. Cases: a document without words (null,
 empty or blank text) has an empty set and is linked with nothing; one with
@@ -32,7 +36,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlib.llm.components import components
@@ -40,9 +44,10 @@ from martlib.llm.registry import query, table
 from martlib.llm.texts import MASK, MIX_A, WEIGHTS, column_bytes, mix, shingles, slices, window_sums, words
 from martlib.session import cut_lineage
 
-FREQUENT = 1 / 500  # share of a batch's sets from which on a shingle goes to the end of the order
+FREQUENT = 1 / 1000  # share of a batch's sets from which on a shingle goes to the end of the order
 FREQUENT_LIST = 200_000  # shingles moved to the end, at most; the rest keep their place and only cost more
-TILE_SHINGLES = 1 << 21  # set members in one block of a tile, about 16 MB
+TILE_SHINGLES = 1 << 21  # set members in one block of a tile: 16 MB of sets, 1 MB of bitmaps
+TILE_ROWS = 1 << 13  # nodes in one block of a tile
 HUBS = 16  # sets of a tile that every block of it holds
 KEY = np.dtype([("key", "<u8"), ("node", "<u8"), ("n", "<u4"), ("pos", "<u4")])
 CELL = 512  # nodes under one key that are compared one by one; more are chained by size, which keeps every partner
@@ -76,12 +81,14 @@ def _set_pass(width: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sizes, nodes, first, held = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64), {}, 0
+            maps: list[bytes | None] = [None] * b.num_rows
             counted: list[tuple[np.ndarray, np.ndarray]] = []
             pending: list[np.ndarray] = []
             for i, s in batch_sets(b.column(1), width):
                 sizes[i], nodes[i] = len(s), digest(s) if len(s) else 0
                 if len(s) and nodes[i] not in first:
                     first[nodes[i]] = i
+                    maps[i] = bitmap(s).tobytes()
                     pending.append(s)
                     held += len(s)
                     if held > 1 << 20:
@@ -89,7 +96,7 @@ def _set_pass(width: int) -> Callable:
                         pending, held = [], 0
             if pending:
                 counted.append(np.unique(np.concatenate(pending), return_counts=True))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes), pa.array(nodes, mask=sizes == 0), pa.nulls(b.num_rows, pa.int64())], ["doc_id", "n", "node", "hits"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes), pa.array(nodes, mask=sizes == 0), pa.nulls(b.num_rows, pa.int64()), pa.array(maps, pa.binary())], ["doc_id", "n", "node", "hits", "bits"])
             # a shingle of at least this share of all sets has it in some batch
             least = max(8, math.ceil(FREQUENT * len(first)))
             common = [(k[c >= max(4, least // max(1, len(counted)))], c[c >= max(4, least // max(1, len(counted)))]) for k, c in counted]
@@ -98,7 +105,7 @@ def _set_pass(width: int) -> Callable:
                 hits = np.bincount(at, np.concatenate([c for _, c in common]), len(keys)).astype(np.int64)
                 keys, hits = keys[hits >= least], hits[hits >= least]
                 if len(keys):
-                    yield pa.RecordBatch.from_arrays([pa.nulls(len(keys), pa.int64()), pa.nulls(len(keys), pa.int64()), pa.array(keys.view(np.int64)), pa.array(hits)], ["doc_id", "n", "node", "hits"])
+                    yield pa.RecordBatch.from_arrays([pa.nulls(len(keys), pa.int64()), pa.nulls(len(keys), pa.int64()), pa.array(keys.view(np.int64)), pa.array(hits), pa.nulls(len(keys), pa.binary())], ["doc_id", "n", "node", "hits", "bits"])
     return run
 
 
@@ -225,58 +232,65 @@ def _bucket_pass(percent: int) -> Callable:
     return run
 
 
-def bitmaps(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed bitmap of each set, and how many members share a bit with another."""
-    bits = 1 << max(8, math.ceil(math.log2(2 * max(map(len, sets)))))
-    bits = min(bits, 1 << 15)
-    maps = np.zeros((len(sets), bits // 64), np.uint64)
-    for i, s in enumerate(sets):
-        b = np.unique(s & np.uint64(bits - 1))
-        np.bitwise_or.at(maps[i], (b >> np.uint64(6)).astype(np.int64), np.uint64(1) << (b & np.uint64(63)))
-    return maps, np.array([len(s) for s in sets]) - np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
-
-
-def tile_links(sets: list[np.ndarray], label: np.ndarray, low: np.ndarray, probe: np.ndarray, home: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Links of a tile that connect what was apart; a pair needs one end in the low band, one probe and one at home."""
-    by = np.argsort([len(s) for s in sets], kind="stable")
-    sets = [sets[i] for i in by]
-    label, low, probe, home = label[by].copy(), low[by], probe[by], home[by]
-    n = np.array([len(s) for s in sets])
-    maps, lost = bitmaps(sets)
+def bitmap(members: np.ndarray) -> np.ndarray:
+    """Hashed bitmap of a set, of two to four bits a member."""
+    bits = 1 << max(6, (2 * len(members) - 1).bit_length())
+    flags = np.zeros(bits, np.uint8)
+    flags[(members & np.uint64(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(flags, bitorder="little").view(np.uint64)
+
+
+def fold(maps: list[np.ndarray]) -> np.ndarray:
+    """Bitmaps of one size: longer ones are laid over themselves."""
+    size = min(map(len, maps))
+    out = np.zeros((len(maps), size), np.uint64)
+    for i, m in enumerate(maps):
+        out[i] = np.bitwise_or.reduce(m.reshape(-1, size), axis=0)
+    return out
+
+
+def overlap(a: np.ndarray, b: np.ndarray) -> int:
+    """Members two sorted sets share."""
+    return int(np.count_nonzero(b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a))
+
+
+def tile_links(n: np.ndarray, maps: list[np.ndarray], sets: list[np.ndarray] | None, label: np.ndarray, low: np.ndarray, probe: np.ndarray, home: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Pairs of a tile that pass the bit counts, or link if there are sets, and connect what was apart.
+
+    A pair needs one end in the low band, one that is a probe and one at home.
+    """
+    by = np.argsort(n, kind="stable")
+    n, label, low, probe, home = n[by], label[by].copy(), low[by], probe[by], home[by]
+    folded = fold([maps[i] for i in by])
+    lost = n - np.bitwise_count(folded).sum(axis=1, dtype=np.int64)  # members that share a bit with another
     reach = np.searchsorted(n, 100 * n // percent, "right")
     out = []
-    for i in range(len(sets)):
-        hi = reach[i]
-        j = np.flatnonzero(label[i + 1:hi] != label[i]) + i + 1
+    for i in range(len(n)):
+        j = np.flatnonzero(label[i + 1:reach[i]] != label[i]) + i + 1
         if len(j):
             j = j[(low[i] | low[j]) & (probe[i] | probe[j]) & (home[i] | home[j])]
-        for c in range(0, len(j), 2048):
-            part = j[c:c + 2048]
+        for c in range(0, len(j), 1024):
+            part = j[c:c + 1024]
             part = part[label[part] != label[i]]
-            bound = np.bitwise_count(maps[i] & maps[part]).sum(axis=1, dtype=np.int64) + np.minimum(lost[i], lost[part])
+            bound = np.bitwise_count(folded[i] & folded[part]).sum(axis=1, dtype=np.int64) + np.minimum(lost[i], lost[part])
             for k in part[(100 + percent) * bound >= percent * (n[i] + n[part])].tolist():
-                if label[k] == label[i]:
-                    continue
-                a, b = sets[i], sets[k]
-                spot = np.minimum(np.searchsorted(b, a), len(b) - 1)
-                shared = int(np.count_nonzero(b[spot] == a))
-                if (100 + percent) * shared >= percent * (len(a) + len(b)):
+                if label[k] != label[i] and (sets is None or (100 + percent) * overlap(sets[by[i]], sets[by[k]]) >= percent * (n[i] + n[k])):
                     out.append((int(by[i]), int(by[k])))
                     label[label == label[k]] = label[i]
     return out
 
 
-def _tile_pass(percent: int) -> Callable:
+def _tile_pass(percent: int, exact: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in runs_of(batches, ["cluster", "tile", "block"]):
             if t.num_rows < 2:
                 continue
-            node = t.column("node").to_numpy()
-            _, one = np.unique(node, return_index=True)  # rows of one id with different texts can repeat a node
+            _, one = np.unique(t.column("node").to_numpy(), return_index=True)  # rows of one id with different texts can repeat a node
             t = t.take(pa.array(one))
-            sets = [np.frombuffer(x.as_buffer(), np.uint64) for c in t.column("members").chunks for x in c]
-            flag = {k: t.column(k).to_numpy() for k in ("label", "low", "probe", "home", "node")}
-            got = tile_links(sets, flag["label"], flag["low"], flag["probe"], flag["home"], percent)
+            data = [np.frombuffer(x.as_buffer(), np.uint64) for c in t.column("data").chunks for x in c]
+            flag = {k: t.column(k).to_numpy() for k in ("n", "label", "low", "probe", "home", "node")}
+            maps = [bitmap(s) for s in data] if exact else data
+            got = tile_links(flag["n"], maps, data if exact else None, flag["label"], flag["low"], flag["probe"], flag["home"], percent)
             if got:
                 yield pa.RecordBatch.from_arrays([pa.array(flag["node"][[a for a, _ in got]]), pa.array(flag["node"][[b for _, b in got]])], ["a", "b"])
     return run
@@ -290,7 +304,7 @@ def _member_pass(width: int) -> Callable:
             kept, sets, size = [], [], 0
 
             def out(kept=kept, sets=sets, b=b):
-                return pa.RecordBatch.from_arrays([b.column(1).take(pa.array(kept)), b.column(2).take(pa.array(kept)), pa.array(sets, pa.binary())], ["node", "places", "members"])
+                return pa.RecordBatch.from_arrays([b.column(1).take(pa.array(kept)), b.column(2).take(pa.array(kept)), pa.array(sets, pa.binary())], ["node", "places", "data"])
 
             for i, s in batch_sets(b.column(0), width):
                 if len(s) and digest(s) == node[i]:
@@ -307,20 +321,48 @@ def _member_pass(width: int) -> Callable:
     return run
 
 
-PLACE = "struct<cluster:bigint,tile:int,block:int,label:bigint,low:boolean,probe:boolean,home:boolean>"
+PLACE = "struct<cluster:bigint,tile:int,block:int,label:bigint,low:boolean,probe:boolean,home:boolean,n:bigint>"
 
 
-def _verify(docs: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links found in the places of ``members(doc_id, node, places)``."""
-    sets = docs.join(members, "doc_id").select("text", "node", "places").mapInArrow(_member_pass(width), f"node bigint, places array<{PLACE}>, members binary")
-    placed = sets.select("node", "members", F.explode("places").alias("p")).select("p.*", "node", "members")
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = placed.repartition(parts, "cluster", "tile", "block").sortWithinPartitions("cluster", "tile", "block")
-    return dealt.mapInArrow(_tile_pass(percent), "a bigint, b bigint")
+def place(label: Column, probe: Column, block: Column) -> Column:
+    return F.struct("cluster", "tile", block.cast("int").alias("block"), label.alias("label"), "low", probe.alias("probe"), (block == F.col("own")).alias("home"), "n")
 
 
-def place(label, low, probe, home, block):
-    return F.struct(F.col("cluster"), F.col("tile"), block.cast("int").alias("block"), label.alias("label"), low.alias("low"), probe.alias("probe"), home.alias("home"))
+def lay_out(nodes: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
+    """Nodes in the tiles of their cluster, and in the blocks of their tile."""
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(100 / (percent - 1)))).cast("int")
+    spread = nodes.join(clusters.withColumnRenamed("component", "cluster"), "node").withColumn("band", band)
+    spread = spread.select("*", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("tile")).withColumn("low", F.col("band") == F.col("tile"))
+    blocks = F.greatest(F.ceil(F.sum("n") / TILE_SHINGLES), F.ceil(F.count(F.lit(1)) / TILE_ROWS)).cast("int")
+    weight = spread.groupBy("cluster", "tile").agg(blocks.alias("blocks"), F.count(F.lit(1)).alias("rows"), F.count_if("low").alias("lows")).where("rows > 1 and lows > 0")
+    laid = spread.join(weight, ["cluster", "tile"]).withColumn("own", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int"))
+    return cut_lineage(laid.select("node", "doc_id", "n", "cluster", "tile", "rows", "blocks", "own", "low"))
+
+
+def connect(laid: DataFrame, links_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Components of the links that ``links_of`` finds in the tiles."""
+    everywhere = F.sequence(F.lit(0), F.col("blocks") - 1)
+    hub = (F.col("blocks") > 1) & (F.pmod(F.xxhash64("node", F.lit(2)), F.ceil(F.col("rows") / HUBS)) == 0)
+    once = laid.withColumn("places", F.transform(F.when(hub, everywhere).otherwise(F.array("own")), lambda x: place(F.col("node"), F.lit(True), x)))
+    links = cut_lineage(links_of(once))
+    found = components(links)
+    split = laid.where("blocks > 1")
+    if not split.take(1):
+        return found
+    named = split.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    main = named.groupBy("cluster", "tile", "component").count().groupBy("cluster", "tile").agg(F.max_by("component", F.struct("count", "component")).alias("main"))
+    named = named.join(main, ["cluster", "tile"]).withColumn("apart", F.col("component") != F.col("main"))
+    named = named.join(named.groupBy("cluster", "tile").agg(F.max("apart").alias("open")).where("open").drop("open"), ["cluster", "tile"])
+    twice = named.withColumn("places", F.transform(F.when(F.col("apart"), everywhere).otherwise(F.array("own")), lambda x: place(F.col("component"), F.col("apart"), x)))
+    return components(links.unionByName(links_of(twice)))
+
+
+def in_tiles(rows: DataFrame, percent: int, exact: bool) -> DataFrame:
+    """Links in the tiles of ``rows(node, places, data)``."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = rows.select("node", "data", F.explode("places").alias("p")).select("p.*", "node", "data")
+    dealt = placed.repartition(parts, "cluster", "tile", "block").sortWithinPartitions("cluster", "tile", "block")
+    return dealt.mapInArrow(_tile_pass(percent, exact), "a bigint, b bigint")
 
 
 def near_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 4, percent: int = 85) -> DataFrame:
@@ -331,8 +373,8 @@ def near_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    first = cut_lineage(rows.mapInArrow(_set_pass(width), "doc_id bigint, n bigint, node bigint, hits bigint"))
-    sets = first.where("hits is null")
+    first = cut_lineage(rows.mapInArrow(_set_pass(width), "doc_id bigint, n bigint, node bigint, hits bigint, bits binary"))
+    sets = first.where("hits is null").select("doc_id", "n", "node")
     hits = first.where("hits is not null").groupBy("node").agg(F.sum("hits").alias("hits"))
     frequent = np.sort(np.array([r[0] for r in hits.orderBy(F.desc("hits"), "node").limit(FREQUENT_LIST).select("node").collect()], np.int64).view(np.uint64))
 
@@ -342,48 +384,27 @@ def near_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     near = keys.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_bucket_pass(percent), "a bigint, b bigint")
     clusters = components(near)
 
-    nodes = sets.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
-    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(100 / (percent - 1)))).cast("int")
-    spread = nodes.join(clusters.select("node", F.col("component").alias("cluster")), "node").withColumn("band", band)
-    spread = spread.select("*", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("tile"))
-    weight = spread.groupBy("cluster", "tile").agg(F.sum("n").alias("weight"), F.count(F.lit(1)).alias("rows"), F.count_if(F.col("band") == F.col("tile")).alias("lows")).where("rows > 1 and lows > 0")
-    laid = spread.join(weight.select("cluster", "tile", "rows", F.ceil(F.col("weight") / TILE_SHINGLES).cast("int").alias("blocks")), ["cluster", "tile"])
-    laid = laid.withColumn("own", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int"))
-    laid = cut_lineage(laid.select("node", "doc_id", "cluster", "tile", "rows", "blocks", "own", (F.col("band") == F.col("tile")).alias("low")))
+    named = sets.where("node is not null and doc_id is not null")
+    nodes = named.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
+    bits = first.where("bits is not null").select("node", "bits").join(clusters.select("node"), "node", "left_semi").groupBy("node").agg(F.first("bits").alias("data"))
+    by_bits = connect(lay_out(nodes, clusters, percent), lambda placed: in_tiles(placed.groupBy("node").agg(F.flatten(F.collect_list("places")).alias("places")).join(bits, "node"), percent, False))
 
-    def links_of(placed: DataFrame) -> DataFrame:
-        return _verify(rows, placed.groupBy("doc_id", "node").agg(F.flatten(F.collect_list("places")).alias("places")), width, percent)
+    def by_sets(placed: DataFrame) -> DataFrame:
+        placed = placed.groupBy("doc_id", "node").agg(F.flatten(F.collect_list("places")).alias("places"))
+        made = rows.join(placed, "doc_id").select("text", "node", "places").mapInArrow(_member_pass(width), f"node bigint, places array<{PLACE}>, data binary")
+        return in_tiles(made, percent, True)
 
-    hub = (F.col("blocks") > 1) & (F.pmod(F.xxhash64("node", F.lit(2)), F.ceil(F.col("rows") / HUBS)) == 0)
-    everywhere = F.sequence(F.lit(0), F.col("blocks") - 1)
-    at = F.when(hub, everywhere).otherwise(F.array("own"))
-    once = laid.withColumn("places", F.transform(at, lambda x: place(F.col("node"), F.col("low"), F.lit(True), x == F.col("own"), x)))
-    links = cut_lineage(links_of(once))
-    found = components(links)
-
-    split = laid.where("blocks > 1")
-    if split.take(1):
-        named = split.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        main = named.groupBy("cluster", "tile", "component").count().groupBy("cluster", "tile").agg(F.max_by("component", F.struct("count", "component")).alias("main"))
-        named = named.join(main, ["cluster", "tile"]).withColumn("apart", F.col("component") != F.col("main"))
-        open_tiles = named.groupBy("cluster", "tile").agg(F.max("apart").alias("open")).where("open").drop("open")
-        named = named.join(open_tiles, ["cluster", "tile"])
-        at = F.when(F.col("apart"), everywhere).otherwise(F.array("own"))
-        twice = named.withColumn("places", F.transform(at, lambda x: place(F.col("component"), F.col("low"), F.col("apart"), x == F.col("own"), x)))
-        links = links.unionByName(links_of(twice))
-        found = components(links)
-
-    named = nodes.join(found, "node", "left").withColumn("group", F.coalesce("component", "node"))
-    smallest = named.groupBy("group").agg(F.min("doc_id").alias("component_id"))
-    by_node = named.join(smallest, "group").select("node", "component_id")
-    joined = sets.join(by_node, "node", "left")
+    found = connect(lay_out(nodes, by_bits, percent), by_sets)
+    groups = nodes.join(found, "node", "left").withColumn("group", F.coalesce("component", "node"))
+    smallest = groups.groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    by_node = groups.join(smallest, "group").select("node", "component_id")
     component = F.when(F.col("node").isNull() | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return sets.join(by_node, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
-def keep_first(docs: DataFrame) -> DataFrame:
+def keep_first(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     """One document of each group of near copies stays, the one with the smallest id; documents without an id stay."""
-    found = near_components(docs.select("doc_id", "text"))
+    found = near_components(docs.select("doc_id", "text"), width=width, percent=percent)
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
