@@ -201,7 +201,7 @@ def joined(spans: str) -> Column:
 
 
 def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every span of their texts replaced by ``mark``; null texts stay null."""
+    """``docs`` with every span of their texts replaced by ``mark``, and with ``n_chars`` of changed texts; null texts stay null."""
     df = scan(docs, thresholds(docs, text), text)
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
     body = F.col(text)
@@ -212,7 +212,10 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataF
         return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), out.alias("out"))
 
     clean = F.aggregate("all_spans", start, step, lambda acc: F.concat(acc["out"], F.substring(body, (acc["at"] + 1).cast("int"), F.length(body))))
-    return df.withColumn(text, F.when(F.size("all_spans") > 0, clean).otherwise(body)).select(*docs.columns)
+    df = df.withColumn(text, F.when(F.size("all_spans") > 0, clean).otherwise(body))
+    if "n_chars" in docs.columns:
+        df = df.withColumn("n_chars", F.when(F.size("all_spans") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars")))
+    return df.select(*docs.columns)
 
 
 def secret_report(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
