@@ -159,7 +159,7 @@ pr AS (SELECT *, lag(event_date) OVER w AS prior_round_date, lag(kind) OVER w AS
 _PRIVATE_COLS = ["round_id", "company_id", "round_date", "round_type", "round_rank", "round_size_category", "prior_round_date", "prior_round_type", "prior_round_amount", "event_creator_name", "event_updater_email"]
 
 
-def rounds(spark, d, split=None):
+def rounds(spark, d, split=True):
     return X.private_rounds(events(spark, d), companies(spark, d), users(spark, d), split)
 
 

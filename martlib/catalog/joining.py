@@ -62,21 +62,21 @@ FROM crm FULL OUTER JOIN seen ON crm.user_id = seen.user_id
 """
 
 
-def _full(spark, d, split):
+def _full(spark, d):
     crm = table(spark, d, "customer").filter("c_acctbal > 2000").select(
         F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
     seen = table(spark, d, "events").groupBy("user_id").agg(F.count("*").alias("n_events")).withColumn("segment", F.lit("tracked"))
-    return J.full_merge(crm, seen, ["user_id"], ["segment"], split=split)
+    return J.full_merge(crm, seen, ["user_id"], ["segment"])
 
 
 @query("c5_full_merge", _FULL)
 def _(spark, d):
-    return _full(spark, d, False)
+    return _full(spark, d)
 
 
 @query("c5_full_merge_split", _FULL)
 def _(spark, d):
-    return _full(spark, d, True)
+    return _full(spark, d)
 
 
 def _tolerant_sql(test):

@@ -65,7 +65,7 @@ def _signup_events(spark, d, split):
 
 @query("p10_signup_events", _SIGNUPS + "SELECT eid AS event_id, user_id, signup_type, signup_step, signup_attempt FROM att")
 def _(spark, d):
-    return _signup_events(spark, d, None).select("event_id", "user_id", "signup_type", "signup_step", "signup_attempt")
+    return _signup_events(spark, d, True).select("event_id", "user_id", "signup_type", "signup_step", "signup_attempt")
 
 
 @query("p10_signup_events_split", _SIGNUPS + "SELECT eid AS event_id, user_id, signup_type, signup_step, signup_attempt FROM att")
@@ -131,7 +131,7 @@ SELECT * FROM m
 """
 
 
-def _users(spark, d, split):
+def _users(spark, d):
     c, k = F.col, F.col("c_custkey")
     long = signup_long(spark, d).withColumn("user_id", F.coalesce("user_id", F.lit("x")))
     cust = table(spark, d, "customer")
@@ -146,19 +146,19 @@ def _users(spark, d, split):
     found = cust.filter(k % 8 < 4).select(uid.alias("user_id"), k.alias("entity_analysis_id"))
     analysis = cust.select(k.alias("id"), c("c_name").alias("name"), _pick(_TYPES, k % 4).alias("type"), c("c_mktsegment").alias("sector"), F.lit("2023-01-01").cast("date").alias("created_date"))
     out = U.build_users(
-        long, U.clean_users(raw), member, companies, U.latest_analysis(analysis, found), dimensions=["geo__country"], marketing=["marketing_source", "marketing_medium"], split=split)
+        long, U.clean_users(raw), member, companies, U.latest_analysis(analysis, found), dimensions=["geo__country"], marketing=["marketing_source", "marketing_medium"])
     return out.select(
         "user_id", "user_pseudo_id", "is_user_registered", "is_user_confirmed", "user_signup_date", "signup_start_datetime", "signup_platform", "is_signup_complete", "geo__country", "marketing_source", "is_member", "derived_user_type")
 
 
 @query("p5_build_users", _USERS)
 def _(spark, d):
-    return _users(spark, d, None)
+    return _users(spark, d)
 
 
 @query("p5_build_users_split", _USERS)
 def _(spark, d):
-    return _users(spark, d, True)
+    return _users(spark, d)
 
 
 # --- connections -------------------------------------------------------------
@@ -268,7 +268,7 @@ def _ranked(spark, d, split):
 
 @query("p8_rank_searches", _SEARCH + "SELECT event_id, search_id FROM s6")
 def _(spark, d):
-    return _ranked(spark, d, False).select("event_id", "search_id")
+    return _ranked(spark, d, True).select("event_id", "search_id")
 
 
 @query("p8_rank_searches_split", _SEARCH + "SELECT event_id, search_id FROM s6")

@@ -54,7 +54,7 @@ _P1_COLS = [
 ]
 
 
-def _unnested(spark, d, split=None):
+def _unnested(spark, d, split=True):
     flat = flat_events(spark, d)
     camp = F.col("k") % 3
     objectives = flat.filter(camp < 2).select(
@@ -101,7 +101,7 @@ q5 AS (SELECT *, CASE WHEN session_id IS NOT NULL THEN lead(secs) OVER (PARTITIO
 """
 
 
-def pivoted(spark, d, split=None):
+def pivoted(spark, d, split=True):
     return E.pivot_events(long_events(spark, d), split=split)
 
 
@@ -121,7 +121,7 @@ def _p2(spark, d, split):
 
 @query("p2_pivot_events", _P2)
 def _(spark, d):
-    return _p2(spark, d, None)
+    return _p2(spark, d, True)
 
 
 @query("p2_pivot_events_split", _P2)
@@ -203,7 +203,7 @@ def _enriched(spark, d, split):
 
 @query("p4_enrich_sessions", _ENRICHED)
 def _(spark, d):
-    return _enriched(spark, d, None)
+    return _enriched(spark, d, True)
 
 
 @query("p4_enrich_sessions_split", _ENRICHED)
@@ -234,7 +234,7 @@ def _flow(spark, d, split):
 
 @query("p6_page_flow", _FLOW)
 def _(spark, d):
-    return _flow(spark, d, None)
+    return _flow(spark, d, True)
 
 
 @query("p6_page_flow_split", _FLOW)
@@ -269,7 +269,7 @@ def _interactions(spark, d, split):
 
 @query("p7_profile_interactions", _INTERACTIONS)
 def _(spark, d):
-    return _interactions(spark, d, None)
+    return _interactions(spark, d, True)
 
 
 @query("p7_profile_interactions_split", _INTERACTIONS)

@@ -1,7 +1,4 @@
-"""Window operators on the driver tables.
-
-Queries ending in ``_split`` force the blocked form used for hot keys.
-"""
+"""Window operators on the driver tables, in the one form that serves groups of any size."""
 
 from __future__ import annotations
 
@@ -10,8 +7,6 @@ from pyspark.sql import functions as F
 from martlib.catalog.registry import query, table
 from martlib.operators import windows as W
 
-_DAY = 86400
-
 
 def _events(spark, d):
     """Events with NULLs where the data has none, and with ties in time (minutes)."""
@@ -22,9 +17,9 @@ def _events(spark, d):
 
 
 def both(name: str, sql: str):
-    """Register the plain and the blocked form under one SQL."""
+    """Register a query; the second name is an alias from when there were two forms."""
     def register(fn):
-        query(name, sql)(lambda spark, d: fn(spark, d, False))
+        query(name, sql)(lambda spark, d: fn(spark, d, True))
         query(f"{name}_split", sql)(lambda spark, d: fn(spark, d, True))
         return fn
     return register
@@ -36,7 +31,7 @@ _EV = "WITH ev AS (SELECT event_id, user_id, event_type, value, ts, date_trunc('
 @both("e1_sequence_no", "SELECT o_orderkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS INTEGER) AS deal_no FROM orders")
 def _(spark, d, split):
     df = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return W.sequence_no(df, ["o_custkey"], ["o_orderdate", "o_orderkey"], "deal_no", split=split, grain_seconds=365 * _DAY).select("o_orderkey", "deal_no")
+    return W.sequence_no(df, ["o_custkey"], ["o_orderdate", "o_orderkey"], "deal_no", split=split).select("o_orderkey", "deal_no")
 
 
 @query("e2_first_rank_flag", "SELECT o_orderkey, CASE WHEN dense_rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate) = 1 THEN 1 ELSE 0 END AS is_exit FROM orders")
@@ -58,7 +53,7 @@ FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
 """)
 def _(spark, d, split):
     cols = {"prior_date": "o_orderdate", "prior_type": "o_orderpriority", "prior_amount": "o_totalprice"}
-    out = W.previous(table(spark, d, "orders"), cols, ["o_custkey"], ["o_orderdate", "o_orderkey"], split=split, grain_seconds=365 * _DAY)
+    out = W.previous(table(spark, d, "orders"), cols, ["o_custkey"], ["o_orderdate", "o_orderkey"], split=split)
     return out.select("o_orderkey", *cols)
 
 

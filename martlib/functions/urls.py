@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 from martlib.functions.rules import case
 from martlib.functions.text import extract, initcap_words, replace_all, split_at, trim_chars
 
+# Patterns of the parts of a page address.
 PATH = r"https?://[^/]+(/[^?#]*)"
+TAB = r"[&\?](?:section|tab)=([^\?&=]+)"
+VIEW = r"[&\?]?view=([^\?&=]+)"
+COMPANY = r"/\w+_page/([^/#?]+)"
 
 
 def url_path(url: Column) -> Column:
@@ -31,9 +35,9 @@ def url_parts(df: DataFrame, url: str = "page_location", referrer: str = "page_r
         "referrer_path": F.lower(extract(F.col(referrer), PATH)),
         "page_path": url_path(u),
         "page_query": url_query(u),
-        "tab": F.lower(extract(u, r"[&\?](?:section|tab)=([^\?&=]+)")),
-        "view": F.lower(extract(u, r"[&\?]?view=([^\?&=]+)")),
-        "company_url_name": extract(u, r"/\w+_page/([^/#?]+)"),
+        "tab": F.lower(extract(u, TAB)),
+        "view": F.lower(extract(u, VIEW)),
+        "company_url_name": extract(u, COMPANY),
     })
 
 
@@ -63,8 +67,8 @@ def url_host(url: Column) -> Column:
     return F.try_parse_url(url, F.lit("HOST"))
 
 
-# Path prefix -> (group path, group name); an exact match when the
-# prefix has no trailing wildcard. Where a name is missing it follows from the path.
+# LIKE pattern of a path -> (group path, group name). As in LIKE, ``_``
+# stands for any one character. Where a name is missing it follows from the path.
 PAGE_GROUPS: list[tuple[str, str, str | None]] = [
     ("/reports/%", "/reports", "Reports"),
     ("/messaging%", "/messaging", "Messaging"),
@@ -91,7 +95,7 @@ PAGE_GROUPS: list[tuple[str, str, str | None]] = [
 
 
 def _matches(path: Column, pattern: str) -> Column:
-    return path.startswith(pattern[:-1]) if pattern.endswith("%") else path == pattern
+    return path.like(pattern) if "%" in pattern or "_" in pattern else path == pattern
 
 
 def page_group(path: Column, groups: Sequence[tuple[str, str, str | None]] = tuple(PAGE_GROUPS)) -> Column:

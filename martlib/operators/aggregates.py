@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martlib.operators.ordered import sort_columns, time_block
+from martlib.operators.ordered import sort_columns
 from martlib.operators.windows import top_k
 
 
@@ -40,15 +40,13 @@ def string_agg(
     order: Sequence[str],
     name: str,
     sep: str = ",",
-    block: Column | None = None,
 ) -> DataFrame:
-    """Non-NULL values joined in ``order``, one text per key.
+    """Non-NULL values joined in ``order``, one text per key; sort columns of any type.
 
-    Works in two steps: texts of time blocks, then the blocks of a key. Rows
-    of a hot key are thus sorted in many tasks; only the finished texts meet.
+    Works in two steps: rows are range-partitioned by keys and order and joined
+    within the partition, then the parts of a key are joined. Rows of a hot key
+    are thus sorted in many tasks; only the finished texts meet.
     """
-    first = order[0].lstrip("-")
-    b = time_block(df, first) if block is None else block
     down = [o.startswith("-") for o in order]
     if any(down) and not all(down):
         raise ValueError("order columns must all ascend or all descend")
@@ -58,10 +56,11 @@ def string_agg(
     def joined(items: Column, field: str) -> Column:
         return F.array_join(F.transform(F.sort_array(items, asc=not down[0]), lambda x: x[field]), sep)
 
-    kept = df.filter(F.col(value).isNotNull())
-    parts = kept.groupBy(*keys, b.cast("long").alias("__b")).agg(joined(F.collect_list(item), "v").alias("__part"))
-    part = F.struct(F.col("__b").alias("b"), F.col("__part").alias("p"))
-    return parts.groupBy(*keys).agg(joined(F.collect_list(part), "p").alias(name))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid = df.filter(F.col(value).isNotNull()).repartitionByRange(n, *keys, *sort_columns(order)).withColumn("__b", F.spark_partition_id())
+    parts = laid.groupBy(*keys, "__b").agg(joined(F.collect_list(item), "v").alias("__part"))
+    part = F.array_sort(F.collect_list(F.struct(F.col("__b").alias("b"), F.col("__part").alias("p"))))
+    return parts.groupBy(*keys).agg(F.array_join(F.transform(part, lambda x: x["p"]), sep).alias(name))
 
 
 def string_agg_distinct(df: DataFrame, keys: Sequence[str], value: str, name: str, sep: str = ",") -> DataFrame:

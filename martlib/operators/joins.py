@@ -18,17 +18,6 @@ from martlib.functions.text import name_key
 from martlib.session import small_side
 
 
-def _null_salt(cols: Sequence[Column], seed: Column, sign: int = 1) -> Column:
-    """0 for rows with complete keys, else a number that spreads them.
-
-    Rows with a NULL key match nothing, but an outer join keeps them, and
-    without a salt they would all be hashed to one task. Opposite signs on the
-    two sides keep them from meeting.
-    """
-    missing = reduce(lambda a, b: a | b, [c.isNull() for c in cols])
-    return F.when(missing, sign * (F.pmod(F.xxhash64(seed), F.lit(4096)) + 1)).otherwise(F.lit(0).cast("long"))
-
-
 def inner(l: DataFrame, r: DataFrame, on: Column | Sequence[str]) -> DataFrame:
     return l.join(r, on, "inner")
 
@@ -55,21 +44,16 @@ def enrich(fact: DataFrame, dims: Sequence[tuple[DataFrame, Mapping[str, str], S
     return fact
 
 
-def full_merge(l: DataFrame, r: DataFrame, on: Sequence[str], coalesce_cols: Sequence[str] = (), split: bool = False) -> DataFrame:
+def full_merge(l: DataFrame, r: DataFrame, on: Sequence[str], coalesce_cols: Sequence[str] = ()) -> DataFrame:
     """Full outer join with merged keys; shared ``coalesce_cols`` take the left value first.
 
-    Adaptive execution cannot split a skewed full outer join. ``split=True``
-    writes it as a left join plus the unmatched right rows, which it can.
+    Written as a left join plus the unmatched right rows: adaptive execution can
+    split a skewed key there, which it cannot in a full outer join.
     """
     keys = list(on)
     ren = r.withColumnsRenamed({c: f"__r_{c}" for c in coalesce_cols})
-    if split:
-        left = l.join(ren, keys, "left")
-        right_only = ren.join(l.select(*keys).distinct(), keys, "left_anti")
-        out = left.unionByName(right_only, allowMissingColumns=True)
-    else:
-        salted = lambda df, sign: df.withColumn("__salt", _null_salt([F.col(k) for k in keys], F.to_json(F.struct(*df.columns)), sign))
-        out = salted(l, 1).join(salted(ren, -1), [*keys, "__salt"], "full").drop("__salt")
+    right_only = ren.join(l.select(*keys).distinct(), keys, "left_anti")
+    out = l.join(ren, keys, "left").unionByName(right_only, allowMissingColumns=True)
     merged = {c: F.coalesce(c, f"__r_{c}") for c in coalesce_cols}
     return out.withColumns(merged).drop(*[f"__r_{c}" for c in coalesce_cols]) if merged else out
 
@@ -97,13 +81,11 @@ def time_tolerant_full_join(
     right = r.withColumnsRenamed({k: f"r_{k}" for k in keys}).withColumns(
         {"__rb": floor_bucket(F.col(rt), bucket_s), "__rf": floor_bucket(F.col(rt), fine_s)}
     )
-    seed = lambda df: F.to_json(F.struct(*df.columns))
-    left = left.withColumn("__ls", _null_salt([F.col(f"l_{k}") for k in keys] + [F.col("__lb")], seed(left)))
-    right = right.withColumn("__rs", _null_salt([F.col(f"r_{k}") for k in keys] + [F.col("__rb")], seed(right), -1))
     gap = F.unix_seconds(F.col("__lf").cast("timestamp")) - F.unix_seconds(F.col("__rf").cast("timestamp"))
     close = (F.abs(gap) if two_sided else gap) <= tol_s
-    cond = [F.col(f"l_{k}") == F.col(f"r_{k}") for k in keys] + [F.col("__lb") == F.col("__rb"), F.col("__ls") == F.col("__rs"), close]
-    return left.join(right, cond, "full").drop("__lb", "__lf", "__rb", "__rf", "__ls", "__rs")
+    cond = [F.col(f"l_{k}") == F.col(f"r_{k}") for k in keys] + [F.col("__lb") == F.col("__rb"), close]
+    out = left.join(right, cond, "left").unionByName(right.join(left, cond, "left_anti"), allowMissingColumns=True)
+    return out.drop("__lb", "__lf", "__rb", "__rf")
 
 
 def self_join_deeper(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:

@@ -1,18 +1,20 @@
 """Ordered computations over key groups of any size.
 
-``ordered`` adds columns such as lag, running counts or null filling. Small
-groups use ordinary window functions: one shuffle, one sort. When a key group
-is larger than a task should hold, every group is cut into blocks along its
-order (hours, days, ...):
-
-1. the window runs inside ``(key, block)``;
-2. each block is reduced to one summary row (count, last value, ...);
-3. a window over the summaries - one row per block - carries the state on;
-4. the carried state is joined back on ``(key, block)``.
-
-No task sees more than one block of detail rows, and the result is the same
-as that of the plain window. The blocks follow the first sort column, so rows
-that tie on it always share a block.
+``ordered`` adds columns such as lag, running counts or null filling. A plain
+window would give a whole key group to one task, so groups are cut into blocks
+along their order:
+
+1. rows are range-partitioned by keys and order; the partition is the block. Its
+   size depends on the number of partitions only, whatever the keys, the types
+   and the values of the sort columns, and equal sort values stay together;
+2. the window runs inside ``(key, block)``;
+3. each block is reduced to one summary row per key (count, last value, ...);
+4. a window over the summaries - one row per key and block - carries the state on;
+5. the carried state is joined back on ``(key, block)``.
+
+There is one form for any size: nothing is counted to choose between plans. The
+result is that of the plain window, which ``split=False`` gives for groups that are
+known to be small, such as the rows of one order.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martlib.session import ROWS_PER_TASK, cut_lineage, has_hot_key
+from martlib.session import cut_lineage
 
 _FIRST, _CURRENT, _LAST = Window.unboundedPreceding, Window.currentRow, Window.unboundedFollowing
 _BEFORE = (Window.unboundedPreceding, -1)
@@ -257,28 +259,6 @@ class Total(Output):
         return F.col(f"{n}_c")
 
 
-def time_block(df: DataFrame, column: str, grain_seconds: int | None = None) -> Column:
-    """Block number that grows with a date, timestamp or number column."""
-    dtype = df.schema[column].dataType
-    c = F.col(column)
-    if isinstance(dtype, T.DateType):
-        days = max(1, (grain_seconds or 90 * 86400) // 86400)
-        return F.floor(F.unix_date(c) / days)
-    grain = grain_seconds or 6 * 3600
-    if isinstance(dtype, T.TimestampType):
-        return F.floor(F.unix_seconds(c) / grain)
-    if isinstance(dtype, T.TimestampNTZType):
-        # built from fields, since a cast would go through the session time zone
-        seconds = (
-            F.unix_date(c.cast("date")).cast("long") * 86400
-            + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
-        )
-        return F.floor(seconds / grain)
-    if isinstance(dtype, T.NumericType):
-        return F.floor(c / F.lit(grain_seconds or 1000))
-    raise ValueError(f"pass block= for ordering by {column}: {dtype.simpleString()}")
-
-
 _DEFAULTS = {"string": "", "boolean": False, "date": "1970-01-01"}
 
 
@@ -289,51 +269,37 @@ def _filler(dtype: T.DataType) -> Column:
     return F.lit(_DEFAULTS.get(name, 0)).cast(dtype)
 
 
-def ordered(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    outputs: Mapping[str, Output],
-    *,
-    split: bool | None = None,
-    block: Column | None = None,
-    grain_seconds: int | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
-) -> DataFrame:
-    """Add ``outputs`` computed per key group in ``order``.
-
-    ``split`` chooses the blocked form; ``None`` decides by counting the
-    largest group. ``block`` replaces the block number derived from the first
-    sort column and must not decrease along the order.
-    """
+def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str], outputs: Mapping[str, Output], *, split: bool = True) -> DataFrame:
+    """Add ``outputs`` computed per key group in ``order``; without an order, of the whole group."""
     keys, order = list(keys), list(order)
-    if split is None:
-        split = has_hot_key(df, keys, rows_per_task)
     if not split:
         w = spec(keys, order)
         return df.withColumns({name: out.plain(w) for name, out in outputs.items()})
 
-    first = order[0].lstrip("-") if order else None
-    block = block if block is not None else time_block(df, first, grain_seconds)
+    blocks_n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Keys are made non-NULL once, so that window, aggregate and join all hash the same columns.
     norm = {f"__k{i}": F.coalesce(F.col(k), _filler(df.schema[k].dataType)) for i, k in enumerate(keys)}
     nulls = F.concat_ws("", *[F.col(k).isNull().cast("int").cast("string") for k in keys])
     group = [*norm, "__nulls"]
-    work = df.withColumns({**norm, "__nulls": nulls, "__b": F.coalesce(block.cast("long"), F.lit(-(2**62)))})
+    work = df.withColumns({**norm, "__nulls": nulls})
+    if order:
+        work = work.repartitionByRange(blocks_n, *group, *sort_columns(order)).withColumn("__b", F.spark_partition_id())
+    else:
+        work = work.withColumn("__b", F.pmod(F.monotonically_increasing_id(), F.lit(blocks_n)).cast("int"))
 
     w_in = Window.partitionBy(*group, "__b").orderBy(*(sort_columns(order) or [F.lit(1)]))
     names = {name: f"__o{i}" for i, name in enumerate(outputs)}
     local = {"__rn": F.row_number().over(w_in)} if order else {}
     for name, out in outputs.items():
         local.update(out.local(w_in, names[name]))
+    # the block is known only while the rows lie in their range, so it is written with them
     detail = cut_lineage(work.withColumns(local) if local else work)
 
     summaries: dict[str, Column] = {}
     for name, out in outputs.items():
         summaries.update(out.summary(names[name]))
     blocks = detail.groupBy(*group, "__b").agg(*[c.alias(n) for n, c in summaries.items()])
-    b = F.col("__b").desc() if order and order[0].startswith("-") else F.col("__b").asc()
-    w_sum = Window.partitionBy(*group).orderBy(b)
+    w_sum = Window.partitionBy(*group).orderBy("__b")
     carried: dict[str, Column] = {}
     for name, out in outputs.items():
         carried.update(out.carry(w_sum, names[name]))

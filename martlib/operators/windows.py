@@ -75,8 +75,7 @@ def running_count(df: DataFrame, cond: Column, keys: Sequence[str], order: Seque
 
 def partition_stat(df: DataFrame, fn: str, col: str, keys: Sequence[str], name: str, **kw) -> DataFrame:
     """sum, min, max or count of the whole group on each row."""
-    block = F.pmod(F.xxhash64(*df.columns), F.lit(512))
-    return ordered(df, keys, [], {name: Total(fn, F.col(col))}, block=block, **kw)
+    return ordered(df, keys, [], {name: Total(fn, F.col(col))}, **kw)
 
 
 def running_min(df: DataFrame, col: str, keys: Sequence[str], order: Sequence[str], name: str, **kw) -> DataFrame:

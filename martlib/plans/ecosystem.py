@@ -53,8 +53,6 @@ OTHER_EVENTS = {
     "ClosingEvent": "Company Closure", "GrantEvent": "Grant", "GraduationEvent": "Accelerator Graduation",
     "CommunityInvolvementEvent": "Community Involvement", "DelistingEvent": "Stock Delisting", "ICOEvent": "ICO/Token Sale", "MNAEvent": "Acquisition Made",
 }
-# Event history of one entity is cut by years when it is too long for a task.
-YEAR = 365 * 86400
 
 
 def sector_short_name(col: Column) -> Column:
@@ -83,12 +81,12 @@ def _is_exit() -> Column:
     return ((c("event_type") == MERGER_EVENT) & (c("was_acquired") == 1)) | c("event_type").isin(*LISTING_EVENTS)
 
 
-def exit_events(events: DataFrame, split: bool | None = None) -> DataFrame:
+def exit_events(events: DataFrame, split: bool = True) -> DataFrame:
     """Acquisitions and listings; all events on the first date of an entity are its exit."""
     renames = {"id": "event_id", "entity_id": "acquired_id", "amount_amount": "amount", "other_party_entity_key": "acquirer_id"}
     df = events.filter(_is_exit()).withColumnsRenamed(renames)
     df = first_rank_flag(df, ["acquired_id"], "event_date", "is_exit")
-    return sequence_no(df, ["acquired_id"], ["event_date", "event_id"], "exit_order", split=split, grain_seconds=YEAR)
+    return sequence_no(df, ["acquired_id"], ["event_date", "event_id"], "exit_order", split=split)
 
 
 def ipo_events(events: DataFrame, entities: DataFrame) -> DataFrame:
@@ -103,7 +101,7 @@ def ipo_events(events: DataFrame, entities: DataFrame) -> DataFrame:
     })
 
 
-def acquisitions(events: DataFrame, users: DataFrame | None = None, split: bool | None = None) -> DataFrame:
+def acquisitions(events: DataFrame, users: DataFrame | None = None, split: bool = True) -> DataFrame:
     """Acquisition events with exit and first-acquisition flags and people."""
     df = exit_events(events, split).filter((F.col("event_type") == MERGER_EVENT) & (F.col("was_acquired") == 1)).drop("exit_order")
     df = first_rank_flag(df, ["acquired_id"], "event_date", "is_first_mna")
@@ -114,11 +112,11 @@ def acquirer_tier(n: Column) -> Column:
     return F.when(n == 1, "First Acquisition").when(n.between(2, 5), "2-5 Acquisition").otherwise("6+ Acquisition")
 
 
-def acquisition_facts(acq: DataFrame, entities: DataFrame, split: bool | None = None) -> DataFrame:
+def acquisition_facts(acq: DataFrame, entities: DataFrame, split: bool = True) -> DataFrame:
     """Acquisitions with both parties, deal size and the acquirer's experience and category."""
     c = F.col
     df = acq.withColumn("__when", F.coalesce("event_date", "event_created_date"))
-    df = sequence_no(df, ["acquirer_id"], ["__when", "event_id"], "__no", split=split, grain_seconds=YEAR).drop("__when")
+    df = sequence_no(df, ["acquirer_id"], ["__when", "event_id"], "__no", split=split).drop("__when")
     first = acq.groupBy("acquirer_id").agg(F.min("event_date").alias("first_acquirer_acquisition_date"))
     target = entities.filter((c("entity_type") == "Company") & c("disclosure_level").isin(*SHOWN_LEVELS)).select(
         c("entity_id").alias("acquired_id"), c("entity_name").alias("acquired_name"), c("is_active").alias("acquired_is_active"),
@@ -140,7 +138,7 @@ def acquisition_facts(acq: DataFrame, entities: DataFrame, split: bool | None =
     return order_final(df, ["-event_date", "-event_updated_date", "event_id"])
 
 
-def private_rounds(events: DataFrame, companies: DataFrame, users: DataFrame | None = None, split: bool | None = None) -> DataFrame:
+def private_rounds(events: DataFrame, companies: DataFrame, users: DataFrame | None = None, split: bool = True) -> DataFrame:
     """Private funding rounds of Israeli companies with size class, rank and the round before.
 
     Convertible debt raised after a company went public is no private round.
@@ -159,8 +157,8 @@ def private_rounds(events: DataFrame, companies: DataFrame, users: DataFrame | N
     df = df.filter(~F.coalesce(after, F.lit(False))).drop("__public").withColumn("__when", F.coalesce("round_date", "created_date"))
     df = ordered(df, ["company_id"], ["round_date", "round_id"], {
         "prior_round_date": Lag(c("round_date")), "prior_round_type": Lag(c("round_type")), "prior_round_amount": Lag(c("amount")),
-    }, split=split, grain_seconds=YEAR)
-    df = ordered(df, ["company_id"], ["__when", "round_id"], {"round_rank": RowNumber()}, split=split, grain_seconds=YEAR)
+    }, split=split)
+    df = ordered(df, ["company_id"], ["__when", "round_id"], {"round_rank": RowNumber()}, split=split)
     df = df.drop("__when").withColumns({
         "round_year": F.year("round_date"), "round_category": F.lit("private_funding"),
         "round_size_category": bucket(c("amount"), *ROUND_SIZES, UNDISCLOSED),
@@ -234,18 +232,18 @@ def both_parties(facts: DataFrame, entities: DataFrame, roles: Mapping[str, str]
     return facts
 
 
-def investor_funds(events: DataFrame, entities: DataFrame, split: bool | None = None) -> DataFrame:
+def investor_funds(events: DataFrame, entities: DataFrame, split: bool = True) -> DataFrame:
     """Fund raisings of shown investors, numbered per investor."""
     c = F.col
     df = events.filter(c("event_type") == FUND_EVENT).withColumnsRenamed({
         "id": "fund_id", "entity_id": "investor_id", "event_date": "fund_date", "name": "fund_name", "amount_amount": "invested_amount"})
     shown = entities.filter(c("disclosure_level").isin(*SHOWN_LEVELS)).select(c("entity_id").alias("investor_id"), c("entity_name").alias("investor_name"))
     df = df.join(shown, "investor_id")
-    df = sequence_no(df, ["investor_id"], ["fund_date", "fund_id"], "fund_rank", split=split, grain_seconds=YEAR)
+    df = sequence_no(df, ["investor_id"], ["fund_date", "fund_id"], "fund_rank", split=split)
     return order_final(df.withColumn("fund_year", F.year("fund_date")), ["-fund_date", "fund_id"])
 
 
-def public_funding(events: DataFrame, entities: DataFrame, users: DataFrame | None = None, split: bool | None = None) -> DataFrame:
+def public_funding(events: DataFrame, entities: DataFrame, users: DataFrame | None = None, split: bool = True) -> DataFrame:
     """Listings, private placements and bonds of public companies with exit and listing flags.
 
     Silent rounds are left out among placements and bonds only.

@@ -21,15 +21,13 @@ from martlib.plans.common import (
     EMPTY_SESSION_ID, EMPTY_USER_ID, EMPTY_USER_PSEUDO_ID, EVENT_DIMENSIONS, EVENT_KEYS, FIRST_EVENTS, MARKETING_DIMENSIONS,
     PROFILE_PATHS, SESSION_OPENERS,
 )
-from martlib.session import has_hot_key, small_side
+from martlib.session import small_side
 
 # Event fields that make up an event id, next to the text of its parameters.
 EVENT_ID_FIELDS = [
     "user_pseudo_id", "ga_session_id", "event_name", "event_timestamp", "event_bundle_sequence_id", "batch_page_id",
     "batch_ordering_id", "batch_event_index",
 ]
-# Width of a block when rows are ordered by batch position (milliseconds * 100, six hours).
-BATCH_BLOCK = 6 * 3600 * 1000 * 100
 
 
 def flatten_event(raw: DataFrame) -> DataFrame:
@@ -183,7 +181,7 @@ def explode_params(df: DataFrame) -> DataFrame:
 def unnest_events(
     events: DataFrame, prior_sessions: DataFrame | None = None, objectives: DataFrame | None = None, *,
     dimensions: Sequence[str] = tuple(EVENT_DIMENSIONS), own_sites: Sequence[tuple[str, str]] = (), strict: bool = True,
-    split: bool | None = None,
+    split: bool = True,
 ) -> DataFrame:
     """Nested raw events to long rows with stitched identities, sessions and attribution.
 
@@ -191,8 +189,6 @@ def unnest_events(
     largest (device, day) group decides.
     """
     dimensions = list(dimensions)
-    if split is None:
-        split = has_hot_key(events, ["user_pseudo_id", "event_date"])
     if objectives is None:
         objectives = events.sparkSession.createDataFrame([], "campaign string, objective string")
     df = flatten_event(events)
@@ -259,16 +255,14 @@ def rank_page_views(df: DataFrame, split: bool, empty_session: str = EMPTY_SESSI
     df = ordered(df, ["__s", "page_view_rank"], ["batch_sort_key", "event_datetime_utc", "event_id"], {
         "engagement_time_seconds_lead": Lead(c("engagement_time_seconds")),
         "page_view_engagement_time_seconds": Total("sum", c("engagement_time_seconds")),
-    }, split=split, grain_seconds=BATCH_BLOCK)
+    }, split=split)
     return df.withColumns({
         n: F.when(real, c(n)) for n in ("engagement_time_seconds_lead", "page_view_engagement_time_seconds")
     }).drop("__s")
 
 
-def pivot_events(long: DataFrame, *, split: bool | None = None, empty_session: str = EMPTY_SESSION_ID) -> DataFrame:
+def pivot_events(long: DataFrame, *, split: bool = True, empty_session: str = EMPTY_SESSION_ID) -> DataFrame:
     """One row per event with page fields, page-view rank and engagement."""
-    if split is None:
-        split = has_hot_key(long, ["session_id"])
     df = fix_page_values(add_page_groups(url_parts(pivot_long(long))))
     return keep_first(rank_page_views(df, split, empty_session), ["event_id"], ["-user_id"])
 
@@ -328,7 +322,7 @@ def best_user_record(users: DataFrame, key: str = "user_id") -> DataFrame:
 
 def enrich_sessions(
     sessions: DataFrame, users: DataFrame, *, user_columns: Sequence[str], power_sessions: int = 25, power_since: int = 2024,
-    split: bool | None = None, empty_user: str = EMPTY_USER_ID, empty_pseudo: str = EMPTY_USER_PSEUDO_ID, empty_session: str = EMPTY_SESSION_ID,
+    split: bool = True, empty_user: str = EMPTY_USER_ID, empty_pseudo: str = EMPTY_USER_PSEUDO_ID, empty_session: str = EMPTY_SESSION_ID,
 ) -> DataFrame:
     """Sessions with the user of a later session of the same device, user attributes and the power-user flag."""
     c = F.col

@@ -14,7 +14,6 @@ from martlib.operators.joins import role_join, time_tolerant_full_join
 from martlib.operators.ordered import DenseRank, FirstValue, LastValue, Total, ordered
 from martlib.operators.windows import keep_first
 from martlib.plans.common import EMPTY_USER_ID, EMPTY_USER_PSEUDO_ID
-from martlib.session import exceeds_task
 
 # Signup step -> column name part.
 SIGNUP_STEPS = {
@@ -25,7 +24,7 @@ SIGNUP_KEYS = ["page_location", "page_title", "action", "platform", "type", "ste
 
 
 def signup_events(
-    long: DataFrame, users: DataFrame, *, split: bool | None = None, empty_user: str = EMPTY_USER_ID, empty_pseudo: str = EMPTY_USER_PSEUDO_ID
+    long: DataFrame, users: DataFrame, *, split: bool = True, empty_user: str = EMPTY_USER_ID, empty_pseudo: str = EMPTY_USER_PSEUDO_ID
 ) -> DataFrame:
     """One row per signup step with the attempt it belongs to.
 
@@ -47,11 +46,9 @@ def signup_events(
         F.nullif("user_pseudo_id", F.lit(empty_pseudo)).alias("user_pseudo_id"), F.nullif("user_id", F.lit(empty_user)).alias("__user"), "signup_start_datetime"
     ).groupBy("user_pseudo_id").agg(min_by_nn("__user", "signup_start_datetime").alias("__user"))
     df = steps.join(known, "user_pseudo_id", "left").withColumn("user_id", F.coalesce("user_id", "__user")).drop("__user")
-    if split is None:
-        split = exceeds_task(src)
 
     df = df.withColumn("__hour", trunc_to(c(t), "hour"))
-    df = ordered(df, ["user_id", "signup_platform", "__hour"], [f"-{t}"], {"__type": FirstValue(c("signup_type"))}, split=split, grain_seconds=60)
+    df = ordered(df, ["user_id", "signup_platform", "__hour"], [f"-{t}"], {"__type": FirstValue(c("signup_type"))}, split=split)
     df = df.withColumns({"signup_type": F.coalesce("__type", F.lit("new")), "__minute": trunc_to(c(t), "minute")})
     df = keep_first(df, ["user_id", "signup_platform", "signup_type", "signup_step", "__minute"], [t, "event_id"])
     df = df.withColumn("__start", F.when(c("signup_step") == "started", 1).otherwise(0))
@@ -64,7 +61,7 @@ def signup_events(
     return df.drop("__hour", "__type", "__minute", "__start", "__rank", "__before", "__after")
 
 
-def signup_attempts(events: DataFrame, steps: dict[str, str] | None = None, split: bool | None = None) -> DataFrame:
+def signup_attempts(events: DataFrame, steps: dict[str, str] | None = None, split: bool = True) -> DataFrame:
     """One row per attempt with the first time of each step.
 
     The steps of an attempt are pivoted and reduced in one aggregation: the
@@ -73,8 +70,7 @@ def signup_attempts(events: DataFrame, steps: dict[str, str] | None = None, spli
     c, t = F.col, "event_datetime_utc"
     steps = SIGNUP_STEPS if steps is None else steps
     key = ["user_id", "session_id", "signup_platform", "signup_type"]
-    block = F.pmod(F.xxhash64("event_id"), F.lit(512))
-    src = ordered(events, key, [], {"__first": Total("min", c(t))}, split=split, block=block)
+    src = ordered(events, key, [], {"__first": Total("min", c(t))}, split=split)
     at = {n: F.min(F.when(c("signup_step") == s, c(t))) for s, n in steps.items()}
     out = summarize(src, ["user_id", "signup_platform", "signup_type", "signup_attempt"], {
         "signup_origin": min_by_nn("signup_origin", "__first"),
@@ -91,9 +87,7 @@ def signup_attempts(events: DataFrame, steps: dict[str, str] | None = None, spli
 
 def signup_funnel(long: DataFrame, users: DataFrame, **kw) -> DataFrame:
     """Signup steps pivoted per attempt, straight from the long events."""
-    if kw.get("split") is None:
-        kw["split"] = exceeds_task(long.filter(F.col("event_name").isin("sign_up", "profile_data")))
-    return signup_attempts(signup_events(long, users, **kw), split=kw["split"])
+    return signup_attempts(signup_events(long, users, **kw), split=kw.get("split", True))
 
 
 def signups(attempts: DataFrame, sessions: DataFrame, users: DataFrame, dimensions: Sequence[str], session_only: Sequence[str] = ()) -> DataFrame:

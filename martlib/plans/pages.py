@@ -16,7 +16,7 @@ from martlib.operators.ordered import Lag, LastValue, RowNumber, RunningCount, T
 from martlib.operators.windows import flow_columns, keep_first, partition_stat, preferred_value, spread_null_key
 from martlib.plans.common import EMPTY_SESSION_ID, SESSION_OPENERS
 from martlib.plans.events import cut_title
-from martlib.session import has_hot_key, small_side
+from martlib.session import small_side
 
 
 def engagement(long: DataFrame, empty_session: str = EMPTY_SESSION_ID) -> DataFrame:
@@ -62,7 +62,7 @@ def page_views(views: DataFrame, sessions: DataFrame, session_columns: Sequence[
     return out.select(F.col("date_day").alias("session_date"), *out.columns)
 
 
-def report_pages(views: DataFrame, prefix: str = "/reports/", overview: str = "/reports/reports and resources", split: bool | None = None) -> DataFrame:
+def report_pages(views: DataFrame, prefix: str = "/reports/", overview: str = "/reports/reports and resources", split: bool = True) -> DataFrame:
     """Report page views under one path per title: hyphenated paths first, then the most viewed."""
     c = F.col
     src = views.filter(c("page_path").startswith(prefix) & (c("page_path") != overview))
@@ -78,15 +78,13 @@ FLOW_EVENTS = ["page_view", "profile_interactions"]
 _ORDER = ["event_datetime_utc", "event_id"]
 
 
-def page_flow(events: DataFrame, n: int = 4, split: bool | None = None, with_tabs: bool = False) -> DataFrame:
+def page_flow(events: DataFrame, n: int = 4, split: bool = True, with_tabs: bool = False) -> DataFrame:
     """Pages in order per session, without repeats, with the previous page and the next ``n - 1``.
 
     Page views equal to the page view before are dropped. ``with_tabs`` uses
     page names with tabs for the following steps.
     """
     c = F.col
-    if split is None:
-        split = has_hot_key(events, ["session_id"])
     is_tab = (c("event_name") != "profile_interactions") | F.lower("entity_type").like("%tabs")
     df = events.filter(in_list(c("event_name"), FLOW_EVENTS) & is_tab)
     df = df.withColumns({
@@ -175,7 +173,7 @@ def action_category(c=F.col):
 
 
 def profile_interactions(
-    events: DataFrame, companies: DataFrame, *, default_tab: str = "overview", split: bool | None = None, empty_session: str = EMPTY_SESSION_ID
+    events: DataFrame, companies: DataFrame, *, default_tab: str = "overview", split: bool = True, empty_session: str = EMPTY_SESSION_ID
 ) -> DataFrame:
     """Events on profile pages with action, category, tab and engagement per tab.
 
@@ -184,8 +182,6 @@ def profile_interactions(
     """
     c = F.col
     df = events.filter(c("company_url_name").isNotNull())
-    if split is None:
-        split = has_hot_key(df, ["session_id"])
     one = keep_first(companies.select("company_id", "company_url_name", "updated_date"), ["company_url_name"], ["-updated_date", "company_id"])
     df = df.join(small_side(one.drop("updated_date")), "company_url_name", "left")
     real = c("session_id") != empty_session

@@ -17,7 +17,7 @@ from martlib.operators.ordered import Lag, LastValue, RunningCount, ordered
 from martlib.operators.sets import union_by_name
 from martlib.operators.windows import keep_any, spread_null_key
 from martlib.plans.common import EVENT_DIMENSIONS  # noqa: F401 - re-exported for callers building session sides
-from martlib.session import cut_lineage, has_hot_key, small_side
+from martlib.session import cut_lineage, small_side
 
 # Filter parameter in a search URL -> filter name.
 SEARCH_FILTERS = {
@@ -59,7 +59,7 @@ def _search_columns(events: DataFrame, home_site: str) -> DataFrame:
     })
 
 
-def rank_searches(events: DataFrame, gap_s: int = 180, split: bool = False) -> DataFrame:
+def rank_searches(events: DataFrame, gap_s: int = 180, split: bool = True) -> DataFrame:
     """Number the searches of a session.
 
     Repeats of the same page are dropped first. A search starts when the kind
@@ -112,7 +112,7 @@ def url_filters(searches: DataFrame, filters: Sequence[str] = tuple(SEARCH_FILTE
 
 def search_sessions(
     events: DataFrame, semantic: DataFrame, classes: DataFrame, sessions: DataFrame, *, session_columns: Sequence[str] = (),
-    home_site: str = "example.com", gap_s: int = 180, filters: Mapping[str, str] | None = None, split: bool | None = None,
+    home_site: str = "example.com", gap_s: int = 180, filters: Mapping[str, str] | None = None, split: bool = True,
 ) -> DataFrame:
     """One row per search event and filter, with the profiles and tabs seen during the search.
 
@@ -121,8 +121,6 @@ def search_sessions(
     """
     c = F.col
     filters = dict(SEARCH_FILTERS if filters is None else filters)
-    if split is None:
-        split = has_hot_key(events, ["session_id"])
     # three branches read the ranked events, so they are written once
     ranked = cut_lineage(rank_searches(_search_columns(events, home_site), gap_s, split))
 

@@ -15,7 +15,6 @@ from martlib.operators.aggregates import max_by_nn, min_by_nn, summarize
 from martlib.operators.joins import full_merge
 from martlib.operators.windows import keep_first
 from martlib.plans.common import EMPTY_USER_ID, EMPTY_USER_PSEUDO_ID, EVENT_DIMENSIONS, MARKETING_DIMENSIONS
-from martlib.session import exceeds_task
 
 # Spelling of a declared category -> user type.
 CATEGORY_TYPES = {
@@ -131,7 +130,7 @@ def build_users(
     crm_columns: Mapping[str, str] | None = None, company_columns: Sequence[str] = ("company_name", "company_type"),
     dimensions: Sequence[str] = tuple(EVENT_DIMENSIONS), marketing: Sequence[str] = tuple(MARKETING_DIMENSIONS),
     regions: Sequence[tuple[str, Sequence[str]]] = (), home: str = "Israel", empty_user: str = EMPTY_USER_ID,
-    empty_pseudo: str = EMPTY_USER_PSEUDO_ID, split: bool | None = None,
+    empty_pseudo: str = EMPTY_USER_PSEUDO_ID,
 ) -> DataFrame:
     """Registered users merged with tracked visitors: one row per (user, device).
 
@@ -149,10 +148,7 @@ def build_users(
     )
     crm = crm.join(member.select("user_id", "company_id", F.lit(True).alias("is_member")), "user_id", "left")
     crm = crm.join(companies.select("company_id", *company_columns), "company_id", "left")
-    if split is None:
-        # registered users are unique, so only the devices of one user can be many
-        split = exceeds_task(long)
-    df = full_merge(crm, tracked, ["user_id"], split=split)
+    df = full_merge(crm, tracked, ["user_id"])
     signup = F.coalesce(c("__signup").cast("timestamp_ntz"), "signup_complete_datetime")
     df = df.withColumns({
         "user_id": F.coalesce("user_id", F.lit(empty_user)),

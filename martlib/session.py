@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A group of more rows than this is not given to a single task.
-ROWS_PER_TASK = 5_000_000
 # A side is broadcast only when its measured size is at most this.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -68,26 +66,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Row count of the largest key group: one partial/final count over the key columns only."""
-    row = df.groupBy(*keys).count().agg(F.max("count")).first()
-    return int(row[0] or 0)
-
-
-def exceeds_task(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> bool:
-    """True when the input as a whole has more rows than one task should hold.
-
-    Cheaper than looking for a hot key, and safe: without it no group can be
-    too large.
-    """
-    return df.count() > rows_per_task
-
-
-def has_hot_key(df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> bool:
-    """True when some key group is too large for one task."""
-    return largest_group(df, keys) > rows_per_task
-
-
 def _row_bytes(df: DataFrame) -> Column:
     """Size of a row in memory, from the text lengths of its columns."""
     size = F.lit(0).cast("long")

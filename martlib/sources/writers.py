@@ -14,11 +14,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martlib.operators.sets import union_by_name
 from martlib.operators.windows import keep_first
 
 
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder name for a NULL partition value
+
+
 def _path_exists(df: DataFrame, path: str) -> bool:
     jvm = df.sparkSession._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -96,15 +100,18 @@ def upsert_partitions(updates: DataFrame, path: str, key: Sequence[str], by: str
     A key may move to another partition, so the partitions that hold any of the
     updated keys are rewritten along with those the updates fall into. Finding
     them reads the key column of the target; ``since`` limits the search to
-    partitions from that day on, for keys known to be no older.
+    partitions from that day on and to rows without a day, for keys known to be
+    no older. Rows without a day form a partition like any other.
     """
     spark = updates.sparkSession
+    if not isinstance(updates.schema[by].dataType, T.DateType):
+        raise ValueError(f"partition column {by} must be a date: the list of touched partitions is bounded by the calendar")
     if not _path_exists(updates, path):
         newest = keep_first(updates, key, [*order, *key])
         write_partitioned(newest, path, by, cluster)
         return
     target = spark.read.parquet(path)
-    searched = target if since is None else target.filter(F.col(by) >= F.lit(since))
+    searched = target if since is None else target.filter(F.col(by).isNull() | (F.col(by) >= F.lit(since)))
     keys = updates.select(*key).distinct()
     # partition values are days: the list is bounded by the calendar, not by the data
     touched = (
@@ -113,7 +120,8 @@ def upsert_partitions(updates: DataFrame, path: str, key: Sequence[str], by: str
     days = [r[0] for r in touched.collect()]
     if not days:
         return
-    merged = merge_by_key(target.filter(F.col(by).isin(days)), updates, key, order)
+    held = F.col(by).isin([x for x in days if x is not None])
+    merged = merge_by_key(target.filter(held | F.col(by).isNull() if None in days else held), updates, key, order)
     overwrite_partitions(merged, path, by, cluster, replaced=days)
 
 
@@ -142,5 +150,5 @@ def overwrite_partitions(df: DataFrame, path: str, by: str, cluster: Sequence[st
     if replaced:
         filled = {r[0] for r in staged.select(by).distinct().collect()}
         for value in set(replaced) - filled:
-            _delete(spark, f"{path.rstrip('/')}/{by}={value}")
+            _delete(spark, f"{path.rstrip('/')}/{by}={NULL_FOLDER if value is None else value}")
     _delete(spark, staging)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -13,23 +15,37 @@ from martlib.sources.writers import upsert_partitions
 
 
 def stream_dedup(sdf: DataFrame, id: str | Sequence[str], ts: str, delay: str = "7 days") -> DataFrame:
-    """First row per id; an id is remembered for ``delay`` of event time, so the state stays bounded."""
+    """First row per id; an id is remembered for ``delay`` of event time, so the state stays bounded.
+
+    The price of the bound: a row that arrives more than ``delay`` behind the
+    newest event time is dropped by the watermark, whether its id was seen or not.
+    """
     ids = [id] if isinstance(id, str) else list(id)
     return sdf.withWatermark(ts, delay).dropDuplicatesWithinWatermark(ids)
 
 
 def stream_upsert(
     sdf: DataFrame, path: str, checkpoint: str, key: Sequence[str], by: str, order: Sequence[str] = (), cluster: Sequence[str] = (),
-    trigger: dict | None = None,
+    trigger: dict | None = None, lookback_days: int | None = None,
 ) -> StreamingQuery:
     """Upsert every micro-batch into a partitioned folder.
 
     The upsert is idempotent per key, so a batch that is replayed after a
-    failure leaves the same table.
+    failure leaves the same table. With ``lookback_days`` the search for rows to
+    replace reads the target only from that many days before the oldest day of
+    the batch, so its cost does not grow with the table; keys must then be no
+    older than that. Late rows are upserted like others, none are dropped. The
+    batch is computed once and held while it is merged.
     """
     def apply(batch: DataFrame, _epoch: int) -> None:
-        if not batch.isEmpty():
-            upsert_partitions(batch, path, key, by, order, cluster)
+        batch = batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            rows, oldest = batch.agg(F.count(F.lit(1)), F.min(by)).first()
+            since = oldest - dt.timedelta(days=lookback_days) if lookback_days is not None and oldest is not None else None
+            if rows:
+                upsert_partitions(batch, path, key, by, order, cluster, since)
+        finally:
+            batch.unpersist()
 
     return (
         sdf.writeStream.foreachBatch(apply)
@@ -39,9 +55,9 @@ def stream_upsert(
     )
 
 
-def carry_session_date(df: DataFrame, prior: DataFrame, session: str = "session_id", date: str = "event_date", split: bool | None = None) -> DataFrame:
+def carry_session_date(df: DataFrame, prior: DataFrame, session: str = "session_id", date: str = "event_date", split: bool = True) -> DataFrame:
     """``session_date``: the one already stored for the session, else the first date in this batch."""
     known = prior.groupBy(session).agg(F.min("session_date").alias("__known"))
     # the block number only spreads a hot session; any spread gives the same minimum
-    first = ordered(df, [session], [], {"__min": Total("min", F.col(date))}, split=split, block=F.pmod(F.xxhash64(*df.columns), F.lit(512)))
+    first = ordered(df, [session], [], {"__min": Total("min", F.col(date))}, split=split)
     return first.join(known, session, "left").withColumn("session_date", F.coalesce("__known", "__min")).drop("__known", "__min")
