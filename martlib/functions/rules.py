@@ -93,6 +93,7 @@ def channel_group(source: Column, medium: Column) -> Column:
 
 
 # --- attribution ------------------------------------------------------------
+# Names that stand for a missing source.
 PLACEHOLDERS = ["(direct)", "(organic)", "(referral)"]
 
 
