@@ -116,6 +116,25 @@ def _(spark, d):
     return spark.read.parquet(path).drop("event_date")
 
 
+_NULL_DAY = """CASE WHEN event_id % 5 <> 0 THEN CAST(ts AS DATE) END"""
+
+
+@query("a8_upsert_partitions_null_day", f"""
+WITH target AS (SELECT event_id, value, {_NULL_DAY} AS event_date FROM events WHERE event_id % 3 <> 0),
+upd AS (SELECT event_id, value + 1000 AS value, CASE WHEN event_id % 4 <> 0 THEN CAST(ts AS DATE) END AS event_date FROM events WHERE event_id % 2 = 0 AND ts >= TIMESTAMP '2024-01-20')
+SELECT * FROM upd UNION ALL SELECT * FROM target t WHERE NOT EXISTS (SELECT 1 FROM upd u WHERE u.event_id = t.event_id)
+""")
+def _(spark, d):
+    """Some rows of the target and of the updates have no day."""
+    e, day = F.col("event_id"), F.col("ts").cast("date")
+    ev = table(spark, d, "events")
+    path = scratch(spark, "null-day")
+    writers.write_partitioned(ev.filter(e % 3 != 0).select("event_id", "value", F.when(e % 5 != 0, day).alias("event_date")), path, "event_date")
+    recent = ev.filter((e % 2 == 0) & (F.col("ts") >= F.lit("2024-01-20").cast("timestamp_ntz")))
+    writers.upsert_partitions(recent.select("event_id", (F.col("value") + 1000).alias("value"), F.when(e % 4 != 0, day).alias("event_date")), path, ["event_id"], "event_date")
+    return spark.read.parquet(path).select("event_id", "value", "event_date")
+
+
 @query("a9_lookback", """
 SELECT event_id, CAST(ts AS DATE) AS event_date FROM events
 WHERE CAST(ts AS DATE) BETWEEN

@@ -21,8 +21,9 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 from collections.abc import Iterable, Iterator
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import public_tokenizers
@@ -44,7 +45,7 @@ NEW_LETTERS = (
 )
 NEW_NUMBERS = "11DE0-11DE9 1246F 12475-1247F 12550-12686 16FF4-16FF6"
 
-REMEMBERED = 300_000  # words whose tokens a worker keeps for later blocks
+REMEMBERED = 500_000  # words whose tokens a worker keeps for later blocks
 PIECES = 200_000  # words of one text that are held at a time
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -62,80 +63,89 @@ class MergeReplay:
         new = "".join("-".join(f"\\U{int(c, 16):08X}" for c in r.split("-")) for r in f"{NEW_LETTERS} {NEW_NUMBERS}".split())
         self.new = regex.compile(f"[{new}]")
         self.plain = regex.compile(pattern)
+        # texts of ASCII and Latin letters alone are cut by the faster library, with the classes written out
+        latin, space = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "\t-\r "
+        self.wide = re.compile("[^\0-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]")
+        narrow = pattern.replace(r"[^\s\p{L}\p{N}]", f"[^{space}{latin}0-9]").replace(r"\p{L}", f"[{latin}]").replace(r"\p{N}", "[0-9]")
+        self.narrow = re.compile(narrow.replace(r"\S", f"[^{space}]").replace(r"\s", f"[{space}]"))
         # these characters count as neither letter nor number
         other = r"[^\s\p{L}\p{N}]"
         careful = pattern.replace(other, "<other>").replace(r"\p{L}", f"(?:(?![{new}])\\p{{L}})").replace(r"\p{N}", f"(?:(?![{new}])\\p{{N}})")
         self.careful = regex.compile(careful.replace("<other>", f"(?:{other}|[{new}])"))
-        self.pairs: dict[int, int] = {}
         self.size = max(self.token, default=0) + 1
+        # what two tokens make: every way to cut a token into two
+        self.made: dict[int, int] = {}
+        for t, r in self.ranks.items():
+            for i in range(1, len(t)):
+                a, b = self.ranks.get(t[:i]), self.ranks.get(t[i:])
+                if a is not None and b is not None:
+                    self.made[a * self.size + b] = r
         self.known: dict[str, bytes] = {}
 
-    def pair_rank(self, a: int, b: int) -> int:
-        """Rank of the token that two tokens make; -1 if none."""
-        key = a * self.size + b
-        r = self.pairs.get(key)
-        if r is None:
-            if len(self.pairs) > 4 * REMEMBERED:
-                self.pairs.clear()
-            r = self.pairs[key] = self.ranks.get(self.token[a] + self.token[b], -1)
-        return r
-
     def replay(self, words: list[bytes]) -> list[list[int]]:
         """Token ids of each word."""
-        ranks, rank_of = self.ranks, self.pair_rank
-        one = [ranks[bytes([i])] for i in range(256)]
-        token = [one[b] for w in words for b in w]
-        after = list(range(1, len(token) + 1))
-        before = list(range(-1, len(token) - 1))
-        starts, at = [], 0
-        for w in words:
-            starts.append(at)
-            if w:
-                before[at] = -1
-                at += len(w)
-                after[at - 1] = -1
-        index: dict[int, list[int]] = {}
-        for i, j in enumerate(after):
-            if j >= 0:
-                r = rank_of(token[i], token[j])
-                if r >= 0:
-                    index.setdefault(r, []).append(i)
-        queue = list(index)
-        heapq.heapify(queue)
+        if not any(words):
+            return [[] for _ in words]
+        made, size = self.made.get, self.size
+        token = np.array([self.ranks[bytes([i])] for i in range(256)], np.int64)[np.frombuffer(b"".join(words), np.uint8)]
+        ends = np.cumsum([len(w) for w in words], dtype=np.int64)
+        n = len(token)
+        # every place starts a token; the one before and after it in its word, or -1
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        after[ends[ends > 0] - 1] = -1
+        before[(ends - [len(w) for w in words])[[len(w) > 0 for w in words]]] = -1
+        codes, place = np.unique(np.where(after[:-1] >= 0, token[:-1] * size + token[1:], -1), return_inverse=True)
+        rank = np.array([made(c, -1) for c in codes.tolist()], np.int64)[place] if n > 1 else np.zeros(0, np.int64)
+        by = np.argsort(rank, kind="stable")
+        by = by[np.searchsorted(rank[by], 0):]
+        ranks, cuts = np.unique(rank[by], return_index=True)
+        index = dict(zip(ranks.tolist(), (p.tolist() for p in np.split(by, cuts[1:])), strict=True)) if len(ranks) else {}
+        queue = ranks.tolist()  # ascending, so it is a heap
+        token, after, before = token.tolist(), after.tolist(), before.tolist()
+        push, pop = heapq.heappush, heapq.heappop
         while queue:
-            rank = heapq.heappop(queue)
-            for start in sorted(index.pop(rank)):
-                i, r = start, rank
+            rank = pop(queue)
+            places = index.pop(rank)
+            places.sort()
+            for i in places:
+                r = rank
                 while True:
-                    j = after[i]
-                    if token[i] < 0 or j < 0 or rank_of(token[i], token[j]) != r:
+                    j, a = after[i], token[i]
+                    if a < 0 or j < 0 or made(a * size + token[j]) != r:
                         break
                     token[i], token[j] = r, -1
                     after[i] = right = after[j]
+                    left = before[i]
+                    lower = rank
+                    if left >= 0 and (m := made(token[left] * size + r)) is not None:
+                        if m < lower:
+                            lower, at = m, left
+                        elif m in index:
+                            index[m].append(left)
+                        else:
+                            index[m] = [left]
+                            push(queue, m)
                     if right >= 0:
                         before[right] = i
-                    left = before[i]
-                    lower, place = rank, -1
-                    for p, q in ((left, i), (i, right)):
-                        if p >= 0 and q >= 0:
-                            made = rank_of(token[p], token[q])
-                            if 0 <= made < lower:
-                                if place >= 0:
-                                    self._enter(index, queue, lower, place)
-                                lower, place = made, p
-                            elif made >= 0:
-                                self._enter(index, queue, made, p)
-                    if place < 0:
+                        if (m := made(r * size + token[right])) is not None:
+                            if m < lower:
+                                if lower < rank:
+                                    self._enter(index, queue, lower, at)
+                                lower, at = m, i
+                            elif m in index:
+                                index[m].append(i)
+                            else:
+                                index[m] = [i]
+                                push(queue, m)
+                    if lower == rank:
                         break
-                    i, r = place, lower
-        out = []
-        for s, w in zip(starts, words, strict=True):
-            ids = []
-            i = s if w else -1
-            while i >= 0:
-                ids.append(token[i])
-                i = after[i]
+                    # the merge made a pair below its own rank: it is the lowest of its word now
+                    i, r = at, lower
+        out, start = [], 0
+        for end in ends.tolist():
+            ids = [t for t in token[start:end] if t >= 0]
             out.append(ids)
+            start = end
         return out
 
     @staticmethod
@@ -149,7 +159,7 @@ class MergeReplay:
     def learn(self, words: Iterable[str]) -> None:
         """Finds the ids of words that are not known yet, all of them together."""
         known = self.known
-        new = [w for w in set(words) if w not in known]
+        new = list(set(words) - known.keys())
         coded = [w.encode("utf-8", "surrogatepass") for w in new]
         long = []
         for w, b in zip(new, coded, strict=True):
@@ -161,9 +171,11 @@ class MergeReplay:
         for (w, _), ids in zip(long, self.replay([b for _, b in long]), strict=True):
             known[w] = np.array(ids, "<i4").tobytes()
 
-    def words(self, text: str) -> regex.Pattern:
+    def words(self, text: str) -> re.Pattern | regex.Pattern:
         """The pattern to cut a text with."""
-        return self.careful if not text.isascii() and self.new.search(text) else self.plain
+        if text.isascii() or not self.wide.search(text):
+            return self.narrow
+        return self.careful if self.new.search(text) else self.plain
 
     def pieces(self, text: str) -> Iterator[list[str]]:
         """The words of a text, a bounded number at a time."""
@@ -180,7 +192,7 @@ class MergeReplay:
             self.known.clear()
         if sum(map(len, texts)) <= 8 * PIECES:
             parts = [self.words(t).findall(t) for t in texts]
-            self.learn(w for p in parts for w in p)
+            self.learn(chain.from_iterable(parts))
             return [b"".join(map(self.known.__getitem__, p)) for p in parts]
         out = []
         for t in texts:

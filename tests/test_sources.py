@@ -67,6 +67,29 @@ def test_upsert_is_idempotent_and_moves_keys(spark, rows, tmp_path):
     assert not [n for n in os.listdir(tmp_path) if "staging" in n]
 
 
+def test_rows_without_a_day_are_a_partition_like_any_other(spark, rows, tmp_path):
+    path = str(tmp_path / "n")
+    writers.write_partitioned(rows(SCHEMA, [(1, day(0), 1, 1), (2, None, 2, 1), (3, None, 3, 1), (4, None, 4, 1)]), path, "day")
+    writers.upsert_partitions(rows(SCHEMA, [(9, None, 9, 2), (3, day(1), 33, 2)]), path, ["id"], "day")
+    assert rows.sorted(spark.read.parquet(path), "id", "day", "v") == [(1, day(0), 1), (2, None, 2), (3, day(1), 33), (4, None, 4), (9, None, 9)]
+    writers.upsert_partitions(rows(SCHEMA, [(i, day(2), 7, 3) for i in (2, 4, 9)]), path, ["id"], "day", since=day(2))
+    assert rows.sorted(spark.read.parquet(path), "id", "day") == [(1, day(0)), (2, day(2)), (3, day(1)), (4, day(2)), (9, day(2))]
+    assert not os.path.exists(f"{path}/day={writers.NULL_FOLDER}")
+
+
+def test_partitions_are_days(rows, tmp_path):
+    with pytest.raises(ValueError):
+        writers.upsert_partitions(rows("id int, kind string", [(1, "a")]), str(tmp_path / "x"), ["id"], "kind")
+
+
+def test_since_leaves_older_partitions_unread(spark, rows, tmp_path):
+    path = str(tmp_path / "s")
+    writers.write_partitioned(rows(SCHEMA, [(1, day(0), 1, 1), (2, day(5), 2, 1)]), path, "day")
+    # key 1 also lies in an older day, which a search from day 4 on must not see
+    writers.upsert_partitions(rows(SCHEMA, [(1, day(6), 11, 2), (2, day(6), 22, 2)]), path, ["id"], "day", since=day(4))
+    assert rows.sorted(spark.read.parquet(path), "id", "day", "v") == [(1, day(0), 1), (1, day(6), 11), (2, day(6), 22)]
+
+
 def test_untouched_partitions_keep_their_files(spark, rows, tmp_path):
     path = str(tmp_path / "k")
     writers.upsert_partitions(rows(SCHEMA, [(1, day(0), 1, 1), (2, day(1), 1, 1)]), path, ["id"], "day")
@@ -122,7 +145,7 @@ def test_stream_dedup_and_upsert(spark, rows, tmp_path):
     q.awaitTermination()
     assert spark.table("dedup").count() == 10
     for _ in range(2):  # a new checkpoint replays the same batch
-        streams.stream_upsert(sdf, out, str(tmp_path / f"c{_}"), ["id"], "day", ["-v"]).awaitTermination()
+        streams.stream_upsert(sdf, out, str(tmp_path / f"c{_}"), ["id"], "day", ["-v"], lookback_days=7).awaitTermination()
         assert rows.sorted(spark.read.parquet(out), "id", "v") == [(i, i + 10) for i in range(10)]
 
 
