@@ -10,10 +10,10 @@ from martlib.operators import joins as J
 
 
 @query("c1_inner", """
-SELECT l_orderkey, l_linenumber, o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus = 'F'
+SELECT l_orderkey, l_linenumber, o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 """)
 def _(spark, d):
-    o = table(spark, d, "orders").filter("o_orderstatus = 'F'").select("o_orderkey", "o_custkey")
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
     return J.inner(li, o, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
 

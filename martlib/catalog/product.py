@@ -6,12 +6,13 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from martlib.catalog.registry import query, table
+from martlib.catalog.registry import query, scratch, table
 from martlib.catalog.stand_ins import FLAT, LONG, flat_events, long_events, nested_events
-from martlib.operators.quality import reconcile
+from martlib.operators.quality import not_accepted, not_null, reconcile, relationships, unique
 from martlib.plans import events as E
 from martlib.plans import monitoring as M
 from martlib.plans import pages as PG
+from martlib.plans.incremental import load_window
 
 _RANGE = "RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 _CANON = """CASE WHEN contains(lower(s), 'google') THEN 'google' ELSE s END"""
@@ -74,6 +75,30 @@ def _(spark, d):
     return _unnested(spark, d, True).select(F.col("event_bundle_sequence_id").alias("seq"), *_P1_COLS)
 
 
+def _daily(spark, d, source, build, name, key, by, date="event_date"):
+    """Three loads of seven days and what lies since the load before."""
+    path = scratch(spark, name)
+    for day in (9, 19, 31):
+        load_window(source, build, path, date=date, key=key, by=by, days=7, today=dt.date(2024, 1, day))
+    return spark.read.parquet(path)
+
+
+@query("p1_incremental", "SELECT seq, event_key, user_pseudo_id, ga_session_number, session_id, session_date, geo__country, device__category, event__string_value, event__int_value FROM (" + _P1 + ")")
+def _(spark, d):
+    """Day-by-day loads give the rows of a full load, but for user ids that are filled from days outside the window."""
+    flat = flat_events(spark, d)
+    first = flat.filter("pseudo = 'p5.'").select(
+        F.concat("pseudo", F.col("ga_session").cast("string")).alias("session_id"), F.lit(dt.date(2023, 12, 31)).alias("session_date")).distinct()
+
+    def build(rows, prior):
+        known = first if prior is None else first.unionByName(prior.select("session_id", "session_date").distinct())
+        return E.unnest_events(rows, known, None, dimensions=_DIMS)
+
+    out = _daily(spark, d, nested_events(spark, d).withColumn("event_day", F.to_date("event_date", "yyyyMMdd")), build, "p1-days", ["event_id", "event_key"], "event_date", "event_day")
+    return out.select(
+        F.col("event_bundle_sequence_id").alias("seq"), "event_key", "user_pseudo_id", "ga_session_number", "session_id", "session_date", *_DIMS, "event__string_value", "event__int_value")
+
+
 def _initcap(x):
     return f"array_to_string(list_transform(regexp_extract_all(lower({x}), '[^\\s/_-]+|[\\s/_-]'), lambda p: upper(p[1]) || p[2:]), '')"
 
@@ -359,3 +384,37 @@ SELECT day, round(va, 3) AS value_a, round(vb, 3) AS value_b FROM a FULL JOIN b
 def _(spark, d):
     out = engagement_gap(spark, d, only_profiles=False)
     return out.select("day", F.round("value_a", 3).alias("value_a"), F.round("value_b", 3).alias("value_b"))
+
+
+_BOTH = PIVOTED + _SESSIONS[len("WITH " + LONG):]
+
+
+@query("l1_not_null_sessions", _SESSIONS + "SELECT session_id FROM ses WHERE geo__country IS NULL")
+def _(spark, d):
+    return not_null(sessions(spark, d), "geo__country").select("session_id")
+
+
+@query("l2_unique_sessions", _SESSIONS + "SELECT session_id, COUNT(*) AS n_records FROM ses GROUP BY ALL HAVING COUNT(*) > 1")
+def _(spark, d):
+    return unique(sessions(spark, d), ["session_id"])
+
+
+@query("l2_unique_events", PIVOTED + "SELECT eid AS event_id, COUNT(*) AS n_records FROM q5 GROUP BY ALL HAVING COUNT(*) > 1")
+def _(spark, d):
+    return unique(pivoted(spark, d), ["event_id"])
+
+
+@query("l2_unique_page_ranks", PIVOTED + "SELECT session_id, page_view_rank, COUNT(*) AS n_records FROM q5 WHERE session_id IS NOT NULL AND page_view_rank IS NOT NULL GROUP BY ALL HAVING COUNT(*) > 1")
+def _(spark, d):
+    """Page views span events, so ranks repeat: known violations."""
+    return unique(pivoted(spark, d).select("session_id", F.col("page_view_rank").cast("long").alias("page_view_rank")), ["session_id", "page_view_rank"])
+
+
+@query("l3_event_sessions", _BOTH + "SELECT eid AS event_id FROM q5 WHERE session_id IS NOT NULL AND session_id NOT IN (SELECT session_id FROM ses WHERE session_id IS NOT NULL)")
+def _(spark, d):
+    return relationships(pivoted(spark, d), "session_id", sessions(spark, d), "session_id").select("event_id")
+
+
+@query("l5_not_accepted_groups", PIVOTED + "SELECT eid AS event_id FROM q5 WHERE grouped_page_name IN ('Homepage', 'Reports')")
+def _(spark, d):
+    return not_accepted(pivoted(spark, d), "grouped_page_name", ["Homepage", "Reports"]).select("event_id")

@@ -29,10 +29,12 @@ PRIVATE_ROUNDS = [
     "Equity crowdfunding", "F Round",
 ]
 PUBLIC_ROUNDS = ["PIPE", "Convertible Bond"]
+# Public event type -> label.
 PUBLIC_LABELS = {"POEvent": "Public Offering", "ReverseMergerEvent": "Reverse Merger", "SpacEvent": "SPAC"}
 ROUND_SIZES = ([100e6, 500e6, 1e9], ["Small Round (<100M)", "Medium Round (100M-500M)", "Large Round (500M-1B)", "Mega Round (1B+)"])
 DEAL_SIZES = ([100e6, 1e9], ["Small (<100M)", "Medium (100M-1B)", "Large (1B+)"])
 UNDISCLOSED = "Undisclosed"
+# Organisation types that are hubs.
 HUB_TYPES = ["Accelerator", "Corporate Accelerator", "Entrepreneurship Program", "Community", "Co-Working Space"]
 SHOWN_LEVELS = ["all", "aggregation"]
 # Sector name -> short name.

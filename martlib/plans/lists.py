@@ -21,6 +21,7 @@ LIST_EVENTS = [
     "smartlists_notifications", "add_to_collection", "watchlist_interactions",
 ]
 COPY_STEP = "copy and add to my smarlist"  # as the tracker spells it
+# Tabs of a list page.
 KNOWN_TABS = ["companies", "hubs", "in the news", "investors", "multinationals", "recently updated"]
 
 
@@ -225,7 +226,8 @@ def user_ltv(rows: DataFrame, id: str = "user_id", properties: Mapping[str, str]
     for key, name in properties.items():
         props.append(param(c("user_properties"), key, "string_value").alias(f"user_properties__{name}"))
         props.append(micros_to_dt(param(c("user_properties"), key, "set_timestamp_micros")).alias(f"user_properties__{name}_set_datetime"))
-    last = keep_first(rows, [id], ["-last_updated_date"])
+    # rows of one day are told apart by their content, so the choice is the same on every run
+    last = keep_first(rows.withColumn("__tie", F.to_json(F.struct(*rows.columns))), [id], ["-last_updated_date", "__tie"])
     return last.select(
         id, micros_to_dt(c("user_info.last_active_timestamp_micros")).alias("user_info__last_active_datetime"),
         micros_to_dt(F.nullif("user_info.user_first_touch_timestamp_micros", F.lit(0))).alias("user_info__first_touch_datetime"),

@@ -13,7 +13,11 @@ from martlib.operators.sets import order_final
 
 
 def daily_volumes(long: DataFrame, event_keys: Sequence[str] = ("action", "label", "type"), max_value_length: int = 10) -> DataFrame:
-    """Daily totals per event, and per event, key and short value."""
+    """Daily totals per event, and per event, key and short value.
+
+    Values of ``max_value_length`` characters or more are free text and get no
+    row of their own; they still count in the totals of their event.
+    """
     c = F.col
     value = c("event__string_value")
     df = long.select(c("event_date").alias("analysis_date"), "event_name", "event_key", value.alias("event_value"), "user_pseudo_id", "session_id", "event_datetime_utc")

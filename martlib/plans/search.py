@@ -112,7 +112,7 @@ def url_filters(searches: DataFrame, filters: Sequence[str] = tuple(SEARCH_FILTE
 
 def search_sessions(
     events: DataFrame, semantic: DataFrame, classes: DataFrame, sessions: DataFrame, *, session_columns: Sequence[str] = (),
-    home_site: str = "example.com", gap_s: int = 180, filters: Mapping[str, str] | None = None, split: bool = True,
+    home_site: str = "example.com", gap_s: int = 180, filters: Mapping[str, str] | None = None, split: bool = True, id_length: int = ID_LENGTH,
 ) -> DataFrame:
     """One row per search event and filter, with the profiles and tabs seen during the search.
 
@@ -132,7 +132,7 @@ def search_sessions(
     ai = ranked.filter(c("semantic_search_id").isNotNull()).join(side, c("semantic_search_id") == c("__sid"), "left")
     ai = ai.select("*", F.inline("__pairs")).drop("__sid", "__pairs").filter(~c("filter_name").isin(*NOT_FILTERS))
     both = union_by_name(ai, plain)
-    both = both.withColumn("__class", F.when(F.length("filter_value") > ID_LENGTH, c("filter_value")))
+    both = both.withColumn("__class", F.when(F.length("filter_value") > id_length, c("filter_value")))
 
     nodes = classes.select(c("classification_id").alias("__class"), "classification_name", c("root_key").alias("__root"))
     nodes = nodes.withColumn("__root", F.nullif("__root", c("__class")))

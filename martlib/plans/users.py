@@ -35,6 +35,7 @@ ANALYSIS_TYPES = {
     "Venture Capital": "Investor", "Angel": "Investor", "Communities": "Media", "Government-led": "Government", "Non-Profit": "NGO",
     "Nonprofit": "NGO", "Non-profit": "NGO", "Nonprofit organization": "NGO", "Accelerator": "Hub", "Incubator": "Hub", "Grant Providers": "Hub",
 }
+# The types a user can declare.
 DECLARED_TYPES = [
     "Startup", "Consultant or service provider", "Investor", "Corporation", "Government", "NGO", "Academia", "Hub", "Media", "SME", "Job seeker",
 ]
@@ -44,6 +45,7 @@ USAGE_SHARES = {
     "Research and Analysis": [(0.6, "Consultant or service provider"), (0.4, "Investor")],
     "Search Tech Solution": [(0.28, "Corporation"), (0.26, "Consultant or service provider"), (0.25, "Investor"), (0.21, "Government")],
 }
+# Stated usage -> type.
 USAGE_TYPES = {"Search Investors": "Startup", "Find Startups To Invest": "Investor", "Search Job": "Job seeker"}
 # User type -> name shown.
 SHOWN_TYPES = {
@@ -161,7 +163,7 @@ def build_users(
         "user_signup_date": signup.cast("date"),
     }).drop("__signup", "is_registered", "is_confirmed")
     df = df.filter(~((c("user_id") == empty_user) & (c("user_pseudo_id") == empty_pseudo)))
-    df = keep_first(df, ["user_id", "user_pseudo_id"], ["-is_user_registered", "-is_user_confirmed", "user_signup_datetime"])
+    df = keep_first(df, ["user_id", "user_pseudo_id"], ["-is_user_registered", "-is_user_confirmed", "user_signup_datetime", "is_user_id_generated", "is_user_pseudo_id_generated", "signup_start_datetime"])
     df = df.join(analysis.select("user_id", "entity_analysis_type", "entity_analysis_sector"), "user_id", "left")
     country = c("geo__country")
     df = df.withColumns({
