@@ -23,6 +23,7 @@ import os
 import re
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -41,7 +42,10 @@ VOCABULARY = "word_bpe_49k.json"
 END = 1  # id after each document
 LENGTH = 2_048  # ids in a sequence
 SEQUENCES = 256  # sequences in a record batch
-REMEMBERED = 300_000  # words whose ids a worker keeps
+REMEMBERED = 1_000_000  # words whose ids a worker keeps, about 200 MB
+# Texts for the short way: ASCII and Latin letters whose lower case is one letter. The pieces are those of the tokenizer's own pattern.
+LATIN = re.compile("[\\0-\\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]*")
+PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9]|[^\\t-\\r 0-9a-z\u00df-\u00f6\u00f8-\u017f]+")
 BREAKS = str.maketrans(dict.fromkeys("\t\n\x0b\x0c\r", " "))
 
 
@@ -54,7 +58,9 @@ class WordIds:
 
     Its normaliser and its pattern never reach over ASCII white space and drop
     it, so the ids of a text are those of its words; each new word is encoded by
-    the library once.
+    the library once. Texts of ASCII and Latin letters are cut by the pattern
+    itself, lower-cased; their new words are encoded many in one call and told
+    apart by the tokens that end a word.
     """
 
     def __init__(self, vocabulary: str, kind: np.dtype) -> None:
@@ -63,19 +69,38 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.kind = kind
-        self.known: dict[str, bytes] = {"": b""}
+        words = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(words.values(), default=0) + 1, bool)
+        self.ends[[i for w, i in words.items() if w.endswith("</w>")]] = True
+        self.known: dict[str, bytes] = {"": b""}  # by word, as it stands between white space
+        self.pieces: dict[str, bytes] = {}  # by lower-case piece of the pattern
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known = {"": b""}
-        known = self.known
-        parts = [t.translate(BREAKS).split(" ") if not t.isascii() else t.replace("\n", " ").replace("\t", " ").replace("\r", " ").replace("\x0b", " ").replace("\x0c", " ").split(" ") for t in texts]
-        new = list({w for p in parts for w in p if w not in known})
-        for lo in range(0, len(new), 10_000):
-            some = new[lo:lo + 10_000]
-            for w, e in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, self.kind).tobytes()
-        return [b"".join(map(known.__getitem__, p)) for p in parts]
+        if len(self.known) + len(self.pieces) > REMEMBERED:
+            self.known, self.pieces = {"": b""}, {}
+        latin = [bool(LATIN.fullmatch(t)) and "<|" not in t for t in texts]
+        parts = [PIECE.findall(t.lower()) if ok else t.translate(BREAKS).split(" ") for t, ok in zip(texts, latin, strict=True)]
+        new = list(set(chain.from_iterable(p for p, ok in zip(parts, latin, strict=True) if ok)) - self.pieces.keys())
+        for lo in range(0, len(new), 1_000):
+            self._learn_pieces(new[lo:lo + 1_000])
+        words = list(set(chain.from_iterable(p for p, ok in zip(parts, latin, strict=True) if not ok)) - self.known.keys())
+        for lo in range(0, len(words), 10_000):
+            self._learn(words[lo:lo + 10_000], self.known)
+        return [b"".join(map((self.pieces if ok else self.known).__getitem__, p)) for p, ok in zip(parts, latin, strict=True)]
+
+    def _learn(self, some: list[str], known: dict[str, bytes]) -> None:
+        for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+            known[w] = np.array(e.ids, self.kind).tobytes()
+
+    def _learn_pieces(self, some: list[str]) -> None:
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.kind)
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(some) or not len(ids) or ends[-1] != len(ids):
+            return self._learn(some, self.pieces)
+        whole, size, at = ids.tobytes(), self.kind.itemsize, 0
+        for w, end in zip(some, ends.tolist(), strict=True):
+            self.pieces[w] = whole[at * size:end * size]
+            at = end
 
 
 _encoders: dict[int, WordIds] = {}

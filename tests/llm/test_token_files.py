@@ -54,6 +54,7 @@ def test_sequences_are_views_of_equal_length(spark, library, tmp_path):
 
 def test_words_alone_give_the_ids_of_the_text(library):
     texts = ["", " ", "A b\tc\nd", "é é  ǅ Σας ΟΔΟΣ", "x<|endoftext|>y <|startoftext|>", "a\x1cb\x85c d　e", "ﬁ ́a À ÅB", "don't WE'LL 1234 $$$ a_b", "\x0b\x0c\r", "日本語 テキスト", "İstanbul ẞ"]
+    texts += [f"{a}{c}{b}" for c in map(chr, [*range(1, 128), *range(0xC0, 0x250)]) for a, b in (("x", "y "), (" ", "1"), ("'", "s!"))]
     texts += ["".join(map(chr, range(lo, lo + 100))) + " x" for lo in range(1, 0x3000, 100)]
     got = token_files.WordIds(library.to_str(), np.dtype("<u2")).encode(texts)
     assert [np.frombuffer(g, "<u2").tolist() for g in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
