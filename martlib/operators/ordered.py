@@ -249,6 +249,9 @@ class Total(Output):
     def local(self, w, n):
         return {}
 
+    def whole(self):
+        return self._first[self.fn](self.value)
+
     def summary(self, n):
         return {f"{n}_s": self._first[self.fn](self.value)}
 
@@ -282,18 +285,20 @@ def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str], outputs: M
     nulls = F.concat_ws("", *[F.col(k).isNull().cast("int").cast("string") for k in keys])
     group = [*norm, "__nulls"]
     work = df.withColumns({**norm, "__nulls": nulls})
-    if order:
-        work = work.repartitionByRange(blocks_n, *group, *sort_columns(order)).withColumn("__b", F.spark_partition_id())
-    else:
-        work = work.withColumn("__b", F.pmod(F.monotonically_increasing_id(), F.lit(blocks_n)).cast("int"))
+    keep = [c for c in df.columns if c not in outputs]
+    if not order:
+        # whole groups: partial aggregates and an inner join, which adaptive execution splits where a key is hot
+        sums = work.groupBy(*group).agg(*[out.whole().alias(f"__o{i}") for i, out in enumerate(outputs.values())])
+        return work.join(sums, group, "inner").select(*keep, *[F.col(f"__o{i}").alias(name) for i, name in enumerate(outputs)])
 
-    w_in = Window.partitionBy(*group, "__b").orderBy(*(sort_columns(order) or [F.lit(1)]))
+    work = work.repartitionByRange(blocks_n, *group, *sort_columns(order)).withColumn("__b", F.spark_partition_id())
+    w_in = Window.partitionBy(*group, "__b").orderBy(*sort_columns(order))
     names = {name: f"__o{i}" for i, name in enumerate(outputs)}
-    local = {"__rn": F.row_number().over(w_in)} if order else {}
+    local = {"__rn": F.row_number().over(w_in)}
     for name, out in outputs.items():
         local.update(out.local(w_in, names[name]))
     # the block is known only while the rows lie in their range, so it is written with them
-    detail = cut_lineage(work.withColumns(local) if local else work)
+    detail = cut_lineage(work.withColumns(local))
 
     summaries: dict[str, Column] = {}
     for name, out in outputs.items():
@@ -306,5 +311,4 @@ def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str], outputs: M
     state = blocks.select(*group, "__b", *[c.alias(n) for n, c in carried.items()])
 
     joined = detail.join(state, [*group, "__b"], "inner")
-    keep = [c for c in df.columns if c not in outputs]
     return joined.select(*keep, *[out.result(names[name]).alias(name) for name, out in outputs.items()])

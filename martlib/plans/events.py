@@ -15,7 +15,7 @@ from martlib.functions.text import contains_text, initcap_words, mask_generated,
 from martlib.functions.urls import CAMPAIGN_PARAMS, add_page_groups, campaign_params, url_parts
 from martlib.operators.aggregates import any_true, group_by_all, max_by_nn, min_by_nn, string_agg, summarize
 from martlib.operators.joins import lookup_flag
-from martlib.operators.ordered import Lag, LastValue, Lead, RunningCount, Total, ordered
+from martlib.operators.ordered import Lag, LastValue, Lead, RunningCount, Total, join_null_safe, ordered
 from martlib.operators.windows import fill_nulls, keep_first, spread_null_key
 from martlib.plans.common import (
     EMPTY_SESSION_ID, EMPTY_USER_ID, EMPTY_USER_PSEUDO_ID, EVENT_DIMENSIONS, EVENT_KEYS, FIRST_EVENTS, MARKETING_DIMENSIONS,
@@ -76,9 +76,14 @@ def stitch_identity(df: DataFrame, dimensions: Sequence[str], split: bool) -> Da
     first = first.select("merge_key", F.col("derived_id").alias("__id"), *[F.col(c).alias(f"__{c}") for c in dimensions])
     # rows of no device cannot be filled and are kept out of each other's group
     df = spread_null_key(df, "user_pseudo_id", "event_id", "__device")
+    # the filled id depends on these columns alone, so the windows run on their distinct rows and the events are joined once
+    at = ["__device", "ga_session_id", "event_date", "event_datetime_utc", "__own"]
+    df = df.withColumnRenamed("user_id", "__own")
+    filled = df.select(*at).distinct().withColumn("user_id", F.col("__own"))
     scopes = [["__device", "ga_session_id", "event_date"], ["__device", "event_date"]]
     for direction in ("backward", "forward"):
-        df = fill_nulls(df, "user_id", scopes, "event_datetime_utc", direction, split=split)
+        filled = fill_nulls(filled, "user_id", scopes, "event_datetime_utc", direction, split=split)
+    df = join_null_safe(df, filled, at).drop("__own")
     out = df.drop("__device").join(first, "merge_key", "left")
     own = F.coalesce("__id", "derived_id")
     out = out.withColumns({
