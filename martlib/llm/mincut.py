@@ -56,9 +56,11 @@ OUTSIDE_NAMES = set(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promos promotion banner banners sidebar sidebars rail aside widget widgets nav"
     " navbar navigation menu menus submenu footer foot header masthead topbar breadcrumb breadcrumbs crumbs pagination pager toolbar comment comments reply"
     " replies respond disqus discussion reactions feedback cookie cookies consent gdpr notice notices notification notifications alert alerts popup modal overlay"
-    " lightbox newsletter subscribe subscription signup signin login register share sharing shares social follow related recommended recommendations more"
+    " lightbox warning announcement newsletter subscribe subscription signup signin login register share sharing shares social follow related recommended recommendations more"
     " popular trending teaser teasers outbrain taboola tags tagcloud legal copyright disclaimer skip hidden print form search searchbox paywall".split()
 )
+# names of several words in one, like "commentlist" or "rightsidebar"
+OUTSIDE_PARTS = re.compile("comment|sidebar|footer|navbar|navig|menu|advert|cookie|newsletter|breadcrumb|sponsor|masthead|disqus|popup|subscri|notification")
 INSIDE_NAMES = set("article content post entry story main body text articlebody maincontent".split())
 
 # weights of the classifier
@@ -97,7 +99,7 @@ def element(tag: str, rest: str, parent: Element | None) -> Element:
             key, value = key.lower(), a or b or c
             if key in ("class", "id") and tag not in ("html", "body"):
                 names = {x.lower() for x in NAME.findall(value)}
-                if names & OUTSIDE_NAMES:
+                if names & OUTSIDE_NAMES or OUTSIDE_PARTS.search(value.lower()):
                     named = True
                 elif names & INSIDE_NAMES:
                     inside = True

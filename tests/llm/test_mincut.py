@@ -29,6 +29,7 @@ def test_leaves_out_what_is_not_the_article():
     <!-- a comment <p>hidden</p> --><div class="cookie-notice"><p>{LONG}</p></div><div id="wrap-with-sidebar"><article><header><h1>The &amp; title</h1></header><p>{LONG}</p>
     <p>Er.</p><div class="ad">Buy now. {LONG}</div><p>It is <b>bold</b>ly &lt;said&gt;&nbsp;&#233;.<br>New   line</p><aside><p>{LONG}</p></aside><form><label>Name</label><button>Send</button></form>
     <ul><li>One point of the text.</li><li>Two.</li></ul></article><div class="sidebar"><p>{LONG}</p></div></div>
+    <div class="commentlist"><p>{LONG}</p></div><div id="rightSidebar"><p>{LONG}</p></div><div role="alert"><p>{LONG}</p></div><p class="notice">{LONG}</p>
     <section id="comments"><article class="comment"><p>{LONG}</p></article></section><footer>&copy; Site. {LONG}</footer></body></html>"""
     assert mincut.main_text(page) == f"The & title {LONG} Er. It is boldly <said> é. New line One point of the text. Two."
 
