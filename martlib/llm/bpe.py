@@ -45,7 +45,7 @@ NEW_LETTERS = (
 )
 NEW_NUMBERS = "11DE0-11DE9 1246F 12475-1247F 12550-12686 16FF4-16FF6"
 
-REMEMBERED = 500_000  # words whose tokens a worker keeps for later blocks
+REMEMBERED = 1_000_000  # words whose tokens a worker keeps for later blocks, about 200 MB
 PIECES = 200_000  # words of one text that are held at a time
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -159,7 +159,7 @@ class MergeReplay:
     def learn(self, words: Iterable[str]) -> None:
         """Finds the ids of words that are not known yet, all of them together."""
         known = self.known
-        new = list(set(words) - known.keys())
+        new = [w for w in set(words) if w not in known]
         coded = [w.encode("utf-8", "surrogatepass") for w in new]
         long = []
         for w, b in zip(new, coded, strict=True):
@@ -187,10 +187,12 @@ class MergeReplay:
                 yield part
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit integers."""
+        """Ids of each text of a slice as little-endian 32-bit integers."""
+        if not texts:
+            return []
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        if sum(map(len, texts)) <= 8 * PIECES:
+        if len(texts) > 1 or len(texts[0]) <= 4 * PIECES:
             parts = [self.words(t).findall(t) for t in texts]
             self.learn(chain.from_iterable(parts))
             return [b"".join(map(self.known.__getitem__, p)) for p in parts]

@@ -80,10 +80,10 @@ class WordIds:
             self.known, self.pieces = {"": b""}, {}
         latin = [bool(LATIN.fullmatch(t)) and "<|" not in t for t in texts]
         parts = [PIECE.findall(t.lower()) if ok else t.translate(BREAKS).split(" ") for t, ok in zip(texts, latin, strict=True)]
-        new = list(set(chain.from_iterable(p for p, ok in zip(parts, latin, strict=True) if ok)) - self.pieces.keys())
+        new = [w for w in set(chain.from_iterable(p for p, ok in zip(parts, latin, strict=True) if ok)) if w not in self.pieces]
         for lo in range(0, len(new), 1_000):
             self._learn_pieces(new[lo:lo + 1_000])
-        words = list(set(chain.from_iterable(p for p, ok in zip(parts, latin, strict=True) if not ok)) - self.known.keys())
+        words = [w for w in set(chain.from_iterable(p for p, ok in zip(parts, latin, strict=True) if not ok)) if w not in self.known]
         for lo in range(0, len(words), 10_000):
             self._learn(words[lo:lo + 10_000], self.known)
         return [b"".join(map((self.pieces if ok else self.known).__getitem__, p)) for p, ok in zip(parts, latin, strict=True)]

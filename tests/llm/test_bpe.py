@@ -72,7 +72,7 @@ def test_given_table(spark, library):
 
 
 def test_edge_cases(spark, library, monkeypatch):
-    monkeypatch.setattr(bpe, "PIECES", 50)
+    monkeypatch.setattr(bpe, "PIECES", 50)  # the long texts go piece by piece
     long = "word " * 200_000
     rows = [(1, None, "a"), (2, "", None), (3, "x", "b"), (3, "x", "b"), (None, "null id", "c"), (4, long, "d"), (5, "a" * 20_000, "e")]
     df = spark.createDataFrame(rows, "doc_id long, text string, token string")
