@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from martlib.llm.components import components
 from martlib.llm.registry import query, table
 from martlib.llm.texts import MASK, MIX_A, WEIGHTS, column_bytes, mix, shingles, slices, window_sums, words
-from martlib.session import cut_lineage
+from martlib.session import cut_lineage, small_side
 
 FREQUENT = 1 / 1000  # share of a batch's sets from which on a shingle goes to the end of the order
 FREQUENT_LIST = 200_000  # shingles moved to the end, at most; the rest keep their place and only cost more
@@ -391,7 +391,9 @@ def near_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
     def by_sets(placed: DataFrame) -> DataFrame:
         placed = placed.groupBy("doc_id", "node").agg(F.flatten(F.collect_list("places")).alias("places"))
-        made = rows.join(placed, "doc_id").select("text", "node", "places").mapInArrow(_member_pass(width), f"node bigint, places array<{PLACE}>, data binary")
+        # where the ids are measured to be few, other texts are left out before they are shuffled
+        named = rows.join(small_side(placed.select("doc_id").distinct()), "doc_id", "left_semi")
+        made = named.join(placed, "doc_id").select("text", "node", "places").mapInArrow(_member_pass(width), f"node bigint, places array<{PLACE}>, data binary")
         return in_tiles(made, percent, True)
 
     found = connect(lay_out(nodes, by_bits, percent), by_sets)
