@@ -45,7 +45,7 @@ NEW_LETTERS = (
 )
 NEW_NUMBERS = "11DE0-11DE9 1246F 12475-1247F 12550-12686 16FF4-16FF6"
 
-REMEMBERED = 1_000_000  # words whose tokens a worker keeps for later blocks, about 200 MB
+REMEMBERED = 300_000  # words whose tokens a worker keeps for later blocks, about 60 MB
 PIECES = 200_000  # words of one text that are held at a time
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -56,10 +56,13 @@ def load_ranks(path: str | None = None) -> bytes:
         return f.read()
 
 
+def parse_ranks(rank_file: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(a): int(b) for a, b in map(bytes.split, rank_file.splitlines())}
+
+
 class MergeReplay:
     def __init__(self, rank_file: bytes, pattern: str = public_tokenizers.PATTERN) -> None:
-        self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, rank_file.splitlines() if rank_file else [])}
-        self.token = {r: t for t, r in self.ranks.items()}
+        self.ranks = parse_ranks(rank_file)
         new = "".join("-".join(f"\\U{int(c, 16):08X}" for c in r.split("-")) for r in f"{NEW_LETTERS} {NEW_NUMBERS}".split())
         self.new = regex.compile(f"[{new}]")
         self.plain = regex.compile(pattern)
@@ -72,7 +75,7 @@ class MergeReplay:
         other = r"[^\s\p{L}\p{N}]"
         careful = pattern.replace(other, "<other>").replace(r"\p{L}", f"(?:(?![{new}])\\p{{L}})").replace(r"\p{N}", f"(?:(?![{new}])\\p{{N}})")
         self.careful = regex.compile(careful.replace("<other>", f"(?:{other}|[{new}])"))
-        self.size = max(self.token, default=0) + 1
+        self.size = max(self.ranks.values(), default=0) + 1
         # what two tokens make: every way to cut a token into two
         self.made: dict[int, int] = {}
         for t, r in self.ranks.items():
@@ -217,30 +220,52 @@ def replayer(rank_file: bytes, pattern: str) -> MergeReplay:
     return _replays[key]
 
 
+_tokens: dict[int, dict[int, bytes]] = {}
+
+
+def tokens(rank_file: bytes) -> dict[int, bytes]:
+    """The bytes of each id, made once in each Python worker."""
+    key = hash(rank_file)
+    if key not in _tokens:
+        _tokens.clear()
+        _tokens[key] = {r: t for t, r in parse_ranks(rank_file).items()}
+    return _tokens[key]
+
+
 def lists_of(parts: list[bytes]) -> pa.Array:
     sizes = np.array([0, *(len(p) // 4 for p in parts)])
     return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes).astype(np.int32)), pa.array(np.frombuffer(b"".join(parts), "<i4")))
 
 
-def encode(docs: DataFrame, rank_file: bytes | None = None, pattern: str = public_tokenizers.PATTERN, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with the token ids of their texts as ``ids``, an array of integers."""
-    if ids in docs.columns:
-        raise ValueError(f"there is a column {ids} already; name another")
+def bytes_of(ids: pa.Array, token: dict[int, bytes]) -> list[bytes | None]:
+    """What each list of ids stands for."""
+    return [b"".join(map(token.__getitem__, v.values.to_numpy().tolist())) if v.is_valid else None for v in ids]
+
+
+def encode(docs: DataFrame, rank_file: bytes | None = None, pattern: str = public_tokenizers.PATTERN, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
+    """``docs`` with the token ids of their texts as ``ids``, an array of integers.
+
+    With ``decoded`` the bytes that the ids stand for are added in the same pass.
+    """
+    if taken := {ids, decoded} & {*docs.columns}:
+        raise ValueError(f"there are columns {sorted(taken)} already; name others")
     fields, names = docs.schema.fields, docs.columns
     at = names.index(text)
     shared = _share(docs.sparkSession, rank_file)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = replayer(shared.value, pattern)
+        bpe, token = replayer(shared.value, pattern), tokens(shared.value)
         for b in batches:
             column = b.column(at).cast(pa.large_string()).fill_null("")
             offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
             for lo, hi in slices(offsets):
                 part = b.slice(lo, hi - lo)
                 got = lists_of(bpe.encode(column.slice(lo, hi - lo).to_pylist()))
-                yield pa.RecordBatch.from_arrays([*part.columns, got], [*names, ids])
+                more = [pa.array(bytes_of(got, token), pa.binary())] if decoded else []
+                yield pa.RecordBatch.from_arrays([*part.columns, got, *more], [*names, ids, *([decoded] if decoded else [])])
 
-    return docs.mapInArrow(run, T.StructType([*fields, T.StructField(ids, T.ArrayType(T.IntegerType(), False))]))
+    out = [*fields, T.StructField(ids, T.ArrayType(T.IntegerType(), False))]
+    return docs.mapInArrow(run, T.StructType([*out, T.StructField(decoded, T.BinaryType())] if decoded else out))
 
 
 def decode(df: DataFrame, rank_file: bytes | None = None, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -252,12 +277,11 @@ def decode(df: DataFrame, rank_file: bytes | None = None, ids: str = "ids", deco
     shared = _share(df.sparkSession, rank_file)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = replayer(shared.value, public_tokenizers.PATTERN).token
+        token = tokens(shared.value)
         for b in batches:
             for lo in range(0, b.num_rows, 512):
                 part = b.slice(lo, 512)
-                out = [None if x is None else b"".join(map(token.__getitem__, x)) for x in (v.values.to_numpy().tolist() if v.is_valid else None for v in part.column(at))]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())], [*names, decoded])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(bytes_of(part.column(at), token), pa.binary())], [*names, decoded])
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(decoded, T.BinaryType())]))
 
@@ -268,7 +292,7 @@ def _share(spark: SparkSession, rank_file: bytes | None):
 
 
 def token_report(docs: DataFrame) -> DataFrame:
-    coded = decode(encode(docs.select("doc_id", "text")).select("doc_id", "ids"))
+    coded = encode(docs.select("doc_id", "text"), decoded="decoded")
     listed = F.array_join(F.col("ids").cast("array<string>"), ",")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -13,7 +13,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20  # texts are worked on in runs of documents of about this size, so memory does not follow the batch
+SLICE_BYTES = 1 << 19  # texts are worked on in runs of documents of about this size, so memory does not follow the batch
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
