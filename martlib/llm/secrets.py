@@ -1,7 +1,9 @@
 """Secret scan with SQL functions only: fixed patterns, and a battery of randomness tests with false-discovery control.
 
 Fixed patterns give the base spans (assign, access, hex). The battery looks at
-every run of at least ``TOKEN_LENGTH`` token characters:
+every run of at least ``TOKEN_LENGTH`` token characters, and at the parts of that
+length between '/' or '+' and between '_' or '-', as in paths and prefixed keys.
+A '=' is only part of a token as its padding, so the value of ``NAME=value`` is one.
 
 * An **encoding** is inferred: hex, base32, base36, base62 or base64, each with
   its alphabet of ``m`` symbols.
@@ -18,7 +20,8 @@ every run of at least ``TOKEN_LENGTH`` token characters:
   apart. The counts by band and p-value class are a bounded table.
 
 A token is added as ``random`` if it is random-looking, discovered, holds a digit
-and a letter, and does not lie within a base span.
+and a letter, and does not lie within a base span; a part, if it also does not lie
+within a larger one that was added.
 
 Positions are code points, ends exclusive. Cases: a null text is treated as
 empty and has no spans; repeated rows get equal answers; other columns are kept
@@ -41,7 +44,12 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 KINDS = ["assign", "access", "hex", "random"]
 
 TOKEN_LENGTH = 20
-TOKEN = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{TOKEN_LENGTH},}}+"
+PAD = "(?:={1,6}+(?![A-Za-z0-9+/_=-]))?+"  # '=' ends a token as padding; elsewhere it parts a name from its value
+TOKEN = rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{TOKEN_LENGTH},}}+{PAD}"
+# parts of a token between '/' or '+', and between '_' or '-'; a match of one pattern is never a match of another
+SEGMENT = rf"(?:(?<=[+/])[A-Za-z0-9_-]{{{TOKEN_LENGTH},}}+{PAD}|(?<![A-Za-z0-9+/_-])[A-Za-z0-9_-]{{{TOKEN_LENGTH},}}+(?=[+/]))"
+WORD = rf"(?:(?<=[_-])[A-Za-z0-9]{{{TOKEN_LENGTH},}}+{PAD}|(?<![A-Za-z0-9_-])[A-Za-z0-9]{{{TOKEN_LENGTH},}}+(?=[_-]))"
+TESTED = {"token": TOKEN, "segment": SEGMENT, "word": WORD}
 # a run of shorter matches is skipped inside the expression; the result is the same as filtering the base matches
 ACCESS_LONG = r"AKIA[A-Z0-9]{16,}+"
 HEX_LONG = r"(?<![0-9a-f])[0-9a-f]{24,}+"
@@ -158,7 +166,7 @@ def thresholds(docs: DataFrame, text: str = "text") -> dict[int, int]:
     A band has ``CLASSES + 1`` classes and a doubling of length four bands, so
     the table is small whatever the corpus.
     """
-    tokens = docs.select(F.explode(found(F.col(text), TOKEN)).alias("token"))
+    tokens = docs.select(F.explode(F.concat(*[found(F.col(text), p) for p in TESTED.values()])).alias("token"))
     scored = tokens.select(band(F.length("token")).alias("band"), p_class(tests(F.col("token"))["text"]).alias("class"))
     counts = scored.groupBy("band", "class").count()
     down = Window.partitionBy("band").orderBy(F.desc("class"))
@@ -173,7 +181,7 @@ def scan(docs: DataFrame, least: dict[int, int], text: str = "text") -> DataFram
     if taken:
         raise ValueError(f"columns {taken} are needed by the scan")
     t = F.coalesce(F.col(text), F.lit(""))
-    patterns = {"assign": ASSIGN, "access": ACCESS_LONG, "hex": HEX_LONG, "random": TOKEN}
+    patterns = {"assign": ASSIGN, "access": ACCESS_LONG, "hex": HEX_LONG, **TESTED}
     df = docs.select("*", *[found(t, p).alias(f"{P}m_{k}") for k, p in patterns.items()])
     df = df.select("*", *[places(F.col(f"{P}m_{k}"), between(t, p, F.col(f"{P}m_{k}"))).alias(f"{P}s_{k}") for k, p in patterns.items()])
     kept = F.filter(F.col(f"{P}s_assign"), lambda x: F.length(F.regexp_extract(x["match"], ASSIGN, 2)) >= LEAST["assign"])
@@ -185,11 +193,21 @@ def scan(docs: DataFrame, least: dict[int, int], text: str = "text") -> DataFram
     if least:
         limit = F.create_map(*[F.lit(x) for pair in sorted(least.items()) for x in pair])
         discovered = lambda x: p_class(x["text"]) >= F.coalesce(F.element_at(limit, band(F.length(x["match"]))), F.lit(CLASSES + 1))
-        open_places = F.filter(F.col(f"{P}s_random"), lambda x: ~F.exists("base_spans", lambda b: (b["start"] <= x["start"]) & (b["end"] >= x["end"])))
-        tested = F.transform(open_places, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["match"].alias("match"), tests(x["match"]).alias("t")))
-        df = df.select("*", tested.alias(f"{P}tested"))
-        flat = F.transform(F.col(f"{P}tested"), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["match"].alias("match"), x["t"]["p"].alias("p"), x["t"]["text"].alias("text")))
-        extra = spans(F.filter(flat, lambda x: (x["p"] >= ALPHA) & discovered(x)), "random")
+        extra = F.array().cast(SPAN)
+
+        def outside(larger):
+            return lambda x: ~F.exists(larger, lambda b: (b["start"] <= x["start"]) & (b["end"] >= x["end"]))
+
+        for k in TESTED:
+            # parts come after what they are parts of
+            before = f"{P}before_{k}"
+            df = df.select("*", F.concat("base_spans", extra).alias(before))
+            open_places = F.filter(F.col(f"{P}s_{k}"), outside(before))
+            tested = F.transform(open_places, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["match"].alias("match"), tests(x["match"]).alias("t")))
+            df = df.select("*", tested.alias(f"{P}tested_{k}"))
+            flat = F.transform(F.col(f"{P}tested_{k}"), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["match"].alias("match"), x["t"]["p"].alias("p"), x["t"]["text"].alias("text")))
+            df = df.select("*", F.concat(extra, spans(F.filter(flat, lambda x: (x["p"] >= ALPHA) & discovered(x)), "random")).alias(f"{P}extra_{k}"))
+            extra = F.col(f"{P}extra_{k}")
     else:
         extra = F.array().cast(SPAN)
     return df.select(*docs.columns, "base_spans", F.array_sort(F.concat("base_spans", extra)).alias("all_spans"))

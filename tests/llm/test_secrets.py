@@ -60,6 +60,37 @@ def test_battery_finds_random_tokens_and_leaves_words(spark):
     assert not any("random" in got[1000 + i]["spans"] for i in range(len(clean)))
 
 
+def test_battery_finds_values_of_names_parameters_and_paths(spark):
+    rng = random.Random(11)
+    base62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    draw = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    forms = {
+        "AWS_SECRET_ACCESS_KEY={} next": (base62 + "+/", 40), "export DB_PASS={}\n": (base62, 32), "see https://a.example/f?id=7&sig={}&x=1 there": (base62 + "+/", 64), "SIG={}== end": (base62, 42),
+        "GET /api/v1/users/{}/download of": (base62, 40), "at /srv/shared/{}": (base62, 40), "key sk_live_{} is": (base62, 40), "https://docs.example/document/d/{}/edit": (base62 + "_-", 44), "LONG_NAME_OF_SOME_SETTING_2={}": (base62, 32),
+    }
+    rows, places = [], {}
+    for f, (form, (alphabet, n)) in enumerate(forms.items()):
+        for k in range(40):
+            value = draw(alphabet, n)
+            at = form.index("{}")
+            rows.append((100 * f + k, form.format(value)))
+            places[100 * f + k] = (at, at + n)
+    clean = ["MAXIMUM_NUMBER_OF_OPEN_FILES_2=the_default_value_of_this_system", "/usr/share/documentation/packages/readme2/installation/guide", "?category=international-organisations-2024&page=2", "=" * 50, "a=" * 30, "name_of_a_long_setting_1=="]
+    rows += [(9000 + i, t) for i, t in enumerate(clean)]
+    got = report(spark, rows)
+    check(got, rows)
+    for f, form in enumerate(forms):
+        hits = 0
+        for i in range(100 * f, 100 * f + 40):
+            spans = [s.split(":") for s in got[i]["spans"].split(",") if s.startswith("random")]
+            hits += any(int(a) <= places[i][0] and int(b) >= places[i][1] for _, a, b in spans)
+            assert sorted(spans, key=lambda s: int(s[1])) == spans and all(int(x[2]) <= int(y[1]) for x, y in zip(spans, spans[1:], strict=False))
+        assert hits >= 36, (form, hits)
+    assert not any("random" in got[9000 + i]["spans"] for i in range(len(clean)))
+    hidden = {r["doc_id"]: r["text"] for r in secrets.redact(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(rows[i][1][slice(*places[rows[i][0]])] in hidden[rows[i][0]] for i in range(40 * len(forms))) <= 0.1 * 40 * len(forms)
+
+
 def test_redact(spark):
     df = spark.createDataFrame([(1, 'é token = "abcdef0123" end', "k"), (2, None, None), (3, "plain", "p"), (4, "token=" + "a" * 30 + " and " + "0" * 24, "")], "doc_id long, text string, start string")
     got = secrets.redact(df)
