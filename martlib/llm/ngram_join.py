@@ -25,8 +25,8 @@ compared with every block in a second round.
 Shingles are 64-bit hashes of words. Cases: a document without words (null,
 empty or blank text) has an empty set and is linked with nothing; one with
 fewer words than a shingle has its whole sequence as only member. Rows that
-repeat an id count as separate rows and get the same component; rows with a null
-id are linked with nothing and have a null component. Other columns are not read.
+repeat an id count as separate rows, each with the component of its own text;
+rows with a null id are linked with nothing and have a null component. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -36,11 +36,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlib.llm.components import components
-from martlib.llm.registry import query, table
+from martlib.llm.registry import free_name, query, table
 from martlib.llm.texts import MASK, MIX_A, WEIGHTS, column_bytes, mix, shingles, slices, window_sums, words
 from martlib.session import cut_lineage, small_side
 
@@ -297,8 +297,9 @@ def _tile_pass(percent: int, exact: bool) -> Callable:
 
 
 def _member_pass(width: int) -> Callable:
-    """Adds the set to rows of ``(text, node, places)``; a row whose text is another than the node's goes."""
+    """Adds the set to rows of ``(text, node, places)``; a row whose text is another than the node's goes, as does one whose node is there."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for b in batches:
             node = b.column(1).to_numpy()
             kept, sets, size = [], [], 0
@@ -307,7 +308,8 @@ def _member_pass(width: int) -> Callable:
                 return pa.RecordBatch.from_arrays([b.column(1).take(pa.array(kept)), b.column(2).take(pa.array(kept)), pa.array(sets, pa.binary())], ["node", "places", "data"])
 
             for i, s in batch_sets(b.column(0), width):
-                if len(s) and digest(s) == node[i]:
+                if len(s) and node[i] not in seen and digest(s) == node[i]:
+                    seen.add(int(node[i]))
                     kept.append(i)
                     sets.append(s.tobytes())
                     size += 8 * len(s)
@@ -405,10 +407,30 @@ def near_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
 
 def keep_first(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
-    """One document of each group of near copies stays, the one with the smallest id; documents without an id stay."""
-    found = near_components(docs.select("doc_id", "text"), width=width, percent=percent)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near copies stays, that of the smallest id; rows without an id stay.
+
+    Rows are named by a hash of id and text, so rows that share an id but not
+    the text are apart. Of rows that share both, one stays. Rows without words
+    are copies of nothing and all stay.
+    """
+    row, alike = (free_name(docs.columns, x) for x in ("_near_row", "_near_alike"))
+    keyed = docs.withColumn(row, F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")))
+    found = near_components(keyed.select(F.col(row).alias("doc_id"), "text"), width=width, percent=percent)
+    groups = cut_lineage(found.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").agg(F.first("component_id").alias("component"), F.count(F.lit(1)).alias("rows")).withColumnRenamed("doc_id", row))
+    many = groups.groupBy("component").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("component")
+    linked = groups.join(small_side(many), "component", "left_semi").select(row, "component")
+    ids = keyed.groupBy(row).agg(F.min("doc_id").alias("id"))
+    ranked = cut_lineage(ids.join(linked, row).select("component", row, F.struct("id", row).alias("rank")))
+    first = ranked.groupBy("component").agg(F.min("rank").alias("first"))
+    gone = ranked.join(small_side(first), "component").where(F.col(row) != F.col(f"first.{row}")).select(row)
+    kept = keyed.join(gone, row, "left_anti")
+    again = groups.where("rows > 1").select(row)
+    if not again.take(1):
+        return kept.select(*docs.columns)
+    # the limit on row_number is applied before the shuffle, so a row repeated very often costs a few rows a task
+    hashed = [F.col(c) for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    one = kept.join(small_side(again), row, "left_semi").withColumn(alike, F.row_number().over(Window.partitionBy(row).orderBy(F.xxhash64(*hashed)))).where(F.col(alike) == 1)
+    return kept.join(small_side(again), row, "left_anti").select(*docs.columns).unionByName(one.select(*docs.columns))
 
 
 @query("op4_ngram_join")

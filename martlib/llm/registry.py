@@ -23,3 +23,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def free_name(names: list[str], base: str) -> str:
+    """``base``, led by as many ``_`` as keep it apart from ``names``; letter case does not tell columns apart."""
+    taken = {x.lower() for x in names}
+    while base.lower() in taken:
+        base = "_" + base
+    return base

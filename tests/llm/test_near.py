@@ -103,3 +103,21 @@ def test_components(spark):
     want = reach({x for e in real for x in e}, real)
     assert got == want
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_keep_first_of_repeated_rows_and_ids(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    near = a + " more"
+    rows = [
+        (1, a, "x"), (1, a, "x"), (1, a, "y"),  # a repeated row
+        (2, near, "x"), (2, b, "x"),  # an id with a copy and a clean text
+        (None, a, "x"), (None, a, "x"),  # without an id
+        (6, c, "x"), (5, c + " more", "z"), (5, c + " more", "z"),
+        (7, "", "x"), (7, "", "x"), (8, None, "x"), (8, None, "x"), (None, None, "x"),  # without words
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _near_row string")
+    got = ngram_join.keep_first(df)
+    assert got.columns == df.columns
+    kept = [(r["doc_id"], r["text"]) for r in got.collect()]
+    want = [(1, a), (2, b), (None, a), (None, a), (5, c + " more"), (7, ""), (7, ""), (8, None), (8, None), (None, None)]
+    assert sorted(map(str, kept)) == sorted(map(str, want))
