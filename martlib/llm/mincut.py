@@ -3,7 +3,9 @@
 A page is read into blocks, the runs of text between block-level tags, each with
 the elements that hold it. A linear classifier turns tags, class names, links
 and length into a score; its sign says content or boilerplate, its size is the
-capacity of the edge to that terminal. Smoothness edges join neighbours in page
+capacity of the edge to that terminal. A name of boilerplate is one cost among
+others: it is weighed against names of content, and falls with the share of the
+page's unlinked sentences that the named element holds. Smoothness edges join neighbours in page
 order and blocks with near ancestors in the document tree. The minimum cut
 between the terminals labels all blocks at once, so that a short line between
 paragraphs stays and a long text in a menu goes.
@@ -62,9 +64,17 @@ OUTSIDE_NAMES = set(
 # names of several words in one, like "commentlist" or "rightsidebar"
 OUTSIDE_PARTS = re.compile("comment|sidebar|footer|navbar|navig|menu|advert|cookie|newsletter|breadcrumb|sponsor|masthead|disqus|popup|subscri|notification")
 INSIDE_NAMES = set("article content post entry story main body text articlebody maincontent".split())
+# what a name says of its neighbours, not of itself: "has-sidebar", "post-with-comments", "withSidebar"
+BESIDE = re.compile(r"(?:(?<![a-z])(?:has|with|without|no)(?=[-_A-Z]|sidebar|comment|menu|footer|nav|header|banner)|(?<=[a-z])(?:Has|With|Without|No)(?=[A-Z]))[\w-]*")
+HEADS = {"header", "head"}
 
 # weights of the classifier
 IN_ARTICLE, NOT_IN_ARTICLE, OUTSIDE = 3.0, -3.0, -14.0
+# a name of boilerplate; one compounded with a name of content, like "post-comments"; one beside a name of content, like "content sidebar"
+NAMED, COMPOUND, BESIDES = -9.0, -6.0, -3.0
+APART = -4.5  # names from here on part zones
+# share of the page's paragraphs in an element from which, and at which, its name costs less, and nothing; with a title in it
+MASS, TITLED_MASS = (0.5, 0.9), (0.3, 0.7)
 PARAGRAPH, HEADING, TITLE, ITEM = 1.0, 0.5, 2.0, -0.3
 LINKED, LENGTH, SHORT, SENTENCE, RIGHTS = -4.0, 2.0, -0.5, 0.5, -3.0
 LONG_TEXT, SHORT_TEXT = 200, 20  # characters
@@ -75,7 +85,7 @@ NEXT, SIBLING, ACROSS = 1.0, 1.5, 0.1
 class Element:
     __slots__ = ("tag", "parent", "depth", "outside", "named", "inside", "holds")
 
-    def __init__(self, tag: str, parent: Element | None, outside: bool, named: bool, inside: bool) -> None:
+    def __init__(self, tag: str, parent: Element | None, outside: bool, named: float, inside: bool) -> None:
         self.tag, self.parent, self.depth = tag, parent, parent.depth + 1 if parent else 0
         self.outside, self.named, self.inside = outside, named, inside
         self.holds = False  # an article or main element
@@ -87,22 +97,38 @@ class Block(NamedTuple):
     element: Element
 
 
+def in_article(e: Element | None) -> bool:
+    while e and not e.inside:
+        e = e.parent
+    return e is not None
+
+
+def name_cost(value: str, parent: Element | None) -> tuple[float, bool]:
+    """What the words of a class or id cost, and whether one names content."""
+    cost, inside = 0.0, False
+    for token in BESIDE.sub(" ", value).split():
+        names = {x.lower() for x in NAME.findall(token)}
+        content = bool(names & INSIDE_NAMES)
+        if names & OUTSIDE_NAMES or OUTSIDE_PARTS.search(token.lower()):
+            if content and names & OUTSIDE_NAMES <= HEADS and not OUTSIDE_PARTS.search(token.lower()) and in_article(parent):
+                continue  # the head of an article holds its title
+            cost = min(cost, COMPOUND if content else NAMED)
+        else:
+            inside |= content
+    return (max(cost, BESIDES) if inside else cost), inside
+
+
 def element(tag: str, rest: str, parent: Element | None) -> Element:
-    outside, named, inside = tag in OUTSIDE_TAGS, False, tag in ("article", "main")
+    outside, named, inside = tag in OUTSIDE_TAGS, 0.0, tag in ("article", "main")
     if tag in ("header", "hgroup"):  # the head of an article holds its title, that of a page does not
-        e = parent
-        while e and not e.inside:
-            e = e.parent
-        outside = e is None
+        outside = not in_article(parent)
     if rest and len(rest) > 4:
         for key, a, b, c in ATTRIBUTE.findall(rest):
             key, value = key.lower(), a or b or c
             if key in ("class", "id") and tag not in ("html", "body"):
-                names = {x.lower() for x in NAME.findall(value)}
-                if names & OUTSIDE_NAMES or OUTSIDE_PARTS.search(value.lower()):
-                    named = True
-                elif names & INSIDE_NAMES:
-                    inside = True
+                cost, content = name_cost(value, parent)
+                named = min(named, cost)
+                inside |= content
             elif key == "role":
                 outside |= value.lower() in OUTSIDE_ROLES
                 inside |= value.lower() in ("main", "article")
@@ -110,8 +136,8 @@ def element(tag: str, rest: str, parent: Element | None) -> Element:
                 outside = True
             elif key == "itemprop":
                 inside |= value.lower() == "articlebody"
-    e = Element(tag, parent, outside, named, inside and not named)
-    if tag in ("article", "main") and not named:
+    e = Element(tag, parent, outside, named, inside and named > APART)
+    if tag in ("article", "main") and named > APART:
         up = parent
         while up and not up.holds:
             up.holds = True
@@ -121,7 +147,7 @@ def element(tag: str, rest: str, parent: Element | None) -> Element:
 
 def read_blocks(page: str) -> list[Block]:
     """The page's blocks in order."""
-    root = Element("", None, False, False, False)
+    root = Element("", None, False, 0.0, False)
     here, blocks, parts = root, [], []
     linked = in_link = 0
     at, n = 0, len(page)
@@ -191,18 +217,56 @@ def read_blocks(page: str) -> list[Block]:
 class Zone(NamedTuple):
     outside: bool
     inside: bool
+    named: float
+
+    @property
+    def apart(self) -> bool:
+        return self.outside or self.named <= APART
+
+
+class Mass(NamedTuple):
+    of: dict[Element, float]  # characters of unlinked sentences in an element
+    whole: float
+    titled: set[Element]  # elements that hold a title
+
+
+def masses(blocks: list[Block]) -> Mass:
+    of: dict[Element, float] = {}
+    titled: set[Element] = set()
+    for b in blocks:
+        e = b.element
+        of[e] = of.get(e, 0.0) + (max(0, len(b.text) - b.linked) if b.text[-1] in ".!?…" else 0)
+        while e.parent is not None and e.parent not in of:
+            e = e.parent
+            of[e] = 0.0
+        e = b.element if b.element.tag == "h1" else None
+        while e is not None and e not in titled:
+            titled.add(e)
+            e = e.parent
+    whole = 0.0
+    for e in sorted(of, key=lambda e: -e.depth):
+        if e.parent is None:
+            whole = of[e]
+        elif not e.outside:  # what is outside by its tag speaks for no wrapper
+            of[e.parent] += of[e]
+    return Mass(of, whole, titled)
 
 
-def zone(e: Element, known: dict[Element, Zone]) -> Zone:
-    """Whether an element lies in boilerplate, or in an article."""
+def zone(e: Element, known: dict[Element, Zone], mass: Mass) -> Zone:
+    """Whether an element lies in boilerplate, or in an article, and what its names and those around it cost."""
     path = []
     while e is not None and e not in known:
         path.append(e)
         e = e.parent
-    z = known[e] if e is not None else Zone(False, False)
+    z = known[e] if e is not None else Zone(False, False, 0.0)
     for e in reversed(path):
         # a wrapper named after what it also holds, like "with-sidebar", is no boilerplate
-        known[e] = z = Zone(z.outside or e.outside or (e.named and not e.holds), z.inside or e.inside)
+        cost = 0.0 if e.holds else e.named
+        if cost:
+            low, high = TITLED_MASS if e in mass.titled else MASS
+            share = mass.of[e] / mass.whole if mass.whole else 0.0
+            cost *= 1 - min(1.0, max(0.0, (share - low) / (high - low)))
+        known[e] = z = Zone(z.outside or e.outside, z.inside or e.inside, max(OUTSIDE, z.named + cost))
     return z
 
 
@@ -210,8 +274,7 @@ def score(b: Block, z: Zone, page_has_article: bool) -> float:
     """The classifier: above 0 for content."""
     n = len(b.text)
     s = LENGTH * min(1.0, n / LONG_TEXT) + LINKED * min(1.0, b.linked / n)
-    if z.outside:
-        s += OUTSIDE
+    s += OUTSIDE if z.outside else z.named
     if z.inside:
         s += IN_ARTICLE
     elif page_has_article:
@@ -251,11 +314,11 @@ def edges(blocks: list[Block], zones: list[Zone]) -> list[tuple[int, int, float]
     for i, b in enumerate(blocks):
         e = b.element
         if i:
-            out.append((i - 1, i, ACROSS if zones[i].outside != zones[i - 1].outside else NEXT / max(1, distance(blocks[i - 1].element, e) - 1)))
+            out.append((i - 1, i, ACROSS if zones[i].apart != zones[i - 1].apart else NEXT / max(1, distance(blocks[i - 1].element, e) - 1)))
         holder = e.parent or e
         if holder in last:
             j = last[holder]
-            out.append((j, i, ACROSS if zones[i].outside != zones[j].outside else SIBLING))
+            out.append((j, i, ACROSS if zones[i].apart != zones[j].apart else SIBLING))
         last[holder] = i
     return out
 
@@ -331,8 +394,9 @@ def main_text(page: str | None) -> str:
         return ""
     blocks = read_blocks(page)
     known: dict[Element, Zone] = {}
-    zones = [zone(b.element, known) for b in blocks]
-    has_article = any(z.inside and not z.outside for z in zones)
+    mass = masses(blocks)
+    zones = [zone(b.element, known, mass) for b in blocks]
+    has_article = any(z.inside and not z.apart for z in zones)
     labels = minimum_cut([score(b, z, has_article) for b, z in zip(blocks, zones, strict=True)], edges(blocks, zones))
     return " ".join(b.text for b, ok in zip(blocks, labels, strict=True) if ok)
 

@@ -41,6 +41,19 @@ def test_other_layouts():
         assert mincut.main_text(HEAD + '<div id="topNav"><a href=1>Home page</a> <a href=2>All news</a></div>' + a + body + b + '<div class="footer">About us</div></body>') == want, a
 
 
+def test_names_are_weighed():
+    nav, foot = '<div id="topNav"><a href=1>Home page</a> <a href=2>All news</a></div>', '<div class="footer">About us</div></body>'
+    body, other = f"<h1>The title</h1><p>{LONG}</p><p>Short.</p><p>{LONG}</p><p>{LONG}</p>", "Other words of nobody that fill a whole line, and then some more of them."
+    want = f"The title {LONG} Short. {LONG} {LONG}"
+    for start in ('class="content has-sidebar"', 'id="post-with-comments"', 'class="layout sidebar-right"', 'class="wrapper withSidebar"', 'class="content sidebar-left"', 'class="postWithComments"'):
+        for after in ("", f'<div class="sidebar"><p>{other}</p></div>', f'<div id="comments"><p>{other}</p></div>'):
+            assert mincut.main_text(f"{HEAD}{nav}<div {start}>{body}{after}</div>{foot}") == want, (start, after)
+            assert mincut.main_text(f"{HEAD}{nav}<div {start}>{body}</div>{after}{foot}") == want, (start, after)
+    for head in ("entry-header", "post-header", "article-head"):
+        page = f'<article><div class="{head}"><h1>The title</h1></div><p>{LONG}</p><div class="post-comments"><p>{other}</p></div><div class="entry-footer"><a href=x>Politics</a></div></article>'
+        assert mincut.main_text(f"{HEAD}{nav}{page}{foot}") == f"The title {LONG}", head
+
+
 def test_broken_pages():
     assert mincut.main_text(None) == mincut.main_text("") == mincut.main_text("<") == mincut.main_text("<p></p>") == ""
     assert mincut.main_text(f"<article><p>{LONG}<p>Next &bogus; & <b>x<p>a < b") == f"{LONG} Next &bogus; & x a < b"
