@@ -53,7 +53,7 @@ def least_loaded(sizes: list[int], heap: list[tuple[int, int]]) -> list[int]:
 
 
 def schedule(rows: DataFrame, group: str, size: str, shards: int = SHARDS) -> DataFrame:
-    """``group, rows, size, shard`` of every group."""
+    """``group, rows, size, shard`` of every group; ``group`` names it by a long."""
     spark = rows.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bundles = shards * -(-BUNDLES // (shards * tasks))  # a multiple of the shards: equal bundles give equal shards
@@ -81,17 +81,17 @@ def assign(rows: DataFrame, group: str, size: str, shards: int = SHARDS, order:
     rows = rows.drop(*[c for c in (shard, slot) if c not in (group, size, *order)])
     spark = rows.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    row, name = (free_name(rows.columns, x) for x in ("_shard_row", "_shard_group"))
-    laid = cut_lineage(rows.withColumn(row, F.monotonically_increasing_id()))
-    plan = cut_lineage(schedule(laid, group, size, shards).select(F.col("group").alias(name), F.col("rows").alias(f"{name}_rows"), F.col("shard").alias(f"{name}_shard")))
+    row, own, name = (free_name(rows.columns, x) for x in ("_shard_row", "_shard_own", "_shard_group"))
+    laid = cut_lineage(rows.withColumns({row: F.monotonically_increasing_id(), own: F.xxhash64(group)}))
+    plan = cut_lineage(schedule(laid, own, size, shards).select(F.col("group").alias(name), F.col("rows").alias(f"{name}_rows"), F.col("shard").alias(f"{name}_shard")))
     total = plan.agg(F.sum(f"{name}_rows")).first()[0] or 0
     is_hot = F.col(f"{name}_rows") * F.lit(HOT * tasks) > total
     hot, rest = F.broadcast(plan.where(is_hot)), plan.where(~is_hot)
-    same = F.col(group).eqNullSafe(F.col(name))
+    same = F.col(own) == F.col(name)
     placed = laid.join(hot, same).unionByName(laid.join(hot, same, "left_anti").join(rest, same))
     placed = placed.withColumn(shard, F.col(f"{name}_shard")).drop(name, f"{name}_rows", f"{name}_shard")
-    numbered = ordered(placed, [shard], [*order, group, row], {slot: RunningCount(F.lit(True))})
-    return numbered.withColumn(slot, F.col(slot) - 1).drop(row)
+    numbered = ordered(placed, [shard], [*order, own, row], {slot: RunningCount(F.lit(True))})
+    return numbered.withColumn(slot, F.col(slot) - 1).drop(row, own)
 
 
 def text_group(text: str = "text"):
