@@ -2,12 +2,13 @@
 
 1. **Sets.** A pass over the texts makes of every document's shingle set a digest
    and a hashed bitmap of two to four bits a shingle. Documents with equal sets
-   become one node, so copies never meet again. The same pass notes shingles
-   that are frequent in a batch.
+   become one node, so copies never meet again. The same pass notes four bytes
+   for each shingle that can become a key, which are counted by hash bucket.
 2. **Keys.** With shingles in one global order, two sets that link must share
    one of their first ``n - ceil(0.85 n) + 1`` shingles. A second pass sends
-   these to buckets by hash. The order puts frequent shingles last, so that a
-   passage in many documents makes no keys; any order gives the same links.
+   these to buckets by hash. The order puts shingles counted ``FREQUENT`` times
+   or more last, so that a passage in some documents makes no keys and does not
+   chain them into one cluster; any order gives the same links.
    Nodes that meet under a key, have sizes within the bound and positions that
    still allow the overlap, are joined into clusters of possible partners.
 3. **Size-banded tiles of bitmaps.** A cluster is laid out in bands of set size; a
@@ -20,7 +21,8 @@
 
 Only what is connected matters, so pairs already connected are skipped. A large
 tile is cut into blocks that share a few hubs; what the hubs leave apart is
-compared with every block in a second round.
+compared with every block in a second round, a bounded block of them with one
+block at a time.
 
 Shingles are 64-bit hashes of words. Cases: a document without words (null,
 empty or blank text) has an empty set and is linked with nothing; one with
@@ -44,9 +46,10 @@ from martlib.llm.registry import free_name, query, table
 from martlib.llm.texts import MASK, MIX_A, WEIGHTS, column_bytes, mix, shingles, slices, window_sums, words
 from martlib.session import cut_lineage, small_side
 
-FREQUENT = 1 / 1000  # share of a batch's sets from which on a shingle goes to the end of the order
-FREQUENT_LIST = 200_000  # shingles moved to the end, at most; the rest keep their place and only cost more
-TILE_SHINGLES = 1 << 21  # set members in one block of a tile: 16 MB of sets, 1 MB of bitmaps
+FREQUENT = 8  # a shingle counted so often goes to the end of the order
+FREQUENT_LIST = 1 << 22  # shingles moved to the end, at most (32 MB), the most frequent ones; others keep their place and only cost more
+TILE_SHINGLES = 1 << 21  # set members in one block of a tile of sets: 16 MB
+BITS_TILE = 16  # a block of a tile of bitmaps has so many times the members
 TILE_ROWS = 1 << 13  # nodes in one block of a tile
 HUBS = 16  # sets of a tile that every block of it holds
 KEY = np.dtype([("key", "<u8"), ("node", "<u8"), ("n", "<u4"), ("pos", "<u4")])
@@ -77,44 +80,88 @@ def batch_sets(texts: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray]]:
         yield from enumerate(document_sets(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], width), lo)
 
 
-def _set_pass(width: int) -> Callable:
+def shingle_names(members: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket and 32-bit name of each shingle. Shingles that share both count as one, which moves their place in the order only."""
+    m = mix(members ^ WEIGHTS[6])
+    return m % np.uint64(buckets), (m >> np.uint64(32)).astype(np.uint32)
+
+
+def by_bucket(to: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """The rows of each bucket as bytes."""
+    by = np.argsort(to, kind="stable")
+    rows, to = rows[by], to[by]
+    edges = np.flatnonzero(np.diff(to)) + 1
+    return to[np.concatenate([[0], edges])].astype(np.int32), [r.tobytes() for r in np.split(rows, edges)]
+
+
+def key_reach(n: int, percent: int) -> int:
+    """How far into a set of ``n`` its keys reach, by hash, where some shingles in between are frequent."""
+    k = n - least_overlap(n, percent) + 1
+    return min(n, max(k + k // 2, k + 64))
+
+
+def _set_pass(width: int, percent: int, buckets: int) -> Callable:
+    names = ["doc_id", "n", "node", "bits", "bucket", "counted"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def counted(pending):
+            to, rows = by_bucket(*shingle_names(np.concatenate(pending), buckets))
+            k = len(rows)
+            return pa.RecordBatch.from_arrays([*[pa.nulls(k, pa.int64())] * 3, pa.nulls(k, pa.binary()), pa.array(to), pa.array(rows, pa.binary())], names)
+
         for b in batches:
-            sizes, nodes, first, held = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64), {}, 0
+            sizes, nodes, first, held = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64), set(), 0
             maps: list[bytes | None] = [None] * b.num_rows
-            counted: list[tuple[np.ndarray, np.ndarray]] = []
             pending: list[np.ndarray] = []
             for i, s in batch_sets(b.column(1), width):
                 sizes[i], nodes[i] = len(s), digest(s) if len(s) else 0
                 if len(s) and nodes[i] not in first:
-                    first[nodes[i]] = i
+                    first.add(nodes[i])
                     maps[i] = bitmap(s).tobytes()
-                    pending.append(s)
-                    held += len(s)
-                    if held > 1 << 20:
-                        counted.append(np.unique(np.concatenate(pending), return_counts=True))
+                    pending.append(s[:key_reach(len(s), percent)])
+                    held += len(pending[-1])
+                    if held > 1 << 21:
+                        yield counted(pending)
                         pending, held = [], 0
             if pending:
-                counted.append(np.unique(np.concatenate(pending), return_counts=True))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes), pa.array(nodes, mask=sizes == 0), pa.nulls(b.num_rows, pa.int64()), pa.array(maps, pa.binary())], ["doc_id", "n", "node", "hits", "bits"])
-            # a shingle of at least this share of all sets has it in some batch
-            least = max(8, math.ceil(FREQUENT * len(first)))
-            common = [(k[c >= max(4, least // max(1, len(counted)))], c[c >= max(4, least // max(1, len(counted)))]) for k, c in counted]
-            if common:
-                keys, at = np.unique(np.concatenate([k for k, _ in common]), return_inverse=True)
-                hits = np.bincount(at, np.concatenate([c for _, c in common]), len(keys)).astype(np.int64)
-                keys, hits = keys[hits >= least], hits[hits >= least]
-                if len(keys):
-                    yield pa.RecordBatch.from_arrays([pa.nulls(len(keys), pa.int64()), pa.nulls(len(keys), pa.int64()), pa.array(keys.view(np.int64)), pa.array(hits), pa.nulls(len(keys), pa.binary())], ["doc_id", "n", "node", "hits", "bits"])
+                yield counted(pending)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes), pa.array(nodes, mask=sizes == 0), pa.array(maps, pa.binary()), pa.nulls(b.num_rows, pa.int32()), pa.nulls(b.num_rows, pa.binary())], names)
     return run
 
 
-def order(members: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+def _count_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Names that occur ``FREQUENT`` times or more, by the power of two of their count."""
+    for t in runs_of(batches, ["bucket"]):
+        bucket = t.column("bucket")[0].as_py()
+        names, hits = np.unique(np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for c in t.column("counted").chunks for x in c]), return_counts=True)
+        names, level = names[hits >= FREQUENT], np.log2(hits[hits >= FREQUENT]).astype(np.int32)
+        found = np.unique(level)
+        if len(found):
+            full = [names[level == x].astype(np.uint64) | np.uint64(bucket << 32) for x in found]
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array([len(x) for x in full], pa.int64()), pa.array([x.tobytes() for x in full], pa.binary())], ["level", "n", "names"])
+
+
+def frequent_names(first: DataFrame, parts: int) -> np.ndarray:
+    """The sorted names of frequent shingles: at most ``FREQUENT_LIST``, those of the highest counts."""
+    dealt = first.where("bucket is not null").select("bucket", "counted").repartition(parts, "bucket").sortWithinPartitions("bucket")
+    found = cut_lineage(dealt.mapInArrow(_count_pass, "level int, n bigint, names binary"))
+    least, held = 64, 0
+    for level, n in sorted(((r["level"], r["n"]) for r in found.groupBy("level").agg(F.sum("n").alias("n")).collect()), reverse=True):
+        held += n
+        if held > FREQUENT_LIST:
+            break
+        least = level
+    rows = found.where(F.col("level") >= least).select("names").collect()
+    return np.sort(np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(bytes(r[0]), np.uint64) for r in rows]]))
+
+
+def order(members: np.ndarray, frequent: np.ndarray, buckets: int) -> np.ndarray:
     """The set in the global order: by hash, frequent shingles last."""
     if not len(frequent):
         return members
-    at = np.minimum(np.searchsorted(frequent, members), len(frequent) - 1)
-    late = frequent[at] == members
+    bucket, name = shingle_names(members, buckets)
+    full = (bucket << np.uint64(32)) | name
+    late = frequent[np.minimum(np.searchsorted(frequent, full), len(frequent) - 1)] == full
     return np.concatenate([members[~late], members[late]]) if late.any() else members
 
 
@@ -135,17 +182,13 @@ def _key_pass(width: int, percent: int, buckets: int, frequent: np.ndarray) -> C
                 seen.add(node)
                 k = n - least_overlap(n, percent) + 1
                 rows = np.zeros(k, KEY)
-                rows["key"], rows["node"], rows["n"], rows["pos"] = order(s, frequent)[:k], np.int64(node).view(np.uint64), n, np.arange(k)
+                rows["key"], rows["node"], rows["n"], rows["pos"] = order(s, frequent, buckets)[:k], np.int64(node).view(np.uint64), n, np.arange(k)
                 parts.append(rows)
             if not parts:
                 continue
             rows = np.concatenate(parts)
-            to = (mix(rows["key"] ^ WEIGHTS[6]) % np.uint64(buckets)).astype(np.int64)
-            by = np.argsort(to, kind="stable")
-            rows, to = rows[by], to[by]
-            edges = np.flatnonzero(np.diff(to)) + 1
-            runs = np.split(rows, edges)
-            yield pa.RecordBatch.from_arrays([pa.array(to[np.concatenate([[0], edges])], pa.int32()), pa.array([r.tobytes() for r in runs], pa.binary())], ["bucket", "keys"])
+            to, runs = by_bucket(shingle_names(rows["key"], buckets)[0], rows)
+            yield pa.RecordBatch.from_arrays([pa.array(to), pa.array(runs, pa.binary())], ["bucket", "keys"])
     return run
 
 
@@ -326,26 +369,34 @@ def _member_pass(width: int) -> Callable:
 PLACE = "struct<cluster:bigint,tile:int,block:int,label:bigint,low:boolean,probe:boolean,home:boolean,n:bigint>"
 
 
-def place(label: Column, probe: Column, block: Column) -> Column:
-    return F.struct("cluster", "tile", block.cast("int").alias("block"), label.alias("label"), "low", probe.alias("probe"), (block == F.col("own")).alias("home"), "n")
+def place(label: Column, probe: Column, home: Column, block: Column) -> Column:
+    return F.struct("cluster", "tile", block.cast("int").alias("block"), label.alias("label"), "low", probe.alias("probe"), home.alias("home"), "n")
 
 
-def lay_out(nodes: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
-    """Nodes in the tiles of their cluster, and in the blocks of their tile."""
+def block_count(shingles: int) -> Column:
+    return F.greatest(F.ceil(F.sum("n") / shingles), F.ceil(F.count(F.lit(1)) / TILE_ROWS)).cast("int")
+
+
+def lay_out(nodes: DataFrame, clusters: DataFrame, percent: int, shingles: int) -> DataFrame:
+    """Nodes in the tiles of their cluster, and in the blocks of at most ``shingles`` members of their tile."""
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(100 / (percent - 1)))).cast("int")
     spread = nodes.join(clusters.withColumnRenamed("component", "cluster"), "node").withColumn("band", band)
     spread = spread.select("*", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("tile")).withColumn("low", F.col("band") == F.col("tile"))
-    blocks = F.greatest(F.ceil(F.sum("n") / TILE_SHINGLES), F.ceil(F.count(F.lit(1)) / TILE_ROWS)).cast("int")
-    weight = spread.groupBy("cluster", "tile").agg(blocks.alias("blocks"), F.count(F.lit(1)).alias("rows"), F.count_if("low").alias("lows")).where("rows > 1 and lows > 0")
-    laid = spread.join(weight, ["cluster", "tile"]).withColumn("own", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int"))
+    weight = cut_lineage(spread.groupBy("cluster", "tile").agg(block_count(shingles).alias("blocks"), F.count(F.lit(1)).alias("rows"), F.count_if("low").alias("lows")).where("rows > 1 and lows > 0"))
+    laid = spread.join(small_side(weight), ["cluster", "tile"]).withColumn("own", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int"))
     return cut_lineage(laid.select("node", "doc_id", "n", "cluster", "tile", "rows", "blocks", "own", "low"))
 
 
-def connect(laid: DataFrame, links_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Components of the links that ``links_of`` finds in the tiles."""
+def connect(laid: DataFrame, shingles: int, links_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Components of the links that ``links_of`` finds in the tiles.
+
+    In the second round of a tile with several blocks, what the first left apart
+    is cut into blocks too, and each of these meets each block of the tile in a
+    task of its own, which holds the two.
+    """
     everywhere = F.sequence(F.lit(0), F.col("blocks") - 1)
     hub = (F.col("blocks") > 1) & (F.pmod(F.xxhash64("node", F.lit(2)), F.ceil(F.col("rows") / HUBS)) == 0)
-    once = laid.withColumn("places", F.transform(F.when(hub, everywhere).otherwise(F.array("own")), lambda x: place(F.col("node"), F.lit(True), x)))
+    once = laid.withColumn("places", F.transform(F.when(hub, everywhere).otherwise(F.array("own")), lambda x: place(F.col("node"), F.lit(True), x == F.col("own"), x)))
     links = cut_lineage(links_of(once))
     found = components(links)
     split = laid.where("blocks > 1")
@@ -353,9 +404,16 @@ def connect(laid: DataFrame, links_of: Callable[[DataFrame], DataFrame]) -> Data
         return found
     named = split.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     main = named.groupBy("cluster", "tile", "component").count().groupBy("cluster", "tile").agg(F.max_by("component", F.struct("count", "component")).alias("main"))
-    named = named.join(main, ["cluster", "tile"]).withColumn("apart", F.col("component") != F.col("main"))
-    named = named.join(named.groupBy("cluster", "tile").agg(F.max("apart").alias("open")).where("open").drop("open"), ["cluster", "tile"])
-    twice = named.withColumn("places", F.transform(F.when(F.col("apart"), everywhere).otherwise(F.array("own")), lambda x: place(F.col("component"), F.col("apart"), x)))
+    named = cut_lineage(named.join(main, ["cluster", "tile"]).withColumn("apart", F.col("component") != F.col("main")))
+    left = named.where("apart").groupBy("cluster", "tile").agg(block_count(shingles).alias("lefts"))
+    named = named.join(small_side(cut_lineage(left)), ["cluster", "tile"]).withColumn("left", F.pmod(F.xxhash64("node", F.lit(3)), F.col("lefts")).cast("int"))
+    at_home = F.transform(F.sequence(F.lit(0), F.col("lefts") - 1), lambda x: F.col("own") * F.col("lefts") + x)
+    as_probe = F.when(F.col("apart"), F.transform(everywhere, lambda y: y * F.col("lefts") + F.col("left"))).otherwise(F.array().cast("array<int>"))
+
+    def second(code):
+        return place(F.col("component"), F.col("apart") & (code % F.col("lefts") == F.col("left")), F.floor(code / F.col("lefts")) == F.col("own"), code)
+
+    twice = named.withColumn("places", F.transform(F.array_distinct(F.concat(at_home, as_probe)), second))
     return components(links.unionByName(links_of(twice)))
 
 
@@ -375,12 +433,10 @@ def near_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    first = cut_lineage(rows.mapInArrow(_set_pass(width), "doc_id bigint, n bigint, node bigint, hits bigint, bits binary"))
-    sets = first.where("hits is null").select("doc_id", "n", "node")
-    hits = first.where("hits is not null").groupBy("node").agg(F.sum("hits").alias("hits"))
-    frequent = np.sort(np.array([r[0] for r in hits.orderBy(F.desc("hits"), "node").limit(FREQUENT_LIST).select("node").collect()], np.int64).view(np.uint64))
-
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    first = cut_lineage(rows.mapInArrow(_set_pass(width, percent, parts), "doc_id bigint, n bigint, node bigint, bits binary, bucket int, counted binary"))
+    sets = first.where("bucket is null").select("doc_id", "n", "node")
+    frequent = frequent_names(first, parts)
     keyed = rows.where("doc_id is not null and text is not null").select("text")
     keys = keyed.mapInArrow(_key_pass(width, percent, parts, frequent), "bucket int, keys binary")
     near = keys.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_bucket_pass(percent), "a bigint, b bigint")
@@ -389,7 +445,8 @@ def near_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     named = sets.where("node is not null and doc_id is not null")
     nodes = named.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
     bits = first.where("bits is not null").select("node", "bits").join(clusters.select("node"), "node", "left_semi").groupBy("node").agg(F.first("bits").alias("data"))
-    by_bits = connect(lay_out(nodes, clusters, percent), lambda placed: in_tiles(placed.groupBy("node").agg(F.flatten(F.collect_list("places")).alias("places")).join(bits, "node"), percent, False))
+    many = BITS_TILE * TILE_SHINGLES
+    by_bits = connect(lay_out(nodes, clusters, percent, many), many, lambda placed: in_tiles(placed.groupBy("node").agg(F.flatten(F.collect_list("places")).alias("places")).join(bits, "node"), percent, False))
 
     def by_sets(placed: DataFrame) -> DataFrame:
         placed = placed.groupBy("doc_id", "node").agg(F.flatten(F.collect_list("places")).alias("places"))
@@ -398,7 +455,7 @@ def near_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         made = named.join(placed, "doc_id").select("text", "node", "places").mapInArrow(_member_pass(width), f"node bigint, places array<{PLACE}>, data binary")
         return in_tiles(made, percent, True)
 
-    found = connect(lay_out(nodes, by_bits, percent), by_sets)
+    found = connect(lay_out(nodes, by_bits, percent, TILE_SHINGLES), TILE_SHINGLES, by_sets)
     groups = nodes.join(found, "node", "left").withColumn("group", F.coalesce("component", "node"))
     smallest = groups.groupBy("group").agg(F.min("doc_id").alias("component_id"))
     by_node = groups.join(smallest, "group").select("node", "component_id")
