@@ -8,7 +8,7 @@ from martlib.catalog.registry import query, table
 from martlib.functions.text import surrogate_key
 from martlib.operators import aggregates as A
 from martlib.operators.joins import enrich
-from martlib.operators.ordered import Lag, RunningCount, ordered
+from martlib.operators.ordered import Lag, RunningCount, chained
 
 PAUSE_SECONDS = 1800
 
@@ -16,10 +16,9 @@ PAUSE_SECONDS = 1800
 def gap_sessions(spark, d):
     """Events with a session number per user; a pause of more than 30 minutes starts a new session."""
     ev = table(spark, d, "events")
-    ev = ordered(ev, ["user_id"], ["ts", "event_id"], {"prev_ts": Lag(F.col("ts"))})
     gap = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("prev_ts").cast("timestamp"))
     starts = F.col("prev_ts").isNull() | (gap > PAUSE_SECONDS * 1_000_000)
-    return ordered(ev, ["user_id"], ["ts", "event_id"], {"session_no": RunningCount(starts)})
+    return chained(ev, ["user_id"], ["ts", "event_id"], [{"prev_ts": Lag(F.col("ts"))}, {"session_no": RunningCount(starts)}])
 
 
 @query("flagship_sessions", """

@@ -4,13 +4,24 @@
 window would give a whole key group to one task, so groups are cut into blocks
 along their order:
 
-1. rows are range-partitioned by keys and order; the partition is the block. Its
-   size depends on the number of partitions only, whatever the keys, the types
-   and the values of the sort columns, and equal sort values stay together;
-2. the window runs inside ``(key, block)``;
+1. rows are range-partitioned by keys, order and a hash of the row; the partition
+   is the block. Its size depends on the number of partitions only, whatever the
+   keys, the types and the values of the sort columns: a long run of equal sort
+   values is cut by the hash;
+2. the window runs inside ``(key, block)``, and the rows are written once;
 3. each block is reduced to one summary row per key (count, last value, ...);
-4. a window over the summaries - one row per key and block - carries the state on;
-5. the carried state is joined back on ``(key, block)``.
+4. a window over the summaries carries the state on. Only keys that lie in several
+   blocks need any, which are at most two a block, its first and its last;
+5. that state is broadcast (at most two rows a block) and added to the rows, which
+   stay where they are.
+
+Where a run of equal sort values lies in several blocks, summaries of the first
+and the last run of a block tell its rows about their peers elsewhere, so that
+ranks and RANGE frames are those of the whole run.
+
+``chained`` computes several outputs that depend on each other over one such
+partitioning: the rows are written by block, and each step's windows run on them
+where they lie; only its summaries are shuffled.
 
 There is one form for any size: nothing is counted to choose between plans. The
 result is that of the plain window, which ``split=False`` gives for groups that are
@@ -19,14 +30,14 @@ known to be small, such as the rows of one order.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martlib.session import cut_lineage
+from martlib.session import cut_in_place, cut_lineage, small_side
 
 _FIRST, _CURRENT, _LAST = Window.unboundedPreceding, Window.currentRow, Window.unboundedFollowing
 _BEFORE = (Window.unboundedPreceding, -1)
@@ -58,7 +69,14 @@ def join_null_safe(l: DataFrame, r: DataFrame, keys: Sequence[str], how: str = "
 class Output:
     """One computed column. ``plain`` is the single-window form; the other
     methods give the per-block value, the block summary, the carried state and
-    their combination."""
+    their combination. A row whose key lies in one block has no carried state.
+
+    Outputs that see their peers (rows of equal sort values) also have ``run``,
+    the summary of the rows of one run that ``inside`` selects, and ``peers``, which
+    combines those of the run's blocks in a frame; ``{n}_before`` and ``{n}_after``
+    are that of the row's run in earlier and in later blocks."""
+
+    ties = False
 
     def plain(self, w) -> Column:
         raise NotImplementedError
@@ -72,6 +90,12 @@ class Output:
     def carry(self, w, n: str) -> dict[str, Column]:
         raise NotImplementedError
 
+    def run(self, n: str, inside: Column) -> Column:
+        raise NotImplementedError
+
+    def peers(self, n: str, w) -> Column:
+        raise NotImplementedError
+
     def result(self, n: str) -> Column:
         raise NotImplementedError
 
@@ -82,8 +106,11 @@ class _Additive(Output):
     def carry(self, w, n):
         return {f"{n}_c": F.coalesce(F.sum(f"{n}_s").over(w.rowsBetween(*_BEFORE)), F.lit(0))}
 
+    def peers(self, n, w):
+        return F.sum(f"{n}_r").over(w)
+
     def result(self, n):
-        return F.col(f"{n}_l") + F.col(f"{n}_c")
+        return F.col(f"{n}_l") + F.coalesce(f"{n}_c", F.lit(0))
 
 
 class RowNumber(_Additive):
@@ -94,21 +121,38 @@ class RowNumber(_Additive):
         return {f"{n}_s": F.count(F.lit(1)).cast("int")}
 
     def result(self, n):
-        return (F.col(f"{n}_l") + F.col(f"{n}_c")).cast("int")
+        return super().result(n).cast("int")
 
 
 class Rank(RowNumber):
+    ties = True
+
     def plain(self, w):
         return F.rank().over(w)
 
+    def run(self, n, inside):
+        return F.count_if(inside)
+
+    def result(self, n):
+        return (_Additive.result(self, n) - F.coalesce(f"{n}_before", F.lit(0))).cast("int")
+
 
 class DenseRank(RowNumber):
+    ties = True
+
     def plain(self, w):
         return F.dense_rank().over(w)
 
     def summary(self, n):
         return {f"{n}_s": F.max(f"{n}_l")}
 
+    def run(self, n, inside):
+        return F.lit(0)
+
+    def result(self, n):
+        # a run that goes on in the next block was counted in both
+        return (_Additive.result(self, n) - F.coalesce("__joins", F.lit(0))).cast("int")
+
 
 @dataclass
 class RunningCount(_Additive):
@@ -123,9 +167,20 @@ class RunningCount(_Additive):
     def plain(self, w):
         return F.sum(self._one()).over(_frame(w, self.frame))
 
+    @property
+    def ties(self):
+        return self.frame == "range"
+
     def summary(self, n):
         return {f"{n}_s": F.sum(self._one())}
 
+    def run(self, n, inside):
+        return F.sum(F.when(inside, self._one()))
+
+    def result(self, n):
+        whole = super().result(n)
+        return whole + F.coalesce(f"{n}_after", F.lit(0)) if self.ties else whole
+
 
 @dataclass
 class RunningMin(Output):
@@ -138,11 +193,21 @@ class RunningMin(Output):
     def summary(self, n):
         return {f"{n}_s": F.min(self.value)}
 
+    @property
+    def ties(self):
+        return self.frame == "range"
+
     def carry(self, w, n):
         return {f"{n}_c": F.min(f"{n}_s").over(w.rowsBetween(*_BEFORE))}
 
+    def run(self, n, inside):
+        return F.min(F.when(inside, self.value))
+
+    def peers(self, n, w):
+        return F.min(f"{n}_r").over(w)
+
     def result(self, n):
-        return F.least(f"{n}_l", f"{n}_c")
+        return F.least(f"{n}_l", f"{n}_c", *([f"{n}_after"] if self.ties else []))
 
 
 @dataclass
@@ -158,11 +223,21 @@ class LastValue(Output):
     def summary(self, n):
         return {f"{n}_s": F.max_by(f"{n}_l", "__rn")}
 
+    @property
+    def ties(self):
+        return self.frame == "range"
+
     def carry(self, w, n):
         return {f"{n}_c": F.last(f"{n}_s", ignorenulls=True).over(w.rowsBetween(*_BEFORE))}
 
+    def run(self, n, inside):
+        return F.max_by(self.value, F.when(inside & self.value.isNotNull(), F.col("__rn")))
+
+    def peers(self, n, w):
+        return F.last(f"{n}_r", ignorenulls=True).over(w)
+
     def result(self, n):
-        return F.coalesce(f"{n}_l", f"{n}_c")
+        return F.coalesce(*([f"{n}_after"] if self.ties else []), f"{n}_l", f"{n}_c")
 
 
 @dataclass
@@ -178,11 +253,47 @@ class FirstValue(Output):
     def summary(self, n):
         return {f"{n}_s": F.max_by(f"{n}_l", "__rn")}
 
+    @property
+    def ties(self):
+        return self.frame == "range"
+
     def carry(self, w, n):
         return {f"{n}_c": F.first(f"{n}_s", ignorenulls=True).over(w.rowsBetween(*_BEFORE))}
 
+    def run(self, n, inside):
+        return F.min_by(self.value, F.when(inside & self.value.isNotNull(), F.col("__rn")))
+
+    def peers(self, n, w):
+        return F.first(f"{n}_r", ignorenulls=True).over(w)
+
     def result(self, n):
-        return F.coalesce(f"{n}_c", f"{n}_l")
+        return F.coalesce(f"{n}_c", f"{n}_l", *([f"{n}_after"] if self.ties else []))
+
+
+@dataclass
+class NextValue(Output):
+    """First non-NULL value from the current row (and its peers) on: ``LastValue`` of the reversed order."""
+
+    value: Column
+    ties = True
+
+    def plain(self, w):
+        return F.first(self.value, ignorenulls=True).over(w.rangeBetween(_CURRENT, _LAST))
+
+    def summary(self, n):
+        return {f"{n}_s": F.min_by(self.value, F.when(self.value.isNotNull(), F.col("__rn")))}
+
+    def carry(self, w, n):
+        return {f"{n}_c": F.first(f"{n}_s", ignorenulls=True).over(w.rowsBetween(1, _LAST))}
+
+    def run(self, n, inside):
+        return F.min_by(self.value, F.when(inside & self.value.isNotNull(), F.col("__rn")))
+
+    def peers(self, n, w):
+        return F.first(f"{n}_r", ignorenulls=True).over(w)
+
+    def result(self, n):
+        return F.coalesce(f"{n}_before", f"{n}_l", f"{n}_c")
 
 
 @dataclass
@@ -230,7 +341,7 @@ class Lead(Output):
 
     def result(self, n):
         beyond = F.lit(self.n) - (F.col(f"{n}_k") - F.col("__rn"))
-        return F.when(beyond <= 0, F.col(f"{n}_l")).otherwise(F.get(F.col(f"{n}_c"), (beyond - 1).cast("int"))["v"])
+        return F.when(F.col(f"{n}_k").isNull() | (beyond <= 0), F.col(f"{n}_l")).otherwise(F.get(F.col(f"{n}_c"), (beyond - 1).cast("int"))["v"])
 
 
 @dataclass
@@ -246,9 +357,6 @@ class Total(Output):
     def plain(self, w):
         return self._first[self.fn](self.value).over(w.rowsBetween(_FIRST, _LAST))
 
-    def local(self, w, n):
-        return {}
-
     def whole(self):
         return self._first[self.fn](self.value)
 
@@ -259,7 +367,7 @@ class Total(Output):
         return {f"{n}_c": self._merge[self.fn](f"{n}_s").over(w.rowsBetween(_FIRST, _LAST))}
 
     def result(self, n):
-        return F.col(f"{n}_c")
+        return F.coalesce(f"{n}_c", f"{n}_l")
 
 
 _DEFAULTS = {"string": "", "boolean": False, "date": "1970-01-01"}
@@ -272,43 +380,122 @@ def _filler(dtype: T.DataType) -> Column:
     return F.lit(_DEFAULTS.get(name, 0)).cast(dtype)
 
 
+Step = Mapping[str, Output] | tuple[Sequence[str], Mapping[str, Output]] | Callable[[DataFrame], DataFrame]
+
+
 def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str], outputs: Mapping[str, Output], *, split: bool = True) -> DataFrame:
     """Add ``outputs`` computed per key group in ``order``; without an order, of the whole group."""
     keys, order = list(keys), list(order)
+    if split and not order:
+        # whole groups: partial aggregates and an inner join, which adaptive execution splits where a key is hot
+        work, group = _named_keys(df, keys)
+        sums = work.groupBy(*group).agg(*[out.whole().alias(f"__o{i}") for i, out in enumerate(outputs.values())])
+        keep = [c for c in df.columns if c not in outputs]
+        return work.join(sums, group, "inner").select(*keep, *[F.col(f"__o{i}").alias(name) for i, name in enumerate(outputs)])
+    return chained(df, keys, order, [outputs], split=split)
+
+
+def chained(df: DataFrame, keys: Sequence[str], order: Sequence[str], steps: Sequence[Step], *, split: bool = True) -> DataFrame:
+    """Several ``ordered`` computations over one partitioning by ``keys`` and ``order``.
+
+    A step is a mapping of outputs; or ``(further keys, outputs)``, for groups
+    within those of ``keys``; or a function that adds columns or drops rows but
+    changes no key or order column. Each step sees the columns of those before it.
+    """
+    keys, order = list(keys), list(order)
     if not split:
-        w = spec(keys, order)
-        return df.withColumns({name: out.plain(w) for name, out in outputs.items()})
+        for step in steps:
+            if callable(step):
+                df = step(df)
+            else:
+                further, outputs = step if isinstance(step, tuple) else ((), step)
+                w = spec([*keys, *further], order)
+                df = df.withColumns({name: out.plain(w) for name, out in outputs.items()})
+        return df
 
     blocks_n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # Keys are made non-NULL once, so that window, aggregate and join all hash the same columns.
-    norm = {f"__k{i}": F.coalesce(F.col(k), _filler(df.schema[k].dataType)) for i, k in enumerate(keys)}
+    work, group = _named_keys(df, keys)
+    # equal sort values are cut by a hash of the row; equal rows, by the partition they come from
+    plain_types = [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    cut = F.xxhash64(*plain_types, F.spark_partition_id())
+    work = work.repartitionByRange(blocks_n, *group, *sort_columns(order), cut).withColumn("__b", F.spark_partition_id())
+    helpers, written = [*group, "__b"], False
+    several = sum(not callable(step) for step in steps) > 1
+    if several:
+        # the block is known only while the rows lie in their range, so it is written with them
+        work = cut_lineage(work)
+    for step in steps:
+        if callable(step):
+            work = step(work)
+            continue
+        further, outputs = step if isinstance(step, tuple) else ((), step)
+        inner, parts = _named_keys(work, list(further), "__w") if further else (work, [])
+        at, keep = [*group, *parts, "__b"], [c for c in work.columns if c not in outputs]
+        w_in = Window.partitionBy(*at).orderBy(*sort_columns(order))
+        ties = any(out.ties for out in outputs.values())
+        local = {"__rn": F.row_number().over(w_in), **({"__rk": F.rank().over(w_in)} if ties else {})}
+        names = {name: f"__o{i}" for i, name in enumerate(outputs)}
+        for name, out in outputs.items():
+            local.update(out.local(w_in, names[name]))
+        detail = inner.withColumns(local)
+        if ties:
+            detail = detail.withColumn("__lr", F.max("__rk").over(Window.partitionBy(*at)))
+        if not written:
+            detail, written = (cut_in_place if several else cut_lineage)(detail), True
+        state = _state(detail, [*group, *parts], outputs, names, order, ties)
+        # keys in several blocks are the first or last of a block: two rows a block; within them further keys are not bounded
+        side = small_side(cut_lineage(state)) if further else F.broadcast(state)
+        joined = detail.join(side, at, "left")
+        if ties:
+            first, last = F.col("__rk") == 1, F.col("__rk") == F.col("__lr")
+            joined = joined.withColumns({f"{n}_{where}": F.when(edge, F.col(f"{n}_{where}")) for n in names.values() for where, edge in (("before", first), ("after", last))})
+        work = joined.select(*keep, *[out.result(names[name]).alias(name) for name, out in outputs.items()])
+    return work.drop(*helpers)
+
+
+def _named_keys(df: DataFrame, keys: Sequence[str], prefix: str = "__k") -> tuple[DataFrame, list[str]]:
+    """Keys are made non-NULL once, so that window, aggregate and join all hash the same columns."""
+    norm = {f"{prefix}{i}": F.coalesce(F.col(k), _filler(df.schema[k].dataType)) for i, k in enumerate(keys)}
     nulls = F.concat_ws("", *[F.col(k).isNull().cast("int").cast("string") for k in keys])
-    group = [*norm, "__nulls"]
-    work = df.withColumns({**norm, "__nulls": nulls})
-    keep = [c for c in df.columns if c not in outputs]
-    if not order:
-        # whole groups: partial aggregates and an inner join, which adaptive execution splits where a key is hot
-        sums = work.groupBy(*group).agg(*[out.whole().alias(f"__o{i}") for i, out in enumerate(outputs.values())])
-        return work.join(sums, group, "inner").select(*keep, *[F.col(f"__o{i}").alias(name) for i, name in enumerate(outputs)])
+    return df.withColumns({**norm, f"{prefix}nulls": nulls}), [*norm, f"{prefix}nulls"]
 
-    work = work.repartitionByRange(blocks_n, *group, *sort_columns(order)).withColumn("__b", F.spark_partition_id())
-    w_in = Window.partitionBy(*group, "__b").orderBy(*sort_columns(order))
-    names = {name: f"__o{i}" for i, name in enumerate(outputs)}
-    local = {"__rn": F.row_number().over(w_in)}
-    for name, out in outputs.items():
-        local.update(out.local(w_in, names[name]))
-    # the block is known only while the rows lie in their range, so it is written with them
-    detail = cut_lineage(work.withColumns(local))
 
-    summaries: dict[str, Column] = {}
+def _state(detail: DataFrame, group: list[str], outputs: Mapping[str, Output], names: Mapping[str, str], order: Sequence[str], ties: bool) -> DataFrame:
+    """The carried state of each block of a key that lies in several blocks."""
+    sums: dict[str, Column] = {}
     for name, out in outputs.items():
-        summaries.update(out.summary(names[name]))
-    blocks = detail.groupBy(*group, "__b").agg(*[c.alias(n) for n, c in summaries.items()])
-    w_sum = Window.partitionBy(*group).orderBy("__b")
+        sums.update(out.summary(names[name]))
+    peers = {names[name]: out for name, out in outputs.items() if out.ties}
+    if ties:
+        first, last = F.col("__rk") == 1, F.col("__rk") == F.col("__lr")
+        value = F.struct(*[F.col(o.lstrip("-")).alias(f"v{i}") for i, o in enumerate(order)])
+        sums |= {"__first": F.min_by(value, "__rn"), "__last": F.max_by(value, "__rn")}
+        for n, out in peers.items():
+            sums |= {f"{n}_rf": out.run(n, first), f"{n}_rl": out.run(n, last)}
+    blocks = detail.groupBy(*group, "__b").agg(*[c.alias(n) for n, c in sums.items()])
+    whole = Window.partitionBy(*group)
+    blocks = blocks.withColumn("__blocks", F.count(F.lit(1)).over(whole)).where("__blocks > 1")
+    w_sum = whole.orderBy("__b")
     carried: dict[str, Column] = {}
     for name, out in outputs.items():
         carried.update(out.carry(w_sum, names[name]))
-    state = blocks.select(*group, "__b", *[c.alias(n) for n, c in carried.items()])
-
-    joined = detail.join(state, [*group, "__b"], "inner")
-    return joined.select(*keep, *[out.result(names[name]).alias(name) for name, out in outputs.items()])
+    if not ties:
+        return blocks.select(*group, "__b", *[c.alias(n) for n, c in carried.items()])
+    goes_on = F.coalesce((F.lag("__last").over(w_sum) == F.col("__first")).cast("int"), F.lit(0))
+    state = blocks.select(*group, "__b", "__first", "__last", *[c.alias(n) for n, c in carried.items()], goes_on.alias("__on"), *[F.col(f"{n}_r{e}") for n in peers for e in "fl"])
+    state = state.withColumn("__joins", F.sum("__on").over(w_sum.rowsBetween(_FIRST, _CURRENT)))
+    one = F.col("__first") == F.col("__last")  # the block lies in one run
+
+    def run(value: str, sums: str, is_first: bool, is_last: bool) -> Column:
+        held = [F.col(f"{n}_{sums}").alias(f"{n}_r") for n in peers]
+        return F.struct(F.col(value).alias("v"), F.lit(is_first).alias("f"), F.lit(is_last).alias("l"), *held)
+
+    runs = F.when(one, F.array(run("__first", "rf", True, True))).otherwise(F.array(run("__first", "rf", True, False), run("__last", "rl", False, True)))
+    opened = state.select(*group, "__b", F.inline(runs))
+    w_run = Window.partitionBy(*group, "v").orderBy("__b")
+    around = {f"{n}_{where}": out.peers(n, w_run.rowsBetween(*frame)) for n, out in peers.items() for where, frame in (("before", _BEFORE), ("after", (1, _LAST)))}
+    opened = opened.withColumns(around)
+    edges = [F.first(F.when(F.col("f" if c.endswith("before") else "l"), F.struct(F.col(c).alias("x"))), ignorenulls=True)["x"].alias(c) for c in around]
+    missing = [F.lit(None).cast("int").alias(f"{n}_{where}") for n in names.values() if n not in peers for where in ("before", "after")]
+    told = opened.groupBy(*group, "__b").agg(*edges).select("*", *missing)
+    return state.select(*group, "__b", *carried, "__joins").join(F.broadcast(told), [*group, "__b"])

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlib.operators.ordered import (
-    Lag, LastValue, Lead, Rank, RowNumber, RunningCount, RunningMin, Total, join_null_safe, ordered, spec,
+    Lag, LastValue, Lead, NextValue, Rank, RowNumber, RunningCount, RunningMin, Total, chained, join_null_safe, ordered, spec,
 )
 
 
@@ -50,22 +50,38 @@ def next_value(df: DataFrame, col: str, keys: Sequence[str], order: Sequence[str
 
 def flow_columns(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequence[str], n: int = 4, **kw) -> DataFrame:
     """``<col>_1`` is the current value, ``<col>_2 .. _n`` the following ones."""
-    out = ordered(df, keys, order, {f"{c}_{i + 1}": Lead(F.col(c), i) for i in range(1, n) for c in cols}, **kw)
-    return out.withColumns({f"{c}_1": F.col(c) for c in cols})
+    return chained(df, keys, order, flow_steps(cols, n), **kw)
+
+
+def flow_steps(cols: Sequence[str], n: int = 4) -> list:
+    """``flow_columns`` as steps of ``chained``."""
+    leads = {f"{c}_{i + 1}": Lead(F.col(c), i) for i in range(1, n) for c in cols}
+    return [leads, lambda df: df.withColumns({f"{c}_1": F.col(c) for c in cols})]
 
 
 def fill_nulls(df: DataFrame, col: str, scopes: Sequence[Sequence[str]], order: str, direction: str = "backward", **kw) -> DataFrame:
     """Fill NULLs from the nearest row of the narrowest scope that has one.
 
-    ``backward`` takes values from later rows, ``forward`` from earlier ones;
-    rows at the same time count as current.
+    ``backward`` takes values from later rows, ``forward`` from earlier ones, and
+    ``both`` first from later and then from earlier rows; rows at the same time
+    count as current. Scopes that lie within the widest one share its partitioning.
     """
-    order_by = f"-{order}" if direction == "backward" else order
+    base = list(min(scopes, key=len))
+    nested = all(set(base) <= set(s) for s in scopes)
+    kinds = {"backward": [NextValue], "forward": [LastValue], "both": [NextValue, LastValue]}[direction]
     fills = [f"__fill{i}" for i in range(len(scopes))]
-    # widest scope first: its partitioning also serves the narrower ones
-    for fill, keys in reversed(list(zip(fills, scopes))):
-        df = ordered(df, keys, [order_by], {fill: LastValue(F.col(col))}, **kw)
-    return df.withColumn(col, F.coalesce(F.col(col), *fills)).drop(*fills)
+    filled = lambda d: d.withColumn(col, F.coalesce(F.col(col), *fills)).drop(*fills)
+    steps = []
+    for kind in kinds:
+        if not nested:
+            for f, s in zip(fills, scopes):
+                df = ordered(df, list(s), [order], {f: kind(F.col(col))}, **kw)
+            df = filled(df)
+        for f, s in zip(fills, scopes):
+            within, outputs = [c for c in s if c not in base], {f: kind(F.col(col))}
+            steps.append((within, outputs) if within else outputs)
+        steps.append(filled)
+    return chained(df, base, [order], steps, **kw) if nested else df
 
 
 def running_count(df: DataFrame, cond: Column, keys: Sequence[str], order: Sequence[str], name: str, frame: str = "rows", **kw) -> DataFrame:

@@ -15,13 +15,13 @@ from martlib.functions.text import contains_text, initcap_words, mask_generated,
 from martlib.functions.urls import CAMPAIGN_PARAMS, add_page_groups, campaign_params, url_parts
 from martlib.operators.aggregates import any_true, group_by_all, max_by_nn, min_by_nn, string_agg, summarize
 from martlib.operators.joins import lookup_flag
-from martlib.operators.ordered import Lag, LastValue, Lead, RunningCount, Total, join_null_safe, ordered
+from martlib.operators.ordered import Lag, LastValue, Lead, RunningCount, Total, chained, join_null_safe, ordered
 from martlib.operators.windows import fill_nulls, keep_first, spread_null_key
 from martlib.plans.common import (
     EMPTY_SESSION_ID, EMPTY_USER_ID, EMPTY_USER_PSEUDO_ID, EVENT_DIMENSIONS, EVENT_KEYS, FIRST_EVENTS, MARKETING_DIMENSIONS,
     PROFILE_PATHS, SESSION_OPENERS,
 )
-from martlib.session import small_side
+from martlib.session import cut_lineage, small_side
 
 # Event fields that make up an event id, next to the text of its parameters.
 EVENT_ID_FIELDS = [
@@ -81,8 +81,7 @@ def stitch_identity(df: DataFrame, dimensions: Sequence[str], split: bool) -> Da
     df = df.withColumnRenamed("user_id", "__own")
     filled = df.select(*at).distinct().withColumn("user_id", F.col("__own"))
     scopes = [["__device", "ga_session_id", "event_date"], ["__device", "event_date"]]
-    for direction in ("backward", "forward"):
-        filled = fill_nulls(filled, "user_id", scopes, "event_datetime_utc", direction, split=split)
+    filled = fill_nulls(filled, "user_id", scopes, "event_datetime_utc", "both", split=split)
     df = join_null_safe(df, filled, at).drop("__own")
     out = df.drop("__device").join(first, "merge_key", "left")
     own = F.coalesce("__id", "derived_id")
@@ -126,16 +125,15 @@ def assign_sessions(df: DataFrame, prior_sessions: DataFrame | None, split: bool
         "session_id": F.concat("user_pseudo_id", F.coalesce(c("ga_session_id").cast("string"), c("event_date_key"))),
         "__opens": F.when(c("event_name") == "session_start", 0).otherwise(1),
     })
-    # only visitors with derived ids need a numbered session; all others stand alone here
-    key = F.when(generated, c("session_id")).otherwise(F.concat(F.lit("~"), c("event_id")))
-    df = ordered(
-        df.withColumn("__s", key), ["__s"], ["event_datetime_utc", "__opens", "event_id"],
-        {"__n": RunningCount(c("event_name") == "session_start")}, split=split,
-    )
+    # only visitors with derived ids need a numbered session; the number depends on these columns alone, an event that repeats counts once
+    at = ["session_id", "event_datetime_utc", "__opens", "event_id"]
+    starts = df.where(generated).select(*at, "event_name").distinct()
+    starts = ordered(starts, ["session_id"], at[1:], {"__n": RunningCount(c("event_name") == "session_start")}, split=split)
+    df = join_null_safe(df, starts.select(*at, "__n"), at)
     numbered = F.concat_ws("_", "user_pseudo_id", c("event_date").cast("string"), c("__n").cast("string"))
-    df = df.withColumn("session_id", F.when(generated, numbered).otherwise(c("session_id"))).drop("__s", "__n", "__opens")
+    df = df.withColumn("session_id", F.when(generated, numbered).otherwise(c("session_id"))).drop("__n", "__opens")
     df = spread_null_key(df, "session_id", "event_id", "__s")
-    df = ordered(df, ["__s"], ["event_datetime_utc"], {
+    df = ordered(df, ["__s"], [], {
         "session_date": Total("min", c("event_date")),
         "ga_session_number": Total("min", c("ga_session_number")),
         "session_engaged": Total("max", c("session_engaged")),
@@ -190,8 +188,7 @@ def unnest_events(
 ) -> DataFrame:
     """Nested raw events to long rows with stitched identities, sessions and attribution.
 
-    ``split`` forces or forbids the form for hot devices; by default the
-    largest (device, day) group decides.
+    ``split=False`` gives plain windows, for devices that are known to be small.
     """
     dimensions = list(dimensions)
     if objectives is None:
@@ -202,8 +199,9 @@ def unnest_events(
         "event_datetime_utc": micros_to_dt(F.col("event_timestamp")),
         "batch_sort_key": F.col("batch_page_id") * 100 + F.col("batch_ordering_id") * 10 + F.col("batch_event_index"),
     })
-    df = add_attribution(stitch_identity(df, dimensions, split), objectives, own_sites, strict)
-    df = assign_sessions(df, prior_sessions, split)
+    # the flattened events are read by every step of stitching and numbering
+    df = assign_sessions(stitch_identity(cut_lineage(df), dimensions, split), prior_sessions, split)
+    df = add_attribution(df, objectives, own_sites, strict)
     structs = [c for c in ("geo", "device", "traffic_source", "collected_traffic_source", "user_properties") if c in df.columns]
     if "privacy_info" in df.columns:
         df = df.select("*", *[F.col(f"privacy_info.{f}").alias(f"privacy_info__{f}") for f in df.schema["privacy_info"].dataType.fieldNames()])
@@ -248,9 +246,8 @@ def rank_page_views(df: DataFrame, split: bool, empty_session: str = EMPTY_SESSI
     c = F.col
     order = ["event_datetime_utc", "batch_sort_key", "event_id"]
     df = spread_null_key(df, "session_id", "event_id", "__s")
-    df = ordered(df, ["__s"], order, {"previous_page_path": Lag(c("page_path"))}, split=split)
     moved = c("page_path").isNotNull() & (c("previous_page_path").isNull() | (c("page_path") != c("previous_page_path")))
-    df = ordered(df, ["__s"], order, {"page_view_rank": RunningCount(moved)}, split=split)
+    df = chained(df, ["__s"], order, [{"previous_page_path": Lag(c("page_path"))}, {"page_view_rank": RunningCount(moved)}], split=split)
     rank = F.when(c("event_name").isin(*SESSION_OPENERS), 1).when(c("session_id").isNotNull(), c("page_view_rank"))
     df = df.withColumn("page_view_rank", rank.cast("long"))
 

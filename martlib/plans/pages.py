@@ -12,8 +12,8 @@ from martlib.functions.text import initcap_words, mask_generated, rtrim_chars
 from martlib.functions.urls import add_page_groups, url_parts
 from martlib.operators.aggregates import group_by_all, min_by_nn, pivot_keys
 from martlib.operators.joins import join_using
-from martlib.operators.ordered import Lag, LastValue, RowNumber, RunningCount, Total, ordered
-from martlib.operators.windows import flow_columns, keep_first, partition_stat, preferred_value, spread_null_key
+from martlib.operators.ordered import Lag, LastValue, RowNumber, RunningCount, Total, chained
+from martlib.operators.windows import flow_steps, keep_first, partition_stat, preferred_value, spread_null_key
 from martlib.plans.common import EMPTY_SESSION_ID, SESSION_OPENERS
 from martlib.plans.events import cut_title
 from martlib.session import small_side
@@ -92,26 +92,31 @@ def page_flow(events: DataFrame, n: int = 4, split: bool = True, with_tabs: bool
         "__is_view": c("event_name") == "page_view",
     })
     df = spread_null_key(df, "session_id", "event_id", "__s")
-    df = ordered(df, ["__s", "__is_view"], _ORDER, {"previous_page_view_location": Lag(c("page_location"))}, split=split)
-    df = df.withColumn("previous_page_view_location", F.when(c("__is_view"), c("previous_page_view_location")))
     prev = c("previous_page_view_location")
-    df = df.filter(~c("__is_view") | prev.isNull() | (c("page_location") != prev))
     named = F.concat(F.coalesce("grouped_page_name", F.lit("")), F.lit(" - "), c("tab"))
-    df = df.withColumns({
-        "user_id": mask_generated(c("user_id")),
-        "grouped_page_name_with_tab": F.when(c("tab").isNotNull(), named).otherwise(c("grouped_page_name")),
-    })
-    # one partitioning by session serves both windows
-    df = ordered(df, ["__s"], _ORDER, {"session_event_rank": RowNumber()}, split=split)
-    df = ordered(df, ["__s", "__is_view"], _ORDER, {
-        "previous_grouped_page_path": Lag(c("grouped_page_path")),
-        "previous_grouped_page_name": Lag(c("grouped_page_name_with_tab")),
-    }, split=split)
-    df = df.withColumns({
-        p: F.when(c("__is_view"), c(p)) for p in ("previous_grouped_page_path", "previous_grouped_page_name")
-    })
+
+    def without_repeats(df: DataFrame) -> DataFrame:
+        df = df.withColumn("previous_page_view_location", F.when(c("__is_view"), prev))
+        return df.filter(~c("__is_view") | prev.isNull() | (c("page_location") != prev)).withColumns({
+            "user_id": mask_generated(c("user_id")),
+            "grouped_page_name_with_tab": F.when(c("tab").isNotNull(), named).otherwise(c("grouped_page_name")),
+        })
+
+    def of_views(df: DataFrame) -> DataFrame:
+        return df.withColumns({p: F.when(c("__is_view"), c(p)) for p in ("previous_grouped_page_path", "previous_grouped_page_name")})
+
     steps = ["grouped_page_path", "grouped_page_name_with_tab" if with_tabs else "grouped_page_name"]
-    df = flow_columns(df, steps, ["__s"], _ORDER, n, split=split)
+    df = chained(df, ["__s"], _ORDER, [
+        (["__is_view"], {"previous_page_view_location": Lag(c("page_location"))}),
+        without_repeats,
+        {"session_event_rank": RowNumber()},
+        (["__is_view"], {
+            "previous_grouped_page_path": Lag(c("grouped_page_path")),
+            "previous_grouped_page_name": Lag(c("grouped_page_name_with_tab")),
+        }),
+        of_views,
+        *flow_steps(steps, n),
+    ], split=split)
     return df.drop("__s", "__is_view").withColumnRenamed("event_id", "record_id")
 
 
@@ -197,13 +202,12 @@ def profile_interactions(
     order = ["event_datetime_utc", "batch_sort_key", "event_id"]
     df = spread_null_key(df, "session_id", "event_id", "__s", empty=empty_session)
     page = ["__s", "page_view_rank"]
-    df = ordered(df, page, order, {"__previous_tab": Lag(c("tab"))}, split=split)
     changed = c("tab").isNotNull() & (c("__previous_tab").isNull() | (c("tab") != c("__previous_tab")))
-    df = ordered(df, page, order, {"__tab_rank": RunningCount(changed)}, split=split)
-    df = ordered(df, page, order, {"__page_seconds": Total("sum", c("engagement_time_seconds"))}, split=split)
-    df = ordered(df, [*page, "__tab_rank"], order, {
-        "__tab": LastValue(c("tab")), "tab_engagement_time_seconds": Total("sum", c("engagement_time_seconds_lead")),
-    }, split=split)
+    df = chained(df, page, order, [
+        {"__previous_tab": Lag(c("tab"))},
+        {"__tab_rank": RunningCount(changed), "__page_seconds": Total("sum", c("engagement_time_seconds"))},
+        (["__tab_rank"], {"__tab": LastValue(c("tab")), "tab_engagement_time_seconds": Total("sum", c("engagement_time_seconds_lead"))}),
+    ], split=split)
     return df.withColumns({
         "tab_rank": F.when(real, c("__tab_rank")), "tab": c("__tab"), "page_view_ranked_engagement_time_seconds": c("__page_seconds"),
     }).drop("__s", "__previous_tab", "__tab_rank", "__page_seconds", "__tab")

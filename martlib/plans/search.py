@@ -13,7 +13,7 @@ from martlib.functions.numbers import array_text, try_int
 from martlib.functions.rules import case, recode
 from martlib.functions.text import decode_partial, drop_last, extract, initcap_words, mask_generated, split_at, surrogate_key
 from martlib.operators.aggregates import array_distinct_sorted, max_by_nn, summarize, visited_items
-from martlib.operators.ordered import Lag, LastValue, RunningCount, ordered
+from martlib.operators.ordered import Lag, LastValue, RunningCount, chained, ordered
 from martlib.operators.sets import union_by_name
 from martlib.operators.windows import keep_any, spread_null_key
 from martlib.plans.common import EVENT_DIMENSIONS  # noqa: F401 - re-exported for callers building session sides
@@ -69,17 +69,19 @@ def rank_searches(events: DataFrame, gap_s: int = 180, split: bool = True) -> Da
     """
     c = F.col
     df = spread_null_key(events, "session_id", "event_id", "__s")
-    df = ordered(df, ["__s"], _ORDER, {"previous_page_title": Lag(c("page_title")), "previous_page_location": Lag(c("page_location"))}, split=split)
-    df = df.filter(
-        c("previous_page_location").isNull() | (c("page_location") != c("previous_page_location")) | (c("page_title") != c("previous_page_title"))
-    )
-    df = ordered(df, ["__s"], _ORDER, {"__prev_search": Lag(c("is_search")), "__prev_ts": Lag(c("event_datetime_utc"))}, split=split)
     last = {"__last_ts": "event_datetime_utc", "__last_path": "grouped_page_path", "__last_title": "page_title",
             "__last_semantic": "is_semantic_search", "__last_id": "semantic_search_id"}
-    df = ordered(df, ["__s", "is_search"], _ORDER, {n: Lag(c(v)) for n, v in last.items()}, split=split)
-    df = df.withColumns({n: F.when(c("is_search"), c(n)) for n in last})
-    df = ordered(df, ["__s", "is_semantic_search"], _ORDER, {"__known_id": LastValue(c("__last_id"), "rows")}, split=split)
-    df = df.withColumn("__known_id", F.when(c("is_semantic_search"), c("__known_id")))
+    df = chained(df, ["__s"], _ORDER, [
+        {"previous_page_title": Lag(c("page_title")), "previous_page_location": Lag(c("page_location"))},
+        lambda d: d.filter(
+            c("previous_page_location").isNull() | (c("page_location") != c("previous_page_location")) | (c("page_title") != c("previous_page_title"))
+        ),
+        {"__prev_search": Lag(c("is_search")), "__prev_ts": Lag(c("event_datetime_utc"))},
+        (["is_search"], {n: Lag(c(v)) for n, v in last.items()}),
+        lambda d: d.withColumns({n: F.when(c("is_search"), c(n)) for n in last}),
+        (["is_semantic_search"], {"__known_id": LastValue(c("__last_id"), "rows")}),
+        lambda d: d.withColumn("__known_id", F.when(c("is_semantic_search"), c("__known_id"))),
+    ], split=split)
 
     t = c("event_datetime_utc")
     since_event = diff_seconds(t, c("__prev_ts"), "boundary")

@@ -66,6 +66,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def cut_in_place(df: DataFrame) -> DataFrame:
+    """As ``cut_lineage``, and windows over the result know how its rows are partitioned and sorted.
+
+    Adaptive plans do not tell their partitioning, so this one is planned without;
+    ``df`` should be a short plan over written rows.
+    """
+    conf = df.sparkSession.conf
+    adaptive = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return cut_lineage(df.select("*"))
+    finally:
+        conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 def _row_bytes(df: DataFrame) -> Column:
     """Size of a row in memory, from the text lengths of its columns."""
     size = F.lit(0).cast("long")

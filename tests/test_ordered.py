@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from martlib.operators import windows as W
 from martlib.operators.ordered import (
-    DenseRank, FirstValue, Lag, LastValue, Lead, Rank, RowNumber, RunningCount, RunningMin, Total, ordered,
+    DenseRank, FirstValue, Lag, LastValue, Lead, NextValue, Rank, RowNumber, RunningCount, RunningMin, Total, chained, ordered,
 )
 from martlib.session import fits_broadcast
 
@@ -29,7 +29,7 @@ def all_outputs():
     return {
         "rn": RowNumber(), "rank": Rank(), "dense": DenseRank(), "cnt": RunningCount(F.col("label") == "x"), "mn": RunningMin(F.col("v")),
         "last": LastValue(F.col("label")), "first": FirstValue(F.col("label")), "lag": Lag(F.col("label")), "lead": Lead(F.col("label")),
-        "lead3": Lead(F.col("v"), 3), "total": Total("sum", F.col("v")), "n": Total("count", F.col("v")), "hi": Total("max", F.col("v")),
+        "lead3": Lead(F.col("v"), 3), "next": NextValue(F.col("label")), "total": Total("sum", F.col("v")), "n": Total("count", F.col("v")), "hi": Total("max", F.col("v")),
     }
 
 
@@ -77,6 +77,68 @@ def test_blocks_are_bounded_whatever_the_key_and_the_values(spark, monkeypatch):
     assert laid[-1].groupBy("__b").count().agg(F.max("count")).first()[0] <= 1.5 * n / parts
 
 
+def test_a_run_of_equal_values_is_cut_and_its_rows_see_each_other(spark, monkeypatch):
+    """Two thirds of the rows have one key and one of three days; the blocks are even all the same."""
+    from martlib.operators import ordered as module
+
+    laid = []
+    monkeypatch.setattr(module, "cut_lineage", lambda df: laid.append(df.cache()) or laid[-1])
+    n = 8_000
+    day = F.when(F.col("id") < n // 2, F.lit(dt.date(2024, 1, 5))).otherwise(F.date_add(F.lit(dt.date(2024, 1, 4)), (F.col("id") % 3).cast("int")))
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 != 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 50).cast("string"))).alias("key"),
+        F.when(F.col("id") % 11 != 0, day).alias("day"), (F.col("id") % 5).cast("int").alias("v"), F.lit("x").alias("same")).repartition(4)
+    outs = {
+        "cnt": RunningCount(F.col("v") == 3, "range"), "mn": RunningMin(F.col("v")), "last": LastValue(F.col("same")), "first": FirstValue(F.col("same")),
+        "late": LastValue(F.when(F.col("day") == F.lit(dt.date(2024, 1, 5)), F.col("same"))), "dense": DenseRank(), "rank": Rank(),
+        "next": NextValue(F.when(F.col("day") == F.lit(dt.date(2024, 1, 5)), F.col("same"))),
+    }
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for order in (["day"], ["-day"]):
+        plain = ordered(df, ["key"], order, outs, split=False)
+        blocked = ordered(df, ["key"], order, outs)
+        assert plain.exceptAll(blocked).count() == 0 and blocked.exceptAll(plain).count() == 0
+        sizes = laid[-1].groupBy("__b").count()
+        assert sizes.count() == parts and sizes.agg(F.max("count")).first()[0] <= 1.5 * n / parts
+    numbered = ordered(df, ["key"], ["day"], {"rn": RowNumber()}).groupBy("key").agg(F.count_distinct("rn").alias("d"), F.max("rn").alias("m"), F.count("rn").alias("n"))
+    assert numbered.where("d <> n or m <> n").count() == 0
+
+
+@pytest.mark.parametrize("order", [["ts", "id"], ["-ts"]])
+def test_chained_steps_see_each_other(spark, order):
+    df = events(spark, 6)
+    x = F.col("label") == "x"
+    steps = [
+        {"before": Lag(F.col("label"))} if len(order) > 1 else {"before": RunningMin(F.col("v"))},
+        lambda d: d.filter(F.col("before").isNull() | (F.col("v") > 0)).withColumn("moved", F.col("before").isNull() | x),
+        {"n": RunningCount(F.col("moved"), "range"), "rank": Rank()},
+        (["n", "label"], {"inner": DenseRank(), "s": Total("count", F.col("v")), "f": FirstValue(F.col("v"))} if len(order) > 1 else {"inner": DenseRank(), "s": Total("count", F.col("v"))}),
+        {"label": LastValue(F.col("inner"))} if len(order) > 1 else {"label": RunningMin(F.col("inner"))},
+    ]
+    plain = chained(df, ["key"], order, steps, split=False)
+    blocked = chained(df, ["key"], order, steps)
+    assert blocked.columns == plain.columns or sorted(blocked.columns) == sorted(plain.columns)
+    plain = plain.select(*blocked.columns)
+    assert plain.exceptAll(blocked).count() == 0 and blocked.exceptAll(plain).count() == 0
+
+
+def test_later_steps_do_not_move_the_rows(spark, monkeypatch):
+    """After the written first step there is no exchange of rows: only of summaries, which are aggregates."""
+    from martlib.operators import ordered as module
+
+    written = []
+    real = module.cut_lineage
+    monkeypatch.setattr(module, "cut_lineage", lambda df: written.append(1) or real(df))
+    out = chained(events(spark, 7), ["key"], ["ts", "id"], [{"p": Lag(F.col("label"))}, lambda d: d.withColumn("m", F.col("p") == "x"), {"n": RunningCount(F.col("m"))}, {"l": Lead(F.col("n"))}])
+    assert len(written) == 1
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    detail = [line for line in plan.splitlines() if "Exchange" in line and "BroadcastExchange" not in line]
+    assert all("hashpartitioning" in line for line in detail)
+    # the rows' own branch: from the top down to the first broadcast no exchange
+    top = plan[:plan.index("BroadcastExchange")]
+    assert "Exchange hashpartitioning" not in top
+
+
 def test_group_limit_runs_before_the_shuffle(spark):
     plan = W.keep_first(events(spark, 8), ["key"], ["ts", "id"])._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
