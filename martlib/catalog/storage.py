@@ -135,6 +135,27 @@ def _(spark, d):
     return spark.read.parquet(path).select("event_id", "value", "event_date")
 
 
+_NULL_KEY = "CASE WHEN event_id % 10 <> 0 THEN event_id END"
+
+
+@query("a8_upsert_null_key", f"""
+WITH target AS (SELECT {_NULL_KEY} AS k, value, CAST(ts AS DATE) AS event_date FROM events WHERE event_id % 3 <> 0
+  QUALIFY row_number() OVER (PARTITION BY {_NULL_KEY} ORDER BY ts DESC, event_id) = 1),
+upd AS (SELECT {_NULL_KEY} AS k, value + 1000 AS value, CAST(ts AS DATE) AS event_date FROM events WHERE event_id % 2 = 0 AND ts >= TIMESTAMP '2024-01-20'
+  QUALIFY row_number() OVER (PARTITION BY {_NULL_KEY} ORDER BY ts DESC, event_id) = 1)
+SELECT * FROM upd UNION ALL SELECT * FROM target t WHERE NOT EXISTS (SELECT 1 FROM upd u WHERE u.k IS NOT DISTINCT FROM t.k)
+""")
+def _(spark, d):
+    """A tenth of the rows has no key; the same batch is loaded twice."""
+    e = F.col("event_id")
+    ev = table(spark, d, "events").select(F.when(e % 10 != 0, e).alias("k"), "value", "ts", F.col("ts").cast("date").alias("event_date"), "event_id")
+    path = scratch(spark, "null-key")
+    recent = ev.filter((e % 2 == 0) & (F.col("ts") >= F.lit("2024-01-20").cast("timestamp_ntz"))).withColumn("value", F.col("value") + 1000)
+    for rows in (ev.filter(e % 3 != 0), recent, recent):
+        writers.upsert_partitions(rows, path, ["k"], "event_date", ["-ts", "event_id"])
+    return spark.read.parquet(path).select("k", "value", "event_date")
+
+
 @query("a9_lookback", """
 SELECT event_id, CAST(ts AS DATE) AS event_date FROM events
 WHERE CAST(ts AS DATE) BETWEEN

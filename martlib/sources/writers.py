@@ -2,8 +2,9 @@
 
 Partition overwrites never read and replace the same files in one plan: the
 new content is written to a staging folder first, then moved in with dynamic
-partition overwrite. A job that dies in between leaves the old partitions
-whole, and running it again gives the same result.
+partition overwrite. The commit replaces one partition after the other; a job
+that dies in between leaves days that are new and days that are old, each whole,
+and running it again gives the same result.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martlib.operators.ordered import join_null_safe
 from martlib.operators.sets import union_by_name
 from martlib.operators.windows import keep_first
 
@@ -87,10 +89,11 @@ def merge_by_key(target: DataFrame, updates: DataFrame, key: Sequence[str], orde
     """Keyed upsert as a DataFrame: one row per key, updates before target rows, then by ``order``.
 
     Only the keys are compared with the target, which is not sorted: an anti
-    join removes replaced rows.
+    join removes replaced rows. NULL is a key like any other: it matches NULL, so
+    a batch that is loaded again leaves the same table.
     """
     newest = keep_first(updates, key, [*order, *[c for c in key if c not in order]])
-    kept = target.join(newest.select(*key), list(key), "left_anti")
+    kept = join_null_safe(target, newest.select(*key), list(key), "left_anti")
     return union_by_name(kept, newest)
 
 
@@ -115,7 +118,7 @@ def upsert_partitions(updates: DataFrame, path: str, key: Sequence[str], by: str
     keys = updates.select(*key).distinct()
     # partition values are days: the list is bounded by the calendar, not by the data
     touched = (
-        searched.join(keys, list(key), "left_semi").select(by).union(updates.select(by)).distinct()
+        join_null_safe(searched, keys, list(key), "left_semi").select(by).union(updates.select(by)).distinct()
     )
     days = [r[0] for r in touched.collect()]
     if not days:
@@ -133,7 +136,8 @@ def _delete(spark, path: str) -> None:
 def overwrite_partitions(df: DataFrame, path: str, by: str, cluster: Sequence[str] = (), replaced: Sequence = ()) -> None:
     """Replace the partitions that occur in ``df``; others stay untouched.
 
-    Partitions listed in ``replaced`` that end up without rows are removed.
+    Partitions listed in ``replaced`` that end up without rows are removed. The
+    rows are computed in full before the first partition is touched.
     """
     spark = df.sparkSession
     staging = f"{path.rstrip('/')}__staging_{uuid.uuid4().hex}"

@@ -136,6 +136,19 @@ def test_jdbc_reader_is_partitioned(monkeypatch):
     assert seen == {"format": "jdbc", "url": "u", "dbtable": "orders", "partitionColumn": "id", "lowerBound": 0, "upperBound": 100, "numPartitions": 8}
 
 
+def test_null_keys_are_replaced_like_others(spark, rows, tmp_path):
+    path, schema = str(tmp_path / "t"), "a int, b string, v int, day date"
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    batch = rows(schema, [(None, "x", 1, d1), (None, "x", 2, d1), (None, None, 3, d1), (1, None, 4, d2), (1, "x", 5, d2)])
+    want = [(None, "x", 2, d1), (None, None, 3, d1), (1, None, 4, d2), (1, "x", 5, d2)]
+    for _ in range(3):
+        writers.upsert_partitions(batch, path, ["a", "b"], "day", ["-v"])
+        assert rows.sorted(spark.read.parquet(path), "a", "b", "v", "day") == sorted(want, key=repr)
+    # a key with NULL moves to another day
+    writers.upsert_partitions(rows(schema, [(None, "x", 9, d2)]), path, ["a", "b"], "day", ["-v"])
+    assert rows.sorted(spark.read.parquet(path), "a", "b", "v", "day") == sorted([(None, "x", 9, d2), *want[1:]], key=repr)
+
+
 def test_stream_dedup_and_upsert(spark, rows, tmp_path):
     src, out = str(tmp_path / "in"), str(tmp_path / "out")
     data = rows("id int, ts timestamp, day date, v int", [(i % 10, dt.datetime(2024, 1, 1, i), day(0), i) for i in range(20)])
