@@ -7,11 +7,23 @@ predicts the text well: phrases * log2(reference length) / text length is an
 upper estimate of the cross entropy, and the language with the smallest wins.
 
 The automata are turned into transition tables, so that thousands of text blocks
-walk through all languages in lockstep, one symbol a step.
+walk through all languages in lockstep, one symbol a step. Where letters are so many
+that full tables would be large, edges are looked up in a sorted list instead.
+
+``keep_known`` rejects texts that no reference predicts. How many phrases a symbol a
+text of a learned language may need depends on its length, so the limits are
+measured: on pieces of every length class of labelled texts that are in no reference.
+
+Bounds of the sample that is learned from: of the ``LANGUAGES`` languages with most
+labelled texts, ``SAMPLE_ROWS`` texts for the reference and ``CALIBRATION_ROWS`` more for
+the limits, of which a window of ``ROW_SYMBOLS`` (``CALIBRATION_SYMBOLS``) symbols at a place
+given by a hash of the key.
 
 Cases: a null text, or one without a letter, is ``und`` with score 0; so is every
 text if nothing was learned. Rows with a null id are predicted, never learned
-from. Repeated rows get equal answers. Ties go to the language first by name.
+from. Repeated rows get equal answers, and an id that repeats is one text of the
+sample (the smallest). Ties go to the language first by name. Columns named like the
+results are replaced by them in ``identify``; ``keep_known`` keeps all columns.
 """
 
 from __future__ import annotations
@@ -23,17 +35,25 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from martlib.llm.registry import query, table
+from martlib.llm.registry import free_name, query, table
 from martlib.llm.texts import column_bytes, slices
 
+LANGUAGES = 200  # languages learned, at most: those with most labelled documents
 SAMPLE_ROWS = 48  # labelled documents a language's reference is drawn from, at most
 SAMPLE_SYMBOLS = 12_000  # length of a reference, at most: bounds the tables of all languages together
-ROW_SYMBOLS = 1_000  # symbols one document gives to a reference, so that it has many authors
+ROW_SYMBOLS = 250  # symbols one document gives to a reference, so that all of them have a part
+CALIBRATION_ROWS = 96  # further labelled documents a language that the limits are measured on, at most
+CALIBRATION_SYMBOLS = 1_000
+CALIBRATION_LEAST = 100  # pieces from which on a length class has a limit of its own
+MARGIN = 1.15  # a text may need so many times the phrases of the worst piece
+DENSE_CELLS = 1 << 23  # full tables have at most so many cells, 32 MB
 SHORT_REFERENCE = 4_096  # shorter references count as this long, or a few words would make every phrase cheap
 BLOCK = 1_024  # texts are parsed in blocks of so many symbols
 GAP, OTHER = 0, 1  # symbols of everything between words, and of letters no reference has
-MAX_RATE = 0.6  # phrases a symbol from which on a text counts as no text of a learned language
+SHORT = 8  # texts of fewer symbols are too short to be rejected
+MAX_RATE = 0.6  # phrases a symbol that a text under 32 symbols may need in any case, and longer ones where no limit could be measured
 
 
 @cache
@@ -102,35 +122,47 @@ class Parser:
         self.symbol_of[0] = GAP
         for i, c in enumerate(used):
             self.symbol_of[c] = i + 2
-        width = len(used) + 2
-        parts, self.roots, at = [], [], 0
+        width = self.width = len(used) + 2
+        automata, self.roots, at = [], [], 0
         for name in self.languages:
-            go = automaton([int(self.symbol_of[c]) for c in codes[name]])
-            # a symbol that cannot extend the phrase ends it (low bit) and starts the next one from the root
-            start = np.full(width, at * width * 2 + 1, np.int64)
-            for s, to in go[0].items():
-                start[s] = (at + to) * width * 2 + 1
-            part = np.tile(start, (len(go), 1))
-            for state, out in enumerate(go):
-                for s, to in out.items():
-                    part[state, s] = (at + to) * width * 2
-            parts.append(part)
+            automata.append(automaton([int(self.symbol_of[c]) for c in codes[name]]))
             self.roots.append(at * width)
-            at += len(go)
-        self.next = np.concatenate(parts).ravel() if parts else np.zeros(0, np.int64)
-        if len(self.next) * 2 < 2**31:
-            self.next = self.next.astype(np.int32)
+            at += len(automata[-1])
+        # a symbol that cannot extend the phrase ends it (low bit) and starts the next one from the root
+        start = np.repeat(np.array(self.roots, np.int64)[:, None] * 2 + 1, width, axis=1)
+        for i, go in enumerate(automata):
+            for s, to in go[0].items():
+                start[i, s] = (self.roots[i] + to * width) * 2 + 1
+        self.dense = at * width <= DENSE_CELLS
+        if self.dense:
+            parts = [np.tile(start[i], (len(go), 1)) for i, go in enumerate(automata)]
+            for root, go, part in zip(self.roots, automata, parts, strict=True):
+                for state, out in enumerate(go):
+                    for s, to in out.items():
+                        part[state, s] = (root + to * width) * 2
+            self.next = np.concatenate(parts).ravel().astype(np.int32) if parts else np.zeros(0, np.int32)
+        else:
+            edges = np.array(sorted((root + state * width + s, (root + to * width) * 2) for root, go in zip(self.roots, automata, strict=True) for state, out in enumerate(go) for s, to in out.items()), np.int64)
+            self.edge, self.to, self.start = np.ascontiguousarray(edges[:, 0]), np.ascontiguousarray(edges[:, 1]), start
         self.bits = np.array([np.log2(max(SHORT_REFERENCE, len(references[k]))) for k in self.languages])
 
+    def step(self, state: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """The next states, doubled; the low bit says that a phrase ended."""
+        if self.dense:
+            return self.next.take(state + symbols)
+        at = state + symbols
+        place = np.minimum(np.searchsorted(self.edge, at), len(self.edge) - 1)
+        return np.where(self.edge[place] == at, self.to[place], self.start[:, symbols])
+
     def phrases(self, symbols: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Phrases of each block in each language."""
         order = np.argsort(-lengths, kind="stable")
         starts, lengths = starts[order], lengths[order]
-        state = np.repeat(np.array(self.roots, self.next.dtype)[:, None], len(starts), axis=1)
+        state = np.repeat(np.array(self.roots, np.int32 if self.dense else np.int64)[:, None], len(starts), axis=1)
         count = np.ones(state.shape, np.int32)
         live = np.searchsorted(-lengths, -np.arange(lengths[0] if len(lengths) else 0), "left")
         for t, k in enumerate(live):
-            got = self.next.take(state[:, :k] + symbols.take(starts[:k] + t))
+            got = self.step(state[:, :k], symbols.take(starts[:k] + t))
             count[:, :k] += got & 1
             np.right_shift(got, 1, out=state[:, :k])
         out = np.empty_like(count)
@@ -162,9 +194,9 @@ def parser(references: dict[str, str]) -> Parser:
     return _parsers[key]
 
 
-def predict(texts: pa.Array, references: dict[str, str]) -> tuple[list[str], list[float], list[float]]:
-    """Language, score and phrases per symbol of each text."""
-    names, scores, best_rates = [], [], []
+def predict(texts: pa.Array, references: dict[str, str]) -> tuple[list[str], list[float], list[float], list[int]]:
+    """Language, score, phrases per symbol and symbols of each text."""
+    names, scores, best_rates, lengths = [], [], [], []
     p = parser(references)
     data, offsets = column_bytes(texts)
     for lo, hi in slices(offsets):
@@ -177,8 +209,10 @@ def predict(texts: pa.Array, references: dict[str, str]) -> tuple[list[str], lis
             names += ["und"] * (hi - lo)
             scores += [0.0] * (hi - lo)
             best_rates += [1.0] * (hi - lo)
+            lengths += [0] * (hi - lo)
             continue
-        rates, _ = p.rates(codes, at)
+        rates, sizes = p.rates(codes, at)
+        lengths += sizes.tolist()
         cost = rates * p.bits[:, None]
         best = np.argmin(cost, axis=0)
         rows = np.arange(hi - lo)
@@ -190,45 +224,80 @@ def predict(texts: pa.Array, references: dict[str, str]) -> tuple[list[str], lis
         names += [p.languages[b] if ok else "und" for b, ok in zip(best, has_letter, strict=True)]
         scores += np.where(has_letter, score, 0.0).tolist()
         best_rates += np.where(has_letter, rates[best, rows], 1.0).tolist()
-    return names, scores, best_rates
+    return names, scores, best_rates, lengths
 
 
-def references(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> dict[str, str]:
-    """A bounded sample of the labelled rows as one reference for each language.
+Drawn = list[tuple[str, int, str]]  # language, rank, letters
 
-    At most ``SAMPLE_ROWS`` rows and ``SAMPLE_SYMBOLS`` symbols a language,
-    drawn in the order of a hash of the key. The rows are ranked without their
-    texts, and Spark limits the ranks before the shuffle.
+
+def draw(labelled: DataFrame, rows: int, text: str = "text", lang: str = "lang", key: str = "doc_id") -> Drawn:
+    """A window of letters of at most ``rows`` labelled documents a language, in the order of a hash of the key.
+
+    Distinct keys are ranked without their texts, and Spark limits the ranks
+    before the shuffle. One text for each drawn key reaches the driver, cut to a
+    window at a place that the key's hash gives.
     """
-    rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(key).alias("key")).where("text is not null and lang is not null and key is not null")
+    given = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(key).alias("key")).where("text is not null and lang is not null and key is not null")
+    keys = given.select("lang", "key").distinct()
+    most = keys.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key")
-    drawn = rows.select("lang", "key").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLE_ROWS).distinct()
-    got = rows.join(F.broadcast(drawn), ["lang", "key"]).select("lang", "rank", "key", F.substring("text", 1, 8 * ROW_SYMBOLS).alias("text")).collect()
-    out: dict[str, str] = {}
-    for r in sorted(got, key=lambda r: (r["lang"], r["rank"], r["key"], r["text"])):
-        have = out.get(r["lang"], "")
-        if len(have) >= SAMPLE_SYMBOLS:
-            continue
+    # at most LANGUAGES * rows keys
+    drawn = keys.join(F.broadcast(most), "lang").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= rows)
+    place = F.pmod(F.xxhash64("key", F.lit(1)), F.greatest(F.lit(1), F.length("text") - 4 * CALIBRATION_SYMBOLS)) + 1
+    window = F.substring(F.col("text"), place.cast("int"), F.lit(4 * CALIBRATION_SYMBOLS))
+    got = given.join(F.broadcast(drawn), ["lang", "key"]).groupBy("lang", "rank").agg(F.min(window).alias("text")).collect()
+    out = []
+    for r in sorted(got, key=lambda r: (r["lang"], r["rank"])):
         codes = letter_codes(np.frombuffer(r["text"].encode(), np.uint8))
         codes, _ = squeeze(codes, np.array([0, len(codes)]))
-        more = "".join(chr(c) if c else " " for c in codes[:ROW_SYMBOLS])
-        if more.strip():
-            out[r["lang"]] = (have + more + " ")[:SAMPLE_SYMBOLS]
+        out.append((r["lang"], r["rank"], "".join(chr(c) if c else " " for c in codes)))
+    return out
+
+
+def references_of(drawn: Drawn) -> dict[str, str]:
+    out: dict[str, str] = {}
+    for lang, rank, letters_ in drawn:
+        more = letters_[:ROW_SYMBOLS]
+        if rank <= SAMPLE_ROWS and more.strip():
+            out[lang] = (out.get(lang, "") + more + " ")[:SAMPLE_SYMBOLS]
     return out
 
 
-def identify(docs: DataFrame, learned: dict[str, str], text: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred``, ``score`` (0 to 1) and ``phrase_rate`` (phrases per symbol)."""
+def references(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> dict[str, str]:
+    """A bounded sample of the labelled rows as one reference for each language."""
+    return references_of(draw(labelled, SAMPLE_ROWS, text, lang, key))
+
+
+def rate_limits(learned: dict[str, str], drawn: Drawn) -> list[float]:
+    """Most phrases a symbol of texts of 1, 2, 4, ... symbols, from the drawn texts that are in no reference."""
+    p, limits = Parser(learned), []
+    held = [x[:CALIBRATION_SYMBOLS] for lang, rank, x in drawn if rank > SAMPLE_ROWS and lang in learned]
+    size = 1
+    while size <= CALIBRATION_SYMBOLS // 2:
+        pieces = [x[i:i + size] for x in held for i in range(0, len(x) - size + 1, size) if x[i:i + size].strip()]
+        limit = MAX_RATE
+        if len(pieces) >= CALIBRATION_LEAST:
+            codes = np.array([ord(c) if c != " " else 0 for c in "".join(pieces)], np.int64)
+            rates, _ = p.rates(codes, np.arange(len(pieces) + 1) * size)
+            limit = MARGIN * float(rates.min(axis=0).max())
+        limits.append(max(limit, MAX_RATE) if size < 32 else limit)
+        size *= 2
+    return limits
+
+
+def identify(docs: DataFrame, learned: dict[str, str], text: str = "text", names: tuple[str, ...] = ("lang_pred", "score", "phrase_rate")) -> DataFrame:
+    """``docs`` with ``lang_pred``, ``score`` (0 to 1) and ``phrase_rate`` (phrases per symbol); a fourth name adds the symbols."""
     fields = [f.name for f in docs.schema.fields]
+    kept = [i for i, f in enumerate(fields) if f.lower() not in {x.lower() for x in names}]
+    kinds = [(pa.string(), T.StringType()), (pa.float64(), T.DoubleType()), (pa.float64(), T.DoubleType()), (pa.int64(), T.LongType())][:len(names)]
+    at = fields.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = predict(b.column(fields.index(text)), learned)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got[0], pa.string()), pa.array(got[1], pa.float64()), pa.array(got[2], pa.float64())], [*fields, "lang_pred", "score", "phrase_rate"])
-
-    from pyspark.sql import types as T
+            got = predict(b.column(at), learned)
+            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in kept], *[pa.array(x, kind) for x, (kind, _) in zip(got, kinds, strict=False)]], [*[fields[i] for i in kept], *names])
 
-    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("phrase_rate", T.DoubleType())])
+    schema = T.StructType([*[docs.schema.fields[i] for i in kept], *[T.StructField(n, kind) for n, (_, kind) in zip(names, kinds, strict=True)]])
     return docs.mapInArrow(run, schema)
 
 
@@ -237,14 +306,36 @@ def is_held_out(key: str = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(key).cast("string")), F.lit(5)) == 0, F.lit(False))
 
 
+def learnable(docs: DataFrame) -> DataFrame:
+    return docs.where(~is_held_out() & F.col("lang").isNotNull())
+
+
 def learn(docs: DataFrame) -> dict[str, str]:
-    return references(docs.where(~is_held_out() & F.col("lang").isNotNull()))
+    return references(learnable(docs))
+
+
+def rate_limit(symbols: Column, limits: list[float]) -> Column:
+    """The limit of a text, between those of the length classes around it."""
+    if not limits:
+        return F.lit(MAX_RATE)
+    x = F.least(F.log2(F.greatest(symbols, F.lit(1)).cast("double")), F.lit(float(len(limits) - 1)))
+    table_ = F.array(*[F.lit(float(v)) for v in limits])
+    lo = F.floor(x).cast("int")
+    a, b = F.get(table_, lo), F.coalesce(F.get(table_, lo + 1), F.get(table_, lo))
+    return a + (b - a) * (x - lo)
 
 
 def keep_known(docs: DataFrame) -> DataFrame:
-    """Documents in a learned language; ``und`` and texts that no reference predicts are rejected."""
-    cols = docs.columns
-    return identify(docs, learn(docs)).where((F.col("lang_pred") != "und") & (F.col("phrase_rate") <= MAX_RATE)).select(*cols)
+    """Documents in a learned language; ``und`` and texts that no reference predicts are rejected.
+
+    Texts of fewer than ``SHORT`` symbols are kept if they have a letter: they are too short to tell.
+    """
+    drawn = draw(learnable(docs), SAMPLE_ROWS + CALIBRATION_ROWS)
+    learned = references_of(drawn)
+    names = tuple(free_name(docs.columns, x) for x in ("_lang_pred", "_lang_score", "_lang_rate", "_lang_symbols"))
+    pred, _, rate, symbols = (F.col(x) for x in names)
+    limit = rate_limit(symbols, rate_limits(learned, drawn)) if learned else F.lit(0.0)
+    return identify(docs, learned, names=names).where((pred != "und") & ((symbols < SHORT) | (rate <= limit))).select(*docs.columns)
 
 
 @query("op7_language")

@@ -58,3 +58,52 @@ def test_rejects_only_what_is_no_language(spark):
     assert kept.columns == docs.columns
     assert {r[0] for r in docs.select("doc_id").collect()} - {r[0] for r in kept.select("doc_id").collect()} == set()
     assert not {r[0] for r in kept.select("doc_id").collect()} & {-1, -2, -3}
+
+
+def test_other_languages_go_and_short_texts_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").limit(4000)
+    # noisy short texts of a learned language need as many phrases as a sentence of a related one; three sentences are told apart
+    foreign = [
+        "La ricerca della felicità è una delle grandi domande della filosofia occidentale e molti autori ne hanno scritto negli ultimi secoli. Oggi il mercato apre presto e gli abitanti del quartiere comprano pesce fresco e verdura. Quando piove i bambini restano a casa e leggono vecchi libri di viaggio",
+        "De regering heeft vandaag besloten dat de nieuwe wet volgend jaar in werking zal treden voor alle inwoners van het koninkrijk. Gisteravond keken duizenden mensen naar het vuurwerk boven de rivier. Volgens de burgemeester blijft de oude brug nog jaren gesloten omdat het onderzoek naar de scheuren traag verloopt",
+        "Rząd postanowił dzisiaj że nowa ustawa wejdzie w życie w przyszłym roku dla wszystkich mieszkańców naszego pięknego kraju. Wczoraj wieczorem dzieci bawiły się nad rzeką a ich rodzice przygotowali kolację. Pociąg do Krakowa odjeżdża codziennie o siódmej rano",
+    ]
+    rows = [(-1 - i, t) for i, t in enumerate(foreign)] + [(-10 - i, t) for i, t in enumerate(["Ok", "a", "the", "Nein!", "12 I"])]
+    more = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "text", "null lang", "null source", "0L n_chars")
+    kept = {r[0] for r in language.keep_known(docs.unionByName(more)).select("doc_id").collect()}
+    assert not kept & {-1, -2, -3}
+    assert {-10, -11, -12, -13, -14} <= kept
+    assert {r[0] for r in docs.select("doc_id").collect()} <= kept
+
+
+def test_a_repeated_id_is_one_text_of_the_sample(spark):
+    rows = [(7, f"the same id has many texts number {i}", "en") for i in range(3000)] + [(i, f"der text {i}", "de") for i in range(100, 160)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    drawn = language.draw(df, 48)
+    assert len(drawn) == 1 + 48 and [x for x in drawn if x[0] == "en"][0][2].startswith("the same id has many texts number")
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "der hund und die katze", "de", "x", 5, 6.0, "r"), (2, "123", "de", "y", 5, 6.0, "r")], "doc_id long, text string, lang string, Lang_pred string, score int, phrase_rate double, _lang_rate string")
+    got = language.identify(df, LEARNED)
+    assert got.columns == ["doc_id", "text", "lang", "_lang_rate", "lang_pred", "score", "phrase_rate"] and got.collect()[0]["lang_pred"] == "de"
+    kept = language.keep_known(df)
+    assert kept.columns == df.columns and [tuple(r) for r in kept.collect()] == [tuple(df.collect()[0])]
+
+
+def test_many_letters_stay_small_and_give_the_same(monkeypatch):
+    import random
+    rng = random.Random(2)
+    many = {k: "".join(chr(0x4E00 + rng.randrange(2500)) for _ in range(12_000)) for k in ("x", "y")}
+    p = language.Parser(many)
+    assert not p.dense and p.edge.nbytes + p.to.nbytes + p.start.nbytes < 50 << 20
+    text = many["x"][100:400] + many["y"][50:90] + "abc"
+    codes = np.array([ord(c) for c in text])
+    rates, _ = p.rates(codes, np.array([0, len(codes)]))
+    assert rates[0, 0] < rates[1, 0]
+    dense = language.Parser(LEARNED)
+    monkeypatch.setattr(language, "DENSE_CELLS", 0)
+    sparse = language.Parser(LEARNED)
+    codes = language.letter_codes(np.frombuffer("the hund und katze xx this 日 man".encode(), np.uint8))
+    assert dense.dense and not sparse.dense
+    assert (dense.rates(codes, np.array([0, 5, len(codes)]))[0] == sparse.rates(codes, np.array([0, 5, len(codes)]))[0]).all()
