@@ -19,6 +19,11 @@ A '=' is only part of a token as its padding, so the value of ``NAME=value`` is
   in every band of length over all tokens of the corpus, short and long ones
   apart. The counts by band and p-value class are a bounded table.
 
+The battery's hypothesis is that a token is random, the discovery's that it is
+text: a small p-value of the tests speaks against a secret and cannot be put under
+a rule that looks for small ones. So the tests admit a token, and the rule controls
+the share of text among those admitted, by the p-value of text.
+
 A token is added as ``random`` if it is random-looking, discovered, holds a digit
 and a letter, and does not lie within a base span; a part, if it also does not lie
 within a larger one that was added.
@@ -31,6 +36,8 @@ prefix that is checked.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -81,22 +88,60 @@ def between(text: Column, pattern: str, matches: Column) -> Column:
     return F.when(F.size(matches) > 0, F.split(text, pattern, -1)).otherwise(F.array().cast("array<string>"))
 
 
+def let(value: Column, fn) -> Column:
+    """``fn`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
+CHUNK = 64  # elements scanned at a time; an array of n costs n * CHUNK + (n / CHUNK) ** 2
+
+
+def running(values: Column, merge) -> Column:
+    """Running sums or maxima of an array of longs, by chunks: those of the chunks first, then inside each."""
+    def scan(part: Column, start: Column) -> Column:
+        zero = F.struct(start.cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("out"))
+        step = lambda acc, x: let(merge(acc["at"], x), lambda v: F.struct(v.alias("at"), F.concat(acc["out"], F.array(v)).alias("out")))
+        return F.aggregate(part, zero, step, lambda acc: acc["out"])
+
+    def chunks(held: Column) -> Column:
+        parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(held) - 1) / CHUNK).cast("int")), lambda c: F.slice(held, c * CHUNK + 1, F.lit(CHUNK)))
+        return let(parts, placed)
+
+    def placed(parts: Column) -> Column:
+        totals = F.transform(parts, lambda part: F.aggregate(part, F.lit(0).cast("bigint"), merge))
+        before = F.concat(F.array(F.lit(0).cast("bigint")), F.slice(scan(totals, F.lit(0)), F.lit(1), F.size(parts) - 1))
+        return F.flatten(F.zip_with(parts, before, scan))
+
+    return let(values, lambda held: F.when(F.size(held) > 0, chunks(held)).otherwise(held))
+
+
 def places(matches: Column, pieces: Column) -> Column:
     """``(start, end, match)`` of each match, from the lengths of the matches and of the text between them."""
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<struct<start:bigint,end:bigint,match:string>>").alias("out"))
+    steps = F.zip_with(matches, F.slice(pieces, F.lit(1), F.size(matches)), lambda m, before: (F.length(m) + F.length(before)).cast("bigint"))
+    ends = running(steps, lambda a, b: a + b)
+    one = lambda m, end: F.struct((end - F.length(m)).alias("start"), end.alias("end"), m.alias("match"))
+    return F.when(F.size(matches) > 0, F.zip_with(matches, ends, one)).otherwise(F.array().cast("array<struct<start:bigint,end:bigint,match:string>>"))
+
 
-    def step(acc, i):
-        s = acc["at"] + F.length(F.get(pieces, i))
-        e = s + F.length(F.get(matches, i))
-        return F.struct(e.cast("bigint").alias("at"), F.concat(acc["out"], F.array(F.struct(s.cast("bigint").alias("start"), e.cast("bigint").alias("end"), F.get(matches, i).alias("match")))).alias("out"))
+def not_within(found_places: Column, spans: Column) -> Column:
+    """The places that lie in none of the spans: no span that starts before or at one reaches its end."""
+    marks = F.transform(spans, lambda b: F.struct(b["start"].alias("start"), F.lit(0).alias("kind"), b["end"].alias("end"), F.lit(None).cast("string").alias("match")))
+    asked = F.transform(found_places, lambda x: F.struct(x["start"].alias("start"), F.lit(1).alias("kind"), x["end"].alias("end"), x["match"].alias("match")))
 
-    return F.when(F.size(matches) > 0, F.aggregate(F.sequence(F.lit(0), F.size(matches) - 1), start, step, lambda acc: acc["out"])).otherwise(start["out"])
+    def swept(line: Column) -> Column:
+        reach = running(F.transform(line, lambda x: F.when(x["kind"] == 0, x["end"]).otherwise(F.lit(0)).cast("bigint")), lambda a, b: F.greatest(a, b))
+        free = F.zip_with(line, reach, lambda x, end: F.when((x["kind"] == 1) & (x["end"] > end), F.struct(x["start"].alias("start"), x["end"].alias("end"), x["match"].alias("match"))))
+        return F.array_compact(free)
+
+    return F.when(F.size(found_places) > 0, let(F.array_sort(F.concat(marks, asked)), swept)).otherwise(found_places)
 
 
 def normal_tail(z: Column) -> Column:
-    """P(Z > z), by the logistic approximation (error under 2e-4)."""
-    z = F.greatest(F.lit(-8.0), F.least(F.lit(8.0), z))
-    return 1 / (1 + F.exp(1.5976 * z + 0.07056 * z * z * z))
+    """P(Z > z), by a rational approximation of the error function (error under 1e-7)."""
+    x = F.least(F.lit(8.0), F.abs(z)) / math.sqrt(2)
+    t = 1 / (1 + 0.3275911 * x)
+    half = t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429)))) * F.exp(-x * x) / 2
+    return F.when(z >= 0, half).otherwise(1 - half)
 
 
 def encoding(token: Column) -> Column:
@@ -142,9 +187,6 @@ def tests(token: Column) -> Column:
 
     counts = F.struct(n.alias("n"), lower.alias("l"), upper.alias("u"), digit.alias("d"), (n - lower - upper - digit).alias("s"))
 
-    def let(value, fn):
-        return F.get(F.transform(F.array(value), fn), F.lit(0))
-
     g = let(counts, lambda x: 2 * x["n"] * F.least(divergence(x, TEXT_MIX), divergence(x, CAPITALS_MIX)))
     text = let(g, lambda x: F.when(x > 3, x / 2 - 1.5 * (1 + F.log(x / 3))).otherwise(0.0))
     random = F.when(alphabet.isNull(), F.lit(0.0)).otherwise(let(let(F.struct(body.alias("body"), alphabet.alias("alphabet")), with_parts), with_statistics))
@@ -195,14 +237,11 @@ def scan(docs: DataFrame, least: dict[int, int], text: str = "text") -> DataFram
         discovered = lambda x: p_class(x["text"]) >= F.coalesce(F.element_at(limit, band(F.length(x["match"]))), F.lit(CLASSES + 1))
         extra = F.array().cast(SPAN)
 
-        def outside(larger):
-            return lambda x: ~F.exists(larger, lambda b: (b["start"] <= x["start"]) & (b["end"] >= x["end"]))
-
         for k in TESTED:
             # parts come after what they are parts of
             before = f"{P}before_{k}"
             df = df.select("*", F.concat("base_spans", extra).alias(before))
-            open_places = F.filter(F.col(f"{P}s_{k}"), outside(before))
+            open_places = not_within(F.col(f"{P}s_{k}"), F.col(before))
             tested = F.transform(open_places, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["match"].alias("match"), tests(x["match"]).alias("t")))
             df = df.select("*", tested.alias(f"{P}tested_{k}"))
             flat = F.transform(F.col(f"{P}tested_{k}"), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["match"].alias("match"), x["t"]["p"].alias("p"), x["t"]["text"].alias("text")))

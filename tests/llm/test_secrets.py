@@ -1,6 +1,7 @@
 import random
 
 from brute import base_spans, joined, sha
+from pyspark.sql import functions as F
 
 from martlib.llm import secrets
 
@@ -97,3 +98,32 @@ def test_redact(spark):
     assert got.columns == df.columns
     assert {r["doc_id"]: r["text"] for r in got.collect()} == {1: 'é [SECRET]" end', 2: None, 3: "plain", 4: "[SECRET] and [SECRET]"}
     assert secrets.redact(df.limit(0)).count() == 0
+
+
+def test_many_matches_in_one_text_take_time_in_proportion(spark):
+    import time
+
+    def seconds(n):
+        rows = [(1, "secret=abcdefg " * n + "x1Y2" * 3), (2, ("/" + "q7Rt9Lm2Kp4Xz8Vb6Nc1W" + " ") * n)]
+        t = time.perf_counter()
+        check(report(spark, rows), rows)
+        return time.perf_counter() - t
+
+    seconds(500)
+    small, large = seconds(4_000), seconds(40_000)
+    assert large <= 20 * small + 5 and large <= 60
+
+
+def test_running_values_and_places_outside_spans(spark):
+    rng = random.Random(9)
+    rows = []
+    for i in range(200):
+        spans = sorted((s, s + rng.randint(1, 30)) for s in (rng.randrange(300) for _ in range(rng.randint(0, 150))))
+        places = sorted((s, s + rng.randint(1, 20), "m") for s in (rng.randrange(300) for _ in range(rng.randint(0, 150))))
+        rows.append((i, places, spans))
+    df = spark.createDataFrame(rows, "i int, p array<struct<start:bigint,end:bigint,match:string>>, s array<struct<start:bigint,end:bigint>>")
+    got = df.select("i", secrets.not_within(F.col("p"), F.col("s")).alias("o"), secrets.running(F.transform("p", lambda x: x["end"]), lambda a, b: a + b).alias("r")).collect()
+    for r in got:
+        _, places, spans = rows[r["i"]]
+        assert [tuple(x) for x in r["o"]] == [x for x in places if not any(a <= x[0] and b >= x[1] for a, b in spans)]
+        assert r["r"] == [sum(x[1] for x in places[:k + 1]) for k in range(len(places))]
