@@ -5,13 +5,15 @@ the elements that hold it. A linear classifier turns tags, class names, links
 and length into a score; its sign says content or boilerplate, its size is the
 capacity of the edge to that terminal. A name of boilerplate is one cost among
 others: it is weighed against names of content, and falls with the share of the
-page's unlinked sentences that the named element holds. Smoothness edges join neighbours in page
+page's unlinked sentences that the named element holds. So does the cost of a form,
+which on some sites holds the whole page. Smoothness edges join neighbours in page
 order and blocks with near ancestors in the document tree. The minimum cut
 between the terminals labels all blocks at once, so that a short line between
 paragraphs stays and a long text in a menu goes.
 
 The cut is exact: blocks whose score exceeds all their edges are decided and
-folded into their neighbours first, and augmenting paths solve what is left.
+folded into their neighbours first, and blocking flows on levels solve what is left.
+Reading takes time in proportion to the page, however deep its elements lie.
 
 Pages are independent, so a task holds one page at a time and nothing is
 shuffled. Cases: a null or empty page has an empty text, as has one without
@@ -24,7 +26,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -46,14 +48,16 @@ BLOCKS = set(
     " header hgroup hr html label legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th thead tr ul".split()
 )
 VOID = {"hr", "br", "img", "input", "meta", "link", "wbr", "area", "base", "col", "embed", "source", "track", "param"}
+P_SCOPE = {"button", "td", "th", "table"}
 ENDS_P = BLOCKS - {"button", "label", "option", "optgroup", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "legend", "summary", "head", "html", "body", "select"}
 # a start tag closes an open element of these names, up to the scope in the second set
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}),
     "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}),
 }
-OUTSIDE_TAGS = {"nav", "aside", "footer", "form", "menu", "button", "select", "option", "fieldset", "label", "dialog", "search", "dir"}
-OUTSIDE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alertdialog", "alert", "status", "form", "menu", "menubar", "toolbar", "tablist", "note"}
+OUTSIDE_TAGS = {"nav", "aside", "footer", "menu", "button", "select", "option", "label", "dialog", "search", "dir"}
+OUTSIDE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alertdialog", "alert", "status", "menu", "menubar", "toolbar", "tablist", "note"}
+FORMS = {"form", "fieldset"}  # tags, and a role, that cost as much unless they hold the page's sentences
 OUTSIDE_NAMES = set(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promos promotion banner banners sidebar sidebars rail aside widget widgets nav"
     " navbar navigation menu menus submenu footer foot header masthead topbar breadcrumb breadcrumbs crumbs pagination pager toolbar comment comments reply"
@@ -83,12 +87,15 @@ NEXT, SIBLING, ACROSS = 1.0, 1.5, 0.1
 
 
 class Element:
-    __slots__ = ("tag", "parent", "depth", "outside", "named", "inside", "holds")
+    __slots__ = ("tag", "parent", "depth", "outside", "named", "inside", "holds", "within", "open_p")
 
     def __init__(self, tag: str, parent: Element | None, outside: bool, named: float, inside: bool) -> None:
         self.tag, self.parent, self.depth = tag, parent, parent.depth + 1 if parent else 0
         self.outside, self.named, self.inside = outside, named, inside
         self.holds = False  # an article or main element
+        self.within = inside or (parent is not None and parent.within)
+        # the open paragraph that a block ends
+        self.open_p = self if tag == "p" else None if parent is None or tag in P_SCOPE else parent.open_p
 
 
 class Block(NamedTuple):
@@ -98,9 +105,7 @@ class Block(NamedTuple):
 
 
 def in_article(e: Element | None) -> bool:
-    while e and not e.inside:
-        e = e.parent
-    return e is not None
+    return e is not None and e.within
 
 
 def name_cost(value: str, parent: Element | None) -> tuple[float, bool]:
@@ -119,7 +124,7 @@ def name_cost(value: str, parent: Element | None) -> tuple[float, bool]:
 
 
 def element(tag: str, rest: str, parent: Element | None) -> Element:
-    outside, named, inside = tag in OUTSIDE_TAGS, 0.0, tag in ("article", "main")
+    outside, named, inside = tag in OUTSIDE_TAGS, OUTSIDE if tag in FORMS else 0.0, tag in ("article", "main")
     if tag in ("header", "hgroup"):  # the head of an article holds its title, that of a page does not
         outside = not in_article(parent)
     if rest and len(rest) > 4:
@@ -131,6 +136,7 @@ def element(tag: str, rest: str, parent: Element | None) -> Element:
                 inside |= content
             elif key == "role":
                 outside |= value.lower() in OUTSIDE_ROLES
+                named = OUTSIDE if value.lower() in FORMS else named
                 inside |= value.lower() in ("main", "article")
             elif key == "hidden" or (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I)):
                 outside = True
@@ -151,6 +157,16 @@ def read_blocks(page: str) -> list[Block]:
     here, blocks, parts = root, [], []
     linked = in_link = 0
     at, n = 0, len(page)
+    open_tags: Counter[str] = Counter()
+
+    def leave(e: Element) -> None:
+        """Closes elements up to and with ``e``."""
+        nonlocal here
+        while True:
+            open_tags[here.tag] -= 1
+            last, here = here, here.parent
+            if last is e:
+                return
 
     def flush() -> None:
         nonlocal linked
@@ -189,27 +205,25 @@ def read_blocks(page: str) -> list[Block]:
         elif tag in BLOCKS:
             flush()
             if closing:
-                e = here
-                while e is not root and e.tag != tag:
-                    e = e.parent
-                if e is not root:
-                    here = e.parent
-                    in_link = 0
-            elif tag not in VOID:
-                if tag in ENDS_P:
+                if open_tags[tag] > 0:
                     e = here
-                    while e is not root and e.tag not in ("p", "button", "td", "th", "table"):
+                    while e.tag != tag:
                         e = e.parent
-                    if e.tag == "p":
-                        here = e.parent
+                    leave(e)
+                    in_link = 0
+            elif tag not in VOID:
+                if tag in ENDS_P and here.open_p is not None:
+                    leave(here.open_p)
                 if tag in CLOSES:
                     names, scope = CLOSES[tag]
-                    e = here
-                    while e is not root and e.tag not in names and e.tag not in scope:
-                        e = e.parent
-                    if e.tag in names:
-                        here = e.parent
+                    if any(open_tags[x] > 0 for x in names):
+                        e = here
+                        while e is not root and e.tag not in names and e.tag not in scope:
+                            e = e.parent
+                        if e.tag in names:
+                            leave(e)
                 here = element(tag, m[3] or m[6] or "", here)
+                open_tags[tag] += 1
     flush()
     return blocks
 
@@ -350,43 +364,69 @@ def minimum_cut(scores: list[float], links: list[tuple[int, int, float]]) -> lis
 
 
 def _augment(rest: list[int], u: list[float], near: list[dict[int, float]], label: list) -> None:
-    """Maximum flow by shortest augmenting paths; what still reaches the sink is boilerplate."""
-    cap: dict = {i: dict(near[i]) for i in rest}
-    cap["s"], cap["t"] = {}, {}
+    """Maximum flow by blocking flows on levels; what still reaches the sink is boilerplate."""
+    place = {i: k for k, i in enumerate(rest)}
+    s, t = len(rest), len(rest) + 1
+    out: list[list[int]] = [[] for _ in range(t + 1)]  # edges by number; 2k and 2k + 1 are each other's reverse
+    to: list[int] = []
+    cap: list[float] = []
+
+    def add(x: int, y: int, forth: float, back: float) -> None:
+        out[x].append(len(to))
+        out[y].append(len(to) + 1)
+        to.extend((y, x))
+        cap.extend((forth, back))
+
     for i in rest:
         if u[i] > 0:
-            cap["s"][i], cap[i]["s"] = u[i], 0.0
+            add(s, place[i], u[i], 0.0)
         elif u[i] < 0:
-            cap[i]["t"], cap["t"][i] = -u[i], 0.0
+            add(place[i], t, -u[i], 0.0)
+        for j, w in near[i].items():
+            if i < j:
+                add(place[i], place[j], w, w)
     tiny = 1e-9
     while True:
-        came: dict = {"s": None}
-        queue = deque(["s"])
-        while queue and "t" not in came:
-            x = queue.popleft()
-            for y, c in cap[x].items():
-                if c > tiny and y not in came:
-                    came[y] = x
-                    queue.append(y)
-        if "t" not in came:
+        level = [-1] * (t + 1)  # steps to the sink
+        level[t] = 0
+        queue = deque([t])
+        while queue:
+            y = queue.popleft()
+            for e in out[y]:
+                x = to[e]
+                if level[x] < 0 and cap[e ^ 1] > tiny:
+                    level[x] = level[y] + 1
+                    queue.append(x)
+        if level[s] < 0:
             break
-        path, y = [], "t"
-        while came[y] is not None:
-            path.append((came[y], y))
-            y = came[y]
-        flow = min(cap[x][y] for x, y in path)
-        for x, y in path:
-            cap[x][y] -= flow
-            cap[y][x] = cap[y].get(x, 0.0) + flow
-    sink, queue = {"t"}, deque(["t"])
-    while queue:
-        y = queue.popleft()
-        for x in cap[y]:
-            if x not in sink and cap[x].get(y, 0.0) > tiny:
-                sink.add(x)
-                queue.append(x)
+        tried = [0] * (t + 1)
+        path: list[int] = []
+        x = s
+        while True:
+            if x == t:
+                flow = min(cap[e] for e in path)
+                cut = 0
+                for k in range(len(path) - 1, -1, -1):
+                    cap[path[k]] -= flow
+                    cap[path[k] ^ 1] += flow
+                    if cap[path[k]] <= tiny:
+                        cut = k
+                x = to[path[cut] ^ 1]
+                del path[cut:]
+            elif tried[x] < len(out[x]):
+                e = out[x][tried[x]]
+                if cap[e] > tiny and level[to[e]] == level[x] - 1:
+                    path.append(e)
+                    x = to[e]
+                else:
+                    tried[x] += 1
+            elif path:
+                x = to[path.pop() ^ 1]
+                tried[x] += 1
+            else:
+                break
     for i in rest:
-        label[i] = i not in sink
+        label[i] = level[place[i]] < 0
 
 
 def main_text(page: str | None) -> str:

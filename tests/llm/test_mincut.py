@@ -82,3 +82,38 @@ def test_rows_and_columns(spark):
     assert got.columns == ["page_id", "url", "n_chars", "text"]
     assert [r["text"] for r in got.collect()] == ["", LONG, LONG]
     assert mincut.extract(df.limit(0)).count() == 0
+
+
+def test_a_form_around_the_page_keeps_its_text():
+    body = f"<h1>The title</h1><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p>"
+    search = "<form class=find><input name=q><label>Search this site</label><button>Go</button></form>"
+    login = f"<form action=/login><fieldset><legend>Your account</legend><p>Please enter your name and your password here.</p><p>Name</p></fieldset></form>"
+    want = f"The title {LONG} {LONG} {LONG}"
+    for page in (
+        f"<form action=/x><div id=wrap>{body}</div></form>", f"<form id=aspnetForm><nav><a href=/>Home</a></nav><div>{body}</div><footer>Site. {LONG}</footer></form>",
+        f"{search}<div>{body}</div>{login}", f"<div role=form><fieldset>{body}</fieldset></div>", f"<article>{body}{login}</article>", f"<main>{search}{body}</main>",
+    ):
+        assert mincut.main_text(f"<html><body>{page}</body></html>") == want, page
+    assert mincut.main_text(f"<html><body>{search}</body></html>") == ""
+
+
+def test_deep_pages_and_long_cuts_take_time_in_proportion():
+    import time
+    t = time.perf_counter()
+    assert mincut.main_text("<div>" * 100_000 + f"<p>{LONG}</p><p>{LONG}</p>").count(LONG) == 2
+    mincut.main_text("<div>" * 50_000 + "</section>" * 50_000 + "<li>x" * 20_000)
+    assert time.perf_counter() - t < 8
+    rng = random.Random(4)
+    n = 20_000
+    scores = [rng.uniform(-1, 1) for _ in range(n)]
+    links = [(i, i + k, rng.uniform(0.3, 1.5)) for i in range(n) for k in (1, 2) if i + k < n]
+    t = time.perf_counter()
+    got = mincut.minimum_cut(scores, links)
+    assert time.perf_counter() - t < 8
+    # no single flip, and no flip of a run, is cheaper
+    base = cost(got, scores, links)
+    for _ in range(60):
+        a = rng.randrange(n)
+        b = min(n, a + rng.randint(1, 40))
+        other = got[:a] + [not x for x in got[a:b]] + got[b:]
+        assert cost(other, scores, links) >= base - 1e-6
