@@ -13,7 +13,7 @@ from martlib.functions.json_text import param, to_json_text
 from martlib.functions.rules import attribute, canonical, channel_group
 from martlib.functions.text import contains_text, initcap_words, mask_generated, split_at, surrogate_key
 from martlib.functions.urls import CAMPAIGN_PARAMS, add_page_groups, campaign_params, url_parts
-from martlib.operators.aggregates import any_true, group_by_all, max_by_nn, min_by_nn, string_agg, summarize
+from martlib.operators.aggregates import group_by_all, max_by_nn, string_agg, summarize
 from martlib.operators.joins import lookup_flag
 from martlib.operators.ordered import Lag, LastValue, Lead, RunningCount, Total, chained, join_null_safe, ordered
 from martlib.operators.windows import fill_nulls, keep_first, spread_null_key
@@ -269,6 +269,53 @@ def pivot_events(long: DataFrame, *, split: bool = True, empty_session: str = EM
     return keep_first(rank_page_views(df, split, empty_session), ["event_id"], ["-user_id"])
 
 
+def session_measures(empty_user: str = EMPTY_USER_ID) -> dict[str, tuple[Column, str]]:
+    """Measures of a session: the expression over its long rows, and the aggregate that also merges finished parts.
+
+    ``first`` keeps the value with the smallest time as a (time, value) struct.
+    """
+    c = F.col
+    landing = F.when((c("event_name") == "session_start") & (c("event_key") == "page_location"), c("event__string_value"))
+    t = c("event_datetime_utc")
+    timed = lambda v: F.when(v.isNotNull(), F.struct(t.alias("o"), v.alias("v")))
+    return {
+        "first_user": (timed(F.nullif("user_id", F.lit(empty_user))), "min"),
+        "has_first_event": (c("event_name").isin(*FIRST_EVENTS), "bool_or"),
+        "session_min_event_datetime": (t, "min"),
+        "session_max_event_datetime": (t, "max"),
+        "engagement_msec": (F.when(c("event_key") == "engagement_time_msec", c("event__int_value")), "sum"),
+        "first_landing": (timed(landing), "min"),
+    }
+
+
+def session_metrics(measured: DataFrame) -> DataFrame:
+    """Metric columns from the aggregated measures."""
+    c = F.col
+    return measured.select(
+        "user_pseudo_id", "session_id", "session_date", c("first_user.v").alias("user_id"), c("has_first_event").alias("is_new_user"),
+        (~c("has_first_event")).alias("is_returning_user"), "session_min_event_datetime", "session_max_event_datetime",
+        diff_seconds(c("session_max_event_datetime"), c("session_min_event_datetime")).alias("session_duration"),
+        F.coalesce(c("engagement_msec") / 1000, F.lit(0.0)).alias("session_engagement_time"), c("first_landing.v").alias("landing_page"),
+    )
+
+
+def finish_sessions(
+    metrics: DataFrame, dims: DataFrame, funnel: DataFrame, bot_days: DataFrame, regions: Sequence[tuple[str, Sequence[str]]], home: str,
+) -> DataFrame:
+    """Metrics, dimensions and event funnel of each session, joined, with market columns and the suspected-bot flag."""
+    c = F.col
+    country = c("geo__country")
+    dims = dims.withColumns({
+        "market_region": region_of(country, regions) if regions else F.lit(None).cast("string"),
+        "target_market": target_flag(country),
+        "is_home_country": country == home,
+    })
+    out = metrics.join(dims, "session_id", "left").join(funnel, "session_id", "left")
+    on = [(c("session_date"), "date_day"), (F.coalesce(F.lower("geo__country"), F.lit("unknown")), "country")]
+    out = lookup_flag(out, bot_days, on, "suspected_fraud")
+    return out.select(surrogate_key("session_id", "session_date").alias("record_id"), *out.columns)
+
+
 def build_sessions(
     long: DataFrame, bot_days: DataFrame, *, dimensions: Sequence[str] = tuple(EVENT_DIMENSIONS),
     marketing: Sequence[str] = tuple(MARKETING_DIMENSIONS), regions: Sequence[tuple[str, Sequence[str]]] = (), home: str = "Israel",
@@ -280,20 +327,9 @@ def build_sessions(
     """
     c = F.col
     ev = long.filter(c("session_id") != empty_session)
-    is_first = c("event_name").isin(*FIRST_EVENTS)
-    landing = F.when((c("event_name") == "session_start") & (c("event_key") == "page_location"), c("event__string_value"))
-    msec = F.when(c("event_key") == "engagement_time_msec", c("event__int_value"))
     t = "event_datetime_utc"
-    metrics = summarize(ev, ["user_pseudo_id", "session_id", "session_date"], {
-        "user_id": min_by_nn(F.nullif("user_id", F.lit(empty_user)), t),
-        "is_new_user": any_true(is_first),
-        "is_returning_user": ~any_true(is_first),
-        "session_min_event_datetime": F.min(t),
-        "session_max_event_datetime": F.max(t),
-        "session_duration": diff_seconds(F.max(t), F.min(t)),
-        "session_engagement_time": F.coalesce(F.sum(msec) / 1000, F.lit(0.0)),
-        "landing_page": min_by_nn(landing, t),
-    })
+    measures = {n: getattr(F, fn)(e) for n, (e, fn) in session_measures(empty_user).items()}
+    metrics = session_metrics(summarize(ev, ["user_pseudo_id", "session_id", "session_date"], measures))
     steps = ev.select("event_id", "session_id", t, "event_name").distinct()
     funnel = string_agg(steps, ["session_id"], "event_name", [t, "event_id"], "session_events")
 
@@ -303,16 +339,7 @@ def build_sessions(
     dims = dims.withColumn("channel_grouping", channel_group(c("marketing_source"), c("marketing_medium")))
     dims = dims.withColumn("__unpaid", F.when(F.lower("channel_grouping").contains("paid"), 1).otherwise(2))
     dims = keep_first(dims, ["session_id"], ["__unpaid", f"-{t}", "event_id"]).drop("__unpaid", t, "event_id")
-    country = c("geo__country")
-    dims = dims.withColumns({
-        "market_region": region_of(country, regions) if regions else F.lit(None).cast("string"),
-        "target_market": target_flag(country),
-        "is_home_country": country == home,
-    })
-    out = metrics.join(dims, "session_id", "left").join(funnel, "session_id", "left")
-    on = [(c("session_date"), "date_day"), (F.coalesce(F.lower("geo__country"), F.lit("unknown")), "country")]
-    out = lookup_flag(out, bot_days, on, "suspected_fraud")
-    return out.select(surrogate_key("session_id", "session_date").alias("record_id"), *out.columns)
+    return finish_sessions(metrics, dims, funnel, bot_days, regions, home)
 
 
 def best_user_record(users: DataFrame, key: str = "user_id") -> DataFrame:
