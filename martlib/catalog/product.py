@@ -12,8 +12,10 @@ from martlib.operators.quality import not_accepted, not_null, reconcile, relatio
 from martlib.plans import events as E
 from martlib.plans import monitoring as M
 from martlib.plans import pages as PG
+from martlib.plans.flow_state import load_page_flow
 from martlib.plans.incremental import load_window
 from martlib.plans.session_state import load_sessions
+from martlib.session import cut_lineage
 
 _RANGE = "RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 _CANON = """CASE WHEN contains(lower(s), 'google') THEN 'google' ELSE s END"""
@@ -268,12 +270,16 @@ SELECT eid AS record_id, CASE WHEN left(user_id, 1) = '_' THEN NULL ELSE user_id
 """
 
 
-def _flow(spark, d, split):
-    return PG.page_flow(pivoted(spark, d, False), 4, split=split).select(
+def _flow_columns(flow):
+    return flow.select(
         "record_id", "user_id", F.col("session_event_rank").cast("long").alias("session_event_rank"), "grouped_page_name_with_tab", "previous_grouped_page_path",
         "previous_grouped_page_name", *[f"grouped_page_name_{i}" for i in range(1, 5)])
 
 
+def _flow(spark, d, split):
+    return _flow_columns(PG.page_flow(pivoted(spark, d, False), 4, split=split))
+
+
 @query("p6_page_flow", _FLOW)
 def _(spark, d):
     return _flow(spark, d, True)
@@ -284,6 +290,26 @@ def _(spark, d):
     return _flow(spark, d, True)
 
 
+# Sessions of two days, so that half of the nights lie within one.
+_TWO_DAYS = ("'_' || dayofyear(ts) END AS session_id", "'_' || (dayofyear(ts) // 2) END AS session_id")
+
+
+def _over_midnight(spark, d):
+    two = F.floor(F.dayofyear("event_datetime_utc") / 2).cast("string")
+    long = long_events(spark, d).withColumn("session_id", F.concat(F.substring_index("session_id", "_", 1), F.lit("_"), two))
+    return E.pivot_events(long, split=False)
+
+
+@query("p6_incremental", _FLOW.replace(*_TWO_DAYS))
+def _(spark, d):
+    """Loads that start within a session, one of them over days loaded before, give the flow of a full load."""
+    events, folder = cut_lineage(_over_midnight(spark, d)), scratch(spark, "p6-days")
+    for first, last in ((None, 10), (9, 16), (17, 31)):
+        upto = events.filter(F.col("event_date") <= F.lit(dt.date(2024, 1, last)))
+        path = load_page_flow(upto, folder, first and dt.date(2024, 1, first), span=2)
+    return _flow_columns(spark.read.parquet(path))
+
+
 _INTERACTIONS = PIVOTED + f""",
 co AS (SELECT 'acme-' || (c_custkey % 7) AS company_url_name, arg_min(c_custkey, (-c_nationkey, c_custkey)) AS company_id FROM customer GROUP BY 1),
 i0 AS (SELECT *, CASE WHEN event_name = 'profile_interactions' THEN CASE WHEN lower(section2) = 'follow' THEN 'follow - ' || lower(entity_type2) ELSE lower(section2) END END AS act FROM q5 WHERE company_url_name IS NOT NULL),

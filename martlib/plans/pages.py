@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlib.functions.rules import case, in_list, recode
@@ -78,6 +78,20 @@ FLOW_EVENTS = ["page_view", "profile_interactions"]
 _ORDER = ["event_datetime_utc", "event_id"]
 
 
+def flow_events(events: DataFrame) -> DataFrame:
+    """Page views and tab changes, with the page name as the flow shows it."""
+    is_tab = (F.col("event_name") != "profile_interactions") | F.lower("entity_type").like("%tabs")
+    return events.filter(in_list(F.col("event_name"), FLOW_EVENTS) & is_tab).withColumns({
+        "grouped_page_name": F.replace("grouped_page_name", F.lit(" Page"), F.lit("")),
+        "__is_view": F.col("event_name") == "page_view",
+    })
+
+
+def name_with_tab() -> Column:
+    named = F.concat(F.coalesce("grouped_page_name", F.lit("")), F.lit(" - "), F.col("tab"))
+    return F.when(F.col("tab").isNotNull(), named).otherwise(F.col("grouped_page_name"))
+
+
 def page_flow(events: DataFrame, n: int = 4, split: bool = True, with_tabs: bool = False) -> DataFrame:
     """Pages in order per session, without repeats, with the previous page and the next ``n - 1``.
 
@@ -85,21 +99,14 @@ def page_flow(events: DataFrame, n: int = 4, split: bool = True, with_tabs: bool
     page names with tabs for the following steps.
     """
     c = F.col
-    is_tab = (c("event_name") != "profile_interactions") | F.lower("entity_type").like("%tabs")
-    df = events.filter(in_list(c("event_name"), FLOW_EVENTS) & is_tab)
-    df = df.withColumns({
-        "grouped_page_name": F.replace("grouped_page_name", F.lit(" Page"), F.lit("")),
-        "__is_view": c("event_name") == "page_view",
-    })
-    df = spread_null_key(df, "session_id", "event_id", "__s")
+    df = spread_null_key(flow_events(events), "session_id", "event_id", "__s")
     prev = c("previous_page_view_location")
-    named = F.concat(F.coalesce("grouped_page_name", F.lit("")), F.lit(" - "), c("tab"))
 
     def without_repeats(df: DataFrame) -> DataFrame:
         df = df.withColumn("previous_page_view_location", F.when(c("__is_view"), prev))
         return df.filter(~c("__is_view") | prev.isNull() | (c("page_location") != prev)).withColumns({
             "user_id": mask_generated(c("user_id")),
-            "grouped_page_name_with_tab": F.when(c("tab").isNotNull(), named).otherwise(c("grouped_page_name")),
+            "grouped_page_name_with_tab": name_with_tab(),
         })
 
     def of_views(df: DataFrame) -> DataFrame:
