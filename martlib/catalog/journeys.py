@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from martlib.catalog.product import USERS_SQL, user_records
+from martlib.catalog.product import USERS_SQL, load_days, user_records
 from martlib.catalog.registry import query, table
 from martlib.catalog.scalar import _lit_sql
 from martlib.catalog.stand_ins import FLAT, flat_events
@@ -296,7 +296,8 @@ _SR_COLS = ["event_id", "search_id", "filter_name", "filter_value", "filter", "c
             "profiles_unique_count", "profiles_total_count", "tabs_clicked", "tabs_total_count", "profile"]
 
 
-def _search(spark, d):
+def _search_plan(spark, d):
+    """Events to search sessions."""
     c = F.col
     s = lambda p, x: F.concat(F.lit(p), x.cast("string"))
     nation, region = table(spark, d, "nation"), table(spark, d, "region")
@@ -305,9 +306,14 @@ def _search(spark, d):
     root = "classification-root-id-"
     classes = nation.select(s(NODE, c("n_nationkey")).alias("classification_id"), c("n_name").alias("classification_name"), s(root, c("n_regionkey")).alias("root_key"))
     classes = classes.union(region.select(s(root, c("r_regionkey")), "r_name", s(root, c("r_regionkey"))))
+    sessions = lambda ev: ev.select("session_id", "session_date").distinct().withColumn("user_id", F.lit("_h"))
+    return lambda ev: SR.search_sessions(ev, semantic, classes, sessions(ev)), sessions
+
+
+def _search(spark, d):
+    build, sessions = _search_plan(spark, d)
     ev = _search_events(spark, d)
-    ses = ev.select("session_id", "session_date").distinct().withColumn("user_id", F.lit("_h"))
-    return SR.search_sessions(ev, semantic, classes, ses), ses
+    return build(ev), sessions(ev)
 
 
 @query("p8_search_sessions", _SEARCH_ROWS + "SELECT " + ", ".join(_SR_COLS) + " FROM sr")
@@ -315,6 +321,30 @@ def _(spark, d):
     return _search(spark, d)[0].select(*_SR_COLS)
 
 
+# Sessions of two days, dated by their first.
+_TWO_DAYS = {
+    "dayofyear(ts) AS session_id": "(dayofyear(ts) // 2) AS session_id",
+    "session_id || '_' || event_date || '_'": "session_id || '_' || (DATE '2023-12-31' + CAST(dayofyear(ts) // 2 * 2 AS INTEGER)) || '_'",
+}
+
+
+def _two_days(sql):
+    for one, two in _TWO_DAYS.items():
+        sql = sql.replace(one, two)
+    return sql
+
+
+@query("p8_incremental", _two_days(_SEARCH_ROWS) + "SELECT " + ", ".join(_SR_COLS) + " FROM sr")
+def _(spark, d):
+    """Loads that start within a session, one of them over days loaded before, give the searches of a full load."""
+    half = F.floor(F.dayofyear("event_datetime_utc") / 2).cast("int")
+    ev = _search_events(spark, d).withColumns({
+        "session_id": F.concat(F.substring_index("session_id", "_", 1), F.lit("_"), half.cast("string")),
+        "session_date": F.date_add(F.lit("2023-12-31").cast("date"), half * 2),
+    })
+    return load_days(spark, ev, _search_plan(spark, d)[0], "p8-days").select(*_SR_COLS)
+
+
 @query("p9_search_summary", _SEARCH_ROWS + """
 SELECT search_id, profile, is_semantic AS is_semantic_search, MIN(ts) AS search_started_datetime, arg_max(profiles_viewed, ts) AS profiles_viewed, MAX(profiles_total_count) AS profiles_total_count,
   (SELECT string_agg(DISTINCT TRY_CAST(filter_value AS BIGINT)::VARCHAR, ',' ORDER BY TRY_CAST(filter_value AS BIGINT)::VARCHAR) FROM sr p WHERE p.search_id = sr.search_id AND filter_name = 'page') AS search_pages,

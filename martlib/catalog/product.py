@@ -13,7 +13,7 @@ from martlib.plans import events as E
 from martlib.plans import monitoring as M
 from martlib.plans import pages as PG
 from martlib.plans.flow_state import load_page_flow
-from martlib.plans.incremental import load_window
+from martlib.plans.incremental import load_continuing, load_window
 from martlib.plans.session_state import load_sessions
 from martlib.session import cut_lineage
 
@@ -300,6 +300,14 @@ def _over_midnight(spark, d):
     return E.pivot_events(long, split=False)
 
 
+def load_days(spark, events, build, name):
+    folder = scratch(spark, name)
+    for first, last in ((None, 10), (9, 16), (17, 31)):
+        upto = events.filter(F.col("event_date") <= F.lit(dt.date(2024, 1, last)))
+        path = load_continuing(upto, build, folder, by="date_day", since=first and dt.date(2024, 1, first), span=2, cluster=["session_id"])
+    return spark.read.parquet(path)
+
+
 @query("p6_incremental", _FLOW.replace(*_TWO_DAYS))
 def _(spark, d):
     """Loads that start within a session, one of them over days loaded before, give the flow of a full load."""
@@ -326,23 +334,33 @@ SELECT eid AS event_id, company_id, {_initcap('act')} AS action,
 """
 
 
-def _interactions(spark, d, split):
+def _interactions(spark, d):
+    """Events to profile interactions, and the columns that are compared."""
     c = F.col
     companies = table(spark, d, "customer").select(
         c("c_custkey").alias("company_id"), F.concat(F.lit("acme-"), (c("c_custkey") % 7).cast("string")).alias("company_url_name"), c("c_nationkey").alias("updated_date"))
-    out = PG.profile_interactions(pivoted(spark, d, False), companies, split=split)
-    return out.select(
+    shown = lambda out: out.select(
         "event_id", "company_id", "action", "action_category", "tab_rank", "tab", F.round("tab_engagement_time_seconds", 4).alias("tab_engagement_time_seconds"))
+    return lambda events: PG.profile_interactions(events, companies), shown
 
 
 @query("p7_profile_interactions", _INTERACTIONS)
 def _(spark, d):
-    return _interactions(spark, d, True)
+    build, shown = _interactions(spark, d)
+    return shown(build(pivoted(spark, d, False)))
 
 
 @query("p7_profile_interactions_split", _INTERACTIONS)
 def _(spark, d):
-    return _interactions(spark, d, True)
+    build, shown = _interactions(spark, d)
+    return shown(build(pivoted(spark, d, False)))
+
+
+@query("p7_incremental", _INTERACTIONS.replace(*_TWO_DAYS))
+def _(spark, d):
+    """Loads that start within a session, one of them over days loaded before, give the interactions of a full load."""
+    build, shown = _interactions(spark, d)
+    return shown(load_days(spark, cut_lineage(_over_midnight(spark, d)), build, "p7-days"))
 
 
 @query("p12_event_monitor", "WITH " + LONG + """,
