@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from martlib.functions.dates import floor_bucket
 from martlib.functions.text import name_key
-from martlib.session import small_side
+from martlib.session import cut_lineage, small_side
 
 
 def inner(l: DataFrame, r: DataFrame, on: Column | Sequence[str]) -> DataFrame:
@@ -73,7 +73,11 @@ def time_tolerant_full_join(
 
     One-sided by default: left minus right must not exceed ``tol_s``, however
     far left lies before right within the bucket. Key columns of the two sides
-    come back as ``l_<key>`` and ``r_<key>``.
+    come back as ``l_<key>`` and ``r_<key>``; rows with a NULL key or time match none.
+
+    Only fine buckets are compared, of which a key has ``bucket_s / fine_s`` in a
+    coarse one. Rows then meet on keys and fine bucket alone, so no pair is formed
+    that is not in the result, and adaptive execution can split a hot key.
     """
     left = l.withColumnsRenamed({k: f"l_{k}" for k in keys}).withColumns(
         {"__lb": floor_bucket(F.col(lt), bucket_s), "__lf": floor_bucket(F.col(lt), fine_s)}
@@ -81,11 +85,19 @@ def time_tolerant_full_join(
     right = r.withColumnsRenamed({k: f"r_{k}" for k in keys}).withColumns(
         {"__rb": floor_bucket(F.col(rt), bucket_s), "__rf": floor_bucket(F.col(rt), fine_s)}
     )
+    at_left, at_right = [*[f"l_{k}" for k in keys], "__lb", "__lf"], [*[f"r_{k}" for k in keys], "__rb", "__rf"]
     gap = F.unix_seconds(F.col("__lf").cast("timestamp")) - F.unix_seconds(F.col("__rf").cast("timestamp"))
-    close = (F.abs(gap) if two_sided else gap) <= tol_s
-    cond = [F.col(f"l_{k}") == F.col(f"r_{k}") for k in keys] + [F.col("__lb") == F.col("__rb"), close]
-    out = left.join(right, cond, "left").unionByName(right.join(left, cond, "left_anti"), allowMissingColumns=True)
-    return out.drop("__lb", "__lf", "__rb", "__rf")
+    same = [F.col(a) == F.col(b) for a, b in zip(at_left[:-1], at_right[:-1])]
+    close = left.select(*at_left).distinct().join(
+        right.select(*at_right).distinct(), [*same, (F.abs(gap) if two_sided else gap) <= tol_s]
+    )
+    close = cut_lineage(close.select(*[F.col(c).alias(f"__c_{c}") for c in [*at_left, "__rf"]]))
+    met = [F.col(c) == F.col(f"__c_{c}") for c in at_left]
+    partners = [F.col(f"__c_{a}") == F.col(b) for a, b in zip([*at_left[:-1], "__rf"], at_right)]
+    out = left.join(close, met, "left").join(right, partners, "left")
+    alone = right.join(close, partners, "left_anti")
+    helpers = ["__lb", "__lf", "__rb", "__rf", *close.columns]
+    return out.drop(*helpers).unionByName(alone.drop(*helpers), allowMissingColumns=True)
 
 
 def self_join_deeper(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:

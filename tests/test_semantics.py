@@ -1,6 +1,7 @@
 """Decided semantics: missing values, precedence, ties and one-sided rules on hand-made rows."""
 
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
@@ -80,6 +81,32 @@ def test_time_tolerance_is_one_sided(spark, rows):
     assert got(True) == [(1, None), (2, None), (None, 1), (None, 2)]
 
 
+def test_time_tolerance_forms_no_pairs_beyond_the_result(spark, rows):
+    """100,000 rows a side in one minute, none of which match: all pairs would be ten thousand million."""
+    many = lambda t, name: spark.range(100_000).select(F.lit(1).alias("k"), F.lit(t).cast("timestamp_ntz").alias(name), "id")
+    l = many("2024-01-01 00:00:50", "lt").unionByName(rows("k int, lt timestamp_ntz, id long", [(1, T(2024, 1, 1, 0, 0, 5), -1), (1, None, -2), (None, T(2024, 1, 1), -3)]))
+    r = many("2024-01-01 00:00:00", "rt").withColumnRenamed("id", "rid").unionByName(
+        rows("k int, rt timestamp_ntz, rid long", [(1, T(2024, 1, 1, 0, 0, 30), -1), (1, None, -2), (None, T(2024, 1, 1), -3)]))
+    l = l.filter("id < 100000")
+    got = J.time_tolerant_full_join(l.filter("id <> -1"), r.filter("rid >= -3"), ["k"], "lt", "rt")
+    assert got.count() == 100_002 + 100_003
+    assert got.filter("id is not null and rid is not null").count() == 0
+    pair = J.time_tolerant_full_join(l.filter("id < 0"), r.filter("rid < 0"), ["k"], "lt", "rt")
+    assert rows.sorted(pair, "id", "rid") == sorted([(-1, -1), (-2, None), (-3, None), (None, -2), (None, -3)], key=repr)
+
+
+def test_time_tolerance_equals_the_condition(spark, rows):
+    rnd = random.Random(5)
+    data = lambda n: [(rnd.choice([1, 2, None]), T(2024, 1, 1, 0, rnd.randrange(2), rnd.randrange(60)), i) for i in range(n)]
+    a, b = data(60), data(50)
+    l, r = rows("k int, lt timestamp_ntz, id long", a), rows("k int, rt timestamp_ntz, rid long", b)
+    for two in (False, True):
+        ok = lambda x, y: x[0] is not None and x[0] == y[0] and x[1].minute == y[1].minute and (abs if two else int)(x[1].second // 10 - y[1].second // 10) <= 1
+        pairs = [(x[2], y[2]) for x in a for y in b if ok(x, y)]
+        want = pairs + [(x[2], None) for x in a if x[2] not in {p for p, _ in pairs}] + [(None, y[2]) for y in b if y[2] not in {q for _, q in pairs}]
+        assert rows.sorted(J.time_tolerant_full_join(l, r, ["k"], "lt", "rt", two_sided=two), "id", "rid") == sorted(want, key=repr)
+
+
 def test_not_in_follows_sql(spark, rows):
     l = rows("k int", [(1,), (2,), (None,)])
     r = lambda *v: rows("id int", [(x,) for x in v])
