@@ -58,21 +58,39 @@ def flatten_event(raw: DataFrame) -> DataFrame:
     })
 
 
-def stitch_identity(df: DataFrame, dimensions: Sequence[str], split: bool) -> DataFrame:
-    """Fill user ids within a device, derive ids for visitors without any, take dimensions from a visitor's earliest row."""
+def identity_columns(dimensions: Sequence[str]) -> dict[str, Column]:
+    """The id derived for visitors without one, and the key under which a visitor's rows share their earliest one."""
     hashed = F.concat(F.lit("_"), surrogate_key(*[c for c in dimensions if c not in ("geo__region", "geo__city")]))
     known = F.concat(
         F.coalesce("user_id", F.lit("-")), F.coalesce("user_pseudo_id", F.lit("-")), F.coalesce(F.col("ga_session_id").cast("string"), F.lit("-"))
     )
-    df = df.withColumns({
+    return {
         "derived_id": F.when(F.col("user_id").isNull() | F.col("user_pseudo_id").isNull(), hashed),
         "merge_key": F.nullif(known, F.lit("---")),
-        "user_id": F.when(F.col("user_pseudo_id").isNotNull(), F.col("user_id")),
-    })
+    }
+
+
+EARLIEST = ["event_timestamp", "event_id"]
+
+
+def first_seen(df: DataFrame, dimensions: Sequence[str]) -> DataFrame:
+    """Derived id and dimensions of the earliest row of each visitor key, among rows of a device.
+
+    Mergeable: the earliest of several such tables is that of all their rows.
+    """
+    seen = df.filter(F.col("user_pseudo_id").isNotNull())
+    return keep_first(seen.select("merge_key", "derived_id", *dimensions, *EARLIEST), ["merge_key"], EARLIEST)
+
+
+def stitch_identity(df: DataFrame, dimensions: Sequence[str], split: bool, visitors: DataFrame | None = None) -> DataFrame:
+    """Fill user ids within a device, derive ids for visitors without any, take dimensions from a visitor's earliest row.
+
+    ``visitors`` are the earliest rows known (see ``first_seen``), where ``df`` does not hold all rows of a visitor.
+    """
+    df = df.withColumns({**identity_columns(dimensions), "user_id": F.when(F.col("user_pseudo_id").isNotNull(), F.col("user_id"))})
     # Only rows of a device can get a user id, so a visitor's earliest row is
     # chosen among them before anything is filled.
-    seen = df.filter(F.col("user_pseudo_id").isNotNull())
-    first = keep_first(seen.select("merge_key", "derived_id", *dimensions, "event_timestamp", "event_id"), ["merge_key"], ["event_timestamp", "event_id"])
+    first = first_seen(df, dimensions) if visitors is None else visitors
     first = first.select("merge_key", F.col("derived_id").alias("__id"), *[F.col(c).alias(f"__{c}") for c in dimensions])
     # rows of no device cannot be filled and are kept out of each other's group
     df = spread_null_key(df, "user_pseudo_id", "event_id", "__device")
@@ -181,6 +199,15 @@ def explode_params(df: DataFrame) -> DataFrame:
     )
 
 
+def prepare_events(events: DataFrame) -> DataFrame:
+    """Flattened events with their id, time and sort key."""
+    return flatten_event(events).withColumns({
+        "event_id": surrogate_key(*EVENT_ID_FIELDS, "event_params_json"),
+        "event_datetime_utc": micros_to_dt(F.col("event_timestamp")),
+        "batch_sort_key": F.col("batch_page_id") * 100 + F.col("batch_ordering_id") * 10 + F.col("batch_event_index"),
+    })
+
+
 def unnest_events(
     events: DataFrame, prior_sessions: DataFrame | None = None, objectives: DataFrame | None = None, *,
     dimensions: Sequence[str] = tuple(EVENT_DIMENSIONS), own_sites: Sequence[tuple[str, str]] = (), strict: bool = True,
@@ -190,17 +217,21 @@ def unnest_events(
 
     ``split=False`` gives plain windows, for devices that are known to be small.
     """
+    # the flattened events are read by every step of stitching and numbering
+    return unnest_prepared(
+        cut_lineage(prepare_events(events)), prior_sessions, objectives, dimensions=dimensions, own_sites=own_sites, strict=strict, split=split)
+
+
+def unnest_prepared(
+    df: DataFrame, prior_sessions: DataFrame | None = None, objectives: DataFrame | None = None, *,
+    dimensions: Sequence[str] = tuple(EVENT_DIMENSIONS), own_sites: Sequence[tuple[str, str]] = (), strict: bool = True,
+    split: bool = True, visitors: DataFrame | None = None,
+) -> DataFrame:
+    """``unnest_events`` from prepared events; ``visitors`` as for ``stitch_identity``."""
     dimensions = list(dimensions)
     if objectives is None:
-        objectives = events.sparkSession.createDataFrame([], "campaign string, objective string")
-    df = flatten_event(events)
-    df = df.withColumns({
-        "event_id": surrogate_key(*EVENT_ID_FIELDS, "event_params_json"),
-        "event_datetime_utc": micros_to_dt(F.col("event_timestamp")),
-        "batch_sort_key": F.col("batch_page_id") * 100 + F.col("batch_ordering_id") * 10 + F.col("batch_event_index"),
-    })
-    # the flattened events are read by every step of stitching and numbering
-    df = assign_sessions(stitch_identity(cut_lineage(df), dimensions, split), prior_sessions, split)
+        objectives = df.sparkSession.createDataFrame([], "campaign string, objective string")
+    df = assign_sessions(stitch_identity(df, dimensions, split, visitors), prior_sessions, split)
     df = add_attribution(df, objectives, own_sites, strict)
     structs = [c for c in ("geo", "device", "traffic_source", "collected_traffic_source", "user_properties") if c in df.columns]
     if "privacy_info" in df.columns:
