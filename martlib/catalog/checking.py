@@ -65,6 +65,32 @@ def _(spark, d):
     return streams.carry_session_date(s.filter(F.col("ts") >= cut), prior).select("event_id", "session_date")
 
 
+@query("i3_stream_session_dates", """
+WITH s AS (SELECT event_id, ts, CASE WHEN event_id % 50 <> 0 THEN user_id END AS session_id FROM events),
+cut AS (SELECT *, COALESCE(ts - lag(ts) OVER w > INTERVAL 6 HOUR, TRUE) AS starts FROM s WHERE session_id IS NOT NULL WINDOW w AS (PARTITION BY session_id ORDER BY ts)),
+numbered AS (SELECT *, COUNT(*) FILTER (WHERE starts) OVER (PARTITION BY session_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS n FROM cut)
+SELECT event_id, CAST(MIN(ts) OVER (PARTITION BY session_id, n) AS DATE) AS session_date FROM numbered
+UNION ALL SELECT event_id, CAST(ts AS DATE) FROM s WHERE session_id IS NULL
+""")
+def _(spark, d):
+    """The events come in three batches by time; sessions go on from one batch to the next."""
+    src, out = scratch(spark, "session-in"), scratch(spark, "session-out")
+    e = F.col("event_id")
+    ev = table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.when(e % 50 != 0, F.col("user_id")).alias("session_id"))
+    day = F.dayofmonth("ts")
+    # a last row that only moves the watermark past the end of all sessions
+    beat = ev.agg((F.max("ts") + F.expr("interval 30 days")).alias("ts")).select(F.lit(None).cast("long").alias("event_id"), "ts", F.lit(-1).cast("long").alias("session_id"))
+    for part in (ev.filter(day <= 10), ev.filter((day > 10) & (day <= 20)), ev.filter(day > 20), beat):
+        part.coalesce(1).write.mode("append").parquet(src)
+    sdf = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = (
+        streams.stream_session_dates(sdf, delay="2 days", pause="6 hours", longest="40 days").writeStream.format("parquet").option("path", out)
+        .option("checkpointLocation", scratch(spark, "session-state")).trigger(availableNow=True).start()
+    )
+    q.awaitTermination()
+    return spark.read.parquet(out).filter("event_id is not null").select("event_id", "session_date")
+
+
 @query("i1_stream_dedup", "SELECT event_id, user_id, event_type FROM events")
 def _(spark, d):
     """Every event sent twice; the stream keeps one of each."""

@@ -61,3 +61,27 @@ def carry_session_date(df: DataFrame, prior: DataFrame, session: str = "session_
     # the block number only spreads a hot session; any spread gives the same minimum
     first = ordered(df, [session], [], {"__min": Total("min", F.col(date))}, split=split)
     return first.join(known, session, "left").withColumn("session_date", F.coalesce("__known", "__min")).drop("__known", "__min")
+
+
+def stream_session_dates(
+    sdf: DataFrame, session: str = "session_id", ts: str = "ts", delay: str = "1 day", pause: str = "30 minutes", longest: str = "7 days"
+) -> DataFrame:
+    """``session_date`` on a stream: the day of the session's first event, without a table of earlier sessions.
+
+    The first time of a session is kept in the state of a session window, which ends
+    when the id rests for ``pause``; its events wait in the state of a join. Both are
+    released when the watermark, ``delay`` behind the newest event, has passed the
+    end of the session, so the state holds open sessions only, and the batches in which
+    events come do not matter. An event more than ``longest`` before the end of its
+    session has its own day, as do, at once, rows without a session; so have rows
+    without a time, and theirs is NULL. ``ts`` must be a timestamp with time zone.
+    Rows that come behind the watermark are dropped by it.
+    """
+    t, named = F.col(ts), F.col(session).isNotNull() & F.col(ts).isNotNull()
+    events = sdf.filter(named).withWatermark(ts, delay)
+    ends = events.groupBy(F.session_window(ts, pause).alias("__w"), F.col(session).alias("__session")).agg(F.min(ts).alias("__first"))
+    ends = ends.select("__session", F.window_time("__w").alias("__end"), "__first")
+    within = (t >= F.col("__first")) & (t <= F.col("__end")) & (F.col("__end") <= t + F.expr(f"interval {longest}"))
+    dated = events.join(ends, (F.col(session) == F.col("__session")) & within, "left")
+    dated = dated.select(*sdf.columns, F.coalesce("__first", ts).cast("date").alias("session_date"))
+    return dated.unionByName(sdf.filter(~named).withColumn("session_date", t.cast("date")))

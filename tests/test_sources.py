@@ -169,3 +169,26 @@ def test_session_date_is_carried_over(spark, rows):
         out = streams.carry_session_date(ev, prior, split=split)
         assert rows.sorted(out, "i", "session_date") == [(1, day(1)), (2, day(1)), (3, day(5)), (4, day(1))]
     assert rows.sorted(streams.carry_session_date(ev, prior.filter(F.lit(False))), "i", "session_date")[0] == (1, day(3))
+
+
+def test_streamed_session_dates_equal_those_of_one_batch(spark, rows, tmp_path):
+    """Three batches by time, sessions over their borders, rows without a session or a time, and a last row that ends all sessions."""
+    at = lambda d, h, m=0: dt.datetime(2024, 1, d, h, m)
+    schema = "i int, session_id string, ts timestamp"
+    batches = [
+        [(1, "a", at(1, 23, 50)), (2, "b", at(1, 12)), (3, None, at(1, 13)), (4, "c", None)],
+        [(5, "a", at(2, 0, 10)), (6, "b", at(2, 9)), (7, "a", at(2, 0, 10))],
+        # a late event joins the session of the first batch, and one before it starts it a day earlier
+        [(8, "a", at(2, 0, 30)), (9, "d", at(3, 0, 5)), (10, "d", at(2, 23, 55)), (11, None, None)],
+        [(99, "z", at(20, 0))],
+    ]
+    for n, data in enumerate(batches):
+        rows(schema, data).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    sdf = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    out = streams.stream_session_dates(sdf, delay="1 day", pause="30 minutes", longest="2 days")
+    q = out.writeStream.format("memory").queryName("dated").trigger(availableNow=True).start()
+    q.awaitTermination()
+    want = {1: 1, 5: 1, 7: 1, 8: 1, 2: 1, 6: 2, 3: 1, 4: None, 9: 2, 10: 2, 11: None}
+    assert dict(rows.sorted(spark.table("dated"), "i", "session_date")) == {i: d and dt.date(2024, 1, d) for i, d in want.items()}
+    # only the open session of the last row is left
+    assert sum(op["numRowsTotal"] for op in q.lastProgress["stateOperators"]) <= 2
