@@ -56,6 +56,17 @@ def _(spark, d):
     return df.groupBy("event_date").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
 
 
+@query("a5_write_curved", """
+SELECT CAST(ts AS DATE) AS event_date, COUNT(*) AS n, ROUND(SUM(value), 2) AS total FROM events WHERE value >= 50 AND event_type <> 'error' GROUP BY 1
+""")
+def _(spark, d):
+    path = scratch(spark, "curved")
+    ev = table(spark, d, "events").withColumn("event_date", F.col("ts").cast("date"))
+    writers.write_curved(ev, path, "event_date", ["user_id", "value", "event_type", "ts"])
+    df = spark.read.parquet(path).filter("value >= 50 and event_type <> 'error'")
+    return df.groupBy("event_date").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
+
+
 @query("a6_write_partitioned_month", """
 SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS order_date_month, COUNT(*) AS n FROM orders GROUP BY 1
 """)
@@ -156,6 +167,21 @@ def _(spark, d):
     return spark.read.parquet(path).select("k", "value", "event_date")
 
 
+@query("a8_upsert_indexed", """
+SELECT event_id, value + CASE WHEN event_id % 40 = 0 THEN 2000 WHEN event_id % 20 = 0 THEN 1000 ELSE 0 END AS value,
+  CAST(ts AS DATE) + CASE WHEN event_id % 40 = 0 THEN 1 WHEN event_id % 20 = 0 THEN 3 ELSE 0 END AS event_date FROM events
+""")
+def _(spark, d):
+    """Keys move to another day, half of them twice; the days that hold them are found by the index."""
+    e, day = F.col("event_id"), F.col("ts").cast("date")
+    ev = table(spark, d, "events")
+    path = scratch(spark, "indexed")
+    for rows, days, more in ((ev, 0, 0), (ev.filter(e % 20 == 0), 3, 1000), (ev.filter(e % 40 == 0), 1, 2000)):
+        moved = rows.select("event_id", (F.col("value") + more).alias("value"), F.date_add(day, days).alias("event_date"))
+        writers.upsert_indexed(moved, path, ["event_id"], "event_date", buckets=8)
+    return spark.read.parquet(path).select("event_id", "value", "event_date")
+
+
 @query("a9_lookback", """
 SELECT event_id, CAST(ts AS DATE) AS event_date FROM events
 WHERE CAST(ts AS DATE) BETWEEN

@@ -13,13 +13,14 @@ import datetime as dt
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlib.operators.ordered import join_null_safe
 from martlib.operators.sets import union_by_name
 from martlib.operators.windows import keep_first
+from martlib.session import cut_lineage
 
 
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder name for a NULL partition value
@@ -60,6 +61,64 @@ def write_partitioned(
     )
 
 
+def curve_key(df: DataFrame, columns: Sequence[str], bits: int = 5) -> Column:
+    """Position of a row on a space-filling curve over several columns: the bits of their quantile ranks, interleaved.
+
+    The ranks come from approximate quantiles, one aggregate over ``df`` that holds
+    at most ``2 ** bits`` values a column. Texts count by their first seven bytes; NULL and NaN go first.
+    """
+    kinds = {c: df.schema[c].dataType for c in columns}
+
+    def number(c: str) -> Column:
+        kind = kinds[c]
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            head = F.hex(F.substring(F.col(c).cast("binary"), 1, 7))
+            return F.conv(F.rpad(head, 14, "0"), 16, 10).cast("double")
+        if isinstance(kind, T.DateType):
+            return F.unix_date(c).cast("double")
+        if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
+        return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+
+    steps = 2**bits
+    shares = [i / steps for i in range(1, steps)]
+    cuts = df.agg(*[F.percentile_approx(number(c), shares, 10_000).alias(f"__q{i}") for i, c in enumerate(columns)]).first()
+    key = F.lit(0).cast("long")
+    for i, c in enumerate(columns):
+        value = number(c)
+        bounds = F.lit(sorted(set(cuts[i] or []))).cast("array<double>") if cuts[i] else F.array().cast("array<double>")
+        # NULL is no number, so no bound counts for it
+        rank = F.size(F.filter(bounds, lambda b: b <= value))
+        for bit in range(bits):
+            one = F.shiftright(rank, bit).bitwiseAND(1).cast("long")
+            key = key.bitwiseOR(F.shiftleft(one, bit * len(columns) + i))
+    return key
+
+
+def write_curved(df: DataFrame, path: str, by: str, columns: Sequence[str], mode: str = "overwrite", max_records_per_file: int = 5_000_000, bits: int = 5) -> None:
+    """Write partition folders whose files are cells of a space-filling curve over up to four columns.
+
+    Sorting by several columns lets files prune on the first of them only, as each
+    file of a large day spans all values of the others. Here rows are range-partitioned by
+    day and curve, so a filter on any of the columns reads a part of a day's files.
+    The rows are needed three times (quantiles, ranges, rows), so they are written to the checkpoint folder first.
+    """
+    if not 1 <= len(columns) <= 4:
+        raise ValueError("between one and four columns are clustered")
+    df = cut_lineage(df)
+    out = df.withColumn("__curve", curve_key(df, columns, bits))
+    (
+        # rows of one cell are spread by a hash, so a cell that holds most rows is not one task
+        out.repartitionByRange(by, "__curve", F.xxhash64(*columns))
+        .sortWithinPartitions(by, "__curve")
+        .drop("__curve")
+        .write.mode(mode)
+        .option("maxRecordsPerFile", max_records_per_file)
+        .partitionBy(by)
+        .parquet(path)
+    )
+
+
 def materialize(df: DataFrame, name: str, kind: str = "view", path: str | None = None) -> DataFrame:
     """A view keeps the plan, a table writes it in full and reads it back."""
     if kind == "view":
@@ -123,11 +182,74 @@ def upsert_partitions(updates: DataFrame, path: str, key: Sequence[str], by: str
     days = [r[0] for r in touched.collect()]
     if not days:
         return
-    held = F.col(by).isin([x for x in days if x is not None])
-    merged = merge_by_key(target.filter(held | F.col(by).isNull() if None in days else held), updates, key, order)
+    _replace_days(target, updates, path, key, by, order, cluster, days)
+
+
+def _replace_days(target: DataFrame, updates: DataFrame, path: str, key: Sequence[str], by: str, order: Sequence[str], cluster: Sequence[str], days: Sequence) -> None:
+    """Merges the updates into the given days of the target."""
+    merged = merge_by_key(target.filter(_on_days(by, days)), updates, key, order)
     overwrite_partitions(merged, path, by, cluster, replaced=days)
 
 
+def _on_days(by: str, days: Sequence) -> Column:
+    held = F.col(by).isin([x for x in days if x is not None])
+    return held | F.col(by).isNull() if None in days else held
+
+
+def upsert_indexed(
+    updates: DataFrame, path: str, key: Sequence[str], by: str, order: Sequence[str] = (), cluster: Sequence[str] = (), buckets: int = 256
+) -> None:
+    """``upsert_partitions`` for keys of any age, without reading the target to find them.
+
+    Beside the table an index holds the days of each key hash, in ``buckets``
+    partitions by hash; only buckets of updated keys are read, 16 bytes a key, and of
+    the target only the days that the index names. New entries are appended before
+    the table is written and outdated ones removed after it, so a load that died
+    leaves an index that names too many days, never too few. Keys of equal hash share
+    their days. The index is made from the table where there is none; from then on
+    the table must be written by this function alone.
+    """
+    spark = updates.sparkSession
+    if not isinstance(updates.schema[by].dataType, T.DateType):
+        raise ValueError(f"partition column {by} must be a date: the list of touched partitions is bounded by the calendar")
+    index = f"{path.rstrip('/')}__keys"
+
+    def entries(df: DataFrame) -> DataFrame:
+        at = df.select(F.xxhash64(*key).alias("key_hash"), by).distinct()
+        return at.withColumn("bucket", F.pmod("key_hash", F.lit(buckets)).cast("int"))
+
+    def stored(days: Sequence | None = None) -> DataFrame:
+        # the schema is given, so no file is opened to learn it
+        target = spark.read.schema(updates.schema).parquet(path)
+        return target if days is None else target.filter(_on_days(by, days))
+
+    fresh = not _path_exists(updates, path)
+    if fresh:
+        write_partitioned(keep_first(updates, key, [*order, *key]), path, by, cluster)
+    if not _path_exists(updates, f"{index}/_SUCCESS"):
+        write_partitioned(entries(stored()), index, "bucket", ["key_hash"])
+    if fresh:
+        return
+    new = cut_lineage(entries(updates))
+    touched = [r[0] for r in new.select("bucket").distinct().collect()]
+    if not touched:
+        return
+    at = ["key_hash", "bucket"]
+    known = spark.read.schema(new.schema).parquet(index).filter(F.col("bucket").isin(touched))
+    ours = known.join(new.select(*at).distinct(), at, "left_semi")
+    days = [r[0] for r in ours.select(by).union(new.select(by)).distinct().collect()]
+    write_partitioned(join_null_safe(new, ours, new.columns, "left_anti"), index, "bucket", ["key_hash"], mode="append")
+    _replace_days(stored(), updates, path, key, by, order, cluster, days)
+
+    now = entries(stored(days)).join(new.select(*at).distinct(), at, "left_semi")
+    # a key that moved to another day, and a key's older row in the same batch, leave entries behind
+    outdated = cut_lineage(join_null_safe(ours.unionByName(new).distinct(), now, new.columns, "left_anti"))
+    dirty = [r[0] for r in outdated.select("bucket").distinct().collect()]
+    if dirty:
+        all_of = spark.read.schema(new.schema).parquet(index).filter(F.col("bucket").isin(dirty)).distinct()
+        overwrite_partitions(join_null_safe(all_of, outdated, new.columns, "left_anti"), index, "bucket", ["key_hash"], replaced=dirty)
+
+
 def _delete(spark, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
