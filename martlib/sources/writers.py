@@ -172,6 +172,8 @@ def upsert_partitions(updates: DataFrame, path: str, key: Sequence[str], by: str
         newest = keep_first(updates, key, [*order, *key])
         write_partitioned(newest, path, by, cluster)
         return
+    # the updates are needed for their days, their keys and their rows, and may be a long plan
+    updates = cut_lineage(updates)
     target = spark.read.parquet(path)
     searched = target if since is None else target.filter(F.col(by).isNull() | (F.col(by) >= F.lit(since)))
     keys = updates.select(*key).distinct()
