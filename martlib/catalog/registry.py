@@ -30,6 +30,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, folder: str, name: str, by: list[str]) -> DataFrame:
+    """``table`` dealt over all tasks by a hash of ``by``.
+
+    A file is read by no more tasks than it has row groups, and plans that open every
+    row into many would go on in these few tasks.
+    """
+    return table(spark, folder, name).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder next to the checkpoints, which every executor can reach."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from martlib.catalog.registry import table
+from martlib.catalog.registry import spread_table
 
 NAMES = {"signup": "session_start", "view": "page_view", "click": "profile_interactions", "purchase": "add_to_collection"}
 URLS = [
@@ -67,7 +67,7 @@ flat AS (SELECT event_id AS seq, 'e' || event_id AS eid, ts, epoch_us(ts) AS eve
 
 def flat_events(spark, d):
     ts, e = F.col("ts"), F.col("event_id")
-    df = table(spark, d, "events").withColumn("k", F.get_json_object("props", "$.k").cast("long"))
+    df = spread_table(spark, d, "events", ["event_id", "ts"]).withColumn("k", F.get_json_object("props", "$.k").cast("long"))
     name = F.coalesce(*[F.when(F.col("event_type") == t, n) for t, n in NAMES.items()], F.lit("scroll"))
     tracked = e % 11 != 0
     u = F.col("user_id")
