@@ -16,7 +16,7 @@ from martlib.operators.ordered import Lag, LastValue, RowNumber, RunningCount, T
 from martlib.operators.windows import flow_steps, keep_first, partition_stat, preferred_value, spread_null_key
 from martlib.plans.common import EMPTY_SESSION_ID, SESSION_OPENERS
 from martlib.plans.events import cut_title
-from martlib.session import small_side
+from martlib.session import cut_lineage, small_side
 
 
 def engagement(long: DataFrame, empty_session: str = EMPTY_SESSION_ID) -> DataFrame:
@@ -99,7 +99,9 @@ def page_flow(events: DataFrame, n: int = 4, split: bool = True, with_tabs: bool
     page names with tabs for the following steps.
     """
     c = F.col
-    df = spread_null_key(flow_events(events), "session_id", "event_id", "__s")
+    # the range shuffle reads its rows twice, and the events may be a long plan
+    df = cut_lineage(flow_events(events)) if split else flow_events(events)
+    df = spread_null_key(df, "session_id", "event_id", "__s")
     prev = c("previous_page_view_location")
 
     def without_repeats(df: DataFrame) -> DataFrame:
@@ -207,6 +209,8 @@ def profile_interactions(
         "tab": F.when(real, tab),
     }).drop("event_date", "page_view_engagement_time_seconds")
     order = ["event_datetime_utc", "batch_sort_key", "event_id"]
+    # the range shuffle reads its rows twice, and the events may be a long plan
+    df = cut_lineage(df) if split else df
     df = spread_null_key(df, "session_id", "event_id", "__s", empty=empty_session)
     page = ["__s", "page_view_rank"]
     changed = c("tab").isNotNull() & (c("__previous_tab").isNull() | (c("tab") != c("__previous_tab")))
