@@ -96,9 +96,11 @@ def rank_searches(events: DataFrame, gap_s: int = 180, split: bool = True) -> Da
     starts = c("is_search") & (
         (c("is_semantic_search") != c("__last_semantic")) | (c("semantic_search_id") != c("__known_id")) | (~c("is_semantic_search") & plain)
     )
-    df = ordered(df, ["__s"], _ORDER[:2], {"search_rank": RunningCount(starts, "range")}, split=split)
+    # the range shuffle reads its rows twice
+    df = cut_lineage(df.withColumn("__starts", starts).drop(*last, "__prev_search", "__prev_ts", "__known_id")) if split else df.withColumn("__starts", starts)
+    df = ordered(df, ["__s"], _ORDER[:2], {"search_rank": RunningCount(c("__starts"), "range")}, split=split)
     df = df.withColumn("search_id", F.concat(c("session_id"), F.lit("_"), c("session_date").cast("string"), F.lit("_"), c("search_rank").cast("string")))
-    helpers = [*last, "__s", "__prev_search", "__prev_ts", "__known_id", "search_rank", "previous_page_title", "previous_page_location"]
+    helpers = [*last, "__s", "__starts", "__prev_search", "__prev_ts", "__known_id", "search_rank", "previous_page_title", "previous_page_location"]
     return df.drop(*helpers)
 
 
