@@ -1,7 +1,7 @@
 """Language identification by cross-parsing.
 
-Each language has a reference: a bounded sample of its labelled texts, indexed
-by a suffix automaton. A text is cut into phrases, each the longest string from
+Each language has a reference: its most frequent words, by the number of documents
+that have them, counted over all labelled texts and indexed by a suffix automaton. A text is cut into phrases, each the longest string from
 its place on that occurs in the reference. Few phrases mean that the reference
 predicts the text well: phrases * log2(reference length) / text length is an
 upper estimate of the cross entropy, and the language with the smallest wins.
@@ -12,24 +12,24 @@ that full tables would be large, edges are looked up in a sorted list instead.
 
 ``keep_known`` rejects texts that no reference predicts. How many phrases a symbol a
 text of a learned language may need depends on its length, so the limits are
-measured: on pieces of every length class of labelled texts that are in no reference.
+measured: every labelled text gives a piece of each length class, at a place given by
+a hash of its key.
 
-Bounds of the sample that is learned from: of the ``LANGUAGES`` languages with most
-labelled texts, ``SAMPLE_ROWS`` texts for the reference and ``CALIBRATION_ROWS`` more for
-the limits, of which a window of ``ROW_SYMBOLS`` (``CALIBRATION_SYMBOLS``) symbols at a place
-given by a hash of the key.
+Nothing is learned from a sample. The model is bounded: the ``LANGUAGES`` languages with
+most labelled texts, and of each the words that fit ``SAMPLE_SYMBOLS`` symbols.
 
 Cases: a null text, or one without a letter, is ``und`` with score 0; so is every
 text if nothing was learned. Rows with a null id are predicted, never learned
-from. Repeated rows get equal answers, and an id that repeats is one text of the
-sample (the smallest). Ties go to the language first by name. Columns named like the
+from. Repeated rows get equal answers, and each of them counts. Ties go to the language first by name. Columns named like the
 results are replaced by them in ``identify``; ``keep_known`` keeps all columns.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from functools import cache
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +41,10 @@ from martlib.llm.registry import free_name, query, table
 from martlib.llm.texts import column_bytes, slices
 
 LANGUAGES = 200  # languages learned, at most: those with most labelled documents
-SAMPLE_ROWS = 48  # labelled documents a language's reference is drawn from, at most
 SAMPLE_SYMBOLS = 12_000  # length of a reference, at most: bounds the tables of all languages together
-ROW_SYMBOLS = 250  # symbols one document gives to a reference, so that all of them have a part
-CALIBRATION_ROWS = 96  # further labelled documents a language that the limits are measured on, at most
+LONG_WORD = 24  # longer runs of letters count by pieces
+PIECE = 4
+WORDS_HELD = 500_000  # counts a task holds before it hands them on
 CALIBRATION_SYMBOLS = 1_000
 CALIBRATION_LEAST = 100  # pieces from which on a length class has a limit of its own
 MARGIN = 1.15  # a text may need so many times the phrases of the worst piece
@@ -227,6 +227,100 @@ def predict(texts: pa.Array, references: dict[str, str]) -> tuple[list[str], lis
     return names, scores, best_rates, lengths
 
 
+def spellings(data: np.ndarray, offsets: np.ndarray) -> list[str]:
+    """Lower-case letters of each document, with spaces for everything else."""
+    codes = letter_codes(data)
+    codes[codes == 0] = ord(" ")
+    lead = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    letters_, at = codes.astype("<u4").tobytes().decode("utf-32-le", "replace"), lead[offsets - offsets[0]]
+    return [letters_[i:j] for i, j in zip(at[:-1], at[1:])]
+
+
+def words_of(spelled: str) -> set[str]:
+    """Distinct words; a run too long for one, as in scripts without spaces, counts by its pieces."""
+    out = set()
+    for w in spelled.split():
+        if len(w) <= LONG_WORD:
+            out.add(w)
+        else:
+            out.update(w[i:i + PIECE] for i in range(0, len(w), PIECE))
+    return out
+
+
+def _given(labelled: DataFrame, text: str, lang: str, key: str) -> DataFrame:
+    return labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(key).cast("string").alias("key")).where("text is not null and lang is not null and key is not null")
+
+
+def references(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> dict[str, str]:
+    """For each language the words that most of its labelled documents have, counted over all of them, as far as they fit."""
+    given = _given(labelled, text, lang, key)
+    most = given.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter = Counter()
+
+        def flush() -> pa.RecordBatch:
+            got = pa.RecordBatch.from_arrays([pa.array([k[0] for k in found], pa.string()), pa.array([k[1] for k in found], pa.string()), pa.array(list(found.values()), pa.int64())], ["lang", "word", "n"])
+            found.clear()
+            return got
+
+        for b in batches:
+            data, offsets = column_bytes(b.column(0))
+            langs = b.column(1).to_pylist()
+            for lo, hi in slices(offsets):
+                for name, spelled in zip(langs[lo:hi], spellings(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1])):
+                    found.update((name, w) for w in words_of(spelled))
+                if len(found) > WORDS_HELD:
+                    yield flush()
+        if found:
+            yield flush()
+
+    counted = given.join(F.broadcast(most), "lang").select("text", "lang").mapInArrow(count, "lang string, word string, n long")
+    order = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
+    # a word takes two symbols at least, so more of them cannot fit
+    top = counted.groupBy("lang", "word").agg(F.sum("n").alias("n")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLE_SYMBOLS // 2)
+    out: dict[str, str] = {}
+    for r in sorted(top.select("lang", "rank", "word").collect(), key=lambda r: (r["lang"], r["rank"])):
+        if len(out.get(r["lang"], "")) + len(r["word"]) < SAMPLE_SYMBOLS:
+            out[r["lang"]] = out.get(r["lang"], "") + r["word"] + " "
+    return out
+
+
+def rate_limits(labelled: DataFrame, learned: dict[str, str], text: str = "text", lang: str = "lang", key: str = "doc_id") -> list[float]:
+    """Most phrases a symbol of texts of 1, 2, 4, ... symbols: every labelled document is measured on a piece of each length."""
+    sizes = [1 << i for i in range((CALIBRATION_SYMBOLS // 2).bit_length())]
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p = parser(learned)
+        most, pieces = np.zeros(len(sizes)), np.zeros(len(sizes), np.int64)
+        for b in batches:
+            data, offsets = column_bytes(b.column(0))
+            langs, keys = b.column(1).to_pylist(), b.column(2).to_pylist()
+            for lo, hi in slices(offsets):
+                spelled = [" ".join(x.split()) for x in spellings(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1])]
+                for k, size in enumerate(sizes):
+                    cut = []
+                    for x, name, own in zip(spelled, langs[lo:hi], keys[lo:hi]):
+                        at = crc32(f"{own}/{k}".encode()) % (len(x) - size + 1) if len(x) >= size else 0
+                        piece = x[at:at + size]
+                        if len(piece) == size and name in learned and piece.strip():
+                            cut.append(piece)
+                    if cut:
+                        codes = np.frombuffer("".join(cut).encode("utf-32-le"), np.uint32).copy()
+                        codes[codes == ord(" ")] = GAP
+                        rates, _ = p.rates(codes, np.arange(len(cut) + 1) * size)
+                        most[k], pieces[k] = max(most[k], rates.min(axis=0).max()), pieces[k] + len(cut)
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(sizes)), pa.int32()), pa.array(most), pa.array(pieces)], ["class", "most", "pieces"])
+
+    found = _given(labelled, text, lang, key).select("text", "lang", "key").mapInArrow(measure, "class int, most double, pieces long")
+    got = {r["class"]: r for r in found.groupBy("class").agg(F.max("most").alias("most"), F.sum("pieces").alias("pieces")).collect()}
+    limits = []
+    for k, size in enumerate(sizes):
+        limit = MARGIN * got[k]["most"] if k in got and got[k]["pieces"] >= CALIBRATION_LEAST else MAX_RATE
+        limits.append(max(limit, MAX_RATE) if size < 32 else limit)
+    return limits
+
+
 Drawn = list[tuple[str, int, str]]  # language, rank, letters
 
 
@@ -254,37 +348,6 @@ def draw(labelled: DataFrame, rows: int, text: str = "text", lang: str = "lang",
     return out
 
 
-def references_of(drawn: Drawn) -> dict[str, str]:
-    out: dict[str, str] = {}
-    for lang, rank, letters_ in drawn:
-        more = letters_[:ROW_SYMBOLS]
-        if rank <= SAMPLE_ROWS and more.strip():
-            out[lang] = (out.get(lang, "") + more + " ")[:SAMPLE_SYMBOLS]
-    return out
-
-
-def references(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> dict[str, str]:
-    """A bounded sample of the labelled rows as one reference for each language."""
-    return references_of(draw(labelled, SAMPLE_ROWS, text, lang, key))
-
-
-def rate_limits(learned: dict[str, str], drawn: Drawn) -> list[float]:
-    """Most phrases a symbol of texts of 1, 2, 4, ... symbols, from the drawn texts that are in no reference."""
-    p, limits = Parser(learned), []
-    held = [x[:CALIBRATION_SYMBOLS] for lang, rank, x in drawn if rank > SAMPLE_ROWS and lang in learned]
-    size = 1
-    while size <= CALIBRATION_SYMBOLS // 2:
-        pieces = [x[i:i + size] for x in held for i in range(0, len(x) - size + 1, size) if x[i:i + size].strip()]
-        limit = MAX_RATE
-        if len(pieces) >= CALIBRATION_LEAST:
-            codes = np.array([ord(c) if c != " " else 0 for c in "".join(pieces)], np.int64)
-            rates, _ = p.rates(codes, np.arange(len(pieces) + 1) * size)
-            limit = MARGIN * float(rates.min(axis=0).max())
-        limits.append(max(limit, MAX_RATE) if size < 32 else limit)
-        size *= 2
-    return limits
-
-
 def identify(docs: DataFrame, learned: dict[str, str], text: str = "text", names: tuple[str, ...] = ("lang_pred", "score", "phrase_rate")) -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` (0 to 1) and ``phrase_rate`` (phrases per symbol); a fourth name adds the symbols."""
     fields = [f.name for f in docs.schema.fields]
@@ -330,11 +393,11 @@ def keep_known(docs: DataFrame) -> DataFrame:
 
     Texts of fewer than ``SHORT`` symbols are kept if they have a letter: they are too short to tell.
     """
-    drawn = draw(learnable(docs), SAMPLE_ROWS + CALIBRATION_ROWS)
-    learned = references_of(drawn)
+    labelled = learnable(docs)
+    learned = references(labelled)
     names = tuple(free_name(docs.columns, x) for x in ("_lang_pred", "_lang_score", "_lang_rate", "_lang_symbols"))
     pred, _, rate, symbols = (F.col(x) for x in names)
-    limit = rate_limit(symbols, rate_limits(learned, drawn)) if learned else F.lit(0.0)
+    limit = rate_limit(symbols, rate_limits(labelled, learned)) if learned else F.lit(0.0)
     return identify(docs, learned, names=names).where((pred != "und") & ((symbols < SHORT) | (rate <= limit))).select(*docs.columns)
 
 

@@ -107,3 +107,23 @@ def test_many_letters_stay_small_and_give_the_same(monkeypatch):
     codes = language.letter_codes(np.frombuffer("the hund und katze xx this 日 man".encode(), np.uint8))
     assert dense.dense and not sparse.dense
     assert (dense.rates(codes, np.array([0, 5, len(codes)]))[0] == sparse.rates(codes, np.array([0, 5, len(codes)]))[0]).all()
+
+
+def test_every_labelled_text_counts(spark):
+    # one document in 400 has the words and the many phrases that tell
+    rows = [(i, "der hund und die katze " * 40, "de") for i in range(400)] + [(400 + i, "zwölf boxkämpfer jagen viktor quer " * 40, "de") for i in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = language.references(df)
+    assert set(learned["de"].split()) == {"der", "hund", "und", "die", "katze", "zwölf", "boxkämpfer", "jagen", "viktor", "quer"}
+    assert learned["de"].startswith("der die hund katze und ")
+    # a text that only one labelled document is like is known by the limits of all
+    odd = spark.createDataFrame([(9000, "wxyz " * 100, "de")], "doc_id long, text string, lang string")
+    base = {"de": "der hund und die katze "}
+    without, with_odd = language.rate_limits(df.where("doc_id < 400"), base), language.rate_limits(df.where("doc_id < 400").union(odd), base)
+    assert all(b > a for a, b in zip(without[5:], with_odd[5:]))
+
+
+def test_scripts_without_spaces_count_by_pieces(spark):
+    df = spark.createDataFrame([(1, "日本語の文章" * 10, "ja"), (2, None, "ja"), (None, "x", "ja"), (3, "ab cd", "ja")], "doc_id long, text string, lang string")
+    words = language.references(df)["ja"].split()
+    assert "ab" in words and "x" not in words and max(map(len, words)) == language.PIECE
