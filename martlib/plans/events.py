@@ -330,13 +330,25 @@ def pivot_events(long: DataFrame, *, split: bool = True, empty_session: str = EM
     return keep_first(rank_page_views(df, split, empty_session), ["event_id"], ["-user_id"])
 
 
+def event_rows(long: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Long rows of sessions merged to one row per event: its ``keys``, landing page and engagement.
+
+    Least values of texts and structs are found by sorting; sums are not, so here a
+    hash aggregate leaves few rows to be sorted. An event that landed has a second row.
+    """
+    c = F.col
+    landing = F.when((c("event_name") == "session_start") & (c("event_key") == "page_location"), c("event__string_value"))
+    msec = F.when(c("event_key") == "engagement_time_msec", c("event__int_value"))
+    read = dict.fromkeys([*keys, "event_id", "event_name", "event_datetime_utc", "user_id"])
+    return long.groupBy(*read, landing.alias("landing_page")).agg(F.sum(msec).alias("engagement_msec"))
+
+
 def session_measures(empty_user: str = EMPTY_USER_ID) -> dict[str, tuple[Column, str]]:
-    """Measures of a session: the expression over its long rows, and the aggregate that also merges finished parts.
+    """Measures of a session: the expression over its rows from ``event_rows``, and the aggregate that also merges finished parts.
 
     ``first`` keeps the value with the smallest time as a (time, value) struct.
     """
     c = F.col
-    landing = F.when((c("event_name") == "session_start") & (c("event_key") == "page_location"), c("event__string_value"))
     t = c("event_datetime_utc")
     timed = lambda v: F.when(v.isNotNull(), F.struct(t.alias("o"), v.alias("v")))
     return {
@@ -344,8 +356,8 @@ def session_measures(empty_user: str = EMPTY_USER_ID) -> dict[str, tuple[Column,
         "has_first_event": (c("event_name").isin(*FIRST_EVENTS), "bool_or"),
         "session_min_event_datetime": (t, "min"),
         "session_max_event_datetime": (t, "max"),
-        "engagement_msec": (F.when(c("event_key") == "engagement_time_msec", c("event__int_value")), "sum"),
-        "first_landing": (timed(landing), "min"),
+        "engagement_msec": (c("engagement_msec"), "sum"),
+        "first_landing": (timed(c("landing_page")), "min"),
     }
 
 
@@ -390,7 +402,8 @@ def build_sessions(
     ev = long.filter(c("session_id") != empty_session)
     t = "event_datetime_utc"
     measures = {n: getattr(F, fn)(e) for n, (e, fn) in session_measures(empty_user).items()}
-    metrics = session_metrics(summarize(ev, ["user_pseudo_id", "session_id", "session_date"], measures))
+    key = ["user_pseudo_id", "session_id", "session_date"]
+    metrics = session_metrics(summarize(event_rows(ev, key), key, measures))
     steps = ev.select("event_id", "session_id", t, "event_name").distinct()
     funnel = string_agg(steps, ["session_id"], "event_name", [t, "event_id"], "session_events")
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from martlib.functions.rules import channel_group
 from martlib.operators.aggregates import string_agg, summarize
 from martlib.plans.common import EMPTY_SESSION_ID, EMPTY_USER_ID, EVENT_DIMENSIONS, MARKETING_DIMENSIONS
-from martlib.plans.events import finish_sessions, session_measures, session_metrics
+from martlib.plans.events import event_rows, finish_sessions, session_measures, session_metrics
 from martlib.session import cut_lineage, small_side
 from martlib.sources.writers import _delete, _path_exists, overwrite_partitions, write_partitioned
 
@@ -43,10 +43,19 @@ def _traffic(dimensions: Sequence[str]) -> Column:
         *dimensions, channel.alias("channel_grouping"))
 
 
+def session_rows(long: DataFrame, dimensions: Sequence[str]) -> DataFrame:
+    """These long rows by event, with all that parts and steps of sessions read."""
+    return event_rows(long, [*KEYS, *dimensions, "marketing_source", "marketing_medium"])
+
+
 def session_parts(long: DataFrame, dimensions: Sequence[str], empty_user: str = EMPTY_USER_ID) -> DataFrame:
     """What these long rows say about each session, in one row that merges with other parts of it."""
+    return _parts(session_rows(long, dimensions), dimensions, empty_user)
+
+
+def _parts(events: DataFrame, dimensions: Sequence[str], empty_user: str) -> DataFrame:
     measures = {n: getattr(F, fn)(e) for n, (e, fn) in session_measures(empty_user).items()}
-    return summarize(long, KEYS, {**measures, TRAFFIC: F.min(_traffic(dimensions))})
+    return summarize(events, KEYS, {**measures, TRAFFIC: F.min(_traffic(dimensions))})
 
 
 def merge_parts(parts: DataFrame) -> DataFrame:
@@ -101,8 +110,9 @@ def load_sessions(
     base = folder.rstrip("/")
     table = f"{base}/sessions"
     dimensions = [*dimensions, *marketing]
-    rows = long.filter(F.col("session_id") != empty_session)
-    new = {"parts": session_parts(rows, dimensions, empty_user), "steps": rows.select(*STEP).distinct()}
+    # parts and steps read the events of the load, of which there are far fewer than long rows
+    events = cut_lineage(session_rows(long.filter(F.col("session_id") != empty_session), dimensions))
+    new = {"parts": _parts(events, dimensions, empty_user), "steps": events.select(*STEP).distinct()}
 
     key, pending = ["session_id", "session_date"], f"{base}/pending/load={load}"
     if _path_exists(long, f"{base}/parts/load={load}"):
