@@ -32,6 +32,10 @@ BEFORE = ["previous_page_view_location", "previous_grouped_page_path", "previous
 def continued_flow(rows: DataFrame, n: int, with_tabs: bool) -> DataFrame:
     """``page_flow`` over new rows and stored ones, which keep what they were given then.
 
+    ``rows`` were written and numbered by ``__row``. The windows move the few columns
+    they read; the others are joined once, at the end. ``event_date`` follows the order
+    of a session, so the row after one is of its day if any later row is.
+
     Stored rows have ``__was_kept``; their rank is the one they had, and new rows
     count on from the last. ``__kept``, ``__end`` (a later day may need the row) and
     ``__open`` (its following pages are not complete) tell what becomes of a row.
@@ -40,43 +44,48 @@ def continued_flow(rows: DataFrame, n: int, with_tabs: bool) -> DataFrame:
     old = c("__was_kept").isNotNull()
     prev = c("previous_page_view_location")
     steps = ["grouped_page_path", "grouped_page_name_with_tab" if with_tabs else "grouped_page_name"]
-    yes = F.lit(True)
+    told = [c for c in rows.columns if c.startswith("__was_")]
+    read = ["__row", "event_id", "event_datetime_utc", "event_date", "session_id", "page_location", "grouped_page_path", "grouped_page_name", "tab", "__is_view"]
+    found = ["previous_page_view_location", "grouped_page_name_with_tab", "session_event_rank", *BEFORE[1:], *[f"{s}_{i}" for s in steps for i in range(1, n + 1)]]
+    on_its_day = lambda day: F.coalesce(c(day) == c("event_date"), F.lit(False))
 
     def judged(df: DataFrame) -> DataFrame:
         fresh = ~c("__is_view") | prev.isNull() | (c("page_location") != prev)
         return df.withColumns({
             "previous_page_view_location": F.when(c("__is_view"), prev),
             "__kept": F.coalesce("__was_kept", fresh, F.lit(False)),
-            "user_id": mask_generated(c("user_id")),
             "grouped_page_name_with_tab": name_with_tab(),
         })
 
     def ranked(df: DataFrame) -> DataFrame:
         return df.withColumn("session_event_rank", F.coalesce("__reached", F.lit(0)) + c("__added"))
 
-    df = spread_null_key(rows, "session_id", "event_id", "__s")
+    leads, current = flow_steps(steps, n)
+    df = spread_null_key(rows.select(*read, *told), "session_id", "event_id", "__s")
     df = chained(df, ["__s"], _ORDER, [
-        (["__is_view"], {"previous_page_view_location": Lag(c("page_location"))}),
-        (["__is_view", "event_date"], {"__view_after": Lead(yes)}),
+        (["__is_view"], {"previous_page_view_location": Lag(c("page_location")), "__view_day": Lead(c("event_date"))}),
         judged,
         (["__kept"], {
             "__reached": LastValue(c("__was_rank"), "rows"), "__added": RunningCount(~old), "__before": Total("max", c("__was_rank")),
+            "__kept_day": Lead(c("event_date"), n - 1), **leads,
         }),
+        current,
         ranked,
         (["__kept", "__is_view"], {
             "previous_grouped_page_path": Lag(c("grouped_page_path")),
             "previous_grouped_page_name": Lag(c("grouped_page_name_with_tab")),
+            "__kept_view_day": Lead(c("event_date")),
         }),
-        (["__kept", "event_date", "__is_view"], {"__kept_view_after": Lead(yes)}),
-        (["__kept", "event_date"], {"__kept_after": Lead(yes, n - 1)}),
-        *[s if callable(s) else (["__kept"], s) for s in flow_steps(steps, n)],
     ])
     seen = {p: F.when(c("__is_view"), c(p)) for p in BEFORE[1:]}
-    return df.withColumns(seen).withColumns({
+    last, last_view = ~on_its_day("__kept_day"), c("__is_view") & ~on_its_day("__kept_view_day")
+    df = df.withColumns(seen).withColumns({
         **{b: F.when(old, c(f"__was_{b}")).otherwise(c(b)) for b in BEFORE},
-        "__end": (c("__kept") & (c("__kept_after").isNull() | (c("__is_view") & c("__kept_view_after").isNull()))) | (c("__is_view") & c("__view_after").isNull()),
+        "__end": (c("__kept") & (last | last_view)) | (c("__is_view") & ~on_its_day("__view_day")),
         "__open": c("__kept") & old & (c("__was_rank") > c("__before") - (n - 1)),
     })
+    wide = rows.drop(*found).withColumn("user_id", mask_generated(c("user_id")))
+    return wide.join(df.select("__row", *found, "__kept", "__end", "__open"), "__row")
 
 
 def load_page_flow(
@@ -99,16 +108,19 @@ def load_page_flow(
     later = events if since is None else events.filter(date >= F.lit(since))
     new = flow_events(later)
     told = {"__was_kept": "boolean", "__was_rank": "long", **{f"__was_{b}": "string" for b in BEFORE}}
+    # the events may be a long plan and are read several times; the number of a row is written with it
     fresh = new.withColumns({k: F.lit(None).cast(t) for k, t in told.items()})
-    exists, rows = _path_exists(events, f"{ends}/_SUCCESS"), fresh  # the state is written last
+    numbered = cut_lineage(fresh.withColumn("__row", F.monotonically_increasing_id()))
+    exists, rows = _path_exists(events, f"{ends}/_SUCCESS"), numbered  # the state is written last
     if exists and since is not None:
         stored = spark.read.schema(fresh.schema).parquet(ends)
         # sessions with rows in the loaded days, now or in the load that is replaced
-        goes_on = new.select("session_id").union(stored.filter(date >= F.lit(since)).select("session_id")).distinct()
+        goes_on = numbered.select("session_id").union(stored.filter(date >= F.lit(since)).select("session_id")).distinct()
         before = stored.filter(date < F.lit(since))
         if span is not None:
             before = before.filter(date >= F.lit(since - dt.timedelta(days=span)))
-        rows = fresh.unionByName(before.join(small_side(goes_on), "session_id", "left_semi"))
+        before = before.join(small_side(goes_on), "session_id", "left_semi")
+        rows = numbered.unionByName(cut_lineage(before.withColumn("__row", -1 - F.monotonically_increasing_id())))
 
     out = cut_lineage(continued_flow(rows, n, with_tabs))
     is_new = F.col("__was_kept").isNull()

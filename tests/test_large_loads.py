@@ -5,12 +5,19 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from martlib.plans import flow_state
+from martlib.plans.flow_state import load_page_flow
+from martlib.plans.pages import page_flow
 from martlib.plans.session_state import load_sessions, session_parts
 
 LONG = (
     "event_id string, event_name string, event_datetime_utc timestamp, user_id string, user_pseudo_id string, session_id string, session_date date, "
     "marketing_source string, marketing_medium string, event_key string, event__string_value string, event__int_value long"
 )
+EVENTS = (
+    "event_id string, event_name string, event_datetime_utc timestamp, event_date date, user_id string, session_id string, page_location string, "
+    "grouped_page_path string, grouped_page_name string, tab string, entity_type string, wide string"
+)
 START = dt.datetime(2024, 1, 1)
 
 
@@ -54,3 +61,37 @@ def test_a_load_of_sessions_evaluates_its_rows_once(rows, tmp_path, counted):
     df = counted(rows(LONG, data), "event_name").withColumn("geo__country", F.lit("France"))
     load_sessions(df, str(tmp_path), "one", bots, dimensions=["geo__country"], marketing=["marketing_source", "marketing_medium"])
     assert counted.seen() == len(data)
+
+
+def flow_rows():
+    """Pages of five days; sessions go on over midnight, and two events of one session may share their time."""
+    out = []
+    for i in range(120):
+        t = START + dt.timedelta(hours=i // 2 * 2)
+        page = f"/{'aabcd'[i * 7 % 5]}"
+        out.append((f"e{i:03}", ["page_view", "page_view", "profile_interactions"][i % 3], t, t.date(), ["u", "_x"][i % 2], f"s{i % 3}" if i % 10 else None, page, page, page, "team", "Company Tabs", f"w{i}"))
+    return out
+
+
+def test_a_load_of_the_flow_evaluates_its_events_once(spark, rows, tmp_path, counted):
+    data = flow_rows()
+    path = load_page_flow(counted(rows(EVENTS, data), "wide"), str(tmp_path))
+    assert counted.seen() == len(data)
+    want = page_flow(rows(EVENTS, data), split=False).withColumn("session_event_rank", F.col("session_event_rank").cast("long"))
+    assert rows.sorted(spark.read.parquet(path), *want.columns) == rows.sorted(want)
+
+
+def test_windows_of_the_flow_move_no_other_columns(spark, rows, tmp_path, monkeypatch):
+    seen, real = [], flow_state.chained
+
+    def spied(df, *a, **k):
+        seen.append(df.columns)
+        return real(df, *a, **k)
+
+    monkeypatch.setattr(flow_state, "chained", spied)
+    for first, last in ((None, 2), (2, 3), (4, 5)):
+        upto = [r for r in flow_rows() if r[3] <= dt.date(2024, 1, last)]
+        path = load_page_flow(rows(EVENTS, upto), str(tmp_path), first and dt.date(2024, 1, first))
+    assert len(seen) == 3 and not any({"wide", "user_id", "event_name", "entity_type"} & set(columns) for columns in seen)
+    want = page_flow(rows(EVENTS, flow_rows()), split=False).withColumn("session_event_rank", F.col("session_event_rank").cast("long"))
+    assert rows.sorted(spark.read.parquet(path), *want.columns) == rows.sorted(want)
