@@ -53,6 +53,9 @@ BITS_TILE = 16  # a block of a tile of bitmaps has so many times the members
 TILE_ROWS = 1 << 13  # nodes in one block of a tile
 HUBS = 16  # sets of a tile that every block of it holds
 KEY = np.dtype([("key", "<u8"), ("node", "<u8"), ("n", "<u4"), ("pos", "<u4")])
+PIECE = 1 << 22  # bytes of text from which the passes over the texts make one piece of output; a longer text is a piece of its own
+HELD = 1 << 18  # shingles that such a pass holds before it sends them on, beside those of one document
+SPREAD = 4  # buckets of shingles in each shuffle partition, so that one is a small part of a task's rows
 CELL = 512  # nodes under one key that are compared one by one; more are chained by size, which keeps every partner
 
 
@@ -80,6 +83,13 @@ def batch_sets(texts: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray]]:
         yield from enumerate(document_sets(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], width), lo)
 
 
+def pieces(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows with about ``PIECE`` bytes of text, so that memory does not follow the batch."""
+    _, offsets = column_bytes(batch.column(text))
+    for lo, hi in slices(offsets, PIECE):
+        yield batch.slice(lo, hi - lo)
+
+
 def shingle_names(members: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Bucket and 32-bit name of each shingle. Shingles that share both count as one, which moves their place in the order only."""
     m = mix(members ^ WEIGHTS[6])
@@ -109,8 +119,8 @@ def _set_pass(width: int, percent: int, buckets: int) -> Callable:
             k = len(rows)
             return pa.RecordBatch.from_arrays([*[pa.nulls(k, pa.int64())] * 3, pa.nulls(k, pa.binary()), pa.array(to), pa.array(rows, pa.binary())], names)
 
-        for b in batches:
-            sizes, nodes, first, held = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64), set(), 0
+        for b, first in ((b, first) for whole in batches for first in [set()] for b in pieces(whole, 1)):
+            sizes, nodes, held = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64), 0
             maps: list[bytes | None] = [None] * b.num_rows
             pending: list[np.ndarray] = []
             for i, s in batch_sets(b.column(1), width):
@@ -120,7 +130,7 @@ def _set_pass(width: int, percent: int, buckets: int) -> Callable:
                     maps[i] = bitmap(s).tobytes()
                     pending.append(s[:key_reach(len(s), percent)])
                     held += len(pending[-1])
-                    if held > 1 << 21:
+                    if held > HELD:
                         yield counted(pending)
                         pending, held = [], 0
             if pending:
@@ -171,9 +181,14 @@ def least_overlap(n: np.ndarray | int, percent: int) -> np.ndarray | int:
 
 
 def _key_pass(width: int, percent: int, buckets: int, frequent: np.ndarray) -> Callable:
+    def sent(parts: list[np.ndarray]) -> pa.RecordBatch:
+        rows = np.concatenate(parts)
+        to, runs = by_bucket(shingle_names(rows["key"], buckets)[0], rows)
+        return pa.RecordBatch.from_arrays([pa.array(to), pa.array(runs, pa.binary())], ["bucket", "keys"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            parts, seen = [], set()
+        for b, seen in ((b, seen) for whole in batches for seen in [set()] for b in pieces(whole, 0)):
+            parts, held = [], 0
             for _, s in batch_sets(b.column(0), width):
                 n = len(s)
                 node = digest(s) if n else 0
@@ -184,11 +199,12 @@ def _key_pass(width: int, percent: int, buckets: int, frequent: np.ndarray) -> C
                 rows = np.zeros(k, KEY)
                 rows["key"], rows["node"], rows["n"], rows["pos"] = order(s, frequent, buckets)[:k], np.int64(node).view(np.uint64), n, np.arange(k)
                 parts.append(rows)
-            if not parts:
-                continue
-            rows = np.concatenate(parts)
-            to, runs = by_bucket(shingle_names(rows["key"], buckets)[0], rows)
-            yield pa.RecordBatch.from_arrays([pa.array(to), pa.array(runs, pa.binary())], ["bucket", "keys"])
+                held += k
+                if held > HELD:
+                    yield sent(parts)
+                    parts, held = [], 0
+            if parts:
+                yield sent(parts)
     return run
 
 
@@ -434,11 +450,12 @@ def near_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    first = cut_lineage(rows.mapInArrow(_set_pass(width, percent, parts), "doc_id bigint, n bigint, node bigint, bits binary, bucket int, counted binary"))
+    buckets = SPREAD * parts
+    first = cut_lineage(rows.mapInArrow(_set_pass(width, percent, buckets), "doc_id bigint, n bigint, node bigint, bits binary, bucket int, counted binary"))
     sets = first.where("bucket is null").select("doc_id", "n", "node")
     frequent = frequent_names(first, parts)
     keyed = rows.where("doc_id is not null and text is not null").select("text")
-    keys = keyed.mapInArrow(_key_pass(width, percent, parts, frequent), "bucket int, keys binary")
+    keys = keyed.mapInArrow(_key_pass(width, percent, buckets, frequent), "bucket int, keys binary")
     near = keys.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_bucket_pass(percent), "a bigint, b bigint")
     clusters = components(near)
 
