@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from martlib.session import checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
+TASK_ROWS = 100_000  # rows of a spread table in one task, at most
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
@@ -34,9 +35,13 @@ def spread_table(spark: SparkSession, folder: str, name: str, by: list[str]) ->
     """``table`` dealt over all tasks by a hash of ``by``.
 
     A file is read by no more tasks than it has row groups, and plans that open every
-    row into many would go on in these few tasks.
+    row into many would go on in these few tasks. There are more of them where the table
+    is large, so that a task sorts its opened rows in memory; rows are counted from the
+    files' footers.
     """
-    return table(spark, folder, name).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *by)
+    rows = table(spark, folder, name)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // TASK_ROWS))
+    return rows.repartition(parts, *by)
 
 
 def scratch(spark: SparkSession, name: str) -> str:

@@ -13,7 +13,7 @@ from martlib.functions.json_text import param, to_json_text
 from martlib.functions.rules import attribute, canonical, channel_group
 from martlib.functions.text import contains_text, initcap_words, mask_generated, split_at, surrogate_key
 from martlib.functions.urls import CAMPAIGN_PARAMS, add_page_groups, campaign_params, url_parts
-from martlib.operators.aggregates import group_by_all, max_by_nn, string_agg, summarize
+from martlib.operators.aggregates import group_by_all, string_agg, summarize
 from martlib.operators.joins import lookup_flag
 from martlib.operators.ordered import Lag, LastValue, Lead, RunningCount, Total, chained, join_null_safe, ordered
 from martlib.operators.windows import fill_nulls, keep_first, spread_null_key
@@ -272,8 +272,9 @@ def pivot_long(long: DataFrame, keys: Sequence[str] = tuple(EVENT_KEYS)) -> Data
     src = long.withColumn("engagement_time_seconds", F.round(msec / 1000, 4))
     dropped = ["event_key", "event__string_value", "event__int_value", "event__double_value", "event_params_key_id", "engagement_time_seconds"]
     aggs = {"engagement_time_seconds": F.sum("engagement_time_seconds")}
+    # rows that meet have one event time, so the latest value is the largest, and no struct is made of each long row and key
     for k in keys:
-        aggs[k] = max_by_nn(F.when(F.col("event_key") == k, F.col("event__string_value")), "event_datetime_utc")
+        aggs[k] = F.max(F.when(F.col("event_key") == k, F.col("event__string_value")))
     return group_by_all(src, aggs, drop=dropped)
 
 
