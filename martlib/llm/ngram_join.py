@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from martlib.llm.components import components
 from martlib.llm.registry import free_name, query, table
 from martlib.llm.texts import MASK, MIX_A, WEIGHTS, column_bytes, mix, shingles, slices, window_sums, words
-from martlib.session import cut_lineage, small_side
+from martlib.session import arrow_batches, cut_lineage, small_side
 
 FREQUENT = 8  # a shingle counted so often goes to the end of the order
 FREQUENT_LIST = 1 << 22  # shingles moved to the end, at most (32 MB), the most frequent ones; others keep their place and only cost more
@@ -55,6 +55,8 @@ HUBS = 16  # sets of a tile that every block of it holds
 KEY = np.dtype([("key", "<u8"), ("node", "<u8"), ("n", "<u4"), ("pos", "<u4")])
 PIECE = 1 << 22  # bytes of text from which the passes over the texts make one piece of output; a longer text is a piece of its own
 HELD = 1 << 18  # shingles that such a pass holds before it sends them on, beside those of one document
+BATCH = 1 << 22  # bytes of an Arrow batch that Spark hands to a pass, about
+SEEN = 1 << 16  # nodes a pass over the texts remembers, so that copies near each other send nothing again
 SPREAD = 4  # buckets of shingles in each shuffle partition, so that one is a small part of a task's rows
 CELL = 512  # nodes under one key that are compared one by one; more are chained by size, which keeps every partner
 
@@ -119,14 +121,17 @@ def _set_pass(width: int, percent: int, buckets: int) -> Callable:
             k = len(rows)
             return pa.RecordBatch.from_arrays([*[pa.nulls(k, pa.int64())] * 3, pa.nulls(k, pa.binary()), pa.array(to), pa.array(rows, pa.binary())], names)
 
-        for b, first in ((b, first) for whole in batches for first in [set()] for b in pieces(whole, 1)):
+        first: set[int] = set()
+        for b in (b for whole in batches for b in pieces(whole, 1)):
             sizes, nodes, held = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64), 0
             maps: list[bytes | None] = [None] * b.num_rows
             pending: list[np.ndarray] = []
             for i, s in batch_sets(b.column(1), width):
                 sizes[i], nodes[i] = len(s), digest(s) if len(s) else 0
-                if len(s) and nodes[i] not in first:
-                    first.add(nodes[i])
+                if len(s) and int(nodes[i]) not in first:
+                    if len(first) >= SEEN:
+                        first.clear()
+                    first.add(int(nodes[i]))
                     maps[i] = bitmap(s).tobytes()
                     pending.append(s[:key_reach(len(s), percent)])
                     held += len(pending[-1])
@@ -187,13 +192,16 @@ def _key_pass(width: int, percent: int, buckets: int, frequent: np.ndarray) -> C
         return pa.RecordBatch.from_arrays([pa.array(to), pa.array(runs, pa.binary())], ["bucket", "keys"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, seen in ((b, seen) for whole in batches for seen in [set()] for b in pieces(whole, 0)):
+        seen: set[int] = set()
+        for b in (b for whole in batches for b in pieces(whole, 0)):
             parts, held = [], 0
             for _, s in batch_sets(b.column(0), width):
                 n = len(s)
                 node = digest(s) if n else 0
                 if not n or node in seen:
                     continue
+                if len(seen) >= SEEN:
+                    seen.clear()
                 seen.add(node)
                 k = n - least_overlap(n, percent) + 1
                 rows = np.zeros(k, KEY)
@@ -448,36 +456,37 @@ def near_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     of ``width``-word shingles; the component is the smallest id reachable by links.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = SPREAD * parts
-    first = cut_lineage(rows.mapInArrow(_set_pass(width, percent, buckets), "doc_id bigint, n bigint, node bigint, bits binary, bucket int, counted binary"))
-    sets = first.where("bucket is null").select("doc_id", "n", "node")
-    frequent = frequent_names(first, parts)
-    keyed = rows.where("doc_id is not null and text is not null").select("text")
-    keys = keyed.mapInArrow(_key_pass(width, percent, buckets, frequent), "bucket int, keys binary")
-    near = keys.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_bucket_pass(percent), "a bigint, b bigint")
-    clusters = components(near)
-
-    named = sets.where("node is not null and doc_id is not null")
-    nodes = named.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
-    bits = first.where("bits is not null").select("node", "bits").join(clusters.select("node"), "node", "left_semi").groupBy("node").agg(F.first("bits").alias("data"))
-    many = BITS_TILE * TILE_SHINGLES
-    by_bits = connect(lay_out(nodes, clusters, percent, many), many, lambda placed: in_tiles(placed.groupBy("node").agg(F.flatten(F.collect_list("places")).alias("places")).join(bits, "node"), percent, False))
-
-    def by_sets(placed: DataFrame) -> DataFrame:
-        placed = placed.groupBy("doc_id", "node").agg(F.flatten(F.collect_list("places")).alias("places"))
-        # where the ids are measured to be few, other texts are left out before they are shuffled
-        named = rows.join(small_side(placed.select("doc_id").distinct()), "doc_id", "left_semi")
-        made = named.join(placed, "doc_id").select("text", "node", "places").mapInArrow(_member_pass(width), f"node bigint, places array<{PLACE}>, data binary")
-        return in_tiles(made, percent, True)
-
-    found = connect(lay_out(nodes, by_bits, percent, TILE_SHINGLES), TILE_SHINGLES, by_sets)
-    groups = nodes.join(found, "node", "left").withColumn("group", F.coalesce("component", "node"))
-    smallest = groups.groupBy("group").agg(F.min("doc_id").alias("component_id"))
-    by_node = groups.join(smallest, "group").select("node", "component_id")
-    component = F.when(F.col("node").isNull() | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return sets.join(by_node, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    with arrow_batches(spark, BATCH):
+        rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = SPREAD * parts
+        first = cut_lineage(rows.mapInArrow(_set_pass(width, percent, buckets), "doc_id bigint, n bigint, node bigint, bits binary, bucket int, counted binary"))
+        sets = first.where("bucket is null").select("doc_id", "n", "node")
+        frequent = frequent_names(first, parts)
+        keyed = rows.where("doc_id is not null and text is not null").select("text")
+        keys = keyed.mapInArrow(_key_pass(width, percent, buckets, frequent), "bucket int, keys binary")
+        near = keys.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_bucket_pass(percent), "a bigint, b bigint")
+        clusters = components(near)
+
+        named = sets.where("node is not null and doc_id is not null")
+        nodes = named.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
+        bits = first.where("bits is not null").select("node", "bits").join(clusters.select("node"), "node", "left_semi").groupBy("node").agg(F.first("bits").alias("data"))
+        many = BITS_TILE * TILE_SHINGLES
+        by_bits = connect(lay_out(nodes, clusters, percent, many), many, lambda placed: in_tiles(placed.groupBy("node").agg(F.flatten(F.collect_list("places")).alias("places")).join(bits, "node"), percent, False))
+
+        def by_sets(placed: DataFrame) -> DataFrame:
+            placed = placed.groupBy("doc_id", "node").agg(F.flatten(F.collect_list("places")).alias("places"))
+            # where the ids are measured to be few, other texts are left out before they are shuffled
+            named = rows.join(small_side(placed.select("doc_id").distinct()), "doc_id", "left_semi")
+            made = named.join(placed, "doc_id").select("text", "node", "places").mapInArrow(_member_pass(width), f"node bigint, places array<{PLACE}>, data binary")
+            return in_tiles(made, percent, True)
+
+        found = connect(lay_out(nodes, by_bits, percent, TILE_SHINGLES), TILE_SHINGLES, by_sets)
+        groups = nodes.join(found, "node", "left").withColumn("group", F.coalesce("component", "node"))
+        smallest = groups.groupBy("group").agg(F.min("doc_id").alias("component_id"))
+        by_node = groups.join(smallest, "group").select("node", "component_id")
+        component = F.when(F.col("node").isNull() | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+        return sets.join(by_node, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
 def keep_first(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
@@ -496,8 +505,8 @@ def keep_first(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     ids = keyed.groupBy(row).agg(F.min("doc_id").alias("id"))
     ranked = cut_lineage(ids.join(linked, row).select("component", row, F.struct("id", row).alias("rank")))
     first = ranked.groupBy("component").agg(F.min("rank").alias("first"))
-    gone = ranked.join(small_side(first), "component").where(F.col(row) != F.col(f"first.{row}")).select(row)
-    kept = keyed.join(gone, row, "left_anti")
+    gone = cut_lineage(ranked.join(small_side(first), "component").where(F.col(row) != F.col(f"first.{row}")).select(row))
+    kept = keyed.join(small_side(gone), row, "left_anti")  # where few rows go, the texts of the others stay where they are
     again = groups.where("rows > 1").select(row)
     if not again.take(1):
         return kept.select(*docs.columns)

@@ -43,3 +43,62 @@ def test_sets_are_sent_in_pieces(monkeypatch):
     docs, names, most = run(1 << 30, 1 << 30)
     small_docs, small_names, least = run(100, 2000)
     assert small_docs == docs and small_names == names and least < most
+
+
+def test_passes_get_small_batches(spark, monkeypatch):
+    """Long texts come a few at a time, and the caller's setting is as it was."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    texts = [" ".join(f"w{i}x{j}" for j in range(300)) for i in range(200)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, *texts])], "doc_id long, text string").coalesce(1)
+    limit = 1 << 15
+
+    def watched(real):
+        def made(*args):
+            inner = real(*args)
+
+            def run(batches):
+                def small():
+                    for b in batches:
+                        assert b.nbytes < 2 * limit, b.nbytes
+                        yield b
+                yield from inner(small())
+            return run
+        return made
+
+    monkeypatch.setattr(N, "BATCH", limit)
+    for name in ("_set_pass", "_key_pass", "_member_pass"):
+        monkeypatch.setattr(N, name, watched(getattr(N, name)))
+    got = {(r["doc_id"], r["component_id"]) for r in N.near_components(docs).collect()}
+    assert got == {(i, i % 200) for i in range(400)}
+    assert spark.conf.get(key) == before
+
+
+def test_copies_in_later_batches_send_nothing(monkeypatch):
+    """Nodes are remembered over batches, up to ``SEEN`` of them; one that is forgotten is sent again."""
+    def sent():
+        two = lambda: iter([batch(), batch()])
+        maps = [x for b in N._set_pass(5, 80, 12)(two()) for x in b.column(3) if x.is_valid]
+        runs = [x for b in N._key_pass(5, 80, 12, NONE)(b.select(["text"]) for b in two()) for x in b.column(1)]
+        return len(maps), sum(len(np.frombuffer(x.as_buffer(), N.KEY)) for x in runs)
+
+    maps, rows = sent()
+    monkeypatch.setattr(N, "SEEN", 10)
+    more_maps, more_rows = sent()
+    assert maps == 31 and more_maps == 4 * 30 + 2 and more_rows > 3 * rows
+
+
+def test_texts_that_stay_are_not_shuffled(spark):
+    """The few copies that go are broadcast, whatever Spark would choose by itself."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    texts = [" ".join(f"w{i}x{j}" for j in range(20)) for i in range(9)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, texts[0], texts[1]])], "doc_id long, text string")
+    spark.conf.set(key, "-1")
+    try:
+        kept = N.keep_first(docs)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert {r["doc_id"] for r in kept.collect()} == set(range(9))
+    finally:
+        spark.conf.set(key, before)
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "SortMergeJoin" not in plan
