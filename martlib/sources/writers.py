@@ -1,8 +1,8 @@
 """Sinks: partitioned writes, keyed upserts and recent-partition overwrites on plain parquet folders.
 
-Partition overwrites never read and replace the same files in one plan: the
-new content is written to a staging folder first, then moved in with dynamic
-partition overwrite. The commit replaces one partition after the other; a job
+Partition overwrites are dynamic: Spark writes the new content in full to a staging
+folder inside the table and moves it in when the job has ended, so a plan may read the
+partitions that it replaces. The commit replaces one partition after the other; a job
 that dies in between leaves days that are new and days that are old, each whole,
 and running it again gives the same result.
 """
@@ -17,10 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martlib.operators.ordered import join_null_safe
+from martlib.operators.ordered import join_null_safe, spec
 from martlib.operators.sets import union_by_name
 from martlib.operators.windows import keep_first
-from martlib.session import cut_lineage
+from martlib.session import cut_lineage, free_unused, shuffles_removed, small_side
 
 
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder name for a NULL partition value
@@ -51,14 +51,15 @@ def write_partitioned(
     that holds too many rows over several writers and puts small ones together.
     """
     out, part = with_partition(df, by, grain)
-    (
-        out.hint("rebalance", part)
-        .sortWithinPartitions(part, *cluster)
-        .write.mode(mode)
-        .option("maxRecordsPerFile", max_records_per_file)
-        .partitionBy(part)
-        .parquet(path)
-    )
+    with shuffles_removed(df.sparkSession):
+        (
+            out.hint("rebalance", part)
+            .sortWithinPartitions(part, *cluster)
+            .write.mode(mode)
+            .option("maxRecordsPerFile", max_records_per_file)
+            .partitionBy(part)
+            .parquet(path)
+        )
 
 
 def curve_key(df: DataFrame, columns: Sequence[str], bits: int = 5) -> Column:
@@ -156,6 +157,21 @@ def merge_by_key(target: DataFrame, updates: DataFrame, key: Sequence[str], orde
     return union_by_name(kept, newest)
 
 
+def _repeated_rows(updates: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame | None:
+    """Row numbers of updates that come after another one of their key in ``order``; of equal ones the first row stays.
+
+    Keys are told apart by a hash first, so that only rows of keys that may repeat are sorted.
+    """
+    sorts = list(dict.fromkeys([*key, *[o.lstrip("-") for o in order]]))
+    narrow = updates.select(*sorts, "__row", F.xxhash64(*key).alias("__hash"))
+    several = cut_lineage(narrow.groupBy("__hash").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select("__hash"))
+    if several.isEmpty():
+        return None
+    near = narrow.join(small_side(several), "__hash", "left_semi")
+    place = F.row_number().over(spec(key, [*order, *[c for c in key if c not in order], "__row"]))
+    return cut_lineage(near.withColumn("__place", place).filter("__place > 1").select("__row"))
+
+
 def upsert_partitions(updates: DataFrame, path: str, key: Sequence[str], by: str, order: Sequence[str] = (), cluster: Sequence[str] = (), since: dt.date | None = None) -> None:
     """Upsert into a day-partitioned folder, rewriting only partitions that change.
 
@@ -164,27 +180,48 @@ def upsert_partitions(updates: DataFrame, path: str, key: Sequence[str], by: str
     them reads the key column of the target; ``since`` limits the search to
     partitions from that day on and to rows without a day, for keys known to be
     no older. Rows without a day form a partition like any other.
+
+    The updates are evaluated once, into a staging folder beside the table. Their
+    keys are compared there, so whole rows are shuffled once, to be written by day.
     """
     spark = updates.sparkSession
     if not isinstance(updates.schema[by].dataType, T.DateType):
         raise ValueError(f"partition column {by} must be a date: the list of touched partitions is bounded by the calendar")
-    if not _path_exists(updates, path):
-        newest = keep_first(updates, key, [*order, *key])
+    staging, schema = f"{path.rstrip('/')}__staging_{uuid.uuid4().hex}", updates.schema
+    try:
+        with shuffles_removed(spark):
+            updates.withColumn("__row", F.monotonically_increasing_id()).write.parquet(staging)
+        del updates
+        free_unused(spark)  # what the plan of the updates wrote is not needed any more
+        with shuffles_removed(spark):
+            _upsert_staged(spark.read.schema(T.StructType([*schema, T.StructField("__row", T.LongType())])).parquet(staging), path, key, by, order, cluster, since)
+    finally:
+        _delete(spark, staging)
+
+
+def _upsert_staged(updates: DataFrame, path: str, key: Sequence[str], by: str, order: Sequence[str], cluster: Sequence[str], since: dt.date | None) -> None:
+    spark, key = updates.sparkSession, list(key)
+    fresh = not _path_exists(updates, path)
+    days: list = []
+    if not fresh:
+        target = spark.read.parquet(path)
+        searched = target if since is None else target.filter(F.col(by).isNull() | (F.col(by) >= F.lit(since)))
+        # days are found by a hash of the key: equal hashes of other keys name a day too many, whose rows stay as they are
+        alike = [F.col(k).cast(updates.schema[k].dataType) for k in key]
+        hashes = updates.select(F.xxhash64(*key).alias("__hash")).distinct()
+        touched = searched.select(by, F.xxhash64(*alike).alias("__hash")).join(hashes, "__hash", "left_semi").select(by).union(updates.select(by)).distinct()
+        # partition values are days: the list is bounded by the calendar, not by the data
+        days = [r[0] for r in touched.collect()]
+        if not days:
+            return
+    repeated = _repeated_rows(updates, key, order)
+    newest = (updates if repeated is None else updates.join(small_side(repeated), "__row", "left_anti")).drop("__row")
+    if fresh:
         write_partitioned(newest, path, by, cluster)
         return
-    # the updates are needed for their days, their keys and their rows, and may be a long plan
-    updates = cut_lineage(updates)
-    target = spark.read.parquet(path)
-    searched = target if since is None else target.filter(F.col(by).isNull() | (F.col(by) >= F.lit(since)))
-    keys = updates.select(*key).distinct()
-    # partition values are days: the list is bounded by the calendar, not by the data
-    touched = (
-        join_null_safe(searched, keys, list(key), "left_semi").select(by).union(updates.select(by)).distinct()
-    )
-    days = [r[0] for r in touched.collect()]
-    if not days:
-        return
-    _replace_days(target, updates, path, key, by, order, cluster, days)
+    # the keys of all updates are those of the newest
+    kept = join_null_safe(target.filter(_on_days(by, days)), updates.select(*key), key, "left_anti")
+    overwrite_partitions(union_by_name(kept, newest), path, by, cluster, replaced=days)
 
 
 def _replace_days(target: DataFrame, updates: DataFrame, path: str, key: Sequence[str], by: str, order: Sequence[str], cluster: Sequence[str], days: Sequence) -> None:
@@ -257,26 +294,32 @@ def _delete(spark, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def _files(spark, folder: str) -> set[str]:
+    """Names of the files in a folder; none where there is no such folder."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {f.getPath().getName() for f in fs.listStatus(p)} if fs.exists(p) else set()
+
+
 def overwrite_partitions(df: DataFrame, path: str, by: str, cluster: Sequence[str] = (), replaced: Sequence = ()) -> None:
     """Replace the partitions that occur in ``df``; others stay untouched.
 
     Partitions listed in ``replaced`` that end up without rows are removed. The
-    rows are computed in full before the first partition is touched.
+    rows are computed in full before the first partition is touched, so ``df`` may read them.
     """
     spark = df.sparkSession
-    staging = f"{path.rstrip('/')}__staging_{uuid.uuid4().hex}"
-    write_partitioned(df, staging, by, cluster)
-    staged = spark.read.schema(df.schema).parquet(staging)
-    (
-        staged.hint("rebalance", by)
-        .sortWithinPartitions(by, *cluster)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(by)
-        .parquet(path)
-    )
-    if replaced:
-        filled = {r[0] for r in staged.select(by).distinct().collect()}
-        for value in set(replaced) - filled:
-            _delete(spark, f"{path.rstrip('/')}/{by}={NULL_FOLDER if value is None else value}")
-    _delete(spark, staging)
+    folders = {f"{path.rstrip('/')}/{by}={NULL_FOLDER if v is None else v}" for v in replaced}
+    held = {folder: _files(spark, folder) for folder in folders}
+    with shuffles_removed(spark):
+        (
+            df.hint("rebalance", by)
+            .sortWithinPartitions(by, *cluster)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(by)
+            .parquet(path)
+        )
+    for folder, names in held.items():
+        # a partition that was written has other files
+        if names and names == _files(spark, folder):
+            _delete(spark, folder)
