@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from pyspark.sql import types as T
 from martlib.operators.ordered import join_null_safe, spec
 from martlib.operators.sets import union_by_name
 from martlib.operators.windows import keep_first
-from martlib.session import cut_lineage, free_unused, shuffles_removed, small_side
+from martlib.session import cut_lineage, free_unused, job_settings, small_side
 
 
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder name for a NULL partition value
@@ -51,7 +52,7 @@ def write_partitioned(
     that holds too many rows over several writers and puts small ones together.
     """
     out, part = with_partition(df, by, grain)
-    with shuffles_removed(df.sparkSession):
+    with job_settings(df.sparkSession):
         (
             out.hint("rebalance", part)
             .sortWithinPartitions(part, *cluster)
@@ -157,6 +158,25 @@ def merge_by_key(target: DataFrame, updates: DataFrame, key: Sequence[str], orde
     return union_by_name(kept, newest)
 
 
+@contextmanager
+def staged(df: DataFrame, path: str) -> Iterator[DataFrame]:
+    """``df`` evaluated once, into a Parquet folder beside ``path`` that is removed at the end.
+
+    Packed columns take a fraction of the disk that a checkpoint of the same rows
+    does, and branches read those they need. What the plan of ``df`` wrote is freed.
+    """
+    spark, schema = df.sparkSession, df.schema
+    staging = f"{path.rstrip('/')}__staging_{uuid.uuid4().hex}"
+    try:
+        with job_settings(spark):
+            df.write.parquet(staging)
+        del df
+        free_unused(spark)
+        yield spark.read.schema(schema).parquet(staging)
+    finally:
+        _delete(spark, staging)
+
+
 def _repeated_rows(updates: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame | None:
     """Row numbers of updates that come after another one of their key in ``order``; of equal ones the first row stays.
 
@@ -187,16 +207,8 @@ def upsert_partitions(updates: DataFrame, path: str, key: Sequence[str], by: str
     spark = updates.sparkSession
     if not isinstance(updates.schema[by].dataType, T.DateType):
         raise ValueError(f"partition column {by} must be a date: the list of touched partitions is bounded by the calendar")
-    staging, schema = f"{path.rstrip('/')}__staging_{uuid.uuid4().hex}", updates.schema
-    try:
-        with shuffles_removed(spark):
-            updates.withColumn("__row", F.monotonically_increasing_id()).write.parquet(staging)
-        del updates
-        free_unused(spark)  # what the plan of the updates wrote is not needed any more
-        with shuffles_removed(spark):
-            _upsert_staged(spark.read.schema(T.StructType([*schema, T.StructField("__row", T.LongType())])).parquet(staging), path, key, by, order, cluster, since)
-    finally:
-        _delete(spark, staging)
+    with staged(updates.withColumn("__row", F.monotonically_increasing_id()), path) as rows, job_settings(spark):
+        _upsert_staged(rows, path, key, by, order, cluster, since)
 
 
 def _upsert_staged(updates: DataFrame, path: str, key: Sequence[str], by: str, order: Sequence[str], cluster: Sequence[str], since: dt.date | None) -> None:
@@ -310,7 +322,7 @@ def overwrite_partitions(df: DataFrame, path: str, by: str, cluster: Sequence[st
     spark = df.sparkSession
     folders = {f"{path.rstrip('/')}/{by}={NULL_FOLDER if v is None else v}" for v in replaced}
     held = {folder: _files(spark, folder) for folder in folders}
-    with shuffles_removed(spark):
+    with job_settings(spark):
         (
             df.hint("rebalance", by)
             .sortWithinPartitions(by, *cluster)
