@@ -26,9 +26,9 @@ from martlib.functions.dates import parse_ymd
 from martlib.operators.ordered import join_null_safe
 from martlib.operators.windows import keep_first
 from martlib.plans.common import EVENT_DIMENSIONS
-from martlib.plans.events import EARLIEST, first_seen, identity_columns, prepare_events, unnest_prepared
-from martlib.session import cut_lineage
-from martlib.sources.writers import _path_exists, overwrite_partitions, write_partitioned
+from martlib.plans.events import EARLIEST, first_seen, identity_columns, numbered_rows, prepare_events, unnest_prepared
+from martlib.session import cut_lineage, free_unused, job_settings
+from martlib.sources.writers import _path_exists, overwrite_partitions, staged, write_partitioned
 
 DAY = "event_date"
 SEEN = ["device", "merge_key", DAY]
@@ -88,12 +88,25 @@ def load_identities(
     given = {"dimensions": dimensions, "own_sites": own_sites, "strict": strict}
 
     if not _path_exists(events, f"{visitors}/_SUCCESS"):
-        df = cut_lineage(prepare_events(events))
-        write_partitioned(unnest_prepared(df, prior_sessions, objectives, **given), table, DAY, cluster)
-        df = _identified(df, dimensions)
-        write_partitioned(df.select(*SEEN).distinct(), seen, DAY)
-        first_seen(df, dimensions).write.mode("overwrite").parquet(visitors)
+        with staged(numbered_rows(prepare_events(events)), table) as df, job_settings(spark):
+            write_partitioned(unnest_prepared(df, prior_sessions, objectives, **given), table, DAY, cluster)
+            df = _identified(df, dimensions)
+            write_partitioned(df.select(*SEEN).distinct(), seen, DAY)
+            first_seen(df, dimensions).write.mode("overwrite").parquet(visitors)
+        free_unused(spark)
         return table
+    with job_settings(spark):
+        _load_arrived(events, arrived, table, visitors, seen, prior_sessions, objectives, given, span, cluster)
+    free_unused(spark)
+    return table
+
+
+def _load_arrived(
+    events: DataFrame, arrived: DataFrame, table: str, visitors: str, seen: str, prior_sessions: DataFrame | None, objectives: DataFrame | None,
+    given: dict, span: int, cluster: Sequence[str],
+) -> None:
+    """Makes the rows near the arrived events again and replaces the days that differ. Wide rows are staged beside the table, not checkpointed."""
+    spark, dimensions = events.sparkSession, given["dimensions"]
 
     new = _identified(prepare_events(arrived), dimensions)
     new = cut_lineage(new.select("user_pseudo_id", *SEEN, "derived_id", *dimensions, *EARLIEST))
@@ -111,22 +124,28 @@ def load_identities(
     marks = cut_lineage(marks.distinct())
     # sessions with a row near a mark lie whole within twice their length of it
     near, context = cut_lineage(_around(marks, span)), cut_lineage(_around(marks, 2 * span))
-    df = _identified(prepare_events(events.filter(_raw_on(_days(context)))), dimensions)
-    df = cut_lineage(join_null_safe(df, context, ["device", DAY], "left_semi"))
+    around = _identified(prepare_events(events.filter(_raw_on(_days(context)))), dimensions)
+    with staged(numbered_rows(join_null_safe(around, context, ["device", DAY], "left_semi")), table) as df:
+        first_rows = stored.unionByName(earlier.drop("__was")).join(df.select("merge_key").distinct(), "merge_key", "left_semi")
+        merged = keep_first(first_rows, ["merge_key"], EARLIEST)
+        ours = near.withColumnRenamed("device", "user_pseudo_id")
+        at = ["user_pseudo_id", DAY]
+        again = unnest_prepared(df.drop("merge_key", "derived_id", "device"), prior_sessions, objectives, visitors=merged, **given)
+        again = join_null_safe(again, ours, at, "left_semi")
+        with staged(again, table) as made:
+            del again
+            _replace_changed(made, ours, table, cluster, _days(near))
+    fresh, loaded = new.select(*SEEN).distinct(), met.filter(_on(F.col(DAY), _days(new)))
+    write_partitioned(join_null_safe(fresh, loaded, SEEN, "left_anti"), seen, DAY, mode="append")
+    earlier.drop("__was").write.mode("append").parquet(visitors)
 
-    merged = keep_first(stored.unionByName(earlier.drop("__was")).join(df.select("merge_key").distinct(), "merge_key", "left_semi"), ["merge_key"], EARLIEST)
-    made = unnest_prepared(df.drop("merge_key", "derived_id", "device"), prior_sessions, objectives, visitors=merged, **given)
-    ours = near.withColumnRenamed("device", "user_pseudo_id")
-    at = ["user_pseudo_id", DAY]
-    made = cut_lineage(join_null_safe(made, ours, at, "left_semi"))
 
-    held = spark.read.schema(made.schema).parquet(table)
-    days = changed_days(join_null_safe(held.filter(_on(F.col(DAY), _days(near))), ours, at, "left_semi"), made, "user_pseudo_id")
+def _replace_changed(made: DataFrame, ours: DataFrame, table: str, cluster: Sequence[str], near: Sequence[dt.date | None]) -> None:
+    """Of the days ``near``, those on which the rows of the devices ``ours`` differ from the ones made again are written."""
+    at = ["user_pseudo_id", DAY]
+    held = made.sparkSession.read.schema(made.schema).parquet(table)
+    days = changed_days(join_null_safe(held.filter(_on(F.col(DAY), near)), ours, at, "left_semi"), made, "user_pseudo_id")
     if days:
         of_days = _on(F.col(DAY), days)
         others = join_null_safe(held.filter(of_days), ours, at, "left_anti")
         overwrite_partitions(others.unionByName(made.filter(of_days)), table, DAY, cluster, replaced=days)
-    fresh, loaded = new.select(*SEEN).distinct(), met.filter(_on(F.col(DAY), _days(new)))
-    write_partitioned(join_null_safe(fresh, loaded, SEEN, "left_anti"), seen, DAY, mode="append")
-    earlier.drop("__was").write.mode("append").parquet(visitors)
-    return table

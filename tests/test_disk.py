@@ -7,6 +7,8 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from martlib.catalog.stand_ins import nested_events
+from martlib.plans import identity_state
 from martlib.session import cut_lineage
 from martlib.sources import writers
 
@@ -72,3 +74,21 @@ def test_an_upsert_that_fails_leaves_the_table_and_no_staging(spark, rows, tmp_p
         writers.upsert_partitions(broken, path, ["id"], "day")
     assert os.listdir(tmp_path) == ["t"]
     assert rows.sorted(spark.read.parquet(path), "id", "day", "v", "at") == [(1, DAY[0], 1, 1)]
+
+
+def test_identity_loads_checkpoint_no_wide_rows(spark, tmp_path, monkeypatch):
+    data = [(i, dt.datetime(2024, 1, 1 + i % 3, i % 20), i % 4, "view", float(i), '{"k": %d}' % (i % 6)) for i in range(1, 30)]
+    spark.createDataFrame(data, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    raw, seen = cut_lineage(nested_events(spark, str(tmp_path))), []
+
+    def spied(df):
+        seen.append(set(df.columns))
+        return cut_lineage(df)
+
+    monkeypatch.setattr(identity_state, "cut_lineage", spied)
+    late = F.col("event_bundle_sequence_id") % 7 == 3
+    for events, arrived in ((raw.filter(~late), raw.filter(~late)), (raw, raw.filter(late))):
+        identity_state.load_identities(events, arrived, f"{tmp_path}/loaded", dimensions=["geo__country", "device__category"])
+    assert seen and not any({"event_params", "event_params_key_id"} & columns for columns in seen)
+    assert sorted(os.listdir(f"{tmp_path}/loaded")) == ["seen", "table", "visitors"]
+    assert spark.read.parquet(f"{tmp_path}/loaded/table").count() == 29 * 6
